@@ -24,17 +24,30 @@ LIVE_XSS_PATTERN = r"(?i)(<script|javascript:|onerror=|alert\(|document\.cookie|
 LIVE_LFI_PATTERN = r"(?i)(\.\./\.\./|/etc/passwd|/etc/shadow|%2e%2e%2f)"
 
 
+# What the first two characters of any match can be. Checked before the alternatives
+# are tried at a position, they leave the answer alone and more than halve its cost.
+TOOL_OPENING = r"[snmbdhwao][qimauyec3p]"
+SQLI_OPENING = r"['u1dxei][\sn=rpxe]"
+XSS_OPENING = r"[<joade][sanlov]"
+LFI_OPENING = r"[./%][.ep2]"
+
+
+def guarded(pattern: str, opening: str) -> str:
+    return f"(?i)(?={opening})" + pattern.removeprefix("(?i)")
+
+
 @dataclass(frozen=True)
 class Signature:
     flag: str
     column: str
     pattern: str
+    opening: str
     name: str
     score: int
 
     def matches(self) -> Column:
         # NULL text gives NULL, not FALSE: an unknown field proves nothing.
-        return F.col(self.column).rlike(self.pattern)
+        return F.col(self.column).rlike(guarded(self.pattern, self.opening))
 
 
 @dataclass(frozen=True)
@@ -70,20 +83,20 @@ class SignatureSet:
 # Category names and scores of the historical and the live set.
 HISTORY = SignatureSet(
     (
-        Signature("is_tool", "user_agent", TOOL_PATTERN, "TOOL_DETECTED", 95),
-        Signature("is_sqli", "request_path", HISTORY_SQLI_PATTERN, "SQLI", 85),
-        Signature("is_xss", "request_path", HISTORY_XSS_PATTERN, "XSS", 75),
-        Signature("is_lfi", "request_path", HISTORY_LFI_PATTERN, "LFI", 70),
+        Signature("is_tool", "user_agent", TOOL_PATTERN, TOOL_OPENING, "TOOL_DETECTED", 95),
+        Signature("is_sqli", "request_path", HISTORY_SQLI_PATTERN, SQLI_OPENING, "SQLI", 85),
+        Signature("is_xss", "request_path", HISTORY_XSS_PATTERN, XSS_OPENING, "XSS", 75),
+        Signature("is_lfi", "request_path", HISTORY_LFI_PATTERN, LFI_OPENING, "LFI", 70),
     ),
     "UNKNOWN",
     60,
 )
 LIVE = SignatureSet(
     (
-        Signature("is_tool", "user_agent", TOOL_PATTERN, "KNOWN_ATTACK_TOOL", 95),
-        Signature("is_sqli", "request_path", LIVE_SQLI_PATTERN, "SQLI_DETECTED", 85),
-        Signature("is_xss", "request_path", LIVE_XSS_PATTERN, "XSS_DETECTED", 75),
-        Signature("is_lfi", "request_path", LIVE_LFI_PATTERN, "LFI_DETECTED", 70),
+        Signature("is_tool", "user_agent", TOOL_PATTERN, TOOL_OPENING, "KNOWN_ATTACK_TOOL", 95),
+        Signature("is_sqli", "request_path", LIVE_SQLI_PATTERN, SQLI_OPENING, "SQLI_DETECTED", 85),
+        Signature("is_xss", "request_path", LIVE_XSS_PATTERN, XSS_OPENING, "XSS_DETECTED", 75),
+        Signature("is_lfi", "request_path", LIVE_LFI_PATTERN, LFI_OPENING, "LFI_DETECTED", 70),
     ),
     "SIGNATURE_MATCH",
     60,

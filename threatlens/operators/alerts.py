@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from threatlens.functions import display, scoring
 from threatlens.functions.times import as_of_column, utc_wall_clock
 from threatlens.operators.detectors import (
+    PORT_SCAN_WINDOW,
     brute_force,
     port_scan,
     signature_alerts,
@@ -84,6 +85,17 @@ def active_threats(alert_frames: list[DataFrame], as_of: datetime | Column) -> D
     return union.filter(F.col("last_seen") > as_of_column(as_of) - F.expr(LIFETIME))
 
 
+def active_alerts(logs: DataFrame, as_of: datetime | Column) -> DataFrame:
+    """The active alerts of all detectors over a log history of any length.
+
+    Only rows that can belong to a live alert are read: a window with an event after
+    the cut-off begins at most one window length before it.
+    """
+    cutoff = as_of_column(as_of) - F.expr(LIFETIME)
+    readable = F.col("timestamp") > cutoff - F.expr(f"INTERVAL {PORT_SCAN_WINDOW}")
+    return active_threats(detect_all(logs.filter(readable)), as_of)
+
+
 def recent_alerts_by_ip(alerts: DataFrame, size: int = RECENT_ALERTS) -> DataFrame:
     """The latest alerts of each source.
 

@@ -1,6 +1,6 @@
 """Detectors. Each is one DataFrame -> DataFrame function for batch and for streams."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from threatlens.functions import scoring
@@ -21,16 +21,27 @@ def earliest(*columns: str) -> Column:
     return F.min(F.struct("timestamp", *columns)).alias("earliest")
 
 
-def _tumbling(duration: str) -> Column:
-    return F.window("timestamp", duration)
+def _by_window(logs: DataFrame, duration: str, *keys: str) -> GroupedData:
+    """Groups by tumbling window and keys.
 
+    A stream groups by the window struct, which carries the watermark. A batch groups
+    by the start alone: one long, cheaper to hash and to sort by.
+    """
+    window = F.window("timestamp", duration)
+    if logs.isStreaming:
+        return logs.groupBy(window.alias("window"), *keys)
+    return logs.groupBy(window["start"].alias("window_start"), *keys)
 
-def _window_bounds(windowed: DataFrame) -> DataFrame:
-    return (
-        windowed.withColumn("window_start", F.col("window.start"))
-        .withColumn("window_end", F.col("window.end"))
-        .drop("window", "earliest")
-    )
+
+def _with_bounds(detections: DataFrame, duration: str) -> DataFrame:
+    if "window" in detections.columns:
+        detections = detections.withColumn("window_start", F.col("window.start"))
+    end = F.col("window_start") + F.expr(f"INTERVAL {duration}")
+    return detections.withColumn("window_end", end).drop("window", "earliest")
+
+
+def _tcp(logs: DataFrame) -> DataFrame:
+    return logs.filter(F.col("protocol") == "TCP")
 
 
 def port_scan(logs: DataFrame) -> DataFrame:
@@ -39,47 +50,41 @@ def port_scan(logs: DataFrame) -> DataFrame:
     The distinct count makes Spark aggregate by (source, window, target) first, so
     one busy source is spread over the cluster by target.
     """
-    per_window = (
-        logs.filter(F.col("protocol") == "TCP")
-        .groupBy("source_ip", _tumbling(PORT_SCAN_WINDOW))
-        .agg(
-            F.count_distinct("dest_ip").alias("distinct_targets"),
-            F.count("*").alias("event_count"),
-            F.max("timestamp").alias("last_event"),
-            earliest("log_type"),
-        )
+    per_window = _by_window(_tcp(logs), PORT_SCAN_WINDOW, "source_ip").agg(
+        F.count_distinct("dest_ip").alias("distinct_targets"),
+        F.count("*").alias("event_count"),
+        F.max("timestamp").alias("last_event"),
+        earliest("log_type"),
     )
     return port_scan_alerts(per_window)
 
 
 def port_scan_alerts(per_window: DataFrame) -> DataFrame:
     targets = F.col("distinct_targets")
-    return _window_bounds(
+    return _with_bounds(
         per_window.filter(targets > scoring.PORT_SCAN_TARGETS)
         .withColumn("log_type", F.col("earliest.log_type"))
         .withColumn("attack_type", F.lit("PORT_SCAN"))
         .withColumn("threat_score", scoring.port_scan_score(targets))
-        .withColumn("severity", scoring.port_scan_severity(targets))
+        .withColumn("severity", scoring.port_scan_severity(targets)),
+        PORT_SCAN_WINDOW,
     )
 
 
 def port_scan_per_target(logs: DataFrame) -> DataFrame:
     """First stage of the exact streaming form: one row per (source, window, target)."""
-    return (
-        logs.filter(F.col("protocol") == "TCP")
-        .groupBy("source_ip", "dest_ip", _tumbling(PORT_SCAN_WINDOW))
-        .agg(
-            F.count("*").alias("events"),
-            F.max("timestamp").alias("last_event"),
-            earliest("log_type"),
-        )
+    return _by_window(_tcp(logs), PORT_SCAN_WINDOW, "source_ip", "dest_ip").agg(
+        F.count("*").alias("events"),
+        F.max("timestamp").alias("last_event"),
+        earliest("log_type"),
     )
 
 
 def port_scan_from_targets(per_target: DataFrame) -> DataFrame:
     """Second stage: count the targets; count() skips a NULL target as DISTINCT does."""
+    window = "window" if "window" in per_target.columns else "window_start"
     return port_scan_alerts(
-        per_target.groupBy("source_ip", "window").agg(
+        per_target.groupBy(window, "source_ip").agg(
             F.count("dest_ip").alias("distinct_targets"),
             F.sum("events").alias("event_count"),
             F.max("last_event").alias("last_event"),
@@ -91,9 +96,9 @@ def port_scan_from_targets(per_target: DataFrame) -> DataFrame:
 def brute_force(logs: DataFrame) -> DataFrame:
     """Sources with more than five blocked attempts within one minute."""
     attempts = F.col("blocked_count")
-    return _window_bounds(
-        logs.filter(F.col("action") == "blocked")
-        .groupBy(_tumbling(BRUTE_FORCE_WINDOW), "source_ip")
+    blocked = logs.filter(F.col("action") == "blocked")
+    return _with_bounds(
+        _by_window(blocked, BRUTE_FORCE_WINDOW, "source_ip")
         .agg(
             F.count("*").alias("blocked_count"),
             F.sum("bytes_transferred").alias("bytes_total"),
@@ -106,15 +111,16 @@ def brute_force(logs: DataFrame) -> DataFrame:
         .withColumn("threat_score", scoring.brute_force_score(attempts))
         .withColumn("severity", scoring.brute_force_severity(attempts))
         .withColumn("alert_type", F.lit("BRUTE_FORCE"))
-        .withColumn("event_count", scoring.as_int(attempts))
+        .withColumn("event_count", scoring.as_int(attempts)),
+        BRUTE_FORCE_WINDOW,
     )
 
 
 def volume_anomaly(logs: DataFrame) -> DataFrame:
     """Sources that move more than 10 MiB within ten seconds."""
     total = F.col("bytes_total")
-    return _window_bounds(
-        logs.groupBy(_tumbling(VOLUME_WINDOW), "source_ip")
+    return _with_bounds(
+        _by_window(logs, VOLUME_WINDOW, "source_ip")
         .agg(
             F.sum("bytes_transferred").alias("bytes_total"),
             F.count("*").alias("event_count"),
@@ -127,7 +133,8 @@ def volume_anomaly(logs: DataFrame) -> DataFrame:
         .withColumn("dest_ip", F.col("earliest.dest_ip"))
         .withColumn("alert_type", F.lit("VOLUME_ANOMALY"))
         .withColumn("threat_score", scoring.volume_score(total))
-        .withColumn("severity", scoring.volume_severity(total))
+        .withColumn("severity", scoring.volume_severity(total)),
+        VOLUME_WINDOW,
     )
 
 

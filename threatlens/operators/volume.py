@@ -29,32 +29,31 @@ def volume_profile(logs: DataFrame, accuracy: int = PERCENTILE_ACCURACY) -> Data
     )
 
 
-def _by_hour(logs: DataFrame) -> DataFrame:
-    return logs.withColumn("event_date", date_key(F.col("timestamp"))).withColumn(
-        "event_hour", F.hour("timestamp")
+def _per_hour(logs: DataFrame, *counts: Column) -> DataFrame:
+    """Counts by date and hour; the date becomes text once per group, not per row."""
+    return (
+        logs.groupBy(F.to_date("timestamp").alias("day"), F.hour("timestamp").alias("event_hour"))
+        .agg(*counts)
+        .withColumn("event_date", date_key(F.col("day")))
+        .drop("day")
     )
 
 
 def threat_timeline(logs: DataFrame) -> DataFrame:
     """Events per label for every hour that has any, in one pass."""
-    return (
-        _by_hour(logs.filter(F.col("threat_label").isin(LABELS)))
-        .groupBy(*TIMELINE_KEYS)
-        .agg(*[
-            F.count_if(F.col("threat_label") == label).alias(f"{label}_count")
-            for label in LABELS
-        ])
-        .orderBy(*TIMELINE_KEYS)
-    )
+    counts = [
+        F.count_if(F.col("threat_label") == label).alias(f"{label}_count") for label in LABELS
+    ]
+    known = logs.filter(F.col("threat_label").isin(LABELS))
+    return _per_hour(known, *counts).orderBy(*TIMELINE_KEYS)
 
 
 def timeline_full_join(logs: DataFrame) -> DataFrame:
     """The same rows as `threat_timeline`, written as two full outer joins."""
-    hourly = _by_hour(logs)
     counts = [
-        hourly.filter(F.col("threat_label") == label)
-        .groupBy(*TIMELINE_KEYS)
-        .agg(F.count("*").alias(f"{label}_count"))
+        _per_hour(
+            logs.filter(F.col("threat_label") == label), F.count("*").alias(f"{label}_count")
+        )
         for label in LABELS
     ]
     joined = counts[0]

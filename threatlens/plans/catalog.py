@@ -37,7 +37,7 @@ def over_alerts(query: LogQuery) -> Query:
 # --- shared building blocks -------------------------------------------------
 
 def alerts_of(logs: DataFrame) -> DataFrame:
-    return al.active_threats(al.detect_all(logs), latest_event(logs))
+    return al.active_alerts(logs, latest_event(logs))
 
 
 def ordered_patterns(logs: DataFrame) -> DataFrame:
