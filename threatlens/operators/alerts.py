@@ -4,7 +4,6 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from threatlens.functions import display, scoring
 from threatlens.functions.times import as_of_column, utc_wall_clock
@@ -23,6 +22,12 @@ RECENT_ALERTS = 10
 ACTIVE_LIST = 100
 TOP_SOURCES = 10
 
+IDENTITY = (
+    "sha2(concat_ws('|', alert_type, ip_source, CAST(bucket_time AS STRING), row_identity), 256)"
+    " AS alert_id"
+)
+ATTACK_TYPES = "array(alert_type) AS attack_types"
+
 
 def to_alerts(detections: DataFrame) -> DataFrame:
     """Detector rows in the alert layout, with defaults for absent or NULL fields.
@@ -30,42 +35,36 @@ def to_alerts(detections: DataFrame) -> DataFrame:
     The identity is a hash of what was detected (type, source, window or row), so a
     replayed or updated detection overwrites its alert instead of adding one.
     """
-    def field(name: str, default, sql_type: str) -> Column:
-        if name not in detections.columns:
-            return F.lit(default).cast(sql_type)
-        return F.coalesce(F.col(name).cast(sql_type), F.lit(default).cast(sql_type))
-
-    windowed = "window_start" in detections.columns
-    type_column = "attack_type" if "attack_type" in detections.columns else "alert_type"
-    row_identity = [
-        F.col(c).cast("string")
-        for c in (["log_id"] if "log_id" in detections.columns else ["dest_ip", "user_agent", "request_path"])
-    ]
-    event_count = (
-        scoring.as_int(F.coalesce(F.col("event_count"), F.lit(1)))
-        if "event_count" in detections.columns
-        else F.lit(1)
+    columns = set(detections.columns)
+    windowed = "window_start" in columns
+    start, last = ("window_start", "last_event") if windowed else ("timestamp", "timestamp")
+    kind = "attack_type" if "attack_type" in columns else "alert_type"
+    row_fields = ["log_id"] if "log_id" in columns else ["dest_ip", "user_agent", "request_path"]
+    row_identity = [] if windowed else [f"CAST({c} AS STRING)" for c in row_fields]
+
+    def field(name: str, default: str, sql_type: str) -> str:
+        value = f"CAST({name} AS {sql_type})" if name in columns else "NULL"
+        return f"coalesce({value}, CAST({default} AS {sql_type}))"
+
+    timed = detections.withColumns({
+        "bucket_time": utc_wall_clock(detections, start),
+        "last_seen": utc_wall_clock(detections, last),
+    })
+    alerts = timed.selectExpr(
+        f"{field('source_ip', "'unknown'", 'STRING')} AS ip_source",
+        "bucket_time",
+        "last_seen",
+        f"{field('threat_score', '50', 'INT')} AS threat_score",
+        f"{field(kind, "'UNKNOWN'", 'STRING')} AS alert_type",
+        f"{field('severity', "'MEDIUM'", 'STRING')} AS severity",
+        f"CAST(least({field('event_count', '1', 'BIGINT')}, {scoring.INT_MAX}) AS INT) AS event_count",
+        f"{field('bytes_total', '0', 'BIGINT')} AS bytes_total",
+        f"array({field('user_agent', "'unknown'", 'STRING')}) AS user_agents",
+        f"array({field('log_type', "'unknown'", 'STRING')}) AS log_sources",
+        f"CAST(array({', '.join(row_identity)}) AS ARRAY<STRING>) AS row_identity",
     )
-    alerts = detections.select(
-        field("source_ip", "unknown", "string").alias("ip_source"),
-        utc_wall_clock(detections, "window_start" if windowed else "timestamp").alias("bucket_time"),
-        utc_wall_clock(detections, "last_event" if windowed else "timestamp").alias("last_seen"),
-        field("threat_score", 50, "int").alias("threat_score"),
-        field(type_column, "UNKNOWN", "string").alias("alert_type"),
-        field("severity", "MEDIUM", "string").alias("severity"),
-        event_count.alias("event_count"),
-        field("bytes_total", 0, "bigint").alias("bytes_total"),
-        F.array(field("user_agent", "unknown", "string")).alias("user_agents"),
-        F.array(field("log_type", "unknown", "string")).alias("log_sources"),
-        F.array(*([] if windowed else row_identity)).cast("array<string>").alias("row_identity"),
-    )
-    identity = F.concat_ws(
-        "|", "alert_type", "ip_source", F.col("bucket_time").cast("string"), "row_identity"
-    )
-    return (
-        alerts.withColumn("alert_id", F.sha2(identity, 256))
-        .withColumn("attack_types", F.array("alert_type"))
-        .select(*ALERT_COLUMNS)
+    return alerts.selectExpr(
+        *[IDENTITY if c == "alert_id" else ATTACK_TYPES if c == "attack_types" else c for c in ALERT_COLUMNS]
     )
 
 

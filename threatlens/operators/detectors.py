@@ -62,11 +62,12 @@ def port_scan(logs: DataFrame) -> DataFrame:
 def port_scan_alerts(per_window: DataFrame) -> DataFrame:
     targets = F.col("distinct_targets")
     return _with_bounds(
-        per_window.filter(targets > scoring.PORT_SCAN_TARGETS)
-        .withColumn("log_type", F.col("earliest.log_type"))
-        .withColumn("attack_type", F.lit("PORT_SCAN"))
-        .withColumn("threat_score", scoring.port_scan_score(targets))
-        .withColumn("severity", scoring.port_scan_severity(targets)),
+        per_window.filter(targets > scoring.PORT_SCAN_TARGETS).withColumns({
+            "log_type": F.col("earliest.log_type"),
+            "attack_type": F.lit("PORT_SCAN"),
+            "threat_score": scoring.port_scan_score(targets),
+            "severity": scoring.port_scan_severity(targets),
+        }),
         PORT_SCAN_WINDOW,
     )
 
@@ -106,12 +107,14 @@ def brute_force(logs: DataFrame) -> DataFrame:
             earliest("user_agent", "log_type"),
         )
         .filter(attempts > scoring.BRUTE_FORCE_ATTEMPTS)
-        .withColumn("user_agent", F.col("earliest.user_agent"))
-        .withColumn("log_type", F.col("earliest.log_type"))
-        .withColumn("threat_score", scoring.brute_force_score(attempts))
-        .withColumn("severity", scoring.brute_force_severity(attempts))
-        .withColumn("alert_type", F.lit("BRUTE_FORCE"))
-        .withColumn("event_count", scoring.as_int(attempts)),
+        .withColumns({
+            "user_agent": F.col("earliest.user_agent"),
+            "log_type": F.col("earliest.log_type"),
+            "threat_score": scoring.brute_force_score(attempts),
+            "severity": scoring.brute_force_severity(attempts),
+            "alert_type": F.lit("BRUTE_FORCE"),
+            "event_count": scoring.as_int(attempts),
+        }),
         BRUTE_FORCE_WINDOW,
     )
 
@@ -128,12 +131,14 @@ def volume_anomaly(logs: DataFrame) -> DataFrame:
             earliest("log_type", "user_agent", "dest_ip"),
         )
         .filter(total > scoring.VOLUME_BYTES)
-        .withColumn("log_type", F.col("earliest.log_type"))
-        .withColumn("user_agent", F.col("earliest.user_agent"))
-        .withColumn("dest_ip", F.col("earliest.dest_ip"))
-        .withColumn("alert_type", F.lit("VOLUME_ANOMALY"))
-        .withColumn("threat_score", scoring.volume_score(total))
-        .withColumn("severity", scoring.volume_severity(total)),
+        .withColumns({
+            "log_type": F.col("earliest.log_type"),
+            "user_agent": F.col("earliest.user_agent"),
+            "dest_ip": F.col("earliest.dest_ip"),
+            "alert_type": F.lit("VOLUME_ANOMALY"),
+            "threat_score": scoring.volume_score(total),
+            "severity": scoring.volume_severity(total),
+        }),
         VOLUME_WINDOW,
     )
 
@@ -143,9 +148,11 @@ def attack_patterns(logs: DataFrame) -> DataFrame:
     return (
         logs.filter(HISTORY.any_match())
         .select("*", *HISTORY.flags())
-        .withColumn("attack_category", HISTORY.category())
-        .withColumn("threat_score", HISTORY.score())
-        .withColumn("severity", F.lit("CRITICAL"))
+        .withColumns({
+            "attack_category": HISTORY.category(),
+            "threat_score": HISTORY.score(),
+            "severity": F.lit("CRITICAL"),
+        })
     )
 
 
@@ -154,10 +161,12 @@ def signature_alerts(logs: DataFrame) -> DataFrame:
     return (
         logs.filter(LIVE.any_match())
         .select("*", *LIVE.flags())
-        .withColumn("alert_type", LIVE.category())
-        .withColumn("threat_score", LIVE.score())
-        .withColumn("severity", F.lit("CRITICAL"))
-        .withColumn("event_count", F.lit(1))
-        .withColumn("bytes_total", F.col("bytes_transferred"))
+        .withColumns({
+            "alert_type": LIVE.category(),
+            "threat_score": LIVE.score(),
+            "severity": F.lit("CRITICAL"),
+            "event_count": F.lit(1),
+            "bytes_total": F.col("bytes_transferred"),
+        })
         .drop(*[s.flag for s in LIVE.signatures])
     )

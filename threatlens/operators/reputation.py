@@ -56,8 +56,10 @@ def reputation(logs: DataFrame) -> DataFrame:
             F.count_if(_has_label("malicious")).alias("malicious_here"),
             F.count_if(_has_label("suspicious")).alias("suspicious_here"),
         )
-        .withColumn("malicious_count", F.sum("malicious_here").over(per_source))
-        .withColumn("suspicious_count", F.sum("suspicious_here").over(per_source))
+        .withColumns({
+            "malicious_count": F.sum("malicious_here").over(per_source),
+            "suspicious_count": F.sum("suspicious_here").over(per_source),
+        })
         .drop("malicious_here", "suspicious_here")
         .filter((malicious > 0) & (suspicious > 0))
         .withColumn("reputation_score", _score())
