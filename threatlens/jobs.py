@@ -57,8 +57,9 @@ def port_scan(spark: SparkSession, lake: str, output: str, tables: str) -> None:
 
 def patterns(spark: SparkSession, lake: str, output: str, tables: str) -> None:
     logs = files.read_logs(spark, lake)
-    found = det.attack_patterns(logs).orderBy(F.desc("threat_score"), F.desc("timestamp"))
-    rows = kt.attack_pattern_rows(_stored(found, f"{output}/attack_patterns"), latest_event(logs))
+    # Stored as found: sorting here would run the signatures twice. Reports sort the result.
+    found = _stored(det.attack_patterns(logs), f"{output}/attack_patterns")
+    rows = kt.attack_pattern_rows(found, latest_event(logs))
     kt.upsert(rows, f"{tables}/attack_patterns", kt.ATTACK_PATTERN_KEYS)
 
 

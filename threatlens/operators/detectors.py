@@ -156,6 +156,11 @@ def attack_patterns(logs: DataFrame) -> DataFrame:
     )
 
 
+def most_severe_first(patterns: DataFrame) -> DataFrame:
+    identity = [c for c in ("log_id", "source_ip") if c in patterns.columns]
+    return patterns.orderBy(F.desc("threat_score"), F.desc("timestamp"), *identity)
+
+
 def signature_alerts(logs: DataFrame) -> DataFrame:
     """Rows that match a live signature, one alert per row."""
     return (

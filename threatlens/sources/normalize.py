@@ -5,10 +5,14 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threatlens.functions.times import as_of_column, iso_utc, EPOCH
+from threatlens.functions.times import as_of_column, iso_utc
 
-# Accepted stamp formats in the order tried, defaults of absent columns.
-STAMP_FORMATS = ["yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s'Z'", "yyyy-M-d'T'H:m:s"]
+# Accepted stamps (yyyy-MM-dd HH:mm:ss, yyyy-MM-ddTHH:mm:ssZ,
+# yyyy-MM-ddTHH:mm:ss; leading zeros optional) and defaults of absent columns.
+STAMP_SHAPE = (
+    r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}"
+    r"(\s+\d{1,2}:\d{1,2}:\d{1,2}|T\d{1,2}:\d{1,2}:\d{1,2}Z?)\z"
+)
 DEFAULTS = {
     "source_ip": "0.0.0.0",
     "dest_ip": "0.0.0.0",
@@ -22,14 +26,12 @@ DEFAULTS = {
 
 
 def parse_stamp(text: Column) -> Column:
-    """The stamp as UTC wall-clock time, NULL if no format fits."""
-    # An explicit +00 offset keeps the session time zone out of the parsing.
-    instants = [
-        F.try_to_timestamp(F.concat(text, F.lit("+00")), F.lit(f"{pattern}x"))
-        for pattern in STAMP_FORMATS
-    ]
-    micros = F.unix_micros(F.coalesce(*instants).cast("timestamp_ltz"))
-    return F.expr(EPOCH) + F.expr("INTERVAL '0.000001' SECOND") * micros
+    """The stamp as UTC wall-clock time, NULL if it has another shape or no such day.
+
+    The shape decides, then one zone-less cast: no exception per unreadable row.
+    """
+    plain = F.regexp_replace(F.rtrim(text, F.lit("Z")), r"\s+", " ")
+    return F.when(text.rlike(STAMP_SHAPE), plain.try_cast("timestamp_ntz"))
 
 
 def parse_bytes(text: Column) -> Column:
