@@ -78,7 +78,7 @@ def _message_options(kafka: str | None, folder: str | None) -> tuple[str, dict[s
 def publish(
     spark: SparkSession, input: str, kafka: str | None = None, topic_folder: str | None = None
 ) -> None:
-    raw = spark.read.option("header", True).csv(input)
+    raw = spark.read.option("header", True).option("escape", '"').csv(input)
     now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
     kind, options = _message_options(kafka, topic_folder)
     messages.publish_logs(normalize_raw_logs(raw, now), kind, **options)

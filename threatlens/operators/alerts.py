@@ -33,7 +33,9 @@ def to_alerts(detections: DataFrame) -> DataFrame:
     """Detector rows in the alert layout, with defaults for absent or NULL fields.
 
     The identity is a hash of what was detected (type, source, window or row), so a
-    replayed or updated detection overwrites its alert instead of adding one.
+    replayed or updated detection overwrites its alert instead of adding one. Single-row
+    detections are told apart by `log_id`; sources that have none fall back to the row's
+    own text, which merges rows that are equal throughout.
     """
     columns = set(detections.columns)
     windowed = "window_start" in columns

@@ -5,10 +5,13 @@ own directory, so a batch costs what it emits, not the size of the store, and a
 batch overwrites its earlier attempt. Readers keep the last emission of each alert.
 """
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from threatlens.functions.times import as_of_column
 from threatlens.operators.alerts import to_alerts
 from threatlens.schema import ALERT, ALERT_COLUMNS
 from threatlens.sinks.keyed_tables import last_per_key
@@ -35,7 +38,13 @@ def alert_writer(path: str, query_name: str, files: int | None = None):
     return write
 
 
-def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    """The current state of every alert."""
+def read_alerts(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
+    """The current state of every alert, or of those last seen after `since`.
+
+    The last emission of an alert is also its newest, so `since` may be applied before
+    merging, where Parquet statistics skip the files of older batches.
+    """
     emissions = spark.read.schema(EMISSION).parquet(path)
+    if since is not None:
+        emissions = emissions.filter(F.col("last_seen") > as_of_column(since))
     return last_per_key(emissions, ALERT_KEYS, F.col("batch")).select(*ALERT_COLUMNS)
