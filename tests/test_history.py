@@ -1,4 +1,7 @@
 import datetime as dt
+from random import Random
+
+import pytest
 
 from threatlens.operators import reputation as rep
 from threatlens.operators import volume as vol
@@ -52,13 +55,37 @@ def test_top_report_breaks_ties_by_key(make_logs):
     assert [r.source_ip for r in top] == [f"ip{i:02d}" for i in range(10)]
 
 
-def test_volume_profile(make_logs):
+@pytest.mark.parametrize("profile", [vol.volume_profile, vol.volume_profile_sketch])
+def test_volume_profile(make_logs, profile):
     rows = [{"bytes_transferred": b} for b in list(range(1, 101)) + [None]]
-    row = vol.volume_profile(make_logs(*rows)).collect()[0]
+    row = profile(make_logs(*rows)).collect()[0]
     assert (row.event_count, row.total_bytes, row.max_bytes, row.p95_bytes) == (101, 5050, 100, 95)
     assert row.avg_bytes == 50.5
 
 
+@pytest.mark.parametrize("broadcast_groups", [10_000, 0])
+def test_percentile_is_exact(make_logs, monkeypatch, broadcast_groups):
+    monkeypatch.setattr(vol, "BROADCAST_GROUPS", broadcast_groups)
+    random = Random(7)
+    values = {
+        "malicious": [random.randrange(10**12) for _ in range(301)],
+        "suspicious": [5_000_000 + random.randrange(900) for _ in range(400)],
+        "benign": [random.choice([0, 0, 0, 1, 2]) for _ in range(57)],
+        "negative": [-random.randrange(10**6) for _ in range(40)],
+        "single": [42],
+        "unsized": [None, None],
+        None: [3, 1, 2],
+    }
+    rows = [{"threat_label": k, "bytes_transferred": v} for k, vs in values.items() for v in vs]
+    got = {r.threat_label: r for r in vol.volume_profile(make_logs(*rows)).collect()}
+    assert set(got) == set(values)
+    for label, group in values.items():
+        known = sorted(v for v in group if v is not None)
+        expected = known[-(-len(known) * 95 // 100) - 1] if known else None
+        assert (got[label].p95_bytes, got[label].event_count) == (expected, len(group))
+        assert got[label].avg_bytes == (sum(known) / len(known) if known else None)
+
+
 def hours(*spec):
     return [
         {"timestamp": dt.datetime(2023, 10, day, hour), "threat_label": label}
