@@ -65,6 +65,15 @@ def test_daily_load_replaces_its_days_only(spark, make_logs, tmp_path):
     ]
 
 
+def test_mixed_input_makes_few_files(spark, make_logs, tmp_path):
+    root = tmp_path / "lake"
+    rows = [{"timestamp": NOW - dt.timedelta(days=i % 3), "dest_ip": f"d{i}"} for i in range(300)]
+    files.write_lake(make_logs(*rows).repartition(20), str(root), files_per_day=2)
+    for day in ("13", "14", "15"):
+        assert 1 <= len(list(root.glob(f"year=2023/month=10/day={day}/*.parquet"))) <= 2
+    assert files.read_logs(spark, str(root)).count() == 300
+
+
 def normalized(spark, column, values):
     raw = spark.createDataFrame([(v,) for v in values], f"{column} string")
     return normalize_raw_logs(raw, NOW).collect()
@@ -179,7 +188,8 @@ def test_jobs_from_csv_to_profiles(spark, csv_file, tmp_path):
         )
     path = csv_file(*lines)
     lake, out, tables, topic, alerts = (str(tmp_path / n) for n in ("lake", "out", "tables", "topic", "alerts"))
-    jobs.convert(spark, path, lake)
+    jobs.main(["convert", "--input", path, "--lake", lake])
+    assert files.convert_csv_to_lake(spark, path, lake) == files.read_logs(spark, lake).count() == 30
     jobs.reputation(spark, lake, out, tables)
     jobs.port_scan(spark, lake, out, tables)
     jobs.patterns(spark, lake, out, tables)

@@ -36,7 +36,7 @@ def _stored(result: DataFrame, path: str) -> DataFrame:
 
 
 def convert(spark: SparkSession, input: str, lake: str) -> None:
-    files.convert_csv_to_lake(spark, input, lake)
+    print(f"{files.convert_csv_to_lake(spark, input, lake)} rows converted")
 
 
 def reputation(spark: SparkSession, lake: str, output: str, tables: str) -> None:

@@ -90,7 +90,8 @@ def active_alerts(logs: DataFrame, as_of: datetime | Column) -> DataFrame:
     """The active alerts of all detectors over a log history of any length.
 
     Only rows that can belong to a live alert are read: a window with an event after
-    the cut-off begins at most one window length before it.
+    the cut-off begins at most one window length before it. A fixed `as_of` reaches the
+    Parquet statistics; over the lake, `read_logs` with a first day also prunes directories.
     """
     cutoff = as_of_column(as_of) - F.expr(LIFETIME)
     readable = F.col("timestamp") > cutoff - F.expr(f"INTERVAL {PORT_SCAN_WINDOW}")

@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threatlens.functions.times import latest_event, utc_wall_clock
@@ -12,7 +12,7 @@ from threatlens.operators import reputation as rep
 from threatlens.operators import volume as vol
 from threatlens.plans import serving
 from threatlens.schema import LAKE_PARTITIONS, LOG_COLUMNS
-from threatlens.session import shared_folder
+from threatlens.session import count_files, shared_folder
 from threatlens.sinks import alert_log
 from threatlens.sinks import keyed_tables as kt
 from threatlens.sources import files, fixtures, messages
@@ -46,20 +46,22 @@ def ordered_port_scans(logs: DataFrame) -> DataFrame:
     )
 
 
-def reputation_table(logs: DataFrame) -> DataFrame:
-    return kt.ip_reputation_rows(rep.top_malicious_ips(logs), latest_event(logs))
+def reputation_table(logs: DataFrame, as_of: Column | None = None) -> DataFrame:
+    as_of = as_of if as_of is not None else latest_event(logs)
+    return kt.ip_reputation_rows(rep.top_malicious_ips(logs), as_of)
 
 
-def pattern_table(logs: DataFrame) -> DataFrame:
-    as_of = latest_event(logs)
+def pattern_table(logs: DataFrame, as_of: Column | None = None) -> DataFrame:
+    as_of = as_of if as_of is not None else latest_event(logs)
     return kt.attack_pattern_rows(det.attack_patterns(logs), as_of).unionByName(
         kt.attack_pattern_rows(det.port_scan(logs), as_of, "PORT_SCAN")
     )
 
 
 def profiles(logs: DataFrame) -> DataFrame:
+    as_of = latest_event(logs)
     return serving.threat_profile_flat(
-        reputation_table(logs), pattern_table(logs), alerts_of(logs)
+        reputation_table(logs, as_of), pattern_table(logs, as_of), al.active_alerts(logs, as_of)
     )
 
 
@@ -231,8 +233,9 @@ def replay(*names: str, delay: str | None = None) -> Query:
         messages.publish_logs(fixtures.security_logs(spark, sf_dir), "files", path=topic)
         options = {"path": topic}
         if delay is None:
-            published = len(messages.read_records(spark, "files", path=topic).inputFiles())
-            options["maxFilesPerTrigger"] = str(max(1, published // REPLAY_BATCHES))
+            options["maxFilesPerTrigger"] = str(
+                max(1, count_files(spark, topic) // REPLAY_BATCHES)
+            )
         logs = messages.parse_log_json(messages.read_stream(spark, "files", **options))
         running = start_detectors(
             logs,

@@ -34,3 +34,10 @@ def shared_folder(spark: SparkSession) -> str:
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix="threatlens-")
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+
+
+def count_files(spark: SparkSession, path: str) -> int:
+    """Files below a folder, counted by the file system: no listing reaches the driver."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return file_system.getContentSummary(folder).getFileCount()

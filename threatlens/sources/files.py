@@ -2,7 +2,7 @@
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from threatlens.schema import LAKE, LAKE_PARTITIONS, LOG_COLUMNS, LOG_FILE, REQUIRED_COLUMNS
@@ -37,16 +37,23 @@ def with_partition_columns(logs: DataFrame) -> DataFrame:
     )
 
 
-def write_lake(logs: DataFrame, root: str, replace_all: bool = True) -> None:
+def write_lake(
+    logs: DataFrame, root: str, replace_all: bool = True, files_per_day: int | None = None
+) -> None:
     """Writes logs below year/month/day directories.
 
     replace_all=False replaces only the days present in `logs` (a daily load). Each
-    task writes the days it holds; rows are not shuffled, so a day with most of the
-    data is still written by many tasks.
+    task writes the days it holds, without a shuffle: right for input in time order.
+    For mixed input `files_per_day` shuffles rows by day and a hash of the row, so a
+    day gets at most that many files and a day with most of the rows is still
+    written by that many tasks.
     """
+    dated = with_partition_columns(logs)
+    if files_per_day:
+        slot = F.pmod(F.xxhash64("timestamp", "source_ip", "dest_ip", "request_path"), F.lit(files_per_day))
+        dated = dated.repartition(*LAKE_PARTITIONS, slot)
     (
-        with_partition_columns(logs)
-        .write.mode("overwrite")
+        dated.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy(*LAKE_PARTITIONS)
         .parquet(root)
@@ -73,8 +80,12 @@ def read_logs(
     return lake
 
 
-def convert_csv_to_lake(spark: SparkSession, csv_path: str, root: str) -> None:
-    write_lake(read_csv_logs(spark, csv_path), root)
+def convert_csv_to_lake(spark: SparkSession, csv_path: str, root: str) -> int:
+    """Converts CSV to the lake; the row count is observed during the write."""
+    converted = Observation("converted")
+    logs = read_csv_logs(spark, csv_path).observe(converted, F.count("*").alias("rows"))
+    write_lake(logs, root)
+    return converted.get["rows"]
 
 
 def write_result(result: DataFrame, path: str) -> None:
