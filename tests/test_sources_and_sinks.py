@@ -207,3 +207,21 @@ def test_jobs_from_csv_to_profiles(spark, csv_file, tmp_path):
     assert profile[0].batch_layer.attack_types_detected == ["PORT_SCAN", "TOOL_DETECTED"]
     assert set(profile[0].speed_layer.recent_attack_types) <= {"BRUTE_FORCE", "KNOWN_ATTACK_TOOL", "VOLUME_ANOMALY"}
     assert kt.read_table(spark, f"{tables}/threat_timeline").count() == 1
+
+
+@pytest.mark.parametrize("job", ["publish", "stream"])
+def test_kafka_jobs_pass_topic_and_limits(spark, csv_file, monkeypatch, job):
+    seen = {}
+    monkeypatch.setattr(messages, "publish_logs", lambda logs, kind, **o: seen.update(kind=kind, **o))
+    monkeypatch.setattr(
+        jobs.app, "run", lambda spark, alerts, checkpoints, kind, delay, **o: seen.update(kind=kind, **o)
+    )
+    common = ["--kafka", "host:9092", "--topic", "t"]
+    if job == "publish":
+        jobs.main(["publish", "--input", csv_file(GOOD), *common])
+        assert seen == {"kind": "kafka", "kafka.bootstrap.servers": "host:9092", "topic": "t"}
+    else:
+        jobs.main(["stream", "--alerts", "a", "--checkpoints", "c", "--max-offsets", "5", *common])
+        assert seen == {
+            "kind": "kafka", "kafka.bootstrap.servers": "host:9092", "subscribe": "t", "maxOffsetsPerTrigger": "5"
+        }

@@ -76,11 +76,17 @@ def _message_options(kafka: str | None, folder: str | None) -> tuple[str, dict[s
 
 
 def publish(
-    spark: SparkSession, input: str, kafka: str | None = None, topic_folder: str | None = None
+    spark: SparkSession,
+    input: str,
+    kafka: str | None = None,
+    topic_folder: str | None = None,
+    topic: str = messages.DEFAULT_TOPIC,
 ) -> None:
     raw = spark.read.option("header", True).option("escape", '"').csv(input)
     now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
     kind, options = _message_options(kafka, topic_folder)
+    if kafka:
+        options["topic"] = topic
     messages.publish_logs(normalize_raw_logs(raw, now), kind, **options)
 
 
@@ -90,9 +96,13 @@ def stream(
     checkpoints: str,
     kafka: str | None = None,
     topic_folder: str | None = None,
+    topic: str = messages.DEFAULT_TOPIC,
+    max_offsets: str = str(messages.MAX_OFFSETS_PER_TRIGGER),
     delay: str = app.DEFAULT_DELAY,
 ) -> None:
     kind, options = _message_options(kafka, topic_folder)
+    if kafka:
+        options |= {"subscribe": topic, "maxOffsetsPerTrigger": max_offsets}
     app.run(spark, alerts, checkpoints, kind, delay, **options)
 
 
@@ -113,8 +123,8 @@ JOBS = {
     "port-scan": (port_scan, ["lake", "output", "tables"], []),
     "patterns": (patterns, ["lake", "output", "tables"], []),
     "volume": (volume, ["lake", "output", "tables"], []),
-    "publish": (publish, ["input"], ["kafka", "topic-folder"]),
-    "stream": (stream, ["alerts", "checkpoints"], ["kafka", "topic-folder", "delay"]),
+    "publish": (publish, ["input"], ["kafka", "topic-folder", "topic"]),
+    "stream": (stream, ["alerts", "checkpoints"], ["kafka", "topic-folder", "topic", "max-offsets", "delay"]),
     "profiles": (profiles, ["tables", "alerts", "output"], []),
 }
 

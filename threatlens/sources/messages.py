@@ -7,8 +7,8 @@ from pyspark.sql import types as T
 from threatlens.functions.times import iso_utc, utc_wall_clock
 from threatlens.schema import LOG_COLUMNS, LOG_MESSAGE
 
-# Topic, partition of each log type (others go to 0), offsets per trigger.
-TOPIC = "cybersecurity-logs"
+DEFAULT_TOPIC = "security-logs"
+# Partition of each log type (others go to 0), offsets per trigger.
 LOG_TYPE_PARTITIONS = {"firewall": 0, "ids": 1, "application": 2}
 MAX_OFFSETS_PER_TRIGGER = 10_000
 
@@ -51,7 +51,7 @@ def publish_logs(logs: DataFrame, kind: str = "kafka", **options: str) -> None:
     records = to_records(logs)
     if kind == "kafka":
         records.select("key", "value", "partition").write.format("kafka").options(
-            **{"topic": TOPIC, **options}
+            **{"topic": DEFAULT_TOPIC, **options}
         ).save()
     else:
         records.write.mode("append").partitionBy("partition").parquet(options["path"])
@@ -59,7 +59,7 @@ def publish_logs(logs: DataFrame, kind: str = "kafka", **options: str) -> None:
 
 def _source_options(kind: str, options: dict[str, str]) -> tuple[str, dict[str, str]]:
     if kind == "kafka":
-        return "kafka", {"subscribe": TOPIC, "failOnDataLoss": "false", **options}
+        return "kafka", {"subscribe": DEFAULT_TOPIC, "failOnDataLoss": "false", **options}
     return "parquet", options
 
 
