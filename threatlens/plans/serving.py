@@ -71,9 +71,10 @@ def _completed(joined: DataFrame) -> DataFrame:
         F.coalesce("recent_alert_bytes", F.lit(0)).cast("bigint").alias("recent_alert_bytes"),
     )
     history, live = F.col("reputation_score"), F.col("current_threat_score")
-    return filled.withColumn(
-        "recommendation", scoring.recommendation(history, F.col("active_alerts"))
-    ).withColumn("confidence", scoring.confidence(history, live))
+    return filled.withColumns({
+        "recommendation": scoring.recommendation(history, F.col("active_alerts")),
+        "confidence": scoring.confidence(history, live),
+    })
 
 
 def threat_profile(flat: DataFrame) -> DataFrame:
