@@ -1,9 +1,8 @@
 """Session creation and the shared folder for intermediate tables."""
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def create_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -22,18 +21,30 @@ def create_session(app_name: str, master: str | None = None, **conf: str) -> Spa
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder that every executor can reach.
+def shared_folder(spark: SparkSession, path: str | None = None) -> str:
+    """A fresh folder for intermediate tables that every executor can reach.
 
-    On a cluster this is a child of spark.checkpoint.dir. Only a local session,
-    where driver and executors are one process, may fall back to a temporary folder.
+    A caller's path comes first, then spark.checkpoint.dir, then the warehouse folder,
+    which Spark resolves to a full address; all three are shared by a cluster.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return f"{root.rstrip('/')}/threatlens-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="threatlens-")
-    raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    root = (
+        path
+        or spark.conf.get("spark.checkpoint.dir", None)
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
+    return f"{root.rstrip('/')}/threatlens-{uuid.uuid4().hex}"
+
+
+def stage(rows: DataFrame, path: str) -> DataFrame:
+    """Writes a table and reads it back: cuts the lineage, survives lost executors."""
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder of intermediate tables through its own file system."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def count_files(spark: SparkSession, path: str) -> int:
