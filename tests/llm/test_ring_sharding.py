@@ -1,0 +1,56 @@
+import zlib
+from collections import Counter
+
+import numpy as np
+
+from threatlens.llm.ring_sharding import Ring, place, shard_by_ring
+
+
+def test_keys_go_clockwise_as_one_by_one():
+    ring, rng = Ring.of(5, 4), np.random.default_rng(1)
+    counts = rng.integers(0, 9, len(ring.points))
+    counts[3] = 200
+    total = int(counts.sum())
+    room = np.array([total // 5 + (s < total % 5) for s in range(5)])
+    runs = place(counts, ring, room)
+    left, expected = room.copy(), []
+    for arc, n in enumerate(counts):
+        for rank in range(n):
+            at = arc
+            while left[ring.owners[at]] == 0:
+                at = (at + 1) % len(counts)
+            left[ring.owners[at]] -= 1
+            expected.append((arc, rank, ring.owners[at]))
+    made = []
+    for i, (arc, first, shard, _) in enumerate(runs):
+        end = runs[i + 1][1] if i + 1 < len(runs) and runs[i + 1][0] == arc else counts[arc]
+        made += [(arc, r, shard) for r in range(first, end)]
+    assert made == expected
+
+
+def check(rows, docs, shards):
+    expected = Counter((d, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t in docs)
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == expected
+    sizes = Counter(r.shard for r in rows)
+    counts = [sizes[s] for s in range(shards)]
+    assert max(counts) - min(counts) <= 1
+    for s in sizes:
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(sizes[s]))
+
+
+def test_whole_table_and_one_more_shard(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    pairs = [(r.doc_id, r.text) for r in docs.collect()]
+    before, after = shard_by_ring(docs).collect(), shard_by_ring(docs, shards=25).collect()
+    check(before, pairs, 24)
+    check(after, pairs, 25)
+    was = {r.doc_id: r.shard for r in before}
+    moved = sum(r.shard != was[r.doc_id] for r in after) / len(after)
+    assert moved < 0.5  # plain remainders move 24 of 25
+
+
+def test_odd_rows_and_one_hot_key(spark, odd_documents, no_documents):
+    check(shard_by_ring(odd_documents, shards=4).collect(), [(r.doc_id, r.text) for r in odd_documents.collect()], 4)
+    assert shard_by_ring(no_documents).collect() == []
+    hot = [(1, f"t{i % 9}") for i in range(500)] + [(i, "x") for i in range(2, 40)] + [(None, None)] * 30
+    check(shard_by_ring(spark.createDataFrame(hot, "doc_id long, text string")).collect(), hot, 24)
