@@ -8,10 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from threatlens.plans import catalog, oracles
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = oracles.oracle_sql()
 SQL_TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
     "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
