@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from threatlens.llm.graphs import ranked
-from threatlens.llm.tokens import word_bpe
+from threatlens.llm.tokens import WordBpe
 from threatlens.session import shared_folder, stage
 
 CAPACITY = 4096
@@ -72,7 +72,7 @@ def _pieces(documents: DataFrame, id_col: str, text_col: str, path: str, capacit
     names = ["doc_id", "start", "length", "doc_tokens", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_bpe(path)
+        encoder = WordBpe(path)
         for batch in batches:
             rows, size = [], 0
             for doc, text in zip(batch.column(0), batch.column(1), strict=True):

@@ -39,18 +39,20 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fingerprint) per row; the fingerprint is the long with the same 64 bits."""
+def fingerprints(documents: DataFrame, carry: list[str], text_col: str = "text") -> DataFrame:
+    """The carried columns of every row and its fingerprint: the long with the same 64 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.array([fingerprint(x.as_py()) for x in batch.column(1)], dtype=np.uint64)
+            texts = batch.column(len(carry))
+            made = np.array([fingerprint(x.as_py()) for x in texts], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(made.view(np.int64))], ["id", "fingerprint"]
+                [*batch.columns[:-1], pa.array(made.view(np.int64))], [*carry, "fingerprint"]
             )
 
-    kind = documents.schema[id_col].dataType.simpleString()
-    return documents.select(id_col, text_col).mapInArrow(run, f"id {kind}, fingerprint long")
+    kinds = [f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in carry]
+    rows = documents.select(*carry, F.col(text_col).alias("_text"))
+    return rows.mapInArrow(run, ", ".join([*kinds, "fingerprint long"]))
 
 
 def _without(block: int, prints: np.ndarray) -> np.ndarray:
@@ -162,6 +164,15 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
     return met.distinct().filter(verified)
 
 
+def components(prints: DataFrame, folder: str) -> DataFrame:
+    """(fingerprint, component) for every distinct fingerprint."""
+    distinct = stage(prints.select("fingerprint").distinct(), f"{folder}/distinct")
+    groups = connected_components(fingerprint_links(distinct), folder)
+    return distinct.join(groups.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
+        "fingerprint", F.coalesce("component", "fingerprint").alias("component")
+    )
+
+
 def simhash_groups(
     documents: DataFrame,
     id_col: str = "doc_id",
@@ -176,18 +187,39 @@ def simhash_groups(
     names cannot clash. An empty table gives an empty result.
     """
     folder = shared_folder(documents.sparkSession, staging)
-    prints = stage(fingerprints(documents, id_col, text_col), f"{folder}/prints")
-    distinct = stage(
-        prints.groupBy("fingerprint").agg(F.min("id").alias("first_id")), f"{folder}/distinct"
-    )
-    groups = connected_components(fingerprint_links(distinct), folder)
-    placed = distinct.join(
-        groups.withColumnRenamed("node", "fingerprint"), "fingerprint", "left"
-    ).withColumn("component", F.coalesce("component", "fingerprint"))
-    smallest = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    rows = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    prints = stage(fingerprints(rows, ["doc_id"]), f"{folder}/prints")
+    first = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
+    placed = stage(components(prints, folder).join(first, "fingerprint"), f"{folder}/placed")
+    smallest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     component = placed.join(smallest, "component").select("fingerprint", "component_id")
     return prints.join(component, "fingerprint").select(
-        F.col("id").alias("doc_id"),
-        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
-        "component_id",
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def keep_one(
+    documents: DataFrame,
+    carry: list[str],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    staging: str | None = None,
+) -> DataFrame:
+    """The carried columns (the id among them) of one row of each group.
+
+    The row with the smallest id stays, a null id last; of rows with the same id one stays.
+    Carried columns must not be called fingerprint, component or uid.
+    """
+    folder = shared_folder(documents.sparkSession, staging)
+    rows = stage(
+        fingerprints(documents, carry, text_col).withColumn("uid", F.monotonically_increasing_id()),
+        f"{folder}/rows",
+    )
+    prints = rows.select(F.col(id_col).alias("id"), "uid", "fingerprint")
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "uid")
+    first = (
+        prints.groupBy("fingerprint").agg(F.min(order).alias("first"))
+        .join(components(prints, folder), "fingerprint")
+        .groupBy("component").agg(F.min("first")["uid"].alias("uid"))
     )
+    return rows.join(first, "uid", "left_semi").select(*carry)

@@ -1,6 +1,5 @@
 """Token ids of whole texts by a public word BPE, with each distinct word encoded once."""
 
-import functools
 import unicodedata
 
 import numpy as np
@@ -40,9 +39,3 @@ class WordBpe(dict):
         if PLAIN.fullmatch(text) and unicodedata.is_normalized("NFC", text):
             return b"".join(map(self.__getitem__, WORD.findall(text.lower())))
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-
-@functools.lru_cache(maxsize=2)
-def word_bpe(path: str) -> WordBpe:
-    """One encoder for each worker and vocabulary file."""
-    return WordBpe(path)
