@@ -104,27 +104,36 @@ class SeedIndex:
         for n, line, document in lines:
             number, words = self.items[n]
             low = max(line, starts[document])
-            high = min(line + len(words), int(begins[document + 1]))
+            high = min(line + len(words), int(begins[document + 1]) - len(gap))
             equal = numbers[low:high] == words[low - line : high - line]
-            for start, length, same in self._matches(equal, min(MATCH_WORDS, len(words))):
-                key, start = (document, number), low + start - starts[document]
-                best[key] = max(best.get(key, (0, 0, 0)), (same, -start, length))
+            match = self._longest(equal, min(MATCH_WORDS, len(words)))
+            if match:
+                key, start = (document, number), low + match[0] - starts[document]
+                best[key] = max(best.get(key, (0, 0, 0)), (match[2], -start, match[1]))
         for (document, number), (same, start, length) in sorted(best.items()):
             made[document].append((number, -start, length, same))
         return made
 
     @staticmethod
-    def _matches(equal: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
-        """Best stretches of an alignment: (start, length, equal words)."""
-        total, begin, top, end = 0, 0, 0, 0
-        for i, same in enumerate([*equal.tolist(), None]):  # None closes the last stretch
-            total += 1 if same else MISMATCH
-            if total > top:
-                top, end = total, i + 1
-            if total <= 0 or same is None:
-                if top and end - begin >= least:
-                    yield begin, end - begin, int(equal[begin:end].sum())
-                total, top, begin = 0, 0, i + 1
+    def _longest(equal: np.ndarray, least: int) -> tuple[int, int, int] | None:
+        """The longest stretch that is equal enough: (start, length, equal words)."""
+        if int(equal.sum()) * (1 - MISMATCH) < -MISMATCH * least:
+            return None
+        sums = np.concatenate([[0], np.cumsum(np.where(equal, 1, MISMATCH))])
+        lowest = np.minimum.accumulate(sums).tolist()
+        highest = np.maximum.accumulate(sums[::-1])[::-1].tolist()
+        start, end, best = 0, 0, (0, 0)
+        while end < len(lowest):  # a stretch from the lowest sum so far to a sum not below
+            if highest[end] >= lowest[start]:
+                best = max(best, (end - start, -start))
+                end += 1
+            else:
+                start += 1
+                end = max(end, start)
+        length, start = best[0], -best[1]
+        if length < least:
+            return None
+        return start, length, int(equal[start : start + length].sum())
 
 
 def overlaps(
