@@ -2,6 +2,7 @@ import datetime as dt
 from random import Random
 
 import pytest
+from pyspark.sql import functions as F
 
 from threatlens.operators import reputation as rep
 from threatlens.operators import volume as vol
@@ -63,9 +64,17 @@ def test_volume_profile(make_logs, profile):
     assert row.avg_bytes == 50.5
 
 
-@pytest.mark.parametrize("broadcast_groups", [10_000, 0])
-def test_percentile_is_exact(make_logs, monkeypatch, broadcast_groups):
-    monkeypatch.setattr(vol, "BROADCAST_GROUPS", broadcast_groups)
+@pytest.mark.parametrize("slices", [4_096, 5])
+def test_percentile_is_exact(make_logs, monkeypatch, slices):
+    monkeypatch.setattr(vol, "SLICES", slices)
+    ordered, holder = [], vol._holder
+
+    def watched(counts, part, rank):
+        if part != "bucket":
+            ordered.append(counts.groupBy(*vol.GROUP).count().agg(F.max("count")).first()[0])
+        return holder(counts, part, rank)
+
+    monkeypatch.setattr(vol, "_holder", watched)
     random = Random(7)
     values = {
         "malicious": [random.randrange(10**12) for _ in range(301)],
@@ -84,6 +93,7 @@ def test_percentile_is_exact(make_logs, monkeypatch, broadcast_groups):
         expected = known[-(-len(known) * 95 // 100) - 1] if known else None
         assert (got[label].p95_bytes, got[label].event_count) == (expected, len(group))
         assert got[label].avg_bytes == (sum(known) / len(known) if known else None)
+    assert len(ordered) > 1 and max(ordered) <= slices  # values or slices of a group in one window
 
 
 def hours(*spec):

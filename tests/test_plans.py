@@ -10,6 +10,8 @@ from threatlens.operators import alerts as al
 from threatlens.operators import detectors as det
 from threatlens.operators import reputation as rep
 from threatlens.operators import volume as vol
+from threatlens.plans import serving
+from threatlens.schema import ALERT
 
 SF_DIR = "/root/testdata/sf0.001"
 LAZY = [
@@ -72,3 +74,19 @@ def test_recent_alerts_are_limited_before_the_shuffle(lake):
 def test_top_reports_do_not_sort_everything(lake):
     assert "TakeOrderedAndProject" in plan(rep.top_malicious_ips(lake))
     assert "TakeOrderedAndProject" in plan(al.active_alerts_top(al.active_alerts(lake, latest_event(lake))))
+
+
+def test_one_address_reaches_every_stored_side(spark, tmp_path):
+    sides = []
+    for name, schema in (
+        ("reputation", "source_ip string, score bigint, total_events bigint, last_seen timestamp_ntz"),
+        ("patterns", "attack_type string, source_ip string"),
+        ("alerts", ALERT),
+    ):
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))
+        sides.append(spark.read.schema(schema).parquet(str(tmp_path / name)))
+    pushed = re.findall(r"PushedFilters: \[(.*?)\]\n", plan(serving.threat_profile_flat(*sides, keys="203.0.113.1")))
+    assert sum("EqualTo(source_ip,203.0.113.1)" in p for p in pushed) == 2
+    assert sum("EqualTo(ip_source,203.0.113.1)" in p for p in pushed) == 1
+    asked = spark.createDataFrame([("203.0.113.1",)], "ip string")
+    assert plan(serving.profile_lookup(asked, *sides)).count("LeftSemi") >= 3

@@ -173,8 +173,7 @@ def test_lookup_validates_and_completes(spark, profile_sides):
     requests = spark.createDataFrame(
         [(" hot\t",), ("hot",), ("unknown",), ("",), ("   ",), ("x" * 46,), ("y" * 45,), (None,)], "ip string"
     )
-    flat = serving.threat_profile_flat(*profile_sides)
-    got = {r.ip: r for r in serving.profile_lookup(requests, flat).collect()}
+    got = {r.ip: r for r in serving.profile_lookup(requests, *profile_sides).collect()}
     assert set(got) == {"hot", "unknown", "y" * 45}
     assert (got["hot"].recommendation, got["unknown"].recommendation) == ("BLOCK", "ALLOW")
     assert (got["unknown"].confidence, got["unknown"].recent_attack_types) == (0.0, [])

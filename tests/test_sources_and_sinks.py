@@ -1,4 +1,5 @@
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -155,13 +156,54 @@ def test_upsert_replaces_by_key_and_repeats_safely(spark, tmp_path):
     assert rows_of(kt.read_table(spark, path), "source_ip", "score") == [("a", 1), ("b", 3), ("c", 4)]
 
 
-def test_an_uncommitted_snapshot_is_not_read(spark, tmp_path):
+def load(spark, path, *rows):
+    kt.upsert(spark.createDataFrame(list(rows), "source_ip string, score bigint"), path, ["source_ip"])
+
+
+def stored(spark, path):
+    return sorted(map(tuple, kt.read_table(spark, path).collect()), key=str)
+
+
+def test_an_unpublished_snapshot_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "table")
+    with pytest.raises(FileNotFoundError):
+        kt.read_table(spark, path)
+    load(spark, path, ("a", 1))
+    (tmp_path / "table" / "data-of-a-lost-writer").mkdir()
+    (tmp_path / "table" / "_snapshots" / "2").touch()  # its writer died before the text
+    assert stored(spark, path) == [("a", 1)]
+    load(spark, path, ("b", 1))
+    assert stored(spark, path) == [("a", 1), ("b", 1)]
+
+
+def test_loads_need_no_success_file(spark, tmp_path):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        load(spark, str(tmp_path / "table"), ("a", 1))
+        load(spark, str(tmp_path / "table"), ("b", 1))
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert stored(spark, str(tmp_path / "table")) == [("a", 1), ("b", 1)]
+
+
+def test_two_loads_that_saw_the_same_snapshot(spark, tmp_path, monkeypatch):
+    path, current = str(tmp_path / "table"), kt._current
+    load(spark, path, ("a", 1))
+    seen = [current(spark, path)]
+    load(spark, path, ("b", 1))
+    monkeypatch.setattr(kt, "_current", lambda *args: seen.pop() if seen else current(*args))
+    load(spark, path, ("c", 1), ("a", 2))
+    assert not seen
+    assert stored(spark, path) == [("a", 2), ("b", 1), ("c", 1)]
+    assert len(list((tmp_path / "table").glob("data-*"))) == 3
+
+
+def test_null_keys_are_replaced(spark, tmp_path):
     path = str(tmp_path / "table")
-    kt.upsert(spark.createDataFrame([("a", 1)], "source_ip string, score bigint"), path, ["source_ip"])
-    (tmp_path / "table" / "snapshot=2" / "_temporary").mkdir(parents=True)
-    assert kt.read_table(spark, path).count() == 1
-    kt.upsert(spark.createDataFrame([("b", 1)], "source_ip string, score bigint"), path, ["source_ip"])
-    assert kt.read_table(spark, path).count() == 2
+    load(spark, path, (None, 1), ("a", 1))
+    load(spark, path, (None, 2))
+    assert stored(spark, path) == [("a", 1), (None, 2)]
 
 
 def test_last_listed_row_wins_a_key(spark):
@@ -177,6 +219,10 @@ def test_shared_folder_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark).startswith(root)
     assert shared_folder(spark) != shared_folder(spark)
+    assert shared_folder(spark, "hdfs://other/place").startswith("hdfs://other/place/")
+    conf = {"spark.sql.warehouse.dir": "s3a://bucket/warehouse"}
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, *default: conf.get(key, *default)))
+    assert shared_folder(bare).startswith("s3a://bucket/warehouse/")
 
 
 def test_jobs_from_csv_to_profiles(spark, csv_file, tmp_path):
@@ -207,6 +253,33 @@ def test_jobs_from_csv_to_profiles(spark, csv_file, tmp_path):
     assert profile[0].batch_layer.attack_types_detected == ["PORT_SCAN", "TOOL_DETECTED"]
     assert set(profile[0].speed_layer.recent_attack_types) <= {"BRUTE_FORCE", "KNOWN_ATTACK_TOOL", "VOLUME_ANOMALY"}
     assert kt.read_table(spark, f"{tables}/threat_timeline").count() == 1
+    assert not (tmp_path / "out" / "staging").exists()
+
+    def report(name, *arguments):
+        jobs.main([name, *arguments, "--output", str(tmp_path / name)])
+        return spark.read.parquet(str(tmp_path / name)).collect()
+
+    live = report("active", "--alerts", alerts)
+    assert {r.ip_source for r in live} == {"6.6.6.6"}
+    assert report("active", "--alerts", alerts, "--as-of", "2023-10-17T00:00:00") == []
+    assert len(report("active", "--alerts", alerts, "--severity", "HIGH")) < len(live)
+    assert [tuple(r) for r in report("stats", "--tables", tables)] == [(1, 1)]
+    assert report("timeline", "--tables", tables) == []
+    assert len(report("timeline", "--tables", tables, "--from-day", "20231015", "--to-day", "20231015")) == 1
+    jobs.reputation(spark, lake, out, tables, as_of="2023-10-16T00:00:00", from_day="2023-10-15", to_day="2023-10-15")
+    assert kt.read_table(spark, f"{tables}/ip_reputation").first().last_seen == dt.datetime(2023, 10, 16)
+
+
+def test_daily_load_and_rejected_rows(spark, csv_file, tmp_path):
+    lake, bad = str(tmp_path / "lake"), str(tmp_path / "bad")
+    row = "2023-10-{} 14:00:00,{},10.0.0.1,TCP,blocked,benign,ids,1,agent,/x"
+    first = csv_file(row.format(15, "a"), row.format(16, "b"))
+    jobs.convert(spark, first, lake, files_per_day="2")
+    second = csv_file(row.format(16, "c"), row.format("xx", "lost"), row.format(16, ""))
+    jobs.convert(spark, second, lake, daily="true", rejected=bad)
+    assert rows_of(files.read_logs(spark, lake), "day", "source_ip") == [("15", "a"), ("16", "c")]
+    rejected = {tuple(r.missing_fields) for r in spark.read.parquet(bad).collect()}
+    assert rejected == {("timestamp",), ("source_ip",)}
 
 
 @pytest.mark.parametrize("job", ["publish", "stream"])
@@ -223,5 +296,6 @@ def test_kafka_jobs_pass_topic_and_limits(spark, csv_file, monkeypatch, job):
     else:
         jobs.main(["stream", "--alerts", "a", "--checkpoints", "c", "--max-offsets", "5", *common])
         assert seen == {
-            "kind": "kafka", "kafka.bootstrap.servers": "host:9092", "subscribe": "t", "maxOffsetsPerTrigger": "5"
+            "kind": "kafka", "kafka.bootstrap.servers": "host:9092", "subscribe": "t", "maxOffsetsPerTrigger": "5",
+            "files": 4,
         }

@@ -33,12 +33,12 @@ def feed(spark, tmp_path, make_logs):
         os.utime(placed, (1_600_000_000 + len(arrived) * 10,) * 2)
         arrived.append(placed)
 
-    def run(*names, delay=None):
+    def run(*names, delay=None, checkpoints="checkpoints"):
         stream = (
             spark.readStream.schema(LOG_FILE).option("maxFilesPerTrigger", 1).parquet(str(inbox))
         )
         queries = start_detectors(
-            stream, str(tmp_path / "alerts"), str(tmp_path / "checkpoints"), list(names), delay,
+            stream, str(tmp_path / "alerts"), str(tmp_path / checkpoints), list(names), delay,
             {"availableNow": True}, files=1,
         )
         for query in queries:
@@ -107,8 +107,36 @@ def test_restart_continues_from_the_checkpoint(feed):
     assert [r.event_count for r in alerts.collect()] == [12]
 
 
+def test_a_new_checkpoint_keeps_what_was_stored(feed, make_logs):
+    add, run = feed
+    add(*[at(5, action="blocked")] * 12)
+    add(*[at(120, action="blocked", source_ip="b")] * 7)
+    run("brute_force")
+    add(*[at(240, action="blocked", source_ip="c")] * 8)
+    _, alerts = run("brute_force", checkpoints="fresh")
+    assert sorted((r.ip_source, r.event_count) for r in alerts.collect()) == [("192.168.1.100", 12), ("b", 7), ("c", 8)]
+
+
+def test_batches_without_alerts_leave_nothing(feed, spark, tmp_path):
+    add, run = feed
+    add(at(5))
+    _, alerts = run("brute_force", "signatures", "volume")
+    assert alerts.collect() == [] and not list((tmp_path / "alerts").rglob("*.parquet"))
+    assert read_alerts(spark, str(tmp_path / "nowhere")).collect() == []
+
+
+def test_rows_without_an_id_are_told_apart_by_their_text(make_logs):
+    rows = make_logs(
+        *[{"user_agent": "nmap", "request_path": f"/{i}"} for i in range(5)],
+        {"user_agent": "nmap", "request_path": None}, {"user_agent": "nmap", "request_path": "-"},
+        {"user_agent": "nmap", "request_path": "/0"},
+    ).selectExpr("CAST(NULL AS STRING) AS log_id", "*")
+    ids = [r.alert_id for r in al.to_alerts(det.signature_alerts(rows)).collect()]
+    assert len(ids) == 8 and len(set(ids)) == 7
+
+
 def test_a_replayed_batch_changes_nothing(spark, make_logs, tmp_path):
-    write = alert_writer(str(tmp_path / "alerts"), "signatures")
+    write = alert_writer(str(tmp_path / "alerts"), "signatures", run="r")
     batch = det.signature_alerts(make_logs(*[{"user_agent": "nmap", "request_path": f"/{i}"} for i in range(4)]))
     for _ in range(3):
         write(batch, 7)

@@ -14,13 +14,6 @@ VOLUME_BYTES = 10 * MEBIBYTE
 VOLUME_CRITICAL = 100 * MEBIBYTE
 HIGH_RISK_SCORE = 70
 
-INT_MAX = 2**31 - 1
-
-
-def as_int(value: Column) -> Column:
-    """Narrow a count to INT, saturating instead of failing on huge windows."""
-    return F.least(value, F.lit(INT_MAX)).cast("int")
-
 
 def capped(score: Column) -> Column:
     return F.least(F.lit(100), score)

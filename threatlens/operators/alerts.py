@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threatlens.functions import display, scoring
+from threatlens.functions import display
 from threatlens.functions.times import as_of_column, utc_wall_clock
 from threatlens.operators.detectors import (
     PORT_SCAN_WINDOW,
@@ -14,7 +14,7 @@ from threatlens.operators.detectors import (
     signature_alerts,
     volume_anomaly,
 )
-from threatlens.schema import ALERT_COLUMNS
+from threatlens.schema import ALERT_COLUMNS, LOG_COLUMNS
 
 # Lifetime of an alert, alerts kept per source, size of the active list.
 LIFETIME = "INTERVAL '24' HOUR"
@@ -34,15 +34,19 @@ def to_alerts(detections: DataFrame) -> DataFrame:
 
     The identity is a hash of what was detected (type, source, window or row), so a
     replayed or updated detection overwrites its alert instead of adding one. Single-row
-    detections are told apart by `log_id`; sources that have none fall back to the row's
-    own text, which merges rows that are equal throughout.
+    detections are told apart by `log_id`; rows that have none fall back to the row's own
+    text, NULLs marked, which merges only rows that are equal throughout.
     """
     columns = set(detections.columns)
     windowed = "window_start" in columns
     start, last = ("window_start", "last_event") if windowed else ("timestamp", "timestamp")
     kind = "attack_type" if "attack_type" in columns else "alert_type"
-    row_fields = ["log_id"] if "log_id" in columns else ["dest_ip", "user_agent", "request_path"]
-    row_identity = [] if windowed else [f"CAST({c} AS STRING)" for c in row_fields]
+    own_text = [f"coalesce(concat('=', CAST({c} AS STRING)), '-')" for c in LOG_COLUMNS[2:] if c in columns]
+    row_identity = f"array({', '.join(own_text)})"
+    if windowed:
+        row_identity = "array()"
+    elif "log_id" in columns:
+        row_identity = f"if(log_id IS NULL, {row_identity}, array(CAST(log_id AS STRING)))"
 
     def field(name: str, default: str, sql_type: str) -> str:
         value = f"CAST({name} AS {sql_type})" if name in columns else "NULL"
@@ -59,11 +63,11 @@ def to_alerts(detections: DataFrame) -> DataFrame:
         f"{field('threat_score', '50', 'INT')} AS threat_score",
         f"{field(kind, "'UNKNOWN'", 'STRING')} AS alert_type",
         f"{field('severity', "'MEDIUM'", 'STRING')} AS severity",
-        f"CAST(least({field('event_count', '1', 'BIGINT')}, {scoring.INT_MAX}) AS INT) AS event_count",
+        f"{field('event_count', '1', 'BIGINT')} AS event_count",
         f"{field('bytes_total', '0', 'BIGINT')} AS bytes_total",
         f"array({field('user_agent', "'unknown'", 'STRING')}) AS user_agents",
         f"array({field('log_type', "'unknown'", 'STRING')}) AS log_sources",
-        f"CAST(array({', '.join(row_identity)}) AS ARRAY<STRING>) AS row_identity",
+        f"CAST({row_identity} AS ARRAY<STRING>) AS row_identity",
     )
     return alerts.selectExpr(
         *[IDENTITY if c == "alert_id" else ATTACK_TYPES if c == "attack_types" else c for c in ALERT_COLUMNS]

@@ -113,7 +113,7 @@ def brute_force(logs: DataFrame) -> DataFrame:
             "threat_score": scoring.brute_force_score(attempts),
             "severity": scoring.brute_force_severity(attempts),
             "alert_type": F.lit("BRUTE_FORCE"),
-            "event_count": scoring.as_int(attempts),
+            "event_count": attempts,
         }),
         BRUTE_FORCE_WINDOW,
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threatlens.functions.times import as_of_column, date_key
-from threatlens.session import shared_folder
+from threatlens.session import shared_folder, stage
 
 LABELS = ["malicious", "suspicious", "benign"]
 TIMELINE_KEYS = ["event_date", "event_hour"]
@@ -14,36 +14,44 @@ GROUP = ["threat_label", "log_type", "protocol"]
 SIZE = "bytes_transferred"
 PERCENTILE = 0.95
 PERCENTILE_ACCURACY = 10_000
-BROADCAST_GROUPS = 10_000
+SLICES = 4_096
 
 
-def volume_profile(logs: DataFrame) -> DataFrame:
+def volume_profile(logs: DataFrame, staging: str | None = None) -> DataFrame:
     """Average, maximum, exact 95th percentile, count and sum of bytes per group.
 
-    The groups are few and huge, so nothing proportional to a group may meet in one
-    task. The first pass counts by group and size bucket, a few thousand buckets per
-    group at most; its small result is stored and gives every measure but the
-    percentile, and the bucket the percentile falls in. The second pass counts the
-    values of that one bucket.
+    Runs jobs when called, and stages their small results below `staging` (by default in
+    the shared folder of the session). The groups are few and huge, so nothing
+    proportional to a group may meet in one task. The first pass counts by group and size
+    bucket, a few thousand buckets per group at most; its result gives every measure but
+    the percentile, and the bucket the percentile falls in. The second pass counts the
+    values of that one bucket, which is then narrowed slice by slice.
     """
+    folder = shared_folder(logs.sparkSession, staging)
     sized = logs.select(*GROUP, SIZE, _bucket().alias("bucket"))
-    folder = f"{shared_folder(logs.sparkSession)}/buckets"
-    sized.groupBy(*GROUP, "bucket").agg(
-        F.count("*").alias("events"),
-        F.count(SIZE).alias("values"),
-        F.sum(SIZE).alias("bytes"),
-        F.max(SIZE).alias("largest"),
-    ).write.parquet(folder)
-    buckets = logs.sparkSession.read.parquet(folder)
-
+    buckets = stage(
+        sized.groupBy(*GROUP, "bucket").agg(
+            F.count("*").alias("events"),
+            F.count(SIZE).alias("values"),
+            F.sum(SIZE).alias("bytes"),
+            F.max(SIZE).alias("largest"),
+        ),
+        f"{folder}/buckets",
+    )
     totals = buckets.groupBy(*GROUP).agg(
         (F.sum("bytes") / F.sum("values")).alias("avg_bytes"),
         F.max("largest").alias("max_bytes"),
         F.sum("events").alias("event_count"),
         F.sum("bytes").alias("total_bytes"),
     )
+    # One row per group, staged so that Spark knows its size and picks the join.
+    targets = stage(_holder(buckets.filter("bucket is not null"), "bucket", _share()), f"{folder}/targets")
+    in_bucket = _with_group(sized, targets, "inner", "bucket").filter(F.col(SIZE).isNotNull())
+    counted = stage(
+        in_bucket.groupBy(*GROUP, "rank", SIZE).agg(F.count("*").alias("values")), f"{folder}/counted-0"
+    )
     return (
-        _with_group(totals, _percentile(sized, _percentile_bucket(buckets)), "left")
+        _with_group(totals, _percentile(counted, folder), "left")
         .select(*GROUP, "avg_bytes", "max_bytes", "p95_bytes", "event_count", "total_bytes")
         .orderBy(F.desc("total_bytes"), *GROUP)
     )
@@ -55,33 +63,46 @@ def _bucket() -> Column:
     return (F.signum(size) * F.floor(F.log1p(F.abs(size)) * 64)).cast("int")
 
 
-def _percentile_bucket(buckets: DataFrame) -> DataFrame:
-    """Per group the bucket that holds the percentile, and the rank inside it."""
-    group = Window.partitionBy(*GROUP)
-    so_far = F.sum("values").over(group.orderBy("bucket"))
-    rank = F.ceil(F.sum("values").over(group) * PERCENTILE)
+def _share() -> Column:
+    """The rank of the percentile among all values of the group."""
+    return F.ceil(F.sum("values").over(Window.partitionBy(*GROUP)) * PERCENTILE)
+
+
+def _holder(counts: DataFrame, part: str, rank: Column) -> DataFrame:
+    """Per group the part whose values hold the rank, and the rank inside it."""
+    so_far = F.sum("values").over(Window.partitionBy(*GROUP).orderBy(part))
     return (
-        buckets.filter(F.col("bucket").isNotNull())
-        .select(*GROUP, "bucket", "values", so_far.alias("so_far"), rank.alias("rank"))
+        counts.select(*GROUP, part, "values", so_far.alias("so_far"), rank.alias("rank"))
         .filter((F.col("so_far") >= F.col("rank")) & (F.col("so_far") - F.col("values") < F.col("rank")))
-        .select(*GROUP, "bucket", (F.col("rank") - F.col("so_far") + F.col("values")).alias("rank"))
+        .select(*GROUP, part, (F.col("rank") - F.col("so_far") + F.col("values")).alias("rank"))
     )
 
 
-def _percentile(sized: DataFrame, targets: DataFrame) -> DataFrame:
-    # One row per group. Labels and protocols are free text, so the number of groups is
-    # checked before the rows are sent everywhere; beyond it Spark shuffles the join.
-    if targets.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:
-        targets = F.broadcast(targets)
-    in_bucket = _with_group(sized, targets, "inner", "bucket")
-    counted = in_bucket.groupBy(*GROUP, "rank", SIZE).agg(F.count("*").alias("n"))
-    up_to = F.sum("n").over(Window.partitionBy(*GROUP).orderBy(SIZE))
-    return (
-        counted.withColumn("up_to", up_to)
-        .filter(F.col("up_to") >= F.col("rank"))
-        .groupBy(*GROUP)
-        .agg(F.min(SIZE).alias("p95_bytes"))
-    )
+def _percentile(counted: DataFrame, folder: str) -> DataFrame:
+    """The value at the rank of each group, from the counts of its distinct values.
+
+    While a group's values span more than SLICES integers they are cut into that many
+    slices, and only the slice that holds the rank goes on: no task orders more than
+    SLICES values of a group.
+    """
+    turn = 0
+    while True:
+        spans = counted.groupBy(*GROUP).agg(F.min(SIZE).alias("low"), F.max(SIZE).alias("high"))
+        width = F.floor((F.col("high") - F.col("low")) / SLICES) + 1
+        spans = stage(spans.select(*GROUP, "low", width.alias("width")), f"{folder}/spans-{turn}")
+        if spans.filter("width > 1").isEmpty():
+            break
+        sliced = _with_group(counted, spans, "inner").select(
+            *GROUP, "rank", SIZE, "values", F.floor((F.col(SIZE) - F.col("low")) / F.col("width")).alias("slice")
+        )
+        counts = sliced.groupBy(*GROUP, "rank", "slice").agg(F.sum("values").alias("values"))
+        held = _holder(counts, "slice", F.col("rank"))
+        turn += 1
+        counted = stage(
+            _with_group(sliced.drop("rank"), held, "inner", "slice").select(*GROUP, "rank", SIZE, "values"),
+            f"{folder}/counted-{turn}",
+        )
+    return _holder(counted, SIZE, F.col("rank")).select(*GROUP, F.col(SIZE).alias("p95_bytes"))
 
 
 def _with_group(left: DataFrame, right: DataFrame, how: str, *more_keys: str) -> DataFrame:

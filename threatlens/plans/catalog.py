@@ -1,6 +1,7 @@
 """The registered queries: every operator over the whole security-log view."""
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from threatlens.operators import reputation as rep
 from threatlens.operators import volume as vol
 from threatlens.plans import serving
 from threatlens.schema import LAKE_PARTITIONS, LOG_COLUMNS
-from threatlens.session import count_files, shared_folder
+from threatlens.session import shared_folder, stage
 from threatlens.sinks import alert_log
 from threatlens.sinks import keyed_tables as kt
 from threatlens.sources import files, fixtures, messages
@@ -22,8 +23,10 @@ from threatlens.streaming.app import start_detectors
 Query = Callable[[SparkSession, str], DataFrame]
 LogQuery = Callable[[DataFrame], DataFrame]
 
-# A replay is cut into about this many micro-batches, whatever its size.
+# A replay is cut into this many micro-batches, in time order.
 REPLAY_BATCHES = 3
+# Days over which `spread` deals the logs.
+SPREAD_DAYS = 5
 
 
 def over_logs(query: LogQuery) -> Query:
@@ -34,6 +37,12 @@ def over_alerts(query: LogQuery) -> Query:
     return over_logs(lambda logs: query(alerts_of(logs)))
 
 
+def spread(logs: DataFrame) -> DataFrame:
+    """The logs dealt over several days, so that ranges and lifetimes have something to cut."""
+    days = F.make_dt_interval(F.col("log_id") % SPREAD_DAYS)
+    return logs.withColumn("timestamp", F.col("timestamp") + days)
+
+
 # --- shared building blocks -------------------------------------------------
 
 def alerts_of(logs: DataFrame) -> DataFrame:
@@ -153,23 +162,32 @@ def lake_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lake_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two of the days of a lake."""
+    root = f"{shared_folder(spark)}/lake"
+    files.write_lake(files.log_columns(spread(fixtures.security_logs(spark, sf_dir))), root)
+    return files.read_logs(spark, root, date(2023, 10, 16), date(2023, 10, 17))
+
+
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the results hold after they were written, by key."""
     folder = shared_folder(spark)
     logs = fixtures.security_logs(spark, sf_dir)
     results = {
-        "attack_patterns": det.attack_patterns(logs),
-        "ip_reputation": rep.top_malicious_ips(logs),
-        "port_scans": det.port_scan(logs),
-        "volume_analysis": vol.volume_profile(logs),
+        "attack_patterns": (det.attack_patterns(logs), ["attack_category", "log_id"], "threat_score"),
+        "ip_reputation": (rep.top_malicious_ips(logs), ["source_ip", "log_type"], "total_events"),
+        "port_scans": (det.port_scan(logs), ["source_ip", "window_start"], "distinct_targets"),
+        "volume_analysis": (vol.volume_profile(logs, folder), vol.GROUP, "p95_bytes"),
     }
-    for name, result in results.items():
+    stored = []
+    for name, (result, keys, amount) in results.items():
         files.write_result(result, f"{folder}/result={name}")
-    stored = [
-        spark.read.parquet(f"{folder}/result={name}").agg(
-            F.lit(name).alias("result"), F.count("*").alias("stored_rows")
+        key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+        stored.append(
+            spark.read.parquet(f"{folder}/result={name}").select(
+                F.lit(name).alias("result"), key.alias("key"), F.col(amount).cast("bigint").alias("amount")
+            )
         )
-        for name in results
-    ]
     union = stored[0]
     for other in stored[1:]:
         union = union.unionByName(other)
@@ -177,17 +195,63 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The attack-pattern table after two loads: row signatures, then port scans."""
+    """The attack-pattern table after three loads; the second repeats keys of the first with
+    later stamps and other counts, the third adds the port scans."""
     path = f"{shared_folder(spark)}/attack_patterns"
     logs = fixtures.security_logs(spark, sf_dir)
     as_of = latest_event(logs)
-    kt.upsert(kt.attack_pattern_rows(det.attack_patterns(logs), as_of), path, kt.ATTACK_PATTERN_KEYS)
+    found = det.attack_patterns(logs)
+    early = found.filter(F.col("log_id") % 2 == 0).withColumn("distinct_targets", F.lit(7).cast("bigint"))
+    early = kt.attack_pattern_rows(early.withColumn("window_start", F.col("timestamp")), as_of - F.expr("INTERVAL 1 DAY"))
+    kt.upsert(early, path, kt.ATTACK_PATTERN_KEYS)
+    kt.upsert(kt.attack_pattern_rows(found.filter(F.col("log_id") % 3 > 0), as_of), path, kt.ATTACK_PATTERN_KEYS)
     kt.upsert(
         kt.attack_pattern_rows(det.port_scan(logs), as_of, "PORT_SCAN"), path, kt.ATTACK_PATTERN_KEYS
     )
     return kt.read_table(spark, path)
 
 
+def stored_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Reputation, patterns and live alerts as the jobs store them."""
+    folder = shared_folder(spark)
+    logs = fixtures.security_logs(spark, sf_dir)
+    kt.upsert(reputation_table(logs), f"{folder}/reputation", kt.REPUTATION_KEYS)
+    kt.upsert(pattern_table(logs), f"{folder}/patterns", kt.ATTACK_PATTERN_KEYS)
+    return (
+        kt.read_table(spark, f"{folder}/reputation"),
+        kt.read_table(spark, f"{folder}/patterns"),
+        stage(alerts_of(logs), f"{folder}/alerts"),
+    )
+
+
+def profile_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests = lookup_requests(fixtures.security_logs(spark, sf_dir))
+    return joined_arrays(serving.profile_lookup(requests, *stored_sides(spark, sf_dir)))
+
+
+def stored_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.global_stats(stored_sides(spark, sf_dir)[0])
+
+
+def stored_active_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The active list over the alert log, after days of emissions."""
+    folder = f"{shared_folder(spark)}/alerts"
+    logs = spread(fixtures.security_logs(spark, sf_dir))
+    for name, detector in (("brute_force", det.brute_force), ("volume", det.volume_anomaly)):
+        alert_log.alert_writer(folder, name, run="batch")(detector(logs), 0)
+    alerts = alert_log.read_alerts(spark, folder)
+    newest = alerts.agg(F.max("last_seen")).scalar()
+    return joined_arrays(al.active_alerts_top(al.active_threats([alerts], newest)))
+
+
+def stored_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days of the timeline table."""
+    path = f"{shared_folder(spark)}/timeline"
+    logs = spread(fixtures.security_logs(spark, sf_dir))
+    kt.upsert(vol.threat_timeline(logs), path, kt.TIMELINE_KEYS)
+    return vol.timeline_range(kt.read_table(spark, path), latest_event(logs), "20231016", "20231017")
+
+
 def json_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/topic"
     messages.publish_logs(fixtures.security_logs(spark, sf_dir), "files", path=path)
@@ -220,38 +284,78 @@ def log_type_partition(logs: DataFrame) -> DataFrame:
 
 # --- streams --------------------------------------------------------------------
 
-def replay(*names: str, delay: str | None = None) -> Query:
-    """Publishes the logs as messages, replays them through detectors, reads the alerts.
+def _in_time_order(logs: DataFrame, close: bool) -> list[DataFrame]:
+    """The logs cut into slices of equal length of time.
 
-    Files of a replay come in no time order, so it runs without a watermark unless
-    one is named; live runs default to one.
+    `close` adds a slice with one quiet TCP row of each log type an hour later: windows
+    that are reported when they have closed need a later event.
     """
+    first, last = logs.agg(F.min("timestamp"), F.max("timestamp")).first()
+    if first is None:
+        return [logs]
+    bounds = [first + (last - first) * i / REPLAY_BATCHES for i in range(REPLAY_BATCHES)]
+    at = F.col("timestamp")
+    slices = [logs.filter((at >= low) & (at < high)) for low, high in zip(bounds, bounds[1:], strict=False)]
+    slices.append(logs.filter(at >= bounds[-1]))
+    if close:
+        rows = [(t, last + timedelta(hours=1)) for t in messages.LOG_TYPE_PARTITIONS]
+        quiet = logs.sparkSession.createDataFrame(rows, "log_type string, timestamp timestamp_ntz")
+        fixed = {"source_ip": "closing", "protocol": "TCP", "action": "allowed"}
+        filled = {c: F.lit(fixed.get(c)).cast(logs.schema[c].dataType) for c in logs.columns if c not in quiet.columns}
+        slices.append(quiet.withColumns(filled).select(logs.columns))
+    return slices
+
+
+def _publish(slices: list[DataFrame], topic: str) -> None:
+    for part in slices:
+        messages.publish_logs(part, "files", one_file_per_type=True, path=topic)
+
+
+def _run_detectors(spark: SparkSession, folder: str, names: list[str], checkpoints: str, per_trigger: int) -> None:
+    logs = messages.parse_log_json(
+        messages.read_stream(spark, "files", path=f"{folder}/topic", maxFilesPerTrigger=str(per_trigger))
+    )
+    running = start_detectors(
+        logs, f"{folder}/alerts", f"{folder}/{checkpoints}", names, trigger={"availableNow": True}
+    )
+    for stream in running:
+        stream.awaitTermination()
+
+
+def _files_per_slice(spark: SparkSession, topic: str, slices: int) -> int:
+    """Files of one slice: a trigger must not take a part of the next, which would end it early."""
+    files = len(spark.read.schema(messages.RECORD).parquet(topic).inputFiles())
+    if files % slices:
+        raise RuntimeError(f"{files} files in {slices} slices: a slice lacks a log type")
+    return files // slices
+
+
+def replay(*names: str) -> Query:
+    """Publishes the logs as messages in time order, replays them through detectors with the
+    default watermark, one micro-batch per slice, and reads the alerts."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = shared_folder(spark)
-        topic = f"{folder}/topic"
-        messages.publish_logs(fixtures.security_logs(spark, sf_dir), "files", path=topic)
-        options = {"path": topic}
-        if delay is None:
-            options["maxFilesPerTrigger"] = str(
-                max(1, count_files(spark, topic) // REPLAY_BATCHES)
-            )
-        logs = messages.parse_log_json(messages.read_stream(spark, "files", **options))
-        running = start_detectors(
-            logs,
-            f"{folder}/alerts",
-            f"{folder}/checkpoints",
-            list(names),
-            delay=delay,
-            trigger={"availableNow": True},
-        )
-        for stream in running:
-            stream.awaitTermination()
+        slices = _in_time_order(fixtures.security_logs(spark, sf_dir), "port_scan" in names)
+        _publish(slices, f"{folder}/topic")
+        per_trigger = _files_per_slice(spark, f"{folder}/topic", len(slices))
+        _run_detectors(spark, folder, list(names), "checkpoints", per_trigger)
         return joined_arrays(alert_log.read_alerts(spark, f"{folder}/alerts"))
 
     return query
 
 
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detectors that stop after part of the topic, and start again without their checkpoint."""
+    folder, names = shared_folder(spark), ["brute_force", "signatures"]
+    slices = _in_time_order(fixtures.security_logs(spark, sf_dir), False)
+    _publish(slices[:2], f"{folder}/topic")
+    _run_detectors(spark, folder, names, "before", _files_per_slice(spark, f"{folder}/topic", 2))
+    _publish(slices[2:], f"{folder}/topic")
+    _run_detectors(spark, folder, names, "after", _files_per_slice(spark, f"{folder}/topic", len(slices)))
+    return joined_arrays(alert_log.read_alerts(spark, f"{folder}/alerts"))
+
+
 # --- the catalogue ----------------------------------------------------------------
 
 
@@ -266,6 +370,7 @@ def queries() -> dict[str, Query]:
         # sources and sinks
         "csv_ingest": csv_ingest,
         "lake_scan": lake_scan,
+        "lake_range": lake_range,
         "lake_roundtrip": lake_roundtrip,
         "sink_roundtrip": sink_roundtrip,
         "keyed_upsert": keyed_upsert,
@@ -298,10 +403,18 @@ def queries() -> dict[str, Query]:
         "threat_timeline": over_logs(vol.threat_timeline),
         "timeline_full_join": over_logs(vol.timeline_full_join),
         "timeline_range": over_logs(
-            lambda logs: vol.timeline_range(vol.threat_timeline(logs), latest_event(logs))
+            lambda logs: vol.timeline_range(
+                vol.threat_timeline(spread(logs)), latest_event(logs), "20231016", "20231018"
+            )
+        ),
+        "timeline_last_days": over_logs(
+            lambda logs: vol.timeline_range(vol.threat_timeline(spread(logs)), latest_event(spread(logs)))
         ),
+        "stored_timeline": stored_timeline,
         # alerts
         "active_threats": over_alerts(joined_arrays),
+        "active_threats_of_days": over_logs(lambda logs: joined_arrays(alerts_of(spread(logs)))),
+        "stored_active_alerts": stored_active_alerts,
         "recent_alerts_by_ip": over_alerts(lambda a: joined_arrays(al.recent_alerts_by_ip(a))),
         "active_alerts_top100": over_alerts(lambda a: joined_arrays(al.active_alerts_top(a))),
         "alert_summary_by_ip": over_alerts(lambda a: joined_arrays(al.alert_summary_by_ip(a))),
@@ -328,18 +441,16 @@ def queries() -> dict[str, Query]:
             )
         ),
         "threat_profile_flat": over_logs(lambda logs: joined_arrays(profiles(logs))),
-        "threat_profile": over_logs(lambda logs: serving.threat_profile(profiles(logs))),
-        "profile_lookup": over_logs(
-            lambda logs: joined_arrays(
-                serving.profile_lookup(lookup_requests(logs), profiles(logs))
-            )
-        ),
+        "threat_profile": over_logs(lambda logs: serving.threat_profile_json(profiles(logs))),
+        "profile_lookup": profile_lookup,
+        "stored_stats": stored_stats,
         # streams
         "stream_brute_force": replay("brute_force"),
         "stream_signature": replay("signatures"),
         "stream_volume": replay("volume"),
         "stream_all": replay("brute_force", "signatures", "volume"),
-        "stream_port_scan": replay("port_scan", delay="0 seconds"),
+        "stream_port_scan": replay("port_scan"),
+        "stream_restart": stream_restart,
     }
 
 

@@ -105,7 +105,7 @@ VIEWS = {
         SELECT source_ip, blocked_count, bytes_total, last_event, user_agent, log_type,
           CAST(least(100, 70 + 2 * (blocked_count - 5)) AS INTEGER) AS threat_score,
           CASE WHEN blocked_count > 10 THEN 'CRITICAL' ELSE 'HIGH' END AS severity,
-          'BRUTE_FORCE' AS alert_type, CAST(blocked_count AS INTEGER) AS event_count,
+          'BRUTE_FORCE' AS alert_type, blocked_count AS event_count,
           w AS window_start, w + INTERVAL 1 MINUTE AS window_end
         FROM (
           SELECT source_ip, time_bucket(INTERVAL 1 MINUTE, "timestamp") AS w,
@@ -138,9 +138,9 @@ VIEWS = {
         UNION ALL SELECT source_ip, "timestamp", "timestamp", threat_score, alert_type, severity,
           event_count, bytes_total, user_agent, log_type, CAST(log_id AS VARCHAR) FROM signatures
         UNION ALL SELECT source_ip, window_start, last_event, threat_score, alert_type, severity,
-          CAST(event_count AS INTEGER), bytes_total, user_agent, log_type, NULL FROM bursts
+          event_count, bytes_total, user_agent, log_type, NULL FROM bursts
         UNION ALL SELECT source_ip, window_start, last_event, threat_score, attack_type, severity,
-          CAST(event_count AS INTEGER), NULL, NULL, log_type, NULL FROM scans""",
+          event_count, NULL, NULL, log_type, NULL FROM scans""",
     "all_alerts": """
         SELECT source_ip AS ip_source, bucket_time,
           sha256(concat_ws('|', alert_type, source_ip, CAST(bucket_time AS VARCHAR), row_identity)) AS alert_id,
@@ -270,6 +270,8 @@ PROFILE_FIELDS = """
 PROFILE_SIDES = """
     LEFT JOIN reputation_table r ON r.source_ip = k.ip
     LEFT JOIN ip_types t ON t.source_ip = k.ip LEFT JOIN summary s ON s.ip_source = k.ip"""
+STAMP = "%Y-%m-%d %H:%M:%S"
+LISTED = "CASE WHEN {0} = '' THEN CAST([] AS VARCHAR[]) ELSE string_split({0}, ',') END"
 READABLE_BYTES = """
     CASE WHEN bytes_total = 0 THEN '0 B' WHEN bytes_total < 1024 THEN concat(bytes_total, '.0 B')
       ELSE concat(tenths // 10, '.', tenths % 10, ' ', unit) END"""
@@ -280,6 +282,17 @@ def _select(views: list[str], sql: str, **override: str) -> str:
     return "WITH " + ", ".join(f"{v} AS ({bodies[v]})" for v in views) + f" {sql}"
 
 
+def _spread(views: list[str], sql: str) -> str:
+    """A query over the logs dealt over five days, as the view `spread`."""
+    bodies = {
+        "spread": 'SELECT * REPLACE ("timestamp" + to_days(CAST(log_id % 5 AS INTEGER)) AS "timestamp") FROM security_logs',
+        "logs": "SELECT * FROM spread",
+        "moment": 'SELECT max("timestamp") AS as_of FROM spread',
+        "timeline": VIEWS["timeline"].replace("FROM security_logs", "FROM spread"),
+    }
+    return _select([*LOGS, "spread", *[v for v in views if v not in LOGS]], sql, **bodies)
+
+
 def _logs(sql: str) -> str:
     return _select(LOGS, sql)
 
@@ -307,15 +320,31 @@ def oracle_sql() -> dict[str, str]:
             " CAST(sum(bytes_transferred) AS BIGINT) AS total_bytes FROM security_logs GROUP BY ALL"
         ),
         "lake_roundtrip": _logs(f"SELECT {TEN_COLUMNS}, {PARTITIONS} FROM security_logs"),
+        "lake_range": _spread(
+            LOGS,
+            f"""SELECT {TEN_COLUMNS}, {PARTITIONS} FROM spread
+            WHERE CAST("timestamp" AS DATE) IN (DATE '2023-10-16', DATE '2023-10-17')""",
+        ),
         "sink_roundtrip": _select(
             [v for v in VIEWS if v in PATTERNS + REPUTATION + ["scans"]],
-            """SELECT 'attack_patterns' AS result, count(*) AS stored_rows FROM patterns
-            UNION ALL SELECT 'ip_reputation', count(*) FROM top_ips
-            UNION ALL SELECT 'port_scans', count(*) FROM scans
-            UNION ALL SELECT 'volume_analysis', count(*) FROM
-              (SELECT DISTINCT threat_label, log_type, protocol FROM security_logs)""",
+            """SELECT 'attack_patterns' AS result, concat_ws('|', attack_category, CAST(log_id AS VARCHAR)) AS "key",
+              CAST(threat_score AS BIGINT) AS amount FROM patterns
+            UNION ALL SELECT 'ip_reputation', concat_ws('|', source_ip, log_type), total_events FROM top_ips
+            UNION ALL SELECT 'port_scans', concat_ws('|', source_ip, CAST(window_start AS VARCHAR)), distinct_targets
+              FROM scans
+            UNION ALL SELECT 'volume_analysis', concat_ws('|', threat_label, log_type, protocol),
+              quantile_disc(bytes_transferred, 0.95) FROM security_logs GROUP BY threat_label, log_type, protocol""",
+        ),
+        "keyed_upsert": _select(
+            PATTERN_TABLE + ["late_keys"],
+            """SELECT attack_type, source_ip, CAST(NULL AS BIGINT) AS "count", CAST(NULL AS BIGINT) AS event_count,
+              as_of AS last_seen FROM late_keys, moment
+            UNION ALL SELECT attack_type, source_ip, 7, NULL, as_of - INTERVAL 1 DAY FROM (
+              SELECT attack_category AS attack_type, source_ip FROM patterns WHERE log_id % 2 = 0
+              EXCEPT SELECT * FROM late_keys), moment
+            UNION ALL SELECT * FROM pattern_table WHERE attack_type = 'PORT_SCAN'""",
+            late_keys="SELECT DISTINCT attack_category AS attack_type, source_ip FROM patterns WHERE log_id % 3 > 0",
         ),
-        "keyed_upsert": _select(PATTERN_TABLE, "SELECT * FROM pattern_table"),
         "json_parse": _logs(
             "SELECT log_id, "
             + ", ".join(
@@ -379,11 +408,26 @@ def oracle_sql() -> dict[str, str]:
         ),
         "threat_timeline": timeline,
         "timeline_full_join": timeline,
-        "timeline_range": _select(
+        "timeline_range": _spread(
+            LOGS + ["timeline"], "SELECT * FROM timeline WHERE event_date BETWEEN '20231016' AND '20231018'"
+        ),
+        "timeline_last_days": _spread(
             LOGS + ["moment", "timeline"],
             """SELECT timeline.* FROM timeline, moment WHERE event_date BETWEEN
               strftime(as_of - INTERVAL 1 DAY, '%Y%m%d') AND strftime(as_of, '%Y%m%d')""",
         ),
+        "stored_timeline": _spread(
+            LOGS + ["timeline"], "SELECT * FROM timeline WHERE event_date BETWEEN '20231016' AND '20231017'"
+        ),
+        "active_threats_of_days": _spread(ALERTS, f"SELECT {ALERT_FIELDS} FROM alerts"),
+        "stored_active_alerts": _spread(
+            ALERTS,
+            f"""SELECT {ALERT_FIELDS} FROM (
+              SELECT *, max(last_seen) OVER () AS newest FROM all_alerts
+              WHERE alert_type IN ('BRUTE_FORCE', 'VOLUME_ANOMALY'))
+            WHERE last_seen > newest - INTERVAL 24 HOUR
+            ORDER BY threat_score DESC, last_seen DESC, alert_id LIMIT 100""",
+        ),
         "active_threats": _select(ALERTS, f"SELECT {ALERT_FIELDS} FROM alerts"),
         "recent_alerts_by_ip": _select(SUMMARY, f"SELECT {ALERT_FIELDS}, recency FROM recent"),
         "active_alerts_top100": _select(
@@ -452,6 +496,25 @@ def oracle_sql() -> dict[str, str]:
             "SELECT count(*) AS total_ips_analyzed, count(*) FILTER (score > 70) AS high_risk_ips"
             " FROM reputation_table",
         ),
+        "stored_stats": _select(
+            REPUTATION,
+            "SELECT count(*) AS total_ips_analyzed, count(*) FILTER (score > 70) AS high_risk_ips"
+            " FROM reputation_table",
+        ),
+        "threat_profile": _select(
+            PROFILES,
+            f"""SELECT ip,
+              CAST(to_json(struct_pack(reputation_score := reputation_score,
+                total_historical_events := total_historical_events,
+                attack_types_detected := {LISTED.format('attack_types_detected')}, first_seen := NULL,
+                last_batch_update := strftime(last_batch_update, '{STAMP}'))) AS VARCHAR) AS batch_layer,
+              CAST(to_json(struct_pack(active_alerts := active_alerts, last_seen := strftime(last_seen, '{STAMP}'),
+                current_threat_score := current_threat_score,
+                recent_attack_types := {LISTED.format('recent_attack_types')},
+                recent_alert_bytes := recent_alert_bytes)) AS VARCHAR) AS speed_layer,
+              recommendation, confidence
+            FROM (SELECT k.ip, {PROFILE_FIELDS} FROM keys k {PROFILE_SIDES})""",
+        ),
         "recommendation": _select(
             PROFILES,
             "SELECT ip, reputation_score, active_alerts, recommendation FROM"
@@ -467,10 +530,6 @@ def oracle_sql() -> dict[str, str]:
         "stream_signature": stream(signature_types),
         "stream_volume": stream("'VOLUME_ANOMALY'"),
         "stream_all": stream(f"'BRUTE_FORCE', 'VOLUME_ANOMALY', {signature_types}"),
-        # Windows are reported once the watermark (the newest event) has passed them.
-        "stream_port_scan": _select(
-            ALERTS,
-            f"""SELECT {ALERT_FIELDS} FROM all_alerts, moment
-            WHERE alert_type = 'PORT_SCAN' AND bucket_time + INTERVAL 5 MINUTE <= as_of""",
-        ),
+        "stream_port_scan": stream("'PORT_SCAN'"),
+        "stream_restart": stream(f"'BRUTE_FORCE', {signature_types}"),
     }

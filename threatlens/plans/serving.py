@@ -34,14 +34,30 @@ def global_stats(reputation_table: DataFrame) -> DataFrame:
     )
 
 
+def _asked(side: DataFrame, key: str, keys: DataFrame | str | None) -> DataFrame:
+    """The rows of a side that belong to the asked addresses: a column `ip`, or one address."""
+    if keys is None:
+        return side
+    if isinstance(keys, str):
+        return side.filter(F.col(key) == keys)
+    return side.join(keys.select(F.col("ip").alias(key)), key, "left_semi")
+
+
 def threat_profile_flat(
-    reputation_table: DataFrame, pattern_table: DataFrame, alerts: DataFrame
+    reputation_table: DataFrame,
+    pattern_table: DataFrame,
+    alerts: DataFrame,
+    keys: DataFrame | str | None = None,
 ) -> DataFrame:
     """One row per source known to any side; a missing side reads as empty.
 
     All three sides are aggregated by source, so the full joins meet one row per key
-    and reuse the partitioning of the aggregates.
+    and reuse the partitioning of the aggregates. With `keys` every side is first cut to
+    the asked addresses; one address becomes a filter that reaches the files.
     """
+    reputation_table = _asked(reputation_table, "source_ip", keys)
+    pattern_table = _asked(pattern_table, "source_ip", keys)
+    alerts = _asked(alerts, "ip_source", keys)
     history = reputation_table.select(
         F.col("source_ip").alias("ip"),
         F.col("score").alias("reputation_score"),
@@ -100,6 +116,13 @@ def threat_profile(flat: DataFrame) -> DataFrame:
     )
 
 
+def threat_profile_json(flat: DataFrame) -> DataFrame:
+    """The profile with its two layers as JSON text, stamps as yyyy-MM-dd HH:mm:ss."""
+    form = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+    layers = {c: F.to_json(c, form) for c in ("batch_layer", "speed_layer")}
+    return threat_profile(flat).withColumns(layers)
+
+
 def valid_addresses(requests: DataFrame) -> DataFrame:
     """The requested addresses that are acceptable, trimmed, once each."""
     trimmed = F.regexp_replace("ip", CONTROL_OR_BLANK, "")
@@ -110,6 +133,10 @@ def valid_addresses(requests: DataFrame) -> DataFrame:
     )
 
 
-def profile_lookup(requests: DataFrame, flat: DataFrame) -> DataFrame:
+def profile_lookup(
+    requests: DataFrame, reputation_table: DataFrame, pattern_table: DataFrame, alerts: DataFrame
+) -> DataFrame:
     """Profiles of the requested addresses; an unknown address gets an empty profile."""
-    return _completed(valid_addresses(requests).join(flat, "ip", "left"))
+    asked = valid_addresses(requests)
+    known = threat_profile_flat(reputation_table, pattern_table, alerts, asked)
+    return _completed(asked.join(known, "ip", "left"))

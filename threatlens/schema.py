@@ -40,7 +40,7 @@ ALERT = T.StructType([
     T.StructField("attack_types", T.ArrayType(T.StringType())),
     T.StructField("alert_type", T.StringType()),
     T.StructField("severity", T.StringType()),
-    T.StructField("event_count", T.IntegerType()),
+    T.StructField("event_count", T.LongType()),
     T.StructField("bytes_total", T.LongType()),
     T.StructField("user_agents", T.ArrayType(T.StringType())),
     T.StructField("log_sources", T.ArrayType(T.StringType())),

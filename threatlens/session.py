@@ -2,6 +2,7 @@
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -41,14 +42,52 @@ def stage(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Removes a folder of intermediate tables through its own file system."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    files, folder = _file_system(spark, path)
+    files.delete(folder, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
+def create_marker(spark: SparkSession, path: str, text: str) -> bool:
+    """Creates a small file with this text; False, and nothing done, if it is there already."""
+    files, target = _file_system(spark, path)
+    try:
+        out = files.create(target, False)
+    except Py4JJavaError as error:
+        if files.exists(target):
+            return False
+        raise error
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def read_markers(spark: SparkSession, pattern: str) -> dict[str, str]:
+    """Name to text of the small files that a pattern matches."""
+    files, target = _file_system(spark, pattern)
+    jvm, found = spark.sparkContext._jvm, {}
+    for status in files.globStatus(target) or []:
+        stream = files.open(status.getPath())
+        try:
+            found[status.getPath().getName()] = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+    return found
 
 
 def count_files(spark: SparkSession, path: str) -> int:
     """Files below a folder, counted by the file system: no listing reaches the driver."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return file_system.getContentSummary(folder).getFileCount()
+    files, folder = _file_system(spark, path)
+    return files.getContentSummary(folder).getFileCount()

@@ -2,38 +2,54 @@
 
 An updating query emits a window again whenever it grows. Each micro-batch writes its
 own directory, so a batch costs what it emits, not the size of the store, and a replayed
-batch overwrites its earlier attempt. Readers keep the last emission of each alert.
+batch overwrites its earlier attempt. The directory also names the streaming query's own
+id, which its checkpoint keeps: a query with a new checkpoint counts its batches from 0
+again, beside the old ones. Readers keep the furthest emission of each alert.
 """
 
+import logging
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threatlens.functions.times import as_of_column
 from threatlens.operators.alerts import to_alerts
 from threatlens.schema import ALERT, ALERT_COLUMNS
+from threatlens.session import delete_folder, path_exists
 from threatlens.sinks.keyed_tables import last_per_key
 
 ALERT_KEYS = ["alert_id"]
 EMISSION = T.StructType(
-    ALERT.fields + [T.StructField("query", T.StringType()), T.StructField("batch", T.LongType())]
+    ALERT.fields
+    + [T.StructField("query", T.StringType()), T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())]
 )
+log = logging.getLogger(__name__)
 
 
-def alert_writer(path: str, query_name: str, files: int | None = None):
-    """A foreachBatch function that stores the alerts of a micro-batch.
+def alert_writer(path: str, query_name: str, files: int | None = None, run: str | None = None):
+    """A foreachBatch function that stores the alerts of a micro-batch and logs their number.
 
-    `files` bounds the files per batch by shuffling the alerts (not the logs);
-    without it every state partition writes its own.
+    `files` bounds the files per batch by shuffling the alerts (not the logs); without it
+    every state partition writes its own. A batch without alerts leaves nothing behind.
+    `run` names the emissions; by default it is the id of the running streaming query.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        alerts = to_alerts(batch)
+        spark = batch.sparkSession
+        name = run or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not name:
+            raise RuntimeError("outside a streaming query, name the run")
+        written = Observation()
+        alerts = to_alerts(batch).observe(written, F.count("*").alias("alerts"))
         if files:
             alerts = alerts.repartition(files)
-        alerts.write.mode("overwrite").parquet(f"{path}/query={query_name}/batch={batch_id}")
+        folder = f"{path}/query={query_name}/run={name}/batch={batch_id}"
+        alerts.write.mode("overwrite").parquet(folder)
+        if not written.get["alerts"]:
+            delete_folder(spark, folder)
+        log.info("%s, batch %d: %d alerts", query_name, batch_id, written.get["alerts"])
 
     return write
 
@@ -41,10 +57,21 @@ def alert_writer(path: str, query_name: str, files: int | None = None):
 def read_alerts(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
     """The current state of every alert, or of those last seen after `since`.
 
-    The last emission of an alert is also its newest, so `since` may be applied before
-    merging, where Parquet statistics skip the files of older batches.
+    A window only grows: its furthest emission has the newest event, then the most events,
+    then the latest batch. So `since` may be applied before merging, where Parquet
+    statistics skip the files of older batches.
     """
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], ALERT)
     emissions = spark.read.schema(EMISSION).parquet(path)
     if since is not None:
         emissions = emissions.filter(F.col("last_seen") > as_of_column(since))
-    return last_per_key(emissions, ALERT_KEYS, F.col("batch")).select(*ALERT_COLUMNS)
+    furthest = [F.col(c) for c in ("last_seen", "event_count", "bytes_total", "batch")]
+    return last_per_key(emissions, ALERT_KEYS, *furthest).select(*ALERT_COLUMNS)
+
+
+def newest_event(spark: SparkSession, path: str) -> datetime | None:
+    """The newest event of any emission, from one column; None without emissions."""
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema(EMISSION).parquet(path).agg(F.max("last_seen")).first()[0]

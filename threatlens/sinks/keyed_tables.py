@@ -1,17 +1,20 @@
 """Keyed Parquet tables: one row per key, replaced snapshot by snapshot.
 
 Parquet has no MERGE. An upsert reads the current snapshot, adds the new rows, keeps
-the newest row of each key and writes the next snapshot beside it; a snapshot counts
-once Spark has committed it. Readers of the old one are never disturbed, and a failed
-or repeated upsert leaves no trace.
+the newest row of each key and writes the result to a folder of its own. It is published
+by the marker of the next number, which is only created if it is not there: of two loads
+that saw the same snapshot the second fails to create it, and merges again. Readers of the
+old snapshot are never disturbed, and a failed or repeated upsert leaves no trace.
 """
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threatlens.functions.times import as_of_column
+from threatlens.session import create_marker, delete_folder, read_markers
 
 ATTACK_PATTERN_KEYS = ["attack_type", "source_ip"]
 REPUTATION_KEYS = ["source_ip"]
@@ -83,26 +86,32 @@ def attack_pattern_rows(
     return rows.withColumn("last_seen", as_of_column(as_of))
 
 
-def _snapshot_number(spark: SparkSession, path: str) -> int:
-    """The newest committed snapshot, 0 if there is none."""
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/snapshot=*/_SUCCESS")
-    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = files.globStatus(pattern)
-    numbers = [int(s.getPath().getParent().getName().split("=")[1]) for s in found or []]
-    return max(numbers, default=0)
+def _current(spark: SparkSession, path: str) -> tuple[int, str | None]:
+    """Number and folder of the newest snapshot. A marker without text was never finished."""
+    markers = {int(n): text for n, text in read_markers(spark, f"{path}/_snapshots/*").items() if n.isdigit()}
+    finished = [n for n, text in markers.items() if text]
+    return max(markers, default=0), f"{path}/{markers[max(finished)]}" if finished else None
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/snapshot={_snapshot_number(spark, path)}")
+    _, folder = _current(spark, path)
+    if folder is None:
+        raise FileNotFoundError(f"no snapshot of a keyed table in {path}")
+    return spark.read.parquet(folder)
 
 
 def upsert(rows: DataFrame, path: str, keys: list[str]) -> None:
-    """Replaces or adds rows by key. `rows` holds one row per key."""
+    """Replaces or adds rows by key, null keys included. `rows` holds one row per key."""
     spark = rows.sparkSession
-    current = _snapshot_number(spark, path)
-    merged = rows
-    if current:
-        stored = read_table(spark, path)
-        merged = stored.join(rows, keys, "left_anti").unionByName(rows)
-    merged.write.mode("overwrite").parquet(f"{path}/snapshot={current + 1}")
+    while True:
+        number, stored = _current(spark, path)
+        merged = rows
+        if stored:
+            new, old = rows.select(*keys).alias("new"), spark.read.parquet(stored).alias("old")
+            same = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys]
+            merged = old.join(new, same, "left_anti").unionByName(rows)
+        folder = f"data-{uuid.uuid4().hex}"
+        merged.write.parquet(f"{path}/{folder}")
+        if create_marker(spark, f"{path}/_snapshots/{number + 1}", folder):
+            return
+        delete_folder(spark, f"{path}/{folder}")

@@ -80,11 +80,27 @@ def read_logs(
     return lake
 
 
-def convert_csv_to_lake(spark: SparkSession, csv_path: str, root: str) -> int:
-    """Converts CSV to the lake; the row count is observed during the write."""
+def convert_csv_to_lake(
+    spark: SparkSession,
+    csv_path: str,
+    root: str,
+    replace_all: bool = True,
+    files_per_day: int | None = None,
+    rejected: str | None = None,
+) -> int:
+    """Converts CSV to the lake; the row count is observed during the write.
+
+    With `rejected`, rows that lack a required field go there, with the names of the
+    missing fields, instead of into the lake.
+    """
     converted = Observation("converted")
-    logs = read_csv_logs(spark, csv_path).observe(converted, F.count("*").alias("rows"))
-    write_lake(logs, root)
+    logs = read_csv_logs(spark, csv_path)
+    if rejected:
+        checked = with_missing_fields(logs)
+        checked.filter(F.size("missing_fields") > 0).write.mode("overwrite").parquet(rejected)
+        logs = checked.filter(F.size("missing_fields") == 0).drop("missing_fields")
+    logs = logs.observe(converted, F.count("*").alias("rows"))
+    write_lake(logs, root, replace_all, files_per_day)
     return converted.get["rows"]
 
 

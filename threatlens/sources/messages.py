@@ -46,14 +46,21 @@ def to_records(logs: DataFrame) -> DataFrame:
     )
 
 
-def publish_logs(logs: DataFrame, kind: str = "kafka", **options: str) -> None:
-    """Publishes logs. `kind` is "kafka" (kafka.bootstrap.servers) or "files" (path)."""
+def publish_logs(
+    logs: DataFrame, kind: str = "kafka", one_file_per_type: bool = False, **options: str
+) -> None:
+    """Publishes logs. `kind` is "kafka" (kafka.bootstrap.servers) or "files" (path).
+
+    `one_file_per_type` gathers the rows of a log type for small, countable file slices.
+    """
     records = to_records(logs)
     if kind == "kafka":
         records.select("key", "value", "partition").write.format("kafka").options(
             **{"topic": DEFAULT_TOPIC, **options}
         ).save()
     else:
+        if one_file_per_type:
+            records = records.repartition("partition")
         records.write.mode("append").partitionBy("partition").parquet(options["path"])
 
 
