@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threatlens.llm.graphs import connected_components, ranked
+from threatlens.llm.graphs import connected_components, ranked, sampled
 from threatlens.session import shared_folder, stage
 
 THRESHOLD = 0.93
@@ -92,7 +92,8 @@ def first_lists(nodes: DataFrame, seed: int) -> DataFrame:
                 yield pd.DataFrame({"u": ids[at[real]], "v": ids[other[real]], "cos": cos[real]})
 
     order = ["label", "width", "table", "code"]
-    coded = nodes.mapInPandas(encode, nodes._jdf.schema().toDDL() + ", table int, code long")
+    label = nodes.schema["label"].dataType.simpleString()
+    coded = nodes.mapInPandas(encode, f"u long, label {label}, width int, small binary, table int, code long")
     return (
         coded.repartitionByRange(*order, "u").sortWithinPartitions(*order, "u")
         .mapInPandas(slide, "u long, v long, cos float")
@@ -208,7 +209,8 @@ def _complete(classes: DataFrame, components: DataFrame, threshold: float, folde
 
 def audit_recall(classes: DataFrame, linked: DataFrame, threshold: float, audited: int = AUDITED) -> float:
     """Share of the links of a bounded, hashed set of classes that were found, by brute force."""
-    queries = classes.orderBy(F.xxhash64("class_id")).limit(audited).select("class_id", "label", "unit").toPandas()
+    picked = sampled(classes.withColumn("place", F.xxhash64("class_id")), "place", audited)
+    queries = picked.select("class_id", "label", "unit").toPandas()
     if queries.empty:
         return 1.0
     units = queries["unit"].map(len)

@@ -13,6 +13,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from threatlens.llm.graphs import low_hash
 from threatlens.session import shared_folder, stage
 
 UNKNOWN = "und"
@@ -26,7 +27,7 @@ SMOOTHING = 0.01
 DOCUMENTS_PER_LANGUAGE = 1_000
 ROUNDS = 4
 CHUNK_CHARACTERS = 4_000_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -152,8 +153,11 @@ def _sample(labelled: DataFrame, id_col: str, lang_col: str, bound: int) -> Data
     """At most `bound` documents of each language, those with the smallest hashed ids."""
     place = F.xxhash64(F.col(id_col).cast("string"))
     keys = labelled.select(F.col(lang_col).alias("lang"), place.alias("place"))
+    # Of a language with many rows only the low hashes, about twice the bound, are ranked.
+    shares = keys.groupBy("lang").agg(F.least(F.lit(1.0), 2 * bound / F.count("*")).alias("share"))
+    low = keys.join(shares, "lang").filter(low_hash(F.col("place"), F.col("share")))
     window = Window.partitionBy("lang").orderBy("place")
-    first = keys.withColumn("n", F.row_number().over(window)).filter(F.col("n") <= bound)
+    first = low.withColumn("n", F.row_number().over(window)).filter(F.col("n") <= bound)
     limits = first.groupBy("lang").agg(F.max("place").alias("place")).collect()
     within = F.lit(False)
     for lang, limit in limits:  # one row per language

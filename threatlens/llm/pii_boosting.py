@@ -10,6 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threatlens.llm.graphs import sampled
 from threatlens.session import shared_folder, stage
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -192,7 +193,7 @@ def find_personal_data(
     every = found.select("uid", F.explode("candidates").alias("c")).select("uid", "c.*")
     place = F.xxhash64("uid", "kind", "start", "end")
     learned = stage(
-        every.withColumn("place", place).orderBy("place").limit(sample)
+        sampled(every.withColumn("place", place), "place", sample)
         .withColumn("features", array_to_vector("features")), f"{folder}/sample"
     )
     part = F.pmod("place", F.lit(4)) == 0
