@@ -27,6 +27,7 @@ HEADLINE = [
     "active_threats",
     "alert_summary_by_ip",
     "threat_profile",
+    "profile_lookup",
     "stream_brute_force",
     "stream_signature",
     "stream_volume",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from threatlens import jobs
 from threatlens.schema import LAKE_PARTITIONS, LOG_COLUMNS
-from threatlens.session import shared_folder
+from threatlens.session import create_session, shared_folder
 from threatlens.sinks import keyed_tables as kt
 from threatlens.sources import files, messages
 from threatlens.sources.normalize import normalize_raw_logs
@@ -225,6 +225,12 @@ def test_shared_folder_follows_the_session(spark):
     assert shared_folder(bare).startswith("s3a://bucket/warehouse/")
 
 
+def test_a_session_is_in_utc_and_takes_settings(spark):
+    made = create_session("another", **{"spark.sql.ansi.enabled": "true"})
+    assert made.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert made.sparkContext is spark.sparkContext
+
+
 def test_jobs_from_csv_to_profiles(spark, csv_file, tmp_path):
     lines = []
     for i in range(30):

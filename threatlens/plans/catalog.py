@@ -362,6 +362,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         # filters, projections
+        "log_count": over_logs(lambda logs: logs.agg(F.count("*").alias("logs"))),
         "tcp_only": over_logs(lambda logs: logs.filter(F.col("protocol") == "TCP")),
         "blocked_only": over_logs(lambda logs: logs.filter(F.col("action") == "blocked")),
         "suspicious_events": over_logs(rep.suspicious_events),

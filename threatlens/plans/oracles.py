@@ -309,6 +309,7 @@ def oracle_sql() -> dict[str, str]:
     timeline = _select(LOGS + ["timeline"], "SELECT * FROM timeline")
     ten_columns = _logs(f"SELECT {TEN_COLUMNS} FROM security_logs")
     return {
+        "log_count": _logs("SELECT count(*) AS logs FROM security_logs"),
         "tcp_only": _logs("SELECT * FROM security_logs WHERE protocol = 'TCP'"),
         "blocked_only": _logs("SELECT * FROM security_logs WHERE action = 'blocked'"),
         "suspicious_events": _select(LOGS + ["bad"], "SELECT * FROM bad"),
