@@ -1,12 +1,18 @@
-"""Repeated paragraphs across documents, by MinHash bands and exact verification."""
+"""Repeated text across documents.
 
+Paragraphs (lines) are compared by MinHash bands and exact verification. A passage that
+stands inside other text is no paragraph of its own: it is found as a run of small segments,
+cut at places that only the words around them decide, that occur elsewhere as well.
+"""
+
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threatlens.llm.graphs import connected_components
@@ -15,11 +21,18 @@ from threatlens.session import shared_folder, stage
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 #: Of two paragraphs at the similarity itself, this share may be missed by the bands.
-MISSED = 1e-3
-ROWS_PER_BAND = 4
+MISSED = 3e-3
+#: Many rows: paragraphs that share half of their text should rarely meet.
+ROWS_PER_BAND = 6
+#: Low bits of so many minima; pairs that differ in more are not compared. At the similarity
+#: itself 6.4 in 64 differ on average, and more than this in fewer than 1 of 10,000 pairs.
+SKETCH_LONGS, SKETCH_LIMIT = 2, 27
 #: Shorter paragraphs are headings and stock phrases that documents may share.
 LEAST_WORDS = 50
-PRIME = np.uint64((1 << 61) - 1)
+#: A segment ends where the hash of two neighbouring words is the smallest for so many words
+#: to either side. Runs of repeated segments are passages from so many words on.
+SEGMENT_REACH = 5
+PASSAGE_WORDS = 18
 
 
 def bands_for(similarity: float = SIMILARITY, rows: int = ROWS_PER_BAND, missed: float = MISSED) -> int:
@@ -38,9 +51,8 @@ def shingles_of(words: list[str]) -> set[str]:
     return set(map(" ".join, zip(*(words[i:] for i in range(SHINGLE_WORDS)), strict=False)))
 
 
-def band_keys(shingles: set[str], bands: int, rows: int = ROWS_PER_BAND) -> np.ndarray:
-    """One key per band: the band's number and its minima, hashed."""
-    n = bands * rows
+def minima(shingles: set[str], n: int) -> np.ndarray:
+    """The smallest value of each of n hash functions."""
     rng = np.random.default_rng(1)
     factors = rng.integers(1, 1 << 61, n, dtype=np.uint64) | np.uint64(1)
     shifts = rng.integers(0, 1 << 61, n, dtype=np.uint64)
@@ -50,40 +62,55 @@ def band_keys(shingles: set[str], bands: int, rows: int = ROWS_PER_BAND) -> np.n
         part = hashes[i : i + 4096, None] * factors + shifts
         part ^= part >> np.uint64(32)
         least = np.minimum(least, part.min(axis=0))
+    return least
+
+
+def signature(shingles: set[str], bands: int, rows: int = ROWS_PER_BAND) -> tuple[list[int], list[int]]:
+    """One key per band, its number and minima hashed; and the sketch."""
+    least = minima(shingles, max(bands * rows, 64 * SKETCH_LONGS))
     keys = [xxhash.xxh64_intdigest(least[b * rows : (b + 1) * rows].tobytes(), b) for b in range(bands)]
-    return np.array(keys, dtype=np.uint64).view(np.int64)
+    bits = (least[: 64 * SKETCH_LONGS] & np.uint64(1)).astype(np.uint8)
+    return np.array(keys, dtype=np.uint64).view(np.int64).tolist(), np.packbits(bits).view(np.int64).tolist()
 
 
 def paragraphs(documents: DataFrame, id_col: str, text_col: str, least_words: int, bands: int) -> DataFrame:
-    """One row per paragraph (line) of enough words: where it is, a 128-bit key, its band keys."""
-    names = ["doc_id", "paragraph", "start", "end", "words", "high", "low", "bands", "body"]
+    """One row per paragraph (line) of enough words: where it is, its class (a digest of its
+    words), its number of shingles, band keys, sketch and words."""
+    names = ["row", "doc_id", "paragraph", "start", "end", "words", "class_id", "shingles", "bands", "sketch", "body"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds = [batch.schema.field(0).type, *[pa.int64()] * 6, pa.list_(pa.int64()), pa.string()]
+            kinds = [pa.int64(), batch.schema.field(1).type, *[pa.int64()] * 6, *[pa.list_(pa.int64())] * 2, pa.string()]
+
+            def packed(rows: list[tuple], kinds: list = kinds) -> pa.RecordBatch:
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                return pa.RecordBatch.from_arrays(columns, names)
+
             rows, size, known = [], 0, {}
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for row, doc, text in zip(*(batch.column(k).to_pylist() for k in range(2)), batch.column(2), strict=True):
                 at = 0
                 for n, line in enumerate((text.as_py() or "").split("\n")):
                     words = words_of(line) if len(line) >= 2 * least_words - 1 else []
                     if len(words) >= max(least_words, 1):
                         body = " ".join(words)
-                        digest = xxhash.xxh128_digest(body)
-                        if digest not in known:
-                            known[digest] = band_keys(shingles_of(words), bands)
-                        high, low = np.frombuffer(digest, "<i8").tolist()
-                        rows.append((doc, n, at, at + len(line), len(words), high, low, known[digest], body))
+                        key = xxhash.xxh3_64_intdigest(body) - 2**63
+                        if key not in known:
+                            shingles = shingles_of(words)
+                            known[key] = (len(shingles), *signature(shingles, bands))
+                        rows.append((row, doc, n, at, at + len(line), len(words), key, *known[key], body))
                         size += len(body)
                     at += len(line) + 1
                 if size > 8_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                    yield packed(rows)
                     rows, size, known = [], 0, {}
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                yield packed(rows)
 
     kind = documents.schema[id_col].dataType.simpleString()
-    longs = ", ".join(f"`{n}` long" for n in names[1:7])
-    return documents.select(id_col, text_col).mapInArrow(run, f"doc_id {kind}, {longs}, bands array<long>, body string")
+    longs = ", ".join(f"`{n}` long" for n in names[2:8])
+    return documents.select(F.monotonically_increasing_id(), id_col, text_col).mapInArrow(
+        run, f"row long, doc_id {kind}, {longs}, bands array<long>, sketch array<long>, body string"
+    )
 
 
 def _similar(pairs: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
@@ -112,6 +139,15 @@ def _similar(pairs: DataFrame, bodies: DataFrame, similarity: float) -> DataFram
     return pairs.join(first, "a").join(second, "b").select("a", "b", "body_a", "body_b").mapInPandas(run, "a long, b long")
 
 
+def _may_be_similar(similarity: float) -> Column:
+    """Of classes a and b: what the numbers of shingles and the sketches allow."""
+    fewer, more = F.least("shingles_a", "shingles_b"), F.greatest("shingles_a", "shingles_b")
+    apart = sum(
+        (F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH_LONGS)), F.lit(0)
+    )
+    return (fewer >= F.lit(similarity) * more) & (apart <= SKETCH_LIMIT)
+
+
 def repeated_paragraphs(
     documents: DataFrame,
     id_col: str = "doc_id",
@@ -120,7 +156,7 @@ def repeated_paragraphs(
     similarity: float = SIMILARITY,
     staging: str | None = None,
 ) -> DataFrame:
-    """One row per paragraph that has a copy or near-copy: where it is, its cluster, removed.
+    """One row per paragraph with a copy or near-copy in another row: where, its cluster, removed.
 
     Columns: doc_id, paragraph (line number from 0), start, end (code points, end
     exclusive), words, class_id (equal word sequences), component_id (clusters of classes
@@ -131,8 +167,8 @@ def repeated_paragraphs(
 
     Equal paragraphs are one class. Per band, all classes of a bucket are compared with its
     first one, which links large groups with one pair per member. Buckets whose classes are
-    then still in different components have the pairs across them compared too, so no link
-    that a band proposes is lost, while no group has all its pairs emitted.
+    then still in different components have the pairs across them compared too, if numbers
+    of shingles and sketches allow, so a group never has all its pairs emitted.
     """
     folder = shared_folder(documents.sparkSession, staging)
     bands = bands_for(similarity)
@@ -143,16 +179,16 @@ def repeated_paragraphs(
         f"{folder}/paragraphs",
     )
     classes = stage(
-        found.groupBy("high", "low").agg(F.min("uid").alias("class_id"), F.count("*").alias("copies")),
-        f"{folder}/classes",
+        found.groupBy("class_id").agg(F.min("uid").alias("uid"), F.count("*").alias("copies")), f"{folder}/classes"
     )
-    heads = found.join(classes.select(F.col("class_id").alias("uid")), "uid")
-    keys = stage(
-        heads.select(F.col("uid").alias("class_id"), F.explode("bands").alias("key")), f"{folder}/keys"
+    heads = stage(
+        found.select("uid", "class_id", "shingles", "bands", "sketch").join(classes.select("uid"), "uid", "left_semi"),
+        f"{folder}/heads",
     )
+    bodies = found.join(classes.select("uid"), "uid", "left_semi").select("class_id", "body")
+    keys = heads.select("class_id", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.min("class_id").alias("first"), F.max("class_id").alias("last")).filter("first < last")
     met = stage(keys.join(buckets.select("key", "first"), "key"), f"{folder}/met")
-    bodies = heads.select(F.col("uid").alias("class_id"), "body")
 
     stars = met.filter("class_id <> first").select(F.col("first").alias("a"), F.col("class_id").alias("b")).distinct()
     links = stage(_similar(stars, bodies, similarity), f"{folder}/stars")
@@ -161,15 +197,16 @@ def repeated_paragraphs(
         "key", "class_id", F.coalesce("component", "class_id").alias("component")
     )
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    rest = stage(placed.join(mixed.select("key"), "key"), f"{folder}/mixed")
-    other = rest.select("key", F.col("class_id").alias("b"), F.col("component").alias("component_b"))
+    facts = heads.select("class_id", "shingles", "sketch")
+    rest = stage(placed.join(mixed.select("key"), "key").join(facts, "class_id"), f"{folder}/mixed")
+    columns = ("class_id", "component", "shingles", "sketch")
+    one = rest.select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
+    other = rest.select(F.col("key").alias("key_b"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    pair = (F.col("class_id_a") < F.col("class_id_b")) & (F.col("component_a") != F.col("component_b"))
     across = (
-        rest.withColumnRenamed("class_id", "a")
-        .join(other, "key")
-        .filter("a < b and component <> component_b")
-        .select("a", "b")
+        one.join(other, (F.col("key") == F.col("key_b")) & pair & _may_be_similar(similarity))
+        .select(F.col("class_id_a").alias("a"), F.col("class_id_b").alias("b"))
         .distinct()
-        .join(stars, ["a", "b"], "left_anti")
     )
     links = stage(links.union(_similar(across, bodies, similarity)), f"{folder}/links")
     clusters = connected_components(links, f"{folder}/all")
@@ -177,12 +214,122 @@ def repeated_paragraphs(
     repeated = (
         classes.join(clusters.withColumnRenamed("node", "class_id"), "class_id", "left")
         .filter("copies > 1 or component is not null")
-        .select("high", "low", "class_id", F.coalesce("component", "class_id").alias("component_id"))
+        .select("class_id", F.coalesce("component", "class_id").alias("component_id"))
     )
-    rows = found.select("uid", "doc_id", "paragraph", "start", "end", "words", "high", "low").join(repeated, ["high", "low"])
+    rows = found.select("uid", "row", "doc_id", "paragraph", "start", "end", "words", "class_id").join(repeated, "class_id")
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "paragraph", "uid")
-    first = rows.groupBy("component_id").agg(F.min(order)["uid"].alias("first_uid"))
+    first = (
+        rows.groupBy("component_id")
+        .agg(F.min(order)["uid"].alias("first_uid"), F.min("row").alias("low"), F.max("row").alias("high"))
+        .filter("low < high")
+    )
     return rows.join(first, "component_id").select(
         "doc_id", "paragraph", "start", "end", "words", "class_id", "component_id",
         (F.col("uid") != F.col("first_uid")).alias("removed"),
     )
+
+
+def segments_of(text: str | None, numbers: dict[str, int]) -> list[tuple[int, int, int, int]]:
+    """(start, end, words, digest) of every segment of a text; positions in code points.
+
+    Segments end with a line, and where the words say so. `numbers` keeps word hashes.
+    """
+    text = text or ""
+    words, cuts = [], []
+    for line in text.split("\n"):
+        words += line.split()
+        cuts.append(len(words))
+    if not words:
+        return []
+    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    if int(lengths.sum()) + len(words) - 1 == len(text):  # one character between any two words
+        starts = np.r_[0, np.cumsum(lengths + 1)[:-1]]
+    else:
+        starts = np.array([m.start() for m in re.finditer(r"\S+", text)])
+        if len(starts) != len(words):  # white space that only one of them knows
+            starts = np.array(_starts(text, words))
+    words = [w.lower() for w in words]
+    hashes = np.array(
+        [numbers[w] if w in numbers else numbers.setdefault(w, xxhash.xxh64_intdigest(w)) for w in words], dtype=np.uint64
+    )
+    pairs = (hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:])
+    lowest = np.ones(len(pairs), dtype=bool)
+    for k in range(1, min(SEGMENT_REACH, len(pairs) - 1) + 1):
+        lowest[k:] &= pairs[k:] < pairs[:-k]
+        lowest[:-k] &= pairs[:-k] <= pairs[k:]
+    made, begin = [], 0
+    for cut in np.unique(np.r_[np.flatnonzero(lowest) + 1, [c for c in cuts if c]]).tolist():
+        if cut > begin:
+            digest = xxhash.xxh3_64_intdigest(" ".join(words[begin:cut])) - 2**63
+            made.append((int(starts[begin]), int(starts[cut - 1] + lengths[cut - 1]), cut - begin, digest))
+            begin = cut
+    return made
+
+
+def _starts(text: str, words: list[str]) -> list[int]:
+    at, made = 0, []
+    for word in words:
+        at = text.index(word, at)
+        made.append(at)
+        at += len(word)
+    return made
+
+
+def repeated_passages(
+    documents: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    least_words: int = PASSAGE_WORDS,
+    staging: str | None = None,
+) -> DataFrame:
+    """One row per passage that also stands elsewhere: doc_id, start, end, words, component_id,
+    removed.
+
+    A passage is a run of neighbouring segments of one row that each occur in another row too,
+    of at least `least_words` words together. Some words at its ends may lie in segments
+    with the text around it. component_id is the smallest digest of the run; a run is
+    removed unless all its segments occur here first, in the order of the table. Null and
+    empty texts have no passage; repeated rows repeat theirs. Other columns are not read.
+    """
+    folder = shared_folder(documents.sparkSession, staging)
+    names = ["row", "doc_id", "n", "start", "end", "words", "digest"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers: dict[str, int] = {}
+        for batch in batches:
+            kinds = [pa.int64(), batch.schema.field(1).type, *[pa.int32()] * 4, pa.int64()]
+            rows = []
+            for i, (row, doc, text) in enumerate(zip(*(batch.column(k) for k in range(3)), strict=True), 1):
+                row, doc = row.as_py(), doc.as_py()
+                rows += [(row, doc, n, *s) for n, s in enumerate(segments_of(text.as_py(), numbers))]
+                if len(numbers) > 400_000:
+                    numbers.clear()
+                if rows and (len(rows) > 100_000 or i == len(batch)):
+                    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, names)
+                    rows = []
+
+    kind = documents.schema[id_col].dataType.simpleString()
+    source = documents.select(F.monotonically_increasing_id().alias("row"), id_col, text_col)
+    segments = stage(
+        source.mapInArrow(run, f"row long, doc_id {kind}, n int, start int, `end` int, words int, digest long"),
+        f"{folder}/segments",
+    )
+    place = F.struct("row", "n")
+    repeated = (
+        segments.groupBy("digest").agg(F.min(place).alias("first"), F.max("row").alias("last")).filter("first.row < last")
+        .select("digest", F.col("first.row").alias("first_row"), F.col("first.n").alias("first_n"))
+    )
+    runs = Window.partitionBy("row").orderBy("n")
+    return (
+        segments.join(repeated, "digest")
+        .withColumn("run", F.col("n") - F.row_number().over(runs))
+        .groupBy("row", "run")
+        .agg(
+            F.first("doc_id").alias("doc_id"), F.min("start").cast("long").alias("start"), F.max("end").cast("long").alias("end"),
+            F.sum("words").alias("words"), F.min("digest").alias("component_id"),
+            F.bool_or((F.col("row") != F.col("first_row")) | (F.col("n") != F.col("first_n"))).alias("removed"),
+        )
+        .filter(F.col("words") >= least_words)
+        .drop("row", "run")
+    )

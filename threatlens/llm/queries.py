@@ -82,7 +82,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraph_dedup.repeated_paragraphs(_documents(spark, sf_dir))
+    """Repeated paragraphs, near-copies included, and passages repeated inside other text."""
+    documents = _documents(spark, sf_dir)
+    columns = ["doc_id", "start", "end", "words", "component_id", "removed"]
+    paragraphs = paragraph_dedup.repeated_paragraphs(documents).select(F.lit("paragraph").alias("kind"), *columns)
+    passages = paragraph_dedup.repeated_passages(documents).select(F.lit("passage").alias("kind"), *columns)
+    return paragraphs.union(passages)
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
