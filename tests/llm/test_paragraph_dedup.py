@@ -1,5 +1,6 @@
 import itertools
 import random
+from collections import Counter
 
 import pytest
 
@@ -9,12 +10,12 @@ from threatlens.llm import paragraph_dedup as pd_
 def slow(documents, least_words, similarity=0.8):
     """All pairs of paragraphs compared; sorted (doc_id, paragraph, start, end, group, removed)."""
     rows = []
-    for d, text in documents:
+    for row, (d, text) in enumerate(documents):
         at = 0
         for n, line in enumerate((text or "").split("\n")):
             words = line.lower().split()
             if len(words) >= max(least_words, 1):
-                rows.append((d, n, at, at + len(line), pd_.shingles_of(words), tuple(words)))
+                rows.append((d, n, at, at + len(line), pd_.shingles_of(words), tuple(words), row))
             at += len(line) + 1
     root = list(range(len(rows)))
 
@@ -31,7 +32,7 @@ def slow(documents, least_words, similarity=0.8):
     groups = {}
     for i in range(len(rows)):
         groups.setdefault(find(i), []).append(i)
-    return [[rows[i] for i in members] for members in groups.values() if len(members) > 1]
+    return [[rows[i] for i in members] for members in groups.values() if len({rows[i][6] for i in members}) > 1]
 
 
 def check(made, documents, least_words):
@@ -80,3 +81,64 @@ def test_odd_rows(odd_documents, no_documents):
 def test_bands_meet_the_recall():
     bands = pd_.bands_for()
     assert (1 - 0.8**pd_.ROWS_PER_BAND) ** bands <= pd_.MISSED < (1 - 0.8**pd_.ROWS_PER_BAND) ** (bands - 1)
+
+
+def cut_up(text):
+    return [tuple(map(int, s)) for s in zip(*pd_.segments_of(text, pd_._Numbers()), strict=True)]
+
+
+def slow_passages(documents, least_words):
+    """Runs of segments that occur in several rows, by plain counting."""
+    cut = [(d, cut_up(t)) for d, t in documents]
+    counts = Counter(x for _, segments in cut for x in {s[3] for s in segments})
+    made = []
+    for d, segments in cut:
+        run = []
+        for s in [*segments, None]:
+            if s and counts[s[3]] > 1:
+                run.append(s)
+            elif run:
+                if sum(x[2] for x in run) >= least_words:
+                    made.append((d, run[0][0], run[-1][1], sum(x[2] for x in run)))
+                run = []
+    return made
+
+
+def test_passages_as_plain_counting(spark, sf_dir, odd_documents, no_documents):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for frame in (docs, odd_documents):
+        made = pd_.repeated_passages(frame).collect()
+        rows = [(r.doc_id, r.text) for r in frame.collect()]
+        assert sorted(map(str, [(r.doc_id, r.start, r.end, r.words) for r in made])) == sorted(map(str, slow_passages(rows, pd_.PASSAGE_WORDS)))
+    assert pd_.repeated_passages(no_documents).collect() == []
+
+
+def test_planted_passages_are_found_inside_other_text(spark):
+    rng = random.Random(12)
+
+    def prose(n):
+        return " ".join(rng.choice("abcdefghij") + str(rng.randrange(3000)) for _ in range(n))
+
+    passages = [prose(rng.randrange(51, 90)) for _ in range(40)]
+    stock = prose(13)
+    docs = [(i, f"{prose(30)} {stock}\n{prose(40)}") for i in range(200)]
+    planted = {}
+    for i, passage in enumerate(passages):
+        for k in range(3):
+            planted[1000 + 3 * i + k] = passage
+            docs.append((1000 + 3 * i + k, f"{prose(rng.randrange(60))} {passage} {prose(rng.randrange(60))}"))
+    made = pd_.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    texts = dict(docs)
+    assert not [r for r in made if r.doc_id < 1000]
+    assert len({r.doc_id for r in made}) >= 0.98 * len(planted)
+    for r in made:
+        assert texts[r.doc_id][r.start : r.end] in planted[r.doc_id]
+    kept = [r.doc_id for r in made if not r.removed]
+    assert kept and all(d % 3 == 1000 % 3 for d in kept)
+
+
+def test_segments_cover_every_word():
+    for text in ("a b  c\n\n d\te" * 30, "", " \n ", None, "x\x85y\x1cz w " * 9, "one"):
+        made = cut_up(text)
+        assert [w for s, e, _, _ in made for w in text[s:e].split()] == (text or "").split()
+        assert all(len(text[s:e].split()) == n for s, e, n, _ in made)

@@ -5,7 +5,6 @@ stands inside other text is no paragraph of its own: it is found as a run of sma
 cut at places that only the words around them decide, that occur elsewhere as well.
 """
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,9 +23,11 @@ SIMILARITY = 0.8
 MISSED = 3e-3
 #: Many rows: paragraphs that share half of their text should rarely meet.
 ROWS_PER_BAND = 6
-#: Low bits of so many minima; pairs that differ in more are not compared. At the similarity
-#: itself 6.4 in 64 differ on average, and more than this in fewer than 1 of 10,000 pairs.
-SKETCH_LONGS, SKETCH_LIMIT = 2, 27
+#: One bit of so many minima; pairs that differ in more are not compared. At the similarity
+#: itself one in ten differs, 25.6 of 256, and more than this in about 1 of 10,000 pairs.
+SKETCH_LONGS, SKETCH_LIMIT = 4, 45
+#: Members of each bucket that all others are compared with, before pairs across components.
+LEADERS = 8
 #: Shorter paragraphs are headings and stock phrases that documents may share.
 LEAST_WORDS = 50
 #: A segment ends where the hash of two neighbouring words is the smallest for so many words
@@ -52,16 +53,14 @@ def shingles_of(words: list[str]) -> set[str]:
 
 
 def minima(shingles: set[str], n: int) -> np.ndarray:
-    """The smallest value of each of n hash functions."""
+    """The smallest value of each of n hash functions, in 32 bits."""
     rng = np.random.default_rng(1)
-    factors = rng.integers(1, 1 << 61, n, dtype=np.uint64) | np.uint64(1)
-    shifts = rng.integers(0, 1 << 61, n, dtype=np.uint64)
-    hashes = np.array([xxhash.xxh64_intdigest(s) for s in shingles], dtype=np.uint64)
-    least = np.full(n, np.iinfo(np.uint64).max, dtype=np.uint64)
+    factors = rng.integers(1, 1 << 32, n, dtype=np.uint32) | np.uint32(1)
+    shifts = rng.integers(0, 1 << 32, n, dtype=np.uint32)
+    hashes = np.array([xxhash.xxh32_intdigest(s) for s in shingles], dtype=np.uint32)
+    least = np.full(n, np.iinfo(np.uint32).max, dtype=np.uint32)
     for i in range(0, len(hashes), 4096):
-        part = hashes[i : i + 4096, None] * factors + shifts
-        part ^= part >> np.uint64(32)
-        least = np.minimum(least, part.min(axis=0))
+        least = np.minimum(least, (hashes[i : i + 4096, None] * factors + shifts).min(axis=0))
     return least
 
 
@@ -69,7 +68,7 @@ def signature(shingles: set[str], bands: int, rows: int = ROWS_PER_BAND) -> tupl
     """One key per band, its number and minima hashed; and the sketch."""
     least = minima(shingles, max(bands * rows, 64 * SKETCH_LONGS))
     keys = [xxhash.xxh64_intdigest(least[b * rows : (b + 1) * rows].tobytes(), b) for b in range(bands)]
-    bits = (least[: 64 * SKETCH_LONGS] & np.uint64(1)).astype(np.uint8)
+    bits = (least[: 64 * SKETCH_LONGS] >> np.uint32(7) & np.uint32(1)).astype(np.uint8)
     return np.array(keys, dtype=np.uint64).view(np.int64).tolist(), np.packbits(bits).view(np.int64).tolist()
 
 
@@ -165,8 +164,8 @@ def repeated_paragraphs(
     Paragraphs of fewer than `least_words` words are not compared; null and empty texts
     have none. Repeated rows repeat their paragraphs. Other columns are not read.
 
-    Equal paragraphs are one class. Per band, all classes of a bucket are compared with its
-    first one, which links large groups with one pair per member. Buckets whose classes are
+    Equal paragraphs are one class. Per band, all classes of a bucket are compared with a few
+    of them, which links large groups with a few pairs per member. Buckets whose classes are
     then still in different components have the pairs across them compared too, if numbers
     of shingles and sketches allow, so a group never has all its pairs emitted.
     """
@@ -188,18 +187,35 @@ def repeated_paragraphs(
     bodies = found.join(classes.select("uid"), "uid", "left_semi").select("class_id", "body")
     keys = heads.select("class_id", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.min("class_id").alias("first"), F.max("class_id").alias("last")).filter("first < last")
-    met = stage(keys.join(buckets.select("key", "first"), "key"), f"{folder}/met")
-
-    stars = met.filter("class_id <> first").select(F.col("first").alias("a"), F.col("class_id").alias("b")).distinct()
+    met = stage(
+        keys.join(buckets.select("key"), "key").join(heads.select("class_id", "shingles", "sketch"), "class_id"),
+        f"{folder}/met",
+    )
+    # Any members may lead; several, since few of a large group are similar to a given one.
+    leading = [F.min_by("class_id", F.xxhash64("class_id", F.lit(i))) for i in range(LEADERS)]
+    leaders = stage(
+        met.groupBy("key").agg(F.array_distinct(F.array(*leading)).alias("leaders"))
+        .select("key", F.explode("leaders").alias("class_id"))
+        .join(heads.select("class_id", "shingles", "sketch"), "class_id"),
+        f"{folder}/leaders",
+    )
+    facts = ("class_id", "shingles", "sketch")
+    member = met.select("key", *[F.col(c).alias(f"{c}_b") for c in facts])
+    leader = leaders.select(F.col("key").alias("key_a"), *[F.col(c).alias(f"{c}_a") for c in facts])
+    apart = F.col("class_id_a") != F.col("class_id_b")
+    stars = (
+        member.join(leader, (F.col("key") == F.col("key_a")) & apart & _may_be_similar(similarity))
+        .select(F.least("class_id_a", "class_id_b").alias("a"), F.greatest("class_id_a", "class_id_b").alias("b"))
+        .distinct()
+    )
     links = stage(_similar(stars, bodies, similarity), f"{folder}/stars")
     near = stage(connected_components(links, f"{folder}/near"), f"{folder}/near-components")
     placed = met.join(near.withColumnRenamed("node", "class_id"), "class_id", "left").select(
-        "key", "class_id", F.coalesce("component", "class_id").alias("component")
+        "key", *facts, F.coalesce("component", "class_id").alias("component")
     )
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    facts = heads.select("class_id", "shingles", "sketch")
-    rest = stage(placed.join(mixed.select("key"), "key").join(facts, "class_id"), f"{folder}/mixed")
-    columns = ("class_id", "component", "shingles", "sketch")
+    rest = stage(placed.join(mixed.select("key"), "key"), f"{folder}/mixed")
+    columns = (*facts, "component")
     one = rest.select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
     other = rest.select(F.col("key").alias("key_b"), *[F.col(c).alias(f"{c}_b") for c in columns])
     pair = (F.col("class_id_a") < F.col("class_id_b")) & (F.col("component_a") != F.col("component_b"))
@@ -229,8 +245,16 @@ def repeated_paragraphs(
     )
 
 
-def segments_of(text: str | None, numbers: dict[str, int]) -> list[tuple[int, int, int, int]]:
-    """(start, end, words, digest) of every segment of a text; positions in code points.
+class _Numbers(dict):
+    """Word to its hash, for as many words as are worth keeping."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = xxhash.xxh64_intdigest(word)
+        return number
+
+
+def segments_of(text: str | None, numbers: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """Starts, ends, numbers of words and digests of the segments of a text, in code points.
 
     Segments end with a line, and where the words say so. `numbers` keeps word hashes.
     """
@@ -240,30 +264,25 @@ def segments_of(text: str | None, numbers: dict[str, int]) -> list[tuple[int, in
         words += line.split()
         cuts.append(len(words))
     if not words:
-        return []
+        none = np.zeros(0, dtype=np.int64)
+        return none, none, none, []
     lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     if int(lengths.sum()) + len(words) - 1 == len(text):  # one character between any two words
         starts = np.r_[0, np.cumsum(lengths + 1)[:-1]]
     else:
-        starts = np.array([m.start() for m in re.finditer(r"\S+", text)])
-        if len(starts) != len(words):  # white space that only one of them knows
-            starts = np.array(_starts(text, words))
+        starts = np.array(_starts(text, words))
     words = [w.lower() for w in words]
-    hashes = np.array(
-        [numbers[w] if w in numbers else numbers.setdefault(w, xxhash.xxh64_intdigest(w)) for w in words], dtype=np.uint64
-    )
-    pairs = (hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:])
+    hashes = np.array([*map(numbers.__getitem__, words)], dtype=np.uint64)
+    pairs = hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]
     lowest = np.ones(len(pairs), dtype=bool)
     for k in range(1, min(SEGMENT_REACH, len(pairs) - 1) + 1):
         lowest[k:] &= pairs[k:] < pairs[:-k]
         lowest[:-k] &= pairs[:-k] <= pairs[k:]
-    made, begin = [], 0
-    for cut in np.unique(np.r_[np.flatnonzero(lowest) + 1, [c for c in cuts if c]]).tolist():
-        if cut > begin:
-            digest = xxhash.xxh3_64_intdigest(" ".join(words[begin:cut])) - 2**63
-            made.append((int(starts[begin]), int(starts[cut - 1] + lengths[cut - 1]), cut - begin, digest))
-            begin = cut
-    return made
+    last = np.unique(np.r_[np.flatnonzero(lowest) + 1, [c for c in cuts if c]]).astype(np.int64)
+    first = np.r_[0, last[:-1]]
+    digest = xxhash.xxh3_64_intdigest
+    digests = [digest(" ".join(words[a:b])) - 2**63 for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+    return starts[first], starts[last - 1] + lengths[last - 1], last - first, digests
 
 
 def _starts(text: str, words: list[str]) -> list[int]:
@@ -288,26 +307,32 @@ def repeated_passages(
     A passage is a run of neighbouring segments of one row that each occur in another row too,
     of at least `least_words` words together. Some words at its ends may lie in segments
     with the text around it. component_id is the smallest digest of the run; a run is
-    removed unless all its segments occur here first, in the order of the table. Null and
+    removed unless all its segments occur first in its row, in the order of the table. Null and
     empty texts have no passage; repeated rows repeat theirs. Other columns are not read.
     """
     folder = shared_folder(documents.sparkSession, staging)
     names = ["row", "doc_id", "n", "start", "end", "words", "digest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers: dict[str, int] = {}
+        numbers = _Numbers()
         for batch in batches:
-            kinds = [pa.int64(), batch.schema.field(1).type, *[pa.int32()] * 4, pa.int64()]
-            rows = []
-            for i, (row, doc, text) in enumerate(zip(*(batch.column(k) for k in range(3)), strict=True), 1):
-                row, doc = row.as_py(), doc.as_py()
-                rows += [(row, doc, n, *s) for n, s in enumerate(segments_of(text.as_py(), numbers))]
+            parts, held = [], 0
+            for i, text in enumerate(batch.column(2)):
+                starts, ends, words, digests = segments_of(text.as_py(), numbers)
+                n = len(digests)
+                parts.append((np.full(n, i), np.arange(n), starts, ends, words, np.array(digests, dtype=np.int64)))
+                held += n
                 if len(numbers) > 400_000:
                     numbers.clear()
-                if rows and (len(rows) > 100_000 or i == len(batch)):
-                    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, names)
-                    rows = []
+                if held > 100_000 or i == len(batch) - 1:
+                    at, *numeric, digest = (np.concatenate(x) for x in zip(*parts, strict=True))
+                    at = pa.array(at)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(at), batch.column(1).take(at),
+                         *[pa.array(x.astype(np.int32)) for x in numeric], pa.array(digest)],
+                        names,
+                    )
+                    parts, held = [], 0
 
     kind = documents.schema[id_col].dataType.simpleString()
     source = documents.select(F.monotonically_increasing_id().alias("row"), id_col, text_col)
@@ -315,10 +340,9 @@ def repeated_passages(
         source.mapInArrow(run, f"row long, doc_id {kind}, n int, start int, `end` int, words int, digest long"),
         f"{folder}/segments",
     )
-    place = F.struct("row", "n")
     repeated = (
-        segments.groupBy("digest").agg(F.min(place).alias("first"), F.max("row").alias("last")).filter("first.row < last")
-        .select("digest", F.col("first.row").alias("first_row"), F.col("first.n").alias("first_n"))
+        segments.groupBy("digest").agg(F.min("row").alias("first_row"), F.max("row").alias("last_row"))
+        .filter("first_row < last_row")
     )
     runs = Window.partitionBy("row").orderBy("n")
     return (
@@ -328,7 +352,7 @@ def repeated_passages(
         .agg(
             F.first("doc_id").alias("doc_id"), F.min("start").cast("long").alias("start"), F.max("end").cast("long").alias("end"),
             F.sum("words").alias("words"), F.min("digest").alias("component_id"),
-            F.bool_or((F.col("row") != F.col("first_row")) | (F.col("n") != F.col("first_n"))).alias("removed"),
+            F.bool_or(F.col("row") != F.col("first_row")).alias("removed"),
         )
         .filter(F.col("words") >= least_words)
         .drop("row", "run")
