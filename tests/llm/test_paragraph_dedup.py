@@ -142,3 +142,40 @@ def test_segments_cover_every_word():
         made = cut_up(text)
         assert [w for s, e, _, _ in made for w in text[s:e].split()] == (text or "").split()
         assert all(len(text[s:e].split()) == n for s, e, n, _ in made)
+
+
+def test_passages_side_by_side_keep_one_copy(spark):
+    rng = random.Random(21)
+
+    def prose(n):
+        return " ".join(rng.choice("abcdefghij") + str(rng.randrange(3000)) for _ in range(n))
+
+    licence, stock = prose(30), prose(9)
+    fresh = [prose(40) for _ in range(12)]
+    docs = [(0, f"{licence}\n{prose(20)}"), (1, f"{prose(20)}\n{stock}\n{prose(20)}")]
+    for i, passage in enumerate(fresh):
+        docs += [(10 + 2 * i + k, f"{prose(5 + k)}\n{licence}\n{passage}\n{stock}\n{prose(7)}") for k in range(2)]
+    rows = pd_.passage_copies(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).collect()
+    removed = {(r.doc_id, s) for r in rows if r.removed for s in range(r.start, r.end)}
+    repeated, left = Counter(), Counter()
+    for d, text in docs:
+        for start, _, _, digest in cut_up(text):
+            repeated[digest] += 1
+            left[digest] += (d, start) not in removed
+    again = [digest for digest, n in repeated.items() if n > 1]
+    assert len(again) > 50 and all(left[digest] == 1 for digest in again)
+    assert Counter(r.component_id for r in rows if not r.removed) == dict.fromkeys({r.component_id for r in rows}, 1)
+
+
+def test_the_copy_that_stays_is_in_no_removed_paragraph(spark):
+    words = [f"w{i}" for i in range(80)]
+    changed = [*words[:30], "x30", *words[31:]]
+    docs = [(2, " ".join(changed)), (1, " ".join(words)), (3, f"{' '.join(f'u{i}' for i in range(90))} {' '.join(changed)}")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    lines = pd_.repeated_paragraphs(frame).collect()
+    assert sorted((r.doc_id, r.removed) for r in lines) == [(1, False), (2, True)]
+    gone = spark.createDataFrame([(r.row, r.paragraph) for r in lines if r.removed], "row long, paragraph long")
+    rows = pd_.passage_copies(frame, gone=gone).collect()
+    text = dict(docs)
+    removed = {r.doc_id: text[r.doc_id][r.start : r.end] for r in rows if r.removed}
+    assert "x30" not in removed.get(3, "") and any(r.doc_id == 2 and r.removed for r in rows)

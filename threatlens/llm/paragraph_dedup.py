@@ -157,7 +157,7 @@ def repeated_paragraphs(
 ) -> DataFrame:
     """One row per paragraph with a copy or near-copy in another row: where, its cluster, removed.
 
-    Columns: doc_id, paragraph (line number from 0), start, end (code points, end
+    Columns: row (its number in the scan), doc_id, paragraph (line number from 0), start, end (code points, end
     exclusive), words, class_id (equal word sequences), component_id (clusters of classes
     with a Jaccard similarity of five-word shingles of at least `similarity`), removed. Of
     each cluster the first paragraph by (doc_id, paragraph) stays, a null doc_id last.
@@ -240,7 +240,7 @@ def repeated_paragraphs(
         .filter("low < high")
     )
     return rows.join(first, "component_id").select(
-        "doc_id", "paragraph", "start", "end", "words", "class_id", "component_id",
+        "row", "doc_id", "paragraph", "start", "end", "words", "class_id", "component_id",
         (F.col("uid") != F.col("first_uid")).alias("removed"),
     )
 
@@ -294,33 +294,22 @@ def _starts(text: str, words: list[str]) -> list[int]:
     return made
 
 
-def repeated_passages(
-    documents: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    least_words: int = PASSAGE_WORDS,
-    staging: str | None = None,
-) -> DataFrame:
-    """One row per passage that also stands elsewhere: doc_id, start, end, words, component_id,
-    removed.
-
-    A passage is a run of neighbouring segments of one row that each occur in another row too,
-    of at least `least_words` words together. Some words at its ends may lie in segments
-    with the text around it. component_id is the smallest digest of the run; a run is
-    removed unless all its segments occur first in its row, in the order of the table. Null and
-    empty texts have no passage; repeated rows repeat theirs. Other columns are not read.
-    """
-    folder = shared_folder(documents.sparkSession, staging)
-    names = ["row", "doc_id", "n", "start", "end", "words", "digest"]
+def _segments(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per segment: row, doc_id, n (its number in the row), paragraph (the line it stands
+    in), start, end, words, digest."""
+    names = ["row", "doc_id", "n", "paragraph", "start", "end", "words", "digest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = _Numbers()
         for batch in batches:
             parts, held = [], 0
-            for i, text in enumerate(batch.column(2)):
-                starts, ends, words, digests = segments_of(text.as_py(), numbers)
+            for i, value in enumerate(batch.column(2)):
+                text = value.as_py() or ""
+                starts, ends, words, digests = segments_of(text, numbers)
                 n = len(digests)
-                parts.append((np.full(n, i), np.arange(n), starts, ends, words, np.array(digests, dtype=np.int64)))
+                lines = np.cumsum([len(line) + 1 for line in text.split("\n")])
+                lines = np.searchsorted(lines, starts, side="right")
+                parts.append((np.full(n, i), np.arange(n), lines, starts, ends, words, np.array(digests, dtype=np.int64)))
                 held += n
                 if len(numbers) > 400_000:
                     numbers.clear()
@@ -336,24 +325,100 @@ def repeated_passages(
 
     kind = documents.schema[id_col].dataType.simpleString()
     source = documents.select(F.monotonically_increasing_id().alias("row"), id_col, text_col)
-    segments = stage(
-        source.mapInArrow(run, f"row long, doc_id {kind}, n int, start int, `end` int, words int, digest long"),
-        f"{folder}/segments",
+    return source.mapInArrow(
+        run, f"row long, doc_id {kind}, n int, paragraph int, start int, `end` int, words int, digest long"
     )
+
+
+def _pieces(
+    documents: DataFrame, id_col: str, text_col: str, gone: DataFrame | None, folder: str
+) -> DataFrame:
+    """One row per piece of a run of repeated segments, with the run it is part of and its words."""
+    segments = stage(_segments(documents, id_col, text_col), f"{folder}/segments")
     repeated = (
-        segments.groupBy("digest").agg(F.min("row").alias("first_row"), F.max("row").alias("last_row"))
-        .filter("first_row < last_row")
+        segments.groupBy("digest").agg(F.min("row").alias("low"), F.max("row").alias("high"))
+        .filter("low < high").select("digest")
+    )
+    copies = segments.join(repeated, "digest")
+    if gone is None:
+        copies = copies.withColumn("gone", F.lit(False))
+    else:
+        lost = gone.select("row", F.col("paragraph").cast("int").alias("paragraph"), F.lit(True).alias("gone")).distinct()
+        copies = copies.join(lost, ["row", "paragraph"], "left").withColumn("gone", F.coalesce("gone", F.lit(False)))
+    copies = stage(copies.drop("paragraph"), f"{folder}/copies")
+    # The copy of each segment that stays; neighbours that stay in one row are one passage.
+    at = F.min(F.struct("gone", "row", "n"))
+    stays = copies.groupBy("digest").agg(at.alias("at")).select("digest", "at.row", "at.n")
+    in_row = Window.partitionBy("row").orderBy("n")
+    homes = stage(
+        stays.withColumn("home", F.col("n") - F.row_number().over(in_row))
+        .withColumn("component_id", F.min("digest").over(Window.partitionBy("row", "home")))
+        .select("digest", F.col("row").alias("home_row"), F.col("n").alias("home_n"), "component_id"),
+        f"{folder}/homes",
     )
-    runs = Window.partitionBy("row").orderBy("n")
+    same = Window.partitionBy("row", "component_id", "removed").orderBy("n")
     return (
-        segments.join(repeated, "digest")
-        .withColumn("run", F.col("n") - F.row_number().over(runs))
-        .groupBy("row", "run")
+        copies.join(homes, "digest")
+        .withColumn("removed", (F.col("row") != F.col("home_row")) | (F.col("n") != F.col("home_n")))
+        .withColumn("run", F.col("n") - F.row_number().over(in_row))
+        .withColumn("run_words", F.sum("words").over(Window.partitionBy("row", "run")))
+        .withColumn("piece", F.col("n") - F.row_number().over(same))
+        .groupBy("row", "run", "component_id", "removed", "piece")
         .agg(
             F.first("doc_id").alias("doc_id"), F.min("start").cast("long").alias("start"), F.max("end").cast("long").alias("end"),
-            F.sum("words").alias("words"), F.min("digest").alias("component_id"),
-            F.bool_or(F.col("row") != F.col("first_row")).alias("removed"),
+            F.sum("words").alias("words"), F.first("run_words").alias("run_words"),
+        )
+    )
+
+
+def passage_copies(
+    documents: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    least_words: int = PASSAGE_WORDS,
+    gone: DataFrame | None = None,
+    staging: str | None = None,
+) -> DataFrame:
+    """One row per copy of a passage: doc_id, start, end, words, component_id, removed.
+
+    A run of neighbouring segments of one row that each occur in another row too, of at least
+    `least_words` words together, is cut where the copy that stays changes. Of each segment one
+    copy stays, the first in the order of the table. Neighbouring segments that stay in one row are
+    one component, and so are all their copies: exactly one row of a component is not removed.
+    It is listed even if its own run is shorter. `gone` has (row, paragraph) of paragraphs that
+    are removed otherwise, as numbered over the same scan by `repeated_paragraphs`: a copy in one
+    stays only if no other does. Some words at the ends of a passage may lie in segments with
+    the text around it. Null and empty texts have no passage; repeated rows repeat theirs. Other
+    columns are not read.
+    """
+    folder = shared_folder(documents.sparkSession, staging)
+    pieces = stage(_pieces(documents, id_col, text_col, gone, folder), f"{folder}/pieces")
+    found = pieces.filter(F.col("run_words") >= least_words)
+    short = pieces.filter((F.col("run_words") < least_words) & ~F.col("removed"))
+    listed = found.union(short.join(found.filter("removed").select("component_id").distinct(), "component_id", "left_semi").select(pieces.columns))
+    return listed.select("doc_id", "start", "end", "words", "component_id", "removed")
+
+
+def repeated_passages(
+    documents: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    least_words: int = PASSAGE_WORDS,
+    staging: str | None = None,
+) -> DataFrame:
+    """One row per whole run of `passage_copies`: doc_id, start, end, words, component_id, removed.
+
+    component_id is the smallest of its pieces. removed says that some piece of the run is removed;
+    others of it may be the copy that stays, so text is deleted by `passage_copies`, never by run.
+    """
+    folder = shared_folder(documents.sparkSession, staging)
+    return (
+        _pieces(documents, id_col, text_col, None, folder)
+        .filter(F.col("run_words") >= least_words)
+        .groupBy("row", "run")
+        .agg(
+            F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"),
+            F.sum("words").alias("words"), F.min("component_id").alias("component_id"), F.bool_or("removed").alias("removed"),
         )
-        .filter(F.col("words") >= least_words)
         .drop("row", "run")
     )

@@ -20,6 +20,7 @@ from threatlens.llm import (
     simhash_ball,
 )
 from threatlens.llm import oracles as sql
+from threatlens.session import shared_folder, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: The conversation that every formatting must survive.
@@ -85,8 +86,11 @@ def op6_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated paragraphs, near-copies included, and passages repeated inside other text."""
     documents = _documents(spark, sf_dir)
     columns = ["doc_id", "start", "end", "words", "component_id", "removed"]
-    paragraphs = paragraph_dedup.repeated_paragraphs(documents).select(F.lit("paragraph").alias("kind"), *columns)
-    passages = paragraph_dedup.repeated_passages(documents).select(F.lit("passage").alias("kind"), *columns)
+    folder = shared_folder(spark)
+    found = stage(paragraph_dedup.repeated_paragraphs(documents), f"{folder}/paragraphs")
+    paragraphs = found.select(F.lit("paragraph").alias("kind"), *columns)
+    passages = paragraph_dedup.passage_copies(documents, gone=found.filter("removed"))
+    passages = passages.select(F.lit("passage").alias("kind"), *columns)
     return paragraphs.union(passages)
 
 
