@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 
 from threatlens.llm import paragraph_dedup as pd_
+from threatlens.llm import queries
 
 
 def slow(documents, least_words, similarity=0.8):
@@ -179,3 +180,31 @@ def test_the_copy_that_stays_is_in_no_removed_paragraph(spark):
     text = dict(docs)
     removed = {r.doc_id: text[r.doc_id][r.start : r.end] for r in rows if r.removed}
     assert "x30" not in removed.get(3, "") and any(r.doc_id == 2 and r.removed for r in rows)
+
+
+def test_the_query_compares_short_lines_and_lines_of_one_row(spark, tmp_path):
+    near = [f"n{i}" for i in range(24)]
+    docs = [
+        (1, "five words stand right here\n" + " ".join(near)),
+        (2, "own line\nfive words stand right here\n" + " ".join([*near, "more"])),
+        (3, "said twice in one row\nother words are in here\nsaid twice in one row"),
+    ]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = [r for r in queries.op6_paragraphs(spark, str(tmp_path)).collect() if r.kind == "paragraph"]
+    assert sorted((r.doc_id, r.words, r.removed) for r in rows) == [
+        (1, 5, False), (1, 24, False), (2, 5, True), (2, 25, True), (3, 5, False), (3, 5, True)
+    ]
+
+
+def test_the_filter_before_the_exact_check_loses_no_pair(spark):
+    rng = random.Random(5)
+    pairs = []
+    for _ in range(400):
+        n = rng.randrange(4, 400)
+        a = {f"s{rng.randrange(10**6)}" for _ in range(n)}
+        b = set(rng.sample(sorted(a), len(a) - rng.randrange(len(a) // 9 + 1))) | {f"t{i}" for i in range(rng.randrange(len(a) // 9 + 1))}
+        if len(a & b) >= 0.8 * len(a | b):
+            pairs.append((len(a), pd_.signature(a, 20)[1], len(b), pd_.signature(b, 20)[1]))
+    frame = spark.createDataFrame(pairs, "shingles_a long, sketch_a array<long>, shingles_b long, sketch_b array<long>")
+    assert len(pairs) > 200 and frame.filter(pd_._may_be_similar(0.8)).count() == len(pairs)
+    assert pd_.bands_for() == pd_.bands_for(missed=1e-3)

@@ -20,12 +20,14 @@ from threatlens.session import shared_folder, stage
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 #: Of two paragraphs at the similarity itself, this share may be missed by the bands.
-MISSED = 3e-3
+MISSED = 1e-3
 #: Many rows: paragraphs that share half of their text should rarely meet.
 ROWS_PER_BAND = 6
-#: One bit of so many minima; pairs that differ in more are not compared. At the similarity
-#: itself one in ten differs, 25.6 of 256, and more than this in about 1 of 10,000 pairs.
-SKETCH_LONGS, SKETCH_LIMIT = 4, 45
+#: Parities of the numbers of shingles in so many 64-bit groups of hash buckets. A shingle of only
+#: one set changes one parity, so two sets differ in at least as many shingles as in parities.
+SKETCH_LONGS = 4
+#: Sets this small are similar to no other set: one shingle more or less is too much.
+LONE_SHINGLES = 3
 #: Members of each bucket that all others are compared with, before pairs across components.
 LEADERS = 8
 #: Shorter paragraphs are headings and stock phrases that documents may share.
@@ -52,63 +54,91 @@ def shingles_of(words: list[str]) -> set[str]:
     return set(map(" ".join, zip(*(words[i:] for i in range(SHINGLE_WORDS)), strict=False)))
 
 
-def minima(shingles: set[str], n: int) -> np.ndarray:
+def hashes_of(shingles: set[str]) -> np.ndarray:
+    return np.array([xxhash.xxh32_intdigest(s) for s in shingles], dtype=np.uint32)
+
+
+def minima(hashes: np.ndarray, n: int) -> np.ndarray:
     """The smallest value of each of n hash functions, in 32 bits."""
     rng = np.random.default_rng(1)
     factors = rng.integers(1, 1 << 32, n, dtype=np.uint32) | np.uint32(1)
     shifts = rng.integers(0, 1 << 32, n, dtype=np.uint32)
-    hashes = np.array([xxhash.xxh32_intdigest(s) for s in shingles], dtype=np.uint32)
     least = np.full(n, np.iinfo(np.uint32).max, dtype=np.uint32)
     for i in range(0, len(hashes), 4096):
         least = np.minimum(least, (hashes[i : i + 4096, None] * factors + shifts).min(axis=0))
     return least
 
 
-def signature(shingles: set[str], bands: int, rows: int = ROWS_PER_BAND) -> tuple[list[int], list[int]]:
-    """One key per band, its number and minima hashed; and the sketch."""
-    least = minima(shingles, max(bands * rows, 64 * SKETCH_LONGS))
-    keys = [xxhash.xxh64_intdigest(least[b * rows : (b + 1) * rows].tobytes(), b) for b in range(bands)]
-    bits = (least[: 64 * SKETCH_LONGS] >> np.uint32(7) & np.uint32(1)).astype(np.uint8)
-    return np.array(keys, dtype=np.uint64).view(np.int64).tolist(), np.packbits(bits).view(np.int64).tolist()
+def signature(
+    shingles: set[str], bands: int, rows: int = ROWS_PER_BAND, similarity: float = SIMILARITY
+) -> tuple[list[int], list[int]]:
+    """One key per band, its number and minima hashed; and the parities.
 
+    A set that can only be similar to an equal one has one key, of the whole set.
+    """
+    hashes = hashes_of(shingles)
+    if len(shingles) <= LONE_SHINGLES and len(shingles) < similarity * (len(shingles) + 1):
+        keys = [xxhash.xxh64_intdigest("\n".join(sorted(shingles)), bands)]
+    else:
+        least = minima(hashes, bands * rows)
+        keys = [xxhash.xxh64_intdigest(least[b * rows : (b + 1) * rows].tobytes(), b) for b in range(bands)]
+    odd = (np.bincount(hashes % np.uint32(64 * SKETCH_LONGS), minlength=64 * SKETCH_LONGS) & 1).astype(np.uint8)
+    return np.array(keys, dtype=np.uint64).view(np.int64).tolist(), np.packbits(odd).view(np.int64).tolist()
 
-def paragraphs(documents: DataFrame, id_col: str, text_col: str, least_words: int, bands: int) -> DataFrame:
+
+def paragraphs(documents: DataFrame, id_col: str, text_col: str, least_words: int) -> DataFrame:
     """One row per paragraph (line) of enough words: where it is, its class (a digest of its
-    words), its number of shingles, band keys, sketch and words."""
-    names = ["row", "doc_id", "paragraph", "start", "end", "words", "class_id", "shingles", "bands", "sketch", "body"]
+    words) and its words."""
+    names = ["row", "doc_id", "paragraph", "start", "end", "words", "class_id", "body"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds = [pa.int64(), batch.schema.field(1).type, *[pa.int64()] * 6, *[pa.list_(pa.int64())] * 2, pa.string()]
+            kinds = [pa.int64(), batch.schema.field(1).type, *[pa.int64()] * 5, pa.string()]
 
             def packed(rows: list[tuple], kinds: list = kinds) -> pa.RecordBatch:
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
                 return pa.RecordBatch.from_arrays(columns, names)
 
-            rows, size, known = [], 0, {}
+            rows, size = [], 0
             for row, doc, text in zip(*(batch.column(k).to_pylist() for k in range(2)), batch.column(2), strict=True):
                 at = 0
                 for n, line in enumerate((text.as_py() or "").split("\n")):
                     words = words_of(line) if len(line) >= 2 * least_words - 1 else []
                     if len(words) >= max(least_words, 1):
                         body = " ".join(words)
-                        key = xxhash.xxh3_64_intdigest(body) - 2**63
-                        if key not in known:
-                            shingles = shingles_of(words)
-                            known[key] = (len(shingles), *signature(shingles, bands))
-                        rows.append((row, doc, n, at, at + len(line), len(words), key, *known[key], body))
-                        size += len(body)
+                        rows.append((row, doc, n, at, at + len(line), len(words), xxhash.xxh3_64_intdigest(body) - 2**63, body))
+                        size += len(body) + 64
                     at += len(line) + 1
                 if size > 8_000_000:
                     yield packed(rows)
-                    rows, size, known = [], 0, {}
+                    rows, size = [], 0
             if rows:
                 yield packed(rows)
 
     kind = documents.schema[id_col].dataType.simpleString()
-    longs = ", ".join(f"`{n}` long" for n in names[2:8])
+    longs = ", ".join(f"`{n}` long" for n in names[2:7])
     return documents.select(F.monotonically_increasing_id(), id_col, text_col).mapInArrow(
-        run, f"row long, doc_id {kind}, {longs}, bands array<long>, sketch array<long>, body string"
+        run, f"row long, doc_id {kind}, {longs}, body string"
+    )
+
+
+def signed(bodies: DataFrame, bands: int, similarity: float) -> DataFrame:
+    """class_id with its number of shingles, band keys and parities."""
+    names = ["class_id", "shingles", "bands", "sketch"]
+    kinds = [pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 2]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for key, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                shingles = shingles_of(body.as_py().split(" "))
+                made.append((key, len(shingles), *signature(shingles, bands, similarity=similarity)))
+            if made:
+                columns = [pa.array(c, t) for c, t in zip(zip(*made, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return bodies.select("class_id", "body").mapInArrow(
+        run, "class_id long, shingles long, bands array<long>, sketch array<long>"
     )
 
 
@@ -139,12 +169,14 @@ def _similar(pairs: DataFrame, bodies: DataFrame, similarity: float) -> DataFram
 
 
 def _may_be_similar(similarity: float) -> Column:
-    """Of classes a and b: what the numbers of shingles and the sketches allow."""
+    """Of classes a and b: what the numbers of shingles and the parities allow. No similar pair is
+    lost: at most (1 - s) / (1 + s) of all shingles of two similar sets are in one of them only."""
     fewer, more = F.least("shingles_a", "shingles_b"), F.greatest("shingles_a", "shingles_b")
     apart = sum(
         (F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH_LONGS)), F.lit(0)
     )
-    return (fewer >= F.lit(similarity) * more) & (apart <= SKETCH_LIMIT)
+    most = (fewer + more) * F.lit((1 - similarity) / (1 + similarity)) + F.lit(1e-6)
+    return (fewer >= F.lit(similarity) * more - F.lit(1e-6)) & (apart <= most)
 
 
 def repeated_paragraphs(
@@ -154,9 +186,12 @@ def repeated_paragraphs(
     least_words: int = LEAST_WORDS,
     similarity: float = SIMILARITY,
     staging: str | None = None,
+    inside_rows: bool = False,
 ) -> DataFrame:
     """One row per paragraph with a copy or near-copy in another row: where, its cluster, removed.
 
+    With `inside_rows` also those whose copies are all in their own row.
+
     Columns: row (its number in the scan), doc_id, paragraph (line number from 0), start, end (code points, end
     exclusive), words, class_id (equal word sequences), component_id (clusters of classes
     with a Jaccard similarity of five-word shingles of at least `similarity`), removed. Of
@@ -167,12 +202,12 @@ def repeated_paragraphs(
     Equal paragraphs are one class. Per band, all classes of a bucket are compared with a few
     of them, which links large groups with a few pairs per member. Buckets whose classes are
     then still in different components have the pairs across them compared too, if numbers
-    of shingles and sketches allow, so a group never has all its pairs emitted.
+    of shingles and parities allow, so a group never has all its pairs emitted.
     """
     folder = shared_folder(documents.sparkSession, staging)
     bands = bands_for(similarity)
     found = stage(
-        paragraphs(documents, id_col, text_col, least_words, bands).withColumn(
+        paragraphs(documents, id_col, text_col, least_words).withColumn(
             "uid", F.monotonically_increasing_id()
         ),
         f"{folder}/paragraphs",
@@ -180,11 +215,8 @@ def repeated_paragraphs(
     classes = stage(
         found.groupBy("class_id").agg(F.min("uid").alias("uid"), F.count("*").alias("copies")), f"{folder}/classes"
     )
-    heads = stage(
-        found.select("uid", "class_id", "shingles", "bands", "sketch").join(classes.select("uid"), "uid", "left_semi"),
-        f"{folder}/heads",
-    )
     bodies = found.join(classes.select("uid"), "uid", "left_semi").select("class_id", "body")
+    heads = stage(signed(bodies, bands, similarity), f"{folder}/heads")
     keys = heads.select("class_id", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.min("class_id").alias("first"), F.max("class_id").alias("last")).filter("first < last")
     met = stage(
@@ -236,8 +268,8 @@ def repeated_paragraphs(
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "paragraph", "uid")
     first = (
         rows.groupBy("component_id")
-        .agg(F.min(order)["uid"].alias("first_uid"), F.min("row").alias("low"), F.max("row").alias("high"))
-        .filter("low < high")
+        .agg(F.min(order)["uid"].alias("first_uid"), F.min("row").alias("low"), F.max("row").alias("high"), F.count("*").alias("n"))
+        .filter(F.lit(inside_rows) & F.expr("n > 1") | F.expr("low < high"))
     )
     return rows.join(first, "component_id").select(
         "row", "doc_id", "paragraph", "start", "end", "words", "class_id", "component_id",
