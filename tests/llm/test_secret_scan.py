@@ -83,3 +83,36 @@ def test_redaction_and_odd_rows(spark, odd_documents, no_documents):
     assert dict(map(tuple, made.collect())) == {1: "é😀 [SECRET] end [SECRET]", 2: "clean", 3: None}
     assert ss.scan(odd_documents, ["doc_id", "start"] if "start" in odd_documents.columns else ["doc_id"]).count() == 9
     assert ss.scan(no_documents, ["doc_id"]).collect() == []
+
+
+def p_values(spark, tokens):
+    rows = spark.createDataFrame([(t,) for t in tokens], "token string")
+    found = rows.select("token", ss.tested(ss.matches(F.col("token"), ss.TOKEN)).alias("tokens")).collect()
+    return {r.token: r.tokens[0].p for r in found if r.tokens}
+
+
+def test_copies_of_one_token_do_not_move_the_threshold(spark):
+    rng = random.Random(11)
+    letters = string.ascii_letters + string.digits
+    tokens = ["".join(rng.choices(letters, k=40)) for _ in range(600)]
+    others = ["-".join(rng.choices(["release", "notes", "chapter", "section", "letter", "2024", "address"], k=6)) for _ in range(400)]
+    known = p_values(spark, tokens)
+    frame = lambda kinds: spark.createDataFrame([(t,) for t in kinds], "text string").select(
+        ss.tested(ss.matches(F.col("text"), ss.TOKEN)).alias("tokens")
+    )
+    plain = ss.thresholds(frame(tokens + others))
+    assert plain
+    for low, high in ((0.4, 0.5), (0.55, 0.65), (0.85, 0.95)):
+        hot = next(t for t in tokens if low < known[t] < high)
+        assert ss.thresholds(frame(tokens + others + [hot] * 3000)) == plain
+
+
+def test_random_tokens_without_a_digit_are_tested(spark):
+    rng = random.Random(13)
+    letters = string.ascii_letters + string.digits
+    tokens = ["".join(rng.choices(letters, k=16)) for _ in range(900)]
+    tokens += ["".join(rng.choices(string.ascii_uppercase + "234567", k=16)) for _ in range(300)]
+    bare = [t for t in tokens if t.isalpha()]
+    frame = spark.createDataFrame([(t, f"see {t} there") for t in tokens], "token string, text string")
+    found = {r.token for r in ss.scan(frame, ["token"]).collect() if r.secrets}
+    assert len(bare) > 40 and len(found & set(bare)) > 0.9 * len(bare)

@@ -67,7 +67,7 @@ def _tail(z: Column) -> Column:
 
 
 def tested(tokens: Column) -> Column:
-    """Each (start, end, g0) that has an inferred encoding, with its length and p value.
+    """Each (start, end, g0) that has an inferred encoding, with its length, p value and a hash.
 
     Under "uniform and independent over the encoding's alphabet": chi-squared of the letter
     counts, with its exact mean and variance, so that short tokens count; runs above and
@@ -75,7 +75,7 @@ def tested(tokens: Column) -> Column:
     are combined by Fisher's method. Every step is a pass of its own, so that nothing is
     computed twice.
     """
-    mixed = F.filter(tokens, lambda m: m["g0"].rlike("[0-9]") & m["g0"].rlike("[A-Za-z]"))
+    lettered = F.filter(tokens, lambda m: m["g0"].rlike("[A-Za-z]"))
 
     def bare(m: Column) -> Column:
         return F.struct(m["start"].alias("start"), m["end"].alias("end"), F.rtrim(m["g0"], F.lit("=")).alias("token"))
@@ -96,7 +96,7 @@ def tested(tokens: Column) -> Column:
         )
         values = F.transform(letters, lambda c: (F.instr(m["alphabet"], c) - 1).cast("double"))
         return F.struct(
-            m["start"].alias("start"), m["end"].alias("end"), n.alias("n"),
+            m["start"].alias("start"), m["end"].alias("end"), n.alias("n"), F.xxhash64(m["token"]).alias("h"),
             F.length(m["alphabet"]).alias("size"), squares.alias("squares"), values.alias("values"),
         )
 
@@ -106,7 +106,7 @@ def tested(tokens: Column) -> Column:
         mean = F.aggregate(x, F.lit(0.0), lambda s, v: s + v) / n
         pairs = F.arrays_zip(F.slice(x, 1, n - 1).alias("a"), F.slice(x, 2, n - 1).alias("b"))
         return F.struct(
-            *[m[c].alias(c) for c in ("start", "end", "n", "size", "squares")],
+            *[m[c].alias(c) for c in ("start", "end", "n", "h", "size", "squares")],
             mean.alias("mean"), pairs.alias("pairs"), x.alias("values"),
             F.size(F.filter(x, lambda v: v >= middle)).alias("high"),
             (1 + F.size(F.filter(pairs, lambda p: (p["a"] >= middle) != (p["b"] >= middle)))).alias("runs"),
@@ -124,7 +124,7 @@ def tested(tokens: Column) -> Column:
         base = F.aggregate(m["values"], F.lit(0.0), lambda s, v: s + (v - m["mean"]) * (v - m["mean"]))
         z_serial = F.when(base > 0, (top / base + 1 / n) * F.sqrt(n)).otherwise(9.0)
         return F.struct(
-            *[m[c].alias(c) for c in ("start", "end", "n")],
+            *[m[c].alias(c) for c in ("start", "end", "n", "h")],
             _tail(z_chi).alias("uniform"), (2 * _tail(F.abs(z_runs))).alias("runs"),
             (2 * _tail(F.abs(z_serial))).alias("serial"),
         )
@@ -133,13 +133,13 @@ def tested(tokens: Column) -> Column:
         x = F.lit(0.0)
         for c in ("uniform", "runs", "serial"):
             x = x - F.log(F.greatest(m[c], F.lit(1e-30)))
-        return F.struct(m["start"].alias("start"), m["end"].alias("end"), m["n"].alias("n"), x.alias("x"))
+        return F.struct(*[m[c].alias(c) for c in ("start", "end", "n", "h")], x.alias("x"))
 
     def final(m: Column) -> Column:  # upper tail of chi-squared with 6 degrees at 2x
         p = F.exp(-m["x"]) * (1 + m["x"] + m["x"] * m["x"] / 2)
-        return F.struct(m["start"].alias("start"), m["end"].alias("end"), m["n"].alias("n"), p.alias("p"))
+        return F.struct(*[m[c].alias(c) for c in ("start", "end", "n", "h")], p.alias("p"))
 
-    known = F.filter(F.transform(F.transform(mixed, bare), encoded), lambda m: m["alphabet"].isNotNull() & (F.length(m["token"]) >= LENGTH_CLASSES[0]))
+    known = F.filter(F.transform(F.transform(lettered, bare), encoded), lambda m: m["alphabet"].isNotNull() & (F.length(m["token"]) >= LENGTH_CLASSES[0]))
     steps = known
     for step in (counted, measured, scored, combined, final):
         steps = F.transform(steps, step)
@@ -159,11 +159,14 @@ def thresholds(found: DataFrame, rate: float = FALSE_DISCOVERIES) -> dict[int, i
 
     p values of random tokens are uniform, so twice the number of those above one half
     estimates how many there are. What lies above a bin beyond their share is false; the
-    lowest bin whose false share is at most `rate` is taken, none if there is none.
+    lowest bin whose false share is at most `rate` is taken, none if there is none. Every token
+    counts once, however many copies of it there are.
     """
     bins = (
         found.select(F.explode("tokens").alias("t"))
-        .groupBy(_class(F.col("t.n")).alias("length_class"), _bin(F.col("t.p")).alias("bin"))
+        .select("t.h", _class(F.col("t.n")).alias("length_class"), _bin(F.col("t.p")).alias("bin"))
+        .distinct()
+        .groupBy("length_class", "bin")
         .agg(F.count("*").alias("n"))
     )
     group = Window.partitionBy("length_class")
@@ -185,8 +188,8 @@ def scan(documents: DataFrame, carry: list[str], text_col: str = "text", staging
 
     Positions are code points, the end exclusive. Null texts are empty. Base kinds are all
     kept; a token is added as kind `random` if it overlaps none of them and its p value
-    passes the threshold of its length class, learned from all rows. Runs without a digit
-    or a letter have no inferred encoding. Rows are never shuffled or joined: repeated rows
+    passes the threshold of its length class, learned from all distinct tokens.
+    Runs without a letter are numbers: they have no inferred encoding. Rows are never shuffled or joined: repeated rows
     and null ids are rows like others. A carried column must not be called `secrets`.
     """
     folder = shared_folder(documents.sparkSession, staging)
