@@ -79,3 +79,15 @@ def test_odd_rows(odd_documents, no_documents):
     assert len(made) == odd_documents.count()
     assert all(not r.added for r in made)
     assert pb.find_personal_data(no_documents, ["doc_id"]).collect() == []
+
+
+def test_a_rare_kind_keeps_its_threshold_beside_a_frequent_one(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = ["same mail again a.b@c.org and pages 12-345 of it"] * 20_000
+    calls = [f"{rng.choice(['call', 'or', 'x'])} +1 (2{rng.randrange(10, 99)}) 555-{rng.randrange(1000, 9999)} today" for _ in range(60)]
+    calls += [f"pages {rng.randrange(10, 99)}-{rng.randrange(100, 999)}" for _ in range(60)]
+    calibrated, seen = pb._calibrated, []
+    monkeypatch.setattr(pb, "_calibrated", lambda *a: seen.append(calibrated(*a)) or seen[-1])
+    for texts in (calls, rows + calls):
+        pb.find_personal_data(spark.createDataFrame([(t,) for t in texts], "text string"), ["text"], sample=400)
+    assert all(3 in limits for limits in seen) and len(seen) == 2

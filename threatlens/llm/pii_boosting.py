@@ -7,10 +7,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threatlens.llm.graphs import sampled
+from threatlens.llm.graphs import low_hash
 from threatlens.session import shared_folder, stage
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -32,8 +32,10 @@ GENERATORS = [
 HINTS = re.compile(r"(mail|contact|phone|tel|call|fax|mobile|card|visa|ip|host|addr)\W*$", re.IGNORECASE)
 NEAR = 24
 
-#: The bound of the training sample, and how sure an added span must be.
+#: The bound of the training sample, dealt evenly to kinds and labels, and how sure an added
+#: span must be. Scores are counted in so many bins.
 SAMPLE = 20_000
+SCORE_BINS = 1_000
 TREES, DEPTH, SEED = 12, 4, 1
 PRECISION = 0.98
 
@@ -149,25 +151,38 @@ def _generate(documents: DataFrame, carry: list[str], text_col: str) -> DataFram
     return documents.select(*carry, F.col(text_col).alias("_text")).mapInArrow(run, schema)
 
 
-def _calibrated(model: GBTClassificationModel, held_out: DataFrame, precision: float) -> dict[int, float]:
-    """Per kind the lowest score at and above which the held-out precision is high enough."""
-    scored = model.transform(held_out).select("kind", "label", _score().alias("p")).toPandas()
-    limits = {}
-    for kind, part in scored.groupby("kind"):
-        part = part.sort_values("p", ascending=False)
-        right = part["label"].cumsum().to_numpy() / np.arange(1, len(part) + 1)
-        p = part["p"].to_numpy()
-        last_of_score = np.r_[p[1:] != p[:-1], True]
-        good = np.flatnonzero((right >= precision) & last_of_score)
-        if len(good):
-            limits[int(kind)] = float(p[good[-1]])
-    return limits
+def _sample(examples: DataFrame, bound: int) -> DataFrame:
+    """Of each kind and label at most `bound` examples, those with the smallest hash `place`."""
+    share = F.lit(0.0)
+    for kind, label, n in examples.groupBy("kind", "label").count().collect():  # two rows per kind
+        share = F.when((F.col("kind") == kind) & (F.col("label") == label), min(1.0, 2 * bound / n)).otherwise(share)
+    nth = F.row_number().over(Window.partitionBy("kind", "label").orderBy("place"))
+    return examples.filter(low_hash(F.col("place"), share)).withColumn("nth", nth).filter(F.col("nth") <= bound).drop("nth")
+
+
+def _calibrated(model: GBTClassificationModel, held_out: DataFrame, precision: float) -> dict[int, int]:
+    """Per kind the lowest bin of scores from which on the held-out precision is high enough.
+
+    All held-out examples are scored by the executors; the driver gets their counts by bin.
+    """
+    bins = (
+        model.transform(held_out).groupBy("kind", _bin().alias("bin"))
+        .agg(F.count("*").alias("n"), F.sum("label").alias("right"))
+    )
+    above = Window.partitionBy("kind").orderBy(F.desc("bin"))
+    good = F.sum("right").over(above) >= F.lit(precision) * F.sum("n").over(above)
+    rows = bins.select("kind", "bin", good.alias("good")).filter("good").groupBy("kind").agg(F.min("bin")).collect()
+    return dict(map(tuple, rows))  # one row per kind
 
 
 def _score() -> Column:
     return vector_to_array("probability")[1]
 
 
+def _bin() -> Column:
+    return F.floor(_score() * SCORE_BINS).cast("int")
+
+
 def find_personal_data(
     documents: DataFrame,
     carry: list[str],
@@ -179,36 +194,41 @@ def find_personal_data(
     """The carried columns of every row, `base` and `added` spans: (kind, start, end).
 
     Positions are code points, ends exclusive; kind counts in KINDS. Base spans always
-    stay. Boosted trees learn from a bounded, hashed sample of candidates, base spans
-    against proposals apart from them, by format and context; a quarter of the sample
-    calibrates a threshold for each kind. Proposals that pass are added, of overlapping ones
-    the best (then the first). Without examples of both labels nothing is added. Null texts
-    are empty; repeated rows are scanned alike; nulls and other columns do no harm. A
-    carried column must not be called base, added or uid.
+    stay. Boosted trees learn from a bounded, hashed sample of candidates, as many of each kind
+    and label, base spans against proposals apart from them, by format and context. Candidates
+    with equal kind, label and features are one example. A quarter of all examples, by hash, is
+    held out, and all of it calibrates a threshold for each kind. Proposals that pass are added,
+    of overlapping ones the best (then the first). Without examples of both labels nothing is
+    added, nor of a kind that has no base span among the held-out examples: tables with a few
+    spans of a kind may have none. Null texts are empty; repeated rows are scanned alike; nulls
+    and other columns do no harm. A carried column must not be called base, added or uid.
     """
     folder = shared_folder(documents.sparkSession, staging)
     found = stage(
         _generate(documents, carry, text_col).withColumn("uid", F.monotonically_increasing_id()), f"{folder}/found"
     )
     every = found.select("uid", F.explode("candidates").alias("c")).select("uid", "c.*")
-    place = F.xxhash64("uid", "kind", "start", "end")
-    learned = stage(
-        sampled(every.withColumn("place", place), "place", sample)
+    examples = stage(
+        every.select("kind", "label", "features").distinct().withColumn("place", F.xxhash64("kind", "label", "features"))
+        .withColumn("held_out", F.pmod(F.xxhash64("place"), F.lit(4)) == 0),
+        f"{folder}/examples",
+    )
+    training = stage(
+        _sample(examples.filter("not held_out"), max(sample // (2 * len(KINDS)), 1))
         .withColumn("features", array_to_vector("features")), f"{folder}/sample"
     )
-    part = F.pmod("place", F.lit(4)) == 0
-    training = learned.filter(~part)
     if training.select("label").distinct().count() < 2:
         return found.select(*carry, "base", F.expr(f"cast(array() as {SPANS})").alias("added"))
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(training)
-    limits = _calibrated(model, learned.filter(part), precision)
+    held_out = examples.filter("held_out").withColumn("features", array_to_vector("features"))
+    limits = _calibrated(model, held_out, precision)
 
-    limit = F.lit(2.0)
+    limit = F.lit(SCORE_BINS + 1)
     for kind, low in limits.items():
         limit = F.when(F.col("kind") == kind, low).otherwise(limit)
     proposals = every.filter("label = 0").withColumn("features", array_to_vector("features"))
     passed = (
-        model.transform(proposals).withColumn("p", _score()).filter(F.col("p") >= limit)
+        model.transform(proposals).withColumn("p", _score()).filter(_bin() >= limit)
         .groupBy("uid")
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("p")).alias("p"), "start", "end", "kind"))).alias("passed"))
     )
