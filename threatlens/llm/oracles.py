@@ -18,3 +18,84 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+#: The CRC-32 of the UTF-8 bytes of a text column `said`, bit by bit from its polynomial.
+_CRC_TABLE = """
+crc_steps(i, c, step) AS (
+  SELECT i, i, 0 FROM range(256) t(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM crc_steps WHERE step < 8
+), crc_table AS (SELECT list(c ORDER BY i) AS t FROM crc_steps WHERE step = 8)
+"""
+_CRC = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode({said}))),
+      lambda k: ('0x' || substr(hex(encode({said})), CAST(2 * k + 1 AS BIGINT), 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])))"""
+
+#: One row a step, the lightest of each state kept; insertions go before a row or at the end.
+REPAIR = (
+    "WITH RECURSIVE " + _CRC_TABLE + r""", said AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS said
+  FROM conversations
+), kinds AS (
+  SELECT conv_id, turn, role, text, """ + _CRC.format(said="said") + r""" % 20 AS kind FROM said, crc_table
+), left_over AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM kinds, range(CASE WHEN kind = 3 THEN 2 ELSE 1 END) WHERE kind <> 0
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM left_over
+), judged AS (
+  SELECT *, left(role, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS copy,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS earlier
+  FROM numbered
+), faults AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN copy > 1 THEN 'duplicate'
+    WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM judged
+), step(q, x, nxt) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+), inserted(q, nxt, price, letters, lines) AS (
+  SELECT DISTINCT q, q, 0, '', CAST([] AS VARCHAR[]) FROM step
+  UNION ALL SELECT q, nxt, 3, 'I', [CASE x WHEN 'u' THEN 'user:' ELSE 'assistant:' END] FROM step WHERE x <> 's'
+  UNION ALL SELECT a.q, b.nxt, 6, 'II', list_transform([a.x, b.x], lambda x: CASE x WHEN 'u' THEN 'user:' ELSE 'assistant:' END)
+    FROM step a JOIN step b ON b.q = a.nxt WHERE a.x <> 's' AND b.x <> 's'
+), edit AS (
+  SELECT conv_id, i, 'D' AS letter, '-' AS x, 4 AS price, CAST([] AS VARCHAR[]) AS lines FROM faults
+  UNION ALL SELECT conv_id, i, 'K', initial, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END, [role || ':' || text]
+    FROM faults WHERE fault NOT IN ('blank', 'duplicate') AND initial IN ('s', 'u', 'a')
+  UNION ALL SELECT conv_id, i, 'R', x, CASE fault WHEN 'truncated' THEN 6 ELSE 3 END,
+    [CASE x WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text]
+    FROM faults, (VALUES ('u'), ('a')) r(x) WHERE fault NOT IN ('blank', 'duplicate')
+), moves AS (
+  SELECT e.conv_id, e.i, n.q, coalesce(s.nxt, n.nxt) AS nxt, n.price + e.price AS price,
+    n.letters || e.letter AS letters, n.lines || e.lines AS lines
+  FROM edit e CROSS JOIN inserted n LEFT JOIN step s ON s.q = n.nxt AND s.x = e.x
+  WHERE e.x = '-' OR s.x IS NOT NULL
+), derived(conv_id, i, q, cost, audit, lines) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 0, 0, '', CAST([] AS VARCHAR[]) FROM numbered
+  UNION ALL
+  SELECT conv_id, i, q, cost, audit, lines FROM (
+    SELECT d.conv_id, m.i, m.nxt AS q, d.cost + m.price AS cost, d.audit || m.letters AS audit, d.lines || m.lines AS lines
+    FROM derived d JOIN moves m ON m.conv_id IS NOT DISTINCT FROM d.conv_id AND m.i = d.i + 1 AND m.q = d.q
+    QUALIFY row_number() OVER (PARTITION BY d.conv_id, m.nxt ORDER BY d.cost + m.price, d.audit || m.letters) = 1
+  )
+), counted AS (
+  SELECT conv_id, count(*) AS n, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (i > 1 AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id
+), whole AS (
+  SELECT c.*, d.cost + f.price AS cost, d.audit || f.letters AS audit, array_to_string(d.lines || f.lines, chr(10)) AS said
+  FROM counted c JOIN derived d ON d.conv_id IS NOT DISTINCT FROM c.conv_id AND d.i = c.n
+    JOIN inserted f ON f.q = d.q AND f.nxt IN (0, 3)
+  QUALIFY row_number() OVER (PARTITION BY c.conv_id ORDER BY d.cost + f.price, d.audit || f.letters) = 1
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN whole w ON w.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+)

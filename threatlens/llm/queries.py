@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from threatlens.llm import (
     chat_trees,
+    conversation_repair,
     decontamination,
     embedding_dedup,
     language_id,
@@ -132,6 +133,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_ball.simhash_groups(_documents(spark, sf_dir))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "conversations")
+    folder = shared_folder(spark)
+    repaired = conversation_repair.repair(conversation_repair.damaged(rows))
+    digests = stage(conversation_repair.digests(repaired.rows), f"{folder}/digests")
+    made = repaired.conversations.join(digests.withColumnRenamed("conv_id", "own"), F.col("conv_id").eqNullSafe(F.col("own")), "left")
+    made = made.drop("own").withColumnRenamed("conv_id", "own")
+    zeros = [
+        F.coalesce(c, F.lit(0).cast("long")).alias(c)
+        for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    ]
+    return rows.select("conv_id").distinct().join(made, F.col("conv_id").eqNullSafe(F.col("own")), "left").select(
+        "conv_id", *zeros, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_nn_descent": op1_nn_descent,
@@ -144,9 +162,10 @@ def queries() -> dict[str, Query]:
         "op8_pii": op8_pii,
         "op9_decontamination": op9_decontamination,
         "op10_simhash": op10_simhash,
+        "op13_repair": op13_repair,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_reply_trees": sql.REPLY_TREES}
+    return {"op2_reply_trees": sql.REPLY_TREES, "op13_repair": sql.REPAIR}
