@@ -99,3 +99,38 @@ SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN whole w ON w.conv_id IS NOT DISTINCT FROM o.conv_id
 """
 )
+
+#: Words meet in patterns with one letter replaced by a mark, or left out.
+SPELLING = (
+    "WITH RECURSIVE " + _CRC_TABLE + r""", runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+  FROM documents
+), counted AS (SELECT id, run, id || ':' || run AS said, count(*) AS n FROM runs GROUP BY id, run
+), hashed AS (SELECT run, n, """ + _CRC.format(said="said") + r""" AS h FROM counted, crc_table
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+    FROM hashed
+  ) GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3
+), cut AS (
+  SELECT DISTINCT word, n, left(word, k) || '*' || substr(word, k + 2) AS marked, left(word, k) || substr(word, k + 2) AS shorter
+  FROM (SELECT word, n, unnest(range(length(word))) AS k FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.marked = b.marked AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.shorter = w.word
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.shorter = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS other, max(m) AS m FROM near GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * w.n THEN other END AS form,
+    CASE WHEN m >= 2 * w.n THEN m END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word
+), chain(word, reached) AS (
+  SELECT word, word FROM forms
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.reached WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.reached AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chain c ON c.word = f.word JOIN forms e ON e.word = c.reached AND e.form IS NULL
+"""
+)

@@ -19,6 +19,7 @@ from threatlens.llm import (
     ring_sharding,
     secret_scan,
     simhash_ball,
+    spelling_variants,
 )
 from threatlens.llm import oracles as sql
 from threatlens.session import shared_folder, stage
@@ -133,6 +134,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_ball.simhash_groups(_documents(spark, sf_dir))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling_variants.dictionary(spelling_variants.words_of(_documents(spark, sf_dir)))
+    return spelling_variants.spelling_forms(words)
+
+
 def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "conversations")
     folder = shared_folder(spark)
@@ -162,10 +168,11 @@ def queries() -> dict[str, Query]:
         "op8_pii": op8_pii,
         "op9_decontamination": op9_decontamination,
         "op10_simhash": op10_simhash,
+        "op11_spelling": op11_spelling,
         "op13_repair": op13_repair,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_reply_trees": sql.REPLY_TREES, "op13_repair": sql.REPAIR}
+    return {"op2_reply_trees": sql.REPLY_TREES, "op11_spelling": sql.SPELLING, "op13_repair": sql.REPAIR}
