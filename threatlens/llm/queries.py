@@ -12,6 +12,7 @@ from threatlens.llm import (
     conversation_repair,
     decontamination,
     embedding_dedup,
+    kmeans_search,
     language_id,
     packing,
     paragraph_dedup,
@@ -139,6 +140,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.spelling_forms(words)
 
 
+def op12_kmeans_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_search.search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0).rows
+
+
 def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "conversations")
     folder = shared_folder(spark)
@@ -169,6 +174,7 @@ def queries() -> dict[str, Query]:
         "op9_decontamination": op9_decontamination,
         "op10_simhash": op10_simhash,
         "op11_spelling": op11_spelling,
+        "op12_kmeans_search": op12_kmeans_search,
         "op13_repair": op13_repair,
         "pipeline": corpus_pipeline.run,
     }
