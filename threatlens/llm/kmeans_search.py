@@ -185,7 +185,7 @@ def _tiles(rows: DataFrame, counts: dict[int, int], each: int, name: str, fields
 
 def search(
     vectors: DataFrame,
-    asked: Column,
+    asked: Column | str,
     k: int = NEIGHBOURS,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
