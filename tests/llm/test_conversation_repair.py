@@ -98,7 +98,7 @@ def test_no_rows_and_dropped_conversations(spark, tmp_path):
     empty = spark.createDataFrame([], COLUMNS)
     made = cr.repair(empty)
     assert made.conversations.collect() == [] and made.rows.collect() == [] and cr.digests(made.rows).collect() == []
-    rows = [(i, t, None if i % 3 else "user", None if t else "Hi.") for i in range(90) for t in ((0, None) if i % 2 else (0,))] + [(None, None, None, None)]
+    rows = [(i, t, None if i % 3 else "user", None if t else "Hi.") for i in range(200) for t in ((0, None) if i % 7 else (0,))] + [(None, None, None, None)]
     spark.createDataFrame(rows, COLUMNS).write.parquet(f"{tmp_path}/conversations.parquet")
     found = queries.op13_repair(spark, str(tmp_path)).collect()
     assert sorted(str(r.conv_id) for r in found) == sorted({str(r[0]) for r in rows})

@@ -16,7 +16,7 @@ LEAST_LETTERS, LEAST_COUNT, DAMAGE = 5, 3, 97
 #: A word's form is this many times as frequent.
 RATIO = 2
 #: Nodes above this depth lie in several subtries and are numbered by their letters.
-STEM = 2
+STEM = 3
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
