@@ -6,7 +6,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatlens.functions.times import latest_event, utc_wall_clock
+from threatlens.functions.times import latest_event, utc_instant, utc_wall_clock
 from threatlens.operators import alerts as al
 from threatlens.operators import detectors as det
 from threatlens.operators import reputation as rep
@@ -23,8 +23,8 @@ from threatlens.streaming.app import start_detectors
 Query = Callable[[SparkSession, str], DataFrame]
 LogQuery = Callable[[DataFrame], DataFrame]
 
-# A replay is cut into this many micro-batches, in time order.
-REPLAY_BATCHES = 3
+# A replay is cut into this many micro-batches or more, in time order, of this many rows or less.
+REPLAY_BATCHES, ROWS_PER_BATCH = 3, 20_000_000
 # Days over which `spread` deals the logs.
 SPREAD_DAYS = 5
 
@@ -204,7 +204,8 @@ def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     early = found.filter(F.col("log_id") % 2 == 0).withColumn("distinct_targets", F.lit(7).cast("bigint"))
     early = kt.attack_pattern_rows(early.withColumn("window_start", F.col("timestamp")), as_of - F.expr("INTERVAL 1 DAY"))
     kt.upsert(early, path, kt.ATTACK_PATTERN_KEYS)
-    kt.upsert(kt.attack_pattern_rows(found.filter(F.col("log_id") % 3 > 0), as_of), path, kt.ATTACK_PATTERN_KEYS)
+    late = found.filter((F.col("log_id") % 2 == 1) | (F.col("log_id") % 3 > 0))
+    kt.upsert(kt.attack_pattern_rows(late, as_of), path, kt.ATTACK_PATTERN_KEYS)
     kt.upsert(
         kt.attack_pattern_rows(det.port_scan(logs), as_of, "PORT_SCAN"), path, kt.ATTACK_PATTERN_KEYS
     )
@@ -284,37 +285,35 @@ def log_type_partition(logs: DataFrame) -> DataFrame:
 
 # --- streams --------------------------------------------------------------------
 
-def _in_time_order(logs: DataFrame, close: bool) -> list[DataFrame]:
-    """The logs cut into slices of equal length of time.
+def _in_time_order(spark: SparkSession, logs: DataFrame, folder: str, close: bool) -> list[DataFrame]:
+    """The logs cut, in time order, into slices of about equal numbers of rows.
 
-    `close` adds a slice with one quiet TCP row of each log type an hour later: windows
-    that are reported when they have closed need a later event.
+    The cuts are quantiles, so a burst is spread over slices; the rows are staged once, one
+    folder a slice. `close` adds a slice with one quiet TCP row of each log type an hour later:
+    windows that are reported when they have closed need a later event.
     """
-    first, last = logs.agg(F.min("timestamp"), F.max("timestamp")).first()
-    if first is None:
-        return [logs]
-    bounds = [first + (last - first) * i / REPLAY_BATCHES for i in range(REPLAY_BATCHES)]
-    at = F.col("timestamp")
-    slices = [logs.filter((at >= low) & (at < high)) for low, high in zip(bounds, bounds[1:], strict=False)]
-    slices.append(logs.filter(at >= bounds[-1]))
-    if close:
+    at = F.unix_micros(utc_instant(logs, "timestamp"))
+    rows, last = logs.agg(F.count("*"), F.max("timestamp")).first()
+    parts = max(REPLAY_BATCHES, -(-rows // ROWS_PER_BATCH))
+    shares = [i / parts for i in range(1, parts)]
+    cuts = logs.agg(F.percentile_approx(at, shares, 100 * parts)).first()[0] or []
+    number = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < at)) if cuts else F.lit(0)
+    numbered = logs.withColumn("slice", number)
+    numbered.write.partitionBy("slice").parquet(f"{folder}/slices")
+    staged = spark.read.schema(numbered.schema).parquet(f"{folder}/slices")
+    slices = [staged.filter(F.col("slice") == i).drop("slice") for i in range(parts)]
+    if close and last is not None:
         rows = [(t, last + timedelta(hours=1)) for t in messages.LOG_TYPE_PARTITIONS]
-        quiet = logs.sparkSession.createDataFrame(rows, "log_type string, timestamp timestamp_ntz")
+        quiet = spark.createDataFrame(rows, "log_type string, timestamp timestamp_ntz")
         fixed = {"source_ip": "closing", "protocol": "TCP", "action": "allowed"}
         filled = {c: F.lit(fixed.get(c)).cast(logs.schema[c].dataType) for c in logs.columns if c not in quiet.columns}
         slices.append(quiet.withColumns(filled).select(logs.columns))
     return slices
 
 
-def _publish(slices: list[DataFrame], topic: str) -> None:
-    for part in slices:
-        messages.publish_logs(part, "files", one_file_per_type=True, path=topic)
-
-
-def _run_detectors(spark: SparkSession, folder: str, names: list[str], checkpoints: str, per_trigger: int) -> None:
-    logs = messages.parse_log_json(
-        messages.read_stream(spark, "files", path=f"{folder}/topic", maxFilesPerTrigger=str(per_trigger))
-    )
+def _run_detectors(spark: SparkSession, folder: str, names: list[str], checkpoints: str, **limits: str) -> None:
+    """Takes what the topic holds beyond the checkpoints: one micro-batch, without limits."""
+    logs = messages.parse_log_json(messages.read_stream(spark, "files", path=f"{folder}/topic", **limits))
     running = start_detectors(
         logs, f"{folder}/alerts", f"{folder}/{checkpoints}", names, trigger={"availableNow": True}
     )
@@ -322,24 +321,19 @@ def _run_detectors(spark: SparkSession, folder: str, names: list[str], checkpoin
         stream.awaitTermination()
 
 
-def _files_per_slice(spark: SparkSession, topic: str, slices: int) -> int:
-    """Files of one slice: a trigger must not take a part of the next, which would end it early."""
-    files = len(spark.read.schema(messages.RECORD).parquet(topic).inputFiles())
-    if files % slices:
-        raise RuntimeError(f"{files} files in {slices} slices: a slice lacks a log type")
-    return files // slices
+def replay(*names: str, close: bool = False, **limits: str) -> Query:
+    """Publishes the logs as messages, slice by slice in time order, lets detectors with the
+    default watermark take each slice, and reads the alerts.
 
-
-def replay(*names: str) -> Query:
-    """Publishes the logs as messages in time order, replays them through detectors with the
-    default watermark, one micro-batch per slice, and reads the alerts."""
+    Files arrive as Spark writes them, in parallel; a slice is taken once it is there as a
+    whole. With `limits` (for detectors without windows) a slice takes several micro-batches.
+    """
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = shared_folder(spark)
-        slices = _in_time_order(fixtures.security_logs(spark, sf_dir), "port_scan" in names)
-        _publish(slices, f"{folder}/topic")
-        per_trigger = _files_per_slice(spark, f"{folder}/topic", len(slices))
-        _run_detectors(spark, folder, list(names), "checkpoints", per_trigger)
+        for part in _in_time_order(spark, fixtures.security_logs(spark, sf_dir), folder, close):
+            messages.publish_logs(part, "files", path=f"{folder}/topic")
+            _run_detectors(spark, folder, list(names), "checkpoints", **limits)
         return joined_arrays(alert_log.read_alerts(spark, f"{folder}/alerts"))
 
     return query
@@ -348,11 +342,12 @@ def replay(*names: str) -> Query:
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detectors that stop after part of the topic, and start again without their checkpoint."""
     folder, names = shared_folder(spark), ["brute_force", "signatures"]
-    slices = _in_time_order(fixtures.security_logs(spark, sf_dir), False)
-    _publish(slices[:2], f"{folder}/topic")
-    _run_detectors(spark, folder, names, "before", _files_per_slice(spark, f"{folder}/topic", 2))
-    _publish(slices[2:], f"{folder}/topic")
-    _run_detectors(spark, folder, names, "after", _files_per_slice(spark, f"{folder}/topic", len(slices)))
+    *early, late = _in_time_order(spark, fixtures.security_logs(spark, sf_dir), folder, False)
+    for part in early:
+        messages.publish_logs(part, "files", path=f"{folder}/topic")
+        _run_detectors(spark, folder, names, "before")
+    messages.publish_logs(late, "files", path=f"{folder}/topic")
+    _run_detectors(spark, folder, names, "after")
     return joined_arrays(alert_log.read_alerts(spark, f"{folder}/alerts"))
 
 
@@ -447,10 +442,11 @@ def queries() -> dict[str, Query]:
         "stored_stats": stored_stats,
         # streams
         "stream_brute_force": replay("brute_force"),
-        "stream_signature": replay("signatures"),
+        "stream_signature": replay("signatures", maxFilesPerTrigger="16"),
         "stream_volume": replay("volume"),
         "stream_all": replay("brute_force", "signatures", "volume"),
-        "stream_port_scan": replay("port_scan"),
+        "stream_port_scan": replay("port_scan", close=True),
+        "stream_port_scan_early": replay("port_scan", "port_scan_early"),
         "stream_restart": stream_restart,
     }
 

@@ -344,7 +344,7 @@ def oracle_sql() -> dict[str, str]:
               SELECT attack_category AS attack_type, source_ip FROM patterns WHERE log_id % 2 = 0
               EXCEPT SELECT * FROM late_keys), moment
             UNION ALL SELECT * FROM pattern_table WHERE attack_type = 'PORT_SCAN'""",
-            late_keys="SELECT DISTINCT attack_category AS attack_type, source_ip FROM patterns WHERE log_id % 3 > 0",
+            late_keys="SELECT DISTINCT attack_category AS attack_type, source_ip FROM patterns WHERE log_id % 2 = 1 OR log_id % 3 > 0",
         ),
         "json_parse": _logs(
             "SELECT log_id, "
@@ -532,5 +532,6 @@ def oracle_sql() -> dict[str, str]:
         "stream_volume": stream("'VOLUME_ANOMALY'"),
         "stream_all": stream(f"'BRUTE_FORCE', 'VOLUME_ANOMALY', {signature_types}"),
         "stream_port_scan": stream("'PORT_SCAN'"),
+        "stream_port_scan_early": stream("'PORT_SCAN'"),
         "stream_restart": stream(f"'BRUTE_FORCE', {signature_types}"),
     }

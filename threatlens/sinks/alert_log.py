@@ -21,6 +21,8 @@ from threatlens.session import delete_folder, path_exists
 from threatlens.sinks.keyed_tables import last_per_key
 
 ALERT_KEYS = ["alert_id"]
+#: The query whose counts are estimates; of equal emissions the exact one counts.
+EARLY_PORT_SCAN = "port_scan_early"
 EMISSION = T.StructType(
     ALERT.fields
     + [T.StructField("query", T.StringType()), T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())]
@@ -58,7 +60,7 @@ def read_alerts(spark: SparkSession, path: str, since: datetime | None = None) -
     """The current state of every alert, or of those last seen after `since`.
 
     A window only grows: its furthest emission has the newest event, then the most events,
-    then the latest batch. So `since` may be applied before merging, where Parquet
+    then exact counts, then the latest batch. So `since` may be applied before merging, where Parquet
     statistics skip the files of older batches.
     """
     if not path_exists(spark, path):
@@ -66,7 +68,8 @@ def read_alerts(spark: SparkSession, path: str, since: datetime | None = None) -
     emissions = spark.read.schema(EMISSION).parquet(path)
     if since is not None:
         emissions = emissions.filter(F.col("last_seen") > as_of_column(since))
-    furthest = [F.col(c) for c in ("last_seen", "event_count", "bytes_total", "batch")]
+    exact = F.col("query") != EARLY_PORT_SCAN
+    furthest = [F.col("last_seen"), F.col("event_count"), F.col("bytes_total"), exact, F.col("batch")]
     return last_per_key(emissions, ALERT_KEYS, *furthest).select(*ALERT_COLUMNS)
 
 
