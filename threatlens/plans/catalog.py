@@ -18,6 +18,7 @@ from threatlens.sinks import alert_log
 from threatlens.sinks import keyed_tables as kt
 from threatlens.sources import files, fixtures, messages
 from threatlens.sources.normalize import normalize_raw_logs
+from threatlens.streaming import live_state
 from threatlens.streaming.app import start_detectors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -339,6 +340,22 @@ def replay(*names: str, close: bool = False, **limits: str) -> Query:
     return query
 
 
+def stream_live_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live summary of every source, kept by a stream over days of stored alerts."""
+    folder = shared_folder(spark)
+    logs = spread(fixtures.security_logs(spark, sf_dir))
+    detectors = {
+        "brute_force": det.brute_force, "volume": det.volume_anomaly, "signatures": det.signature_alerts,
+        "port_scan": det.port_scan,
+    }
+    for name, detector in detectors.items():
+        alert_log.alert_writer(f"{folder}/alerts", name, run="batch")(detector(logs), 0)
+    live_state.start_live_state(
+        spark, f"{folder}/alerts", f"{folder}/live", f"{folder}/checkpoint", {"availableNow": True}, maxFilesPerTrigger="8"
+    ).awaitTermination()
+    return joined_arrays(live_state.read_live_state(spark, f"{folder}/live"))
+
+
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detectors that stop after part of the topic, and start again without their checkpoint."""
     folder, names = shared_folder(spark), ["brute_force", "signatures"]
@@ -448,6 +465,7 @@ def queries() -> dict[str, Query]:
         "stream_port_scan": replay("port_scan", close=True),
         "stream_port_scan_early": replay("port_scan", "port_scan_early"),
         "stream_restart": stream_restart,
+        "stream_live_state": stream_live_state,
     }
 
 

@@ -282,13 +282,14 @@ def _select(views: list[str], sql: str, **override: str) -> str:
     return "WITH " + ", ".join(f"{v} AS ({bodies[v]})" for v in views) + f" {sql}"
 
 
-def _spread(views: list[str], sql: str) -> str:
+def _spread(views: list[str], sql: str, **override: str) -> str:
     """A query over the logs dealt over five days, as the view `spread`."""
     bodies = {
         "spread": 'SELECT * REPLACE ("timestamp" + to_days(CAST(log_id % 5 AS INTEGER)) AS "timestamp") FROM security_logs',
         "logs": "SELECT * FROM spread",
         "moment": 'SELECT max("timestamp") AS as_of FROM spread',
         "timeline": VIEWS["timeline"].replace("FROM security_logs", "FROM spread"),
+        **override,
     }
     return _select([*LOGS, "spread", *[v for v in views if v not in LOGS]], sql, **bodies)
 
@@ -533,5 +534,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_all": stream(f"'BRUTE_FORCE', 'VOLUME_ANOMALY', {signature_types}"),
         "stream_port_scan": stream("'PORT_SCAN'"),
         "stream_port_scan_early": stream("'PORT_SCAN'"),
+        "stream_live_state": _spread(
+            SUMMARY, "SELECT * FROM summary",
+            alerts="""SELECT * FROM all_alerts
+              WHERE last_seen > (SELECT max(last_seen) FROM all_alerts) - INTERVAL 24 HOUR""",
+        ),
         "stream_restart": stream(f"'BRUTE_FORCE', {signature_types}"),
     }
