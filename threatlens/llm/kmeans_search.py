@@ -20,7 +20,7 @@ BRANCHES, TURNS = 16, 8
 #: Vectors of the table that a leaf aims at, and the least of the sample that a node splits.
 LEAF_ROWS, LEAST_SPLIT = 256, 32
 #: Queries that calibrate the visits, and the recall that each half of them has to reach.
-CALIBRATED, RECALL, WIDER = 256, 0.95, 1.25
+CALIBRATED, RECALL, WIDER = 256, 0.94, 1 / 16
 #: Numbers in one side of a tile.
 TILE_NUMBERS = 131_072
 log = logging.getLogger(__name__)
@@ -62,9 +62,9 @@ def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.argmin((centres * centres).sum(axis=1) - 2 * (x @ centres.T), axis=1)
 
 
-def _split(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """The part of each vector among at most BRANCHES k-means clusters."""
-    centres = x[rng.choice(len(x), min(BRANCHES, len(x)), replace=False)]
+def _split(x: np.ndarray, branches: int, rng: np.random.Generator) -> np.ndarray:
+    """The part of each vector among k-means clusters."""
+    centres = x[rng.choice(len(x), branches, replace=False)]
     for _ in range(TURNS):
         part = _nearest(x, centres)
         sums = np.zeros_like(centres)
@@ -76,14 +76,13 @@ def _split(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
 
 def grow(sample: np.ndarray, share: float, first_leaf: int = 0) -> Tree:
     """A tree on a sample that is this share of the table; leaves are numbered from first_leaf."""
-    # Directions and lengths stay, the scale goes: sums of squares must not overflow.
     rng, centres, tree = np.random.default_rng(1), [sample.mean(axis=0)], Tree(np.empty(0), [[]], [0])
     todo, leaves = [(0, np.arange(len(sample)))], first_leaf
     while todo:
         node, rows = todo.pop()
         parts = []
         if len(rows) >= LEAST_SPLIT and len(rows) / share > LEAF_ROWS:
-            part = _split(sample[rows], rng)
+            part = _split(sample[rows], min(BRANCHES, int(len(rows) / share / LEAF_ROWS) + 1), rng)
             parts = [rows[part == p] for p in np.unique(part)]
         if len(parts) < 2:
             tree.leaf[node] = leaves
@@ -172,15 +171,17 @@ def calibrated(trees: dict[int, Tree], queries: pd.DataFrame, truth: pd.DataFram
         recalls = [float((h < visits).mean()) if len(h) else 1.0 for h in halves]
         if min(recalls) >= RECALL:
             return visits, min(recalls)
-        visits = int(visits * WIDER) + 1
+        visits += int(visits * WIDER) + 1
 
 
 def _tiles(rows: DataFrame, counts: dict[int, int], each: int, name: str, fields: list[str]) -> DataFrame:
-    """(leaf, name): packs of the rows of a leaf, as many as its count asks for."""
-    spark = rows.sparkSession
-    packs = spark.createDataFrame([(leaf, -(-n // each)) for leaf, n in counts.items()], "leaf long, packs int")
+    """(leaf, pack, one array a field): packs of the rows of a leaf, as many as its count asks for."""
+    packs = rows.sparkSession.createDataFrame([(leaf, -(-n // each)) for leaf, n in counts.items()], "leaf long, packs int")
     dealt = rows.join(F.broadcast(packs), "leaf").withColumn("pack", F.pmod(F.xxhash64("class_id"), F.col("packs")))
-    return dealt.groupBy("leaf", "pack").agg(F.collect_list(F.struct(*fields)).alias(name)).drop("pack")
+    packed = dealt.groupBy("leaf", "pack").agg(F.collect_list(F.struct(*fields)).alias("rows"))
+    return packed.select(
+        "leaf", F.col("pack").alias(f"{name}_pack"), *[F.col("rows")[f].alias(f"{name}_{f}") for f in fields]
+    )
 
 
 def search(
@@ -231,6 +232,8 @@ def search(
         trees[width] = grow(np.stack(part.to_list()), share, leaves)
         leaves += sum(not c for c in trees[width].children)
 
+    number = "<f4" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"
+
     def settle(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             width = frame["x"].map(len)
@@ -239,15 +242,16 @@ def search(
                 mine = np.flatnonzero(width == w)
                 if len(mine):
                     leaf[mine] = tree.assign(np.stack(frame["x"].iloc[mine].to_list()))
-            yield frame.assign(leaf=leaf)
+            packed = [np.asarray(x, dtype=number).tobytes() for x in frame["x"]]
+            yield frame.assign(first_id=frame["first_id"].astype("Int64"), leaf=leaf, packed=packed)
 
     settled = stage(
         classes.select("class_id", "x", F.col("members")[0]["unnamed"].alias("unnamed"), F.col("members")[0]["vec_id"].alias("first_id"))
-        .mapInPandas(settle, "class_id long, x array<double>, unnamed boolean, first_id long, leaf long"),
+        .mapInPandas(settle, "class_id long, x array<double>, unnamed boolean, first_id long, leaf long, packed binary"),
         f"{folder}/leaves",
     )
     counts = dict(settled.groupBy("leaf").count().collect())
-    wanted = settled.join(queries.select("class_id").distinct(), "class_id", "left_semi").select("class_id", "x")
+    wanted = settled.join(queries.select("class_id").distinct(), "class_id", "left_semi").select("class_id", "x", "packed")
     picked = sampled(wanted.withColumn("place", F.xxhash64(F.lit(1), "class_id")), "place", CALIBRATED)
     picked = picked.select("class_id", "x").toPandas()
     visits, recall = calibrated(trees, picked, _truth(settled, picked, k))
@@ -255,37 +259,39 @@ def search(
 
     def traverse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            taken = []
-            for x in frame["x"]:
-                mine, seen = [], 0
-                for leaf in trees[len(x)].visits(trees[len(x)].centres @ x) if len(x) in trees else [-len(x)]:
-                    if len(mine) >= visits and seen > k:
-                        break
-                    if counts.get(leaf):
-                        mine.append(leaf)
-                        seen += counts[leaf]
-                taken.append(mine)
-            yield frame.assign(leaf=taken).explode("leaf").astype({"leaf": "int64"})
-
-    visited = stage(wanted.mapInPandas(traverse, "class_id long, x array<double>, leaf long"), f"{folder}/visits")
+            for at in range(0, len(frame), 256):
+                taken, some = [], frame.iloc[at : at + 256]
+                for x in some["x"]:
+                    mine, seen = [], 0
+                    for leaf in trees[len(x)].visits(trees[len(x)].centres @ x) if len(x) in trees else [-len(x)]:
+                        if len(mine) >= visits and seen > k:
+                            break
+                        if counts.get(leaf):
+                            mine.append(leaf)
+                            seen += counts[leaf]
+                    taken.append(mine)
+                yield some[["class_id", "packed"]].assign(leaf=taken).explode("leaf").astype({"leaf": "int64"})
+
+    visited = stage(wanted.mapInPandas(traverse, "class_id long, packed binary, leaf long"), f"{folder}/visits")
     each = max(64, TILE_NUMBERS // widest)
-    asking = _tiles(visited, dict(visited.groupBy("leaf").count().collect()), each, "asking", ["class_id", "x"])
-    there = _tiles(settled, counts, each, "there", ["class_id", "unnamed", "first_id", "x"])
-
-    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for asking, there in zip(frame["asking"], frame["there"]):
-                i, j, score = _best(np.array([r["x"] for r in asking]), np.array([r["x"] for r in there]), k + 1)
-                yield pd.DataFrame({
-                    "q": np.array([r["class_id"] for r in asking])[i], "class_id": np.array([r["class_id"] for r in there])[j],
-                    "unnamed": np.array([r["unnamed"] for r in there])[j],
-                    "first_id": np.array([r["first_id"] or 0 for r in there], dtype=np.int64)[j], "score": score,
-                })
+    asking = _tiles(visited, dict(visited.groupBy("leaf").count().collect()), each, "q", ["class_id", "packed"])
+    there = _tiles(settled, counts, each, "c", ["class_id", "unnamed", "first_id", "packed"])
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        """One tile of queries against one tile of vectors: the group has one row."""
+        pair = frame.iloc[0]
+        q, c = (np.frombuffer(b"".join(pair[f]), dtype=number).reshape(len(pair[f]), -1).astype(float) for f in ("q_packed", "c_packed"))
+        i, j, score = _best(q, c, k + 1)
+        first_id = pd.array(list(pair["c_first_id"]), dtype="Int64")
+        return pd.DataFrame({
+            "q": np.asarray(pair["q_class_id"])[i], "class_id": np.asarray(pair["c_class_id"])[j],
+            "unnamed": np.asarray(pair["c_unnamed"])[j], "first_id": first_id[j], "score": score,
+        })
 
     def first_of(*order: Column | str) -> Column:
         return F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), *order))
 
-    met = asking.join(there, "leaf").select("asking", "there").mapInPandas(
+    met = asking.join(there, "leaf").groupBy("leaf", "q_pack", "c_pack").applyInPandas(
         compare, "q long, class_id long, unnamed boolean, first_id long, score double"
     )
     best = met.withColumn("place", first_of("unnamed", "first_id", "class_id")).filter(F.col("place") <= k + 1)
