@@ -85,6 +85,53 @@ def test_streaming_port_scan_is_exact_for_closed_windows(feed, make_logs):
     assert [(r.ip_source, r.threat_score, r.event_count) for r in rows] == [("scanner", 80, 51)]
 
 
+def test_early_port_scan_comes_with_the_target_that_passes_and_gives_way_to_the_exact_row(feed, spark, tmp_path):
+    add, run = feed
+    scan = [at(i * 2, source_ip="scanner", dest_ip=f"d{i}") for i in range(60)]
+    quiet = [at(i, source_ip="quiet", dest_ip=f"d{i % 20}") for i in range(50)]
+    add(*scan[:20], *quiet)
+    add(scan[20], at(3, source_ip="scanner", dest_ip="d1"))
+    add(*scan[21:], at(4, source_ip="scanner", dest_ip=None))
+    _, alerts = run("port_scan_early", "port_scan", delay="10 minutes")
+    assert [(r.ip_source, r.event_count) for r in alerts.collect()] == [("scanner", 62)]
+    folder = str(tmp_path / "alerts")
+    emissions = spark.read.parquet(folder).orderBy("batch").collect()
+    assert [(r.query, r.batch, r.event_count) for r in emissions] == [("port_scan_early", 1, 22), ("port_scan_early", 2, 62)]
+    add(at(3600, source_ip="later"))
+    _, alerts = run("port_scan_early", "port_scan", delay="10 minutes")
+    closed = spark.read.parquet(f"{folder}/query=port_scan").collect()
+    assert [r.alert_id for r in closed] == [r.alert_id for r in alerts.collect()] == [emissions[0].alert_id]
+    assert [tuple(r) for r in alerts.collect()] == [tuple(r)[:12] for r in closed]
+
+
+def test_target_sketch_is_exact_while_small_and_close_beyond(make_logs, spark):
+    rows = [at(0, source_ip=f"s{n}", dest_ip=f"{n}-{i}") for n in (20, 21, 22, 300) for i in range(n)]
+    logs = make_logs(*rows)
+    exact = det.port_scan(logs).orderBy("source_ip").collect()
+    assert det.port_scan_early(logs).select(det.port_scan(logs).columns).orderBy("source_ip").collect() == exact
+    many = spark.range(50_000).selectExpr(
+        "TIMESTAMP_NTZ'2023-10-15 14:00:00' AS timestamp", "'busy' AS source_ip", "CAST(id AS STRING) AS dest_ip",
+        "'TCP' AS protocol", "'ids' AS log_type",
+    )
+    assert abs(det.port_scan_early(many).first().distinct_targets / 50_000 - 1) < 0.05
+
+
+def test_replays_take_logs_that_come_in_bursts(spark, tmp_path):
+    import duckdb
+
+    from threatlens.plans import catalog, oracles
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.filter("event_id < 330 OR event_id = 500 OR event_id >= 670").write.parquet(f"{tmp_path}/events.parquet")
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    for name in ("stream_brute_force", "stream_restart"):
+        made = catalog.queries()[name](spark, str(tmp_path))
+        expected = connection.sql(oracles.oracle_sql()[name])
+        picked = expected.select(", ".join(made.columns)).fetchall()
+        assert sorted(map(str, map(tuple, made.collect()))) == sorted(map(str, picked)) and picked
+
+
 def test_a_growing_window_stays_one_alert(feed, spark, tmp_path):
     add, run = feed
     for _ in range(3):

@@ -86,7 +86,7 @@ def port_scan(
     rows = kt.attack_pattern_rows(
         _stored(scans, f"{output}/port_scans"), _moment(as_of) or latest_event(logs), "PORT_SCAN"
     )
-    kt.upsert(rows, f"{tables}/attack_patterns", kt.ATTACK_PATTERN_KEYS)
+    kt.upsert(rows, f"{tables}/attack_patterns", kt.ATTACK_PATTERN_KEYS, kt.PATTERN_CLUSTER)
 
 
 def patterns(
@@ -97,7 +97,7 @@ def patterns(
     # Stored as found: sorting here would run the signatures twice. Reports sort the result.
     found = _stored(det.attack_patterns(logs), f"{output}/attack_patterns")
     rows = kt.attack_pattern_rows(found, _moment(as_of) or latest_event(logs))
-    kt.upsert(rows, f"{tables}/attack_patterns", kt.ATTACK_PATTERN_KEYS)
+    kt.upsert(rows, f"{tables}/attack_patterns", kt.ATTACK_PATTERN_KEYS, kt.PATTERN_CLUSTER)
 
 
 def volume(
@@ -108,7 +108,7 @@ def volume(
     staging = f"{output}/staging"
     files.write_result(vol.volume_profile(logs, staging), f"{output}/volume_analysis")
     delete_folder(spark, staging)
-    kt.upsert(vol.threat_timeline(logs), f"{tables}/threat_timeline", kt.TIMELINE_KEYS)
+    kt.upsert(vol.threat_timeline(logs), f"{tables}/threat_timeline", kt.TIMELINE_KEYS, kt.TIMELINE_CLUSTER)
 
 
 def _message_options(kafka: str | None, folder: str | None) -> tuple[str, dict[str, str]]:

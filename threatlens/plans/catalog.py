@@ -204,11 +204,11 @@ def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = det.attack_patterns(logs)
     early = found.filter(F.col("log_id") % 2 == 0).withColumn("distinct_targets", F.lit(7).cast("bigint"))
     early = kt.attack_pattern_rows(early.withColumn("window_start", F.col("timestamp")), as_of - F.expr("INTERVAL 1 DAY"))
-    kt.upsert(early, path, kt.ATTACK_PATTERN_KEYS)
+    kt.upsert(early, path, kt.ATTACK_PATTERN_KEYS, kt.PATTERN_CLUSTER)
     late = found.filter((F.col("log_id") % 2 == 1) | (F.col("log_id") % 3 > 0))
-    kt.upsert(kt.attack_pattern_rows(late, as_of), path, kt.ATTACK_PATTERN_KEYS)
+    kt.upsert(kt.attack_pattern_rows(late, as_of), path, kt.ATTACK_PATTERN_KEYS, kt.PATTERN_CLUSTER)
     kt.upsert(
-        kt.attack_pattern_rows(det.port_scan(logs), as_of, "PORT_SCAN"), path, kt.ATTACK_PATTERN_KEYS
+        kt.attack_pattern_rows(det.port_scan(logs), as_of, "PORT_SCAN"), path, kt.ATTACK_PATTERN_KEYS, kt.PATTERN_CLUSTER
     )
     return kt.read_table(spark, path)
 
@@ -218,7 +218,7 @@ def stored_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     folder = shared_folder(spark)
     logs = fixtures.security_logs(spark, sf_dir)
     kt.upsert(reputation_table(logs), f"{folder}/reputation", kt.REPUTATION_KEYS)
-    kt.upsert(pattern_table(logs), f"{folder}/patterns", kt.ATTACK_PATTERN_KEYS)
+    kt.upsert(pattern_table(logs), f"{folder}/patterns", kt.ATTACK_PATTERN_KEYS, kt.PATTERN_CLUSTER)
     return (
         kt.read_table(spark, f"{folder}/reputation"),
         kt.read_table(spark, f"{folder}/patterns"),
@@ -250,7 +250,7 @@ def stored_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two days of the timeline table."""
     path = f"{shared_folder(spark)}/timeline"
     logs = spread(fixtures.security_logs(spark, sf_dir))
-    kt.upsert(vol.threat_timeline(logs), path, kt.TIMELINE_KEYS)
+    kt.upsert(vol.threat_timeline(logs), path, kt.TIMELINE_KEYS, kt.TIMELINE_CLUSTER)
     return vol.timeline_range(kt.read_table(spark, path), latest_event(logs), "20231016", "20231017")
 
 

@@ -1,6 +1,8 @@
 """Session creation and the shared folder for intermediate tables."""
 
+import time
 import uuid
+from datetime import timedelta
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -87,6 +89,21 @@ def read_markers(spark: SparkSession, pattern: str) -> dict[str, str]:
     return found
 
 
+def delete_old(spark: SparkSession, pattern: str, age: timedelta, but: set[str], levels: int = 1) -> set[str]:
+    """Deletes what a pattern matches and has not changed for `age`, but some names.
+
+    Names are the last `levels` parts of a path; those deleted are returned.
+    """
+    files, target = _file_system(spark, pattern)
+    oldest, gone = (time.time() - age.total_seconds()) * 1000, set()
+    for status in files.globStatus(target) or []:
+        name = "/".join(status.getPath().toString().split("/")[-levels:])
+        if name not in but and status.getModificationTime() <= oldest:
+            files.delete(status.getPath(), True)
+            gone.add(name)
+    return gone
+
+
 def count_files(spark: SparkSession, path: str) -> int:
     """Files below a folder, counted by the file system: no listing reaches the driver."""
     files, folder = _file_system(spark, path)
