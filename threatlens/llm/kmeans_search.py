@@ -23,6 +23,9 @@ LEAF_ROWS, LEAST_SPLIT = 256, 32
 CALIBRATED, RECALL, WIDER = 256, 0.94, 1 / 16
 #: Numbers in one side of a tile.
 TILE_NUMBERS = 131_072
+#: Visits of a query up to the end of the first round, and of the next in comparison.
+FIRST_VISITS, MORE_VISITS = 2, 4
+FOUND = "q long, class_id long, unnamed boolean, first_id long, score double"
 log = logging.getLogger(__name__)
 
 
@@ -121,19 +124,18 @@ def prepared(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     )
 
 
-def _best(q: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, candidate, product) of the k largest of each query, ties of the last place too.
+def _best(q: np.ndarray, c: np.ndarray, k: int, bound: np.ndarray | float = -np.inf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, candidate, product) of the k largest of each query that reach its bound, ties of the last place too.
 
     The product of matrices only chooses; what is returned is summed row by row, so equal
     vectors have equal scores wherever they stand.
     """
     rough = np.nan_to_num(q @ c.T, nan=-np.inf)
+    last = np.full(len(q), bound)
     if c.shape[0] > k:
-        last = -np.partition(-rough, k - 1, axis=1)[:, k - 1]
-        slack = 1e-12 * np.linalg.norm(q, axis=1) * np.linalg.norm(c, axis=1).max()
-        i, j = np.nonzero(rough >= (last - slack)[:, None])
-    else:
-        i, j = (v.ravel() for v in np.indices(rough.shape))
+        last = np.maximum(last, -np.partition(-rough, k - 1, axis=1)[:, k - 1])
+    slack = 1e-12 * np.linalg.norm(q, axis=1) * np.linalg.norm(c, axis=1).max()
+    i, j = np.nonzero(rough >= (last - slack)[:, None])
     return i, j, (q[i] * c[j]).sum(axis=1)
 
 
@@ -174,6 +176,14 @@ def calibrated(trees: dict[int, Tree], queries: pd.DataFrame, truth: pd.DataFram
         visits += int(visits * WIDER) + 1
 
 
+def round_of(visit: int) -> int:
+    """Rounds grow, so that each sees a few times as much as all before."""
+    number, end = 0, FIRST_VISITS
+    while visit >= end:
+        number, end = number + 1, end * MORE_VISITS
+    return number
+
+
 def _tiles(rows: DataFrame, counts: dict[int, int], each: int, name: str, fields: list[str]) -> DataFrame:
     """(leaf, pack, one array a field): packs of the rows of a leaf, as many as its count asks for."""
     packs = rows.sparkSession.createDataFrame([(leaf, -(-n // each)) for leaf, n in counts.items()], "leaf long, packs int")
@@ -203,7 +213,8 @@ def search(
     The tree is fitted on a bounded sample and indexes every vector; equal vectors are one
     class with its k + 1 first rows. A query takes leaves best bin first; how many is widened
     until a bounded set of queries, compared with all rows, reaches RECALL. Leaves are searched
-    in tiles of bounded size, so a leaf with very many vectors is spread over many tasks.
+    in tiles of bounded size, so a leaf with very many vectors is spread over many tasks, and in
+    rounds: what a query has found bounds what its next leaves may write.
     """
     spark = vectors.sparkSession
     folder = shared_folder(spark, staging)
@@ -232,7 +243,7 @@ def search(
         trees[width] = grow(np.stack(part.to_list()), share, leaves)
         leaves += sum(not c for c in trees[width].children)
 
-    number = "<f4" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"
+    kind = "<f4" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"
 
     def settle(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -242,7 +253,7 @@ def search(
                 mine = np.flatnonzero(width == w)
                 if len(mine):
                     leaf[mine] = tree.assign(np.stack(frame["x"].iloc[mine].to_list()))
-            packed = [np.asarray(x, dtype=number).tobytes() for x in frame["x"]]
+            packed = [np.asarray(x, dtype=kind).tobytes() for x in frame["x"]]
             yield frame.assign(first_id=frame["first_id"].astype("Int64"), leaf=leaf, packed=packed)
 
     settled = stage(
@@ -267,21 +278,24 @@ def search(
                         if len(mine) >= visits and seen > k:
                             break
                         if counts.get(leaf):
-                            mine.append(leaf)
+                            mine.append((leaf, round_of(len(mine))))
                             seen += counts[leaf]
                     taken.append(mine)
-                yield some[["class_id", "packed"]].assign(leaf=taken).explode("leaf").astype({"leaf": "int64"})
+                each = some[["class_id", "packed"]].assign(taken=taken).explode("taken")
+                yield each.assign(leaf=[t[0] for t in each["taken"]], round=[t[1] for t in each["taken"]]).drop(columns="taken")
 
-    visited = stage(wanted.mapInPandas(traverse, "class_id long, packed binary, leaf long"), f"{folder}/visits")
+    visited = stage(wanted.mapInPandas(traverse, "class_id long, packed binary, leaf long, round int"), f"{folder}/visits")
     each = max(64, TILE_NUMBERS // widest)
-    asking = _tiles(visited, dict(visited.groupBy("leaf").count().collect()), each, "q", ["class_id", "packed"])
-    there = _tiles(settled, counts, each, "c", ["class_id", "unnamed", "first_id", "packed"])
+    there = stage(_tiles(settled, counts, each, "c", ["class_id", "unnamed", "first_id", "packed"]), f"{folder}/tiles")
+    rounds = {}
+    for number, leaf, n in visited.groupBy("round", "leaf").count().collect():
+        rounds.setdefault(number, {})[leaf] = n
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         """One tile of queries against one tile of vectors: the group has one row."""
         pair = frame.iloc[0]
-        q, c = (np.frombuffer(b"".join(pair[f]), dtype=number).reshape(len(pair[f]), -1).astype(float) for f in ("q_packed", "c_packed"))
-        i, j, score = _best(q, c, k + 1)
+        q, c = (np.frombuffer(b"".join(pair[f]), dtype=kind).reshape(len(pair[f]), -1).astype(float) for f in ("q_packed", "c_packed"))
+        i, j, score = _best(q, c, k + 1, np.asarray(pair["q_bound"]))
         first_id = pd.array(list(pair["c_first_id"]), dtype="Int64")
         return pd.DataFrame({
             "q": np.asarray(pair["q_class_id"])[i], "class_id": np.asarray(pair["c_class_id"])[j],
@@ -291,10 +305,17 @@ def search(
     def first_of(*order: Column | str) -> Column:
         return F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), *order))
 
-    met = asking.join(there, "leaf").groupBy("leaf", "q_pack", "c_pack").applyInPandas(
-        compare, "q long, class_id long, unnamed boolean, first_id long, score double"
-    )
-    best = met.withColumn("place", first_of("unnamed", "first_id", "class_id")).filter(F.col("place") <= k + 1)
+    # A later round writes only what can still enter a query's list.
+    best = spark.createDataFrame([], FOUND)
+    for number in sorted(rounds):
+        bounds = best.groupBy("q").agg(F.count("*").alias("n"), F.min("score").alias("bound")).filter(F.col("n") > k)
+        bounds = bounds.select(F.col("q").alias("class_id"), "bound")
+        turn = visited.filter(F.col("round") == number).join(bounds, "class_id", "left")
+        turn = turn.withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
+        asking = _tiles(turn, rounds[number], each, "q", ["class_id", "packed", "bound"])
+        met = asking.join(there, "leaf").groupBy("leaf", "q_pack", "c_pack").applyInPandas(compare, FOUND)
+        best = best.unionByName(met).withColumn("place", first_of("unnamed", "first_id", "class_id"))
+        best = stage(best.filter(F.col("place") <= k + 1).drop("place"), f"{folder}/best-{number}")
     members = best.select("q", "class_id", "score").join(classes.select("class_id", "members"), "class_id")
     near = members.select("q", "score", F.explode("members").alias("m")).select("q", "score", "m.*")
     near = near.withColumn("place", first_of("unnamed", "vec_id", "uid")).filter(F.col("place") <= k + 1)
