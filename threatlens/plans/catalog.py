@@ -215,20 +215,47 @@ def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Reputation, patterns and live alerts as the jobs store them."""
+    folder = _store_history(spark, sf_dir)
+    return (
+        kt.read_table(spark, f"{folder}/reputation"),
+        kt.read_table(spark, f"{folder}/patterns"),
+        stage(alerts_of(fixtures.security_logs(spark, sf_dir)), f"{folder}/alerts"),
+    )
+
+
+def _store_history(spark: SparkSession, sf_dir: str) -> str:
     folder = shared_folder(spark)
     logs = fixtures.security_logs(spark, sf_dir)
     kt.upsert(reputation_table(logs), f"{folder}/reputation", kt.REPUTATION_KEYS)
     kt.upsert(pattern_table(logs), f"{folder}/patterns", kt.ATTACK_PATTERN_KEYS, kt.PATTERN_CLUSTER)
-    return (
-        kt.read_table(spark, f"{folder}/reputation"),
-        kt.read_table(spark, f"{folder}/patterns"),
-        stage(alerts_of(logs), f"{folder}/alerts"),
+    return folder
+
+
+def prepared_lookup(spark: SparkSession, sf_dir: str) -> Query:
+    """The lookup of requested addresses over sides that are stored once."""
+    sides = stored_sides(spark, sf_dir)
+    return lambda spark, sf_dir: joined_arrays(
+        serving.profile_lookup(lookup_requests(fixtures.security_logs(spark, sf_dir)), *sides)
     )
 
 
 def profile_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    requests = lookup_requests(fixtures.security_logs(spark, sf_dir))
-    return joined_arrays(serving.profile_lookup(requests, *stored_sides(spark, sf_dir)))
+    return prepared_lookup(spark, sf_dir)(spark, sf_dir)
+
+
+def prepared_profile(spark: SparkSession, sf_dir: str) -> Query:
+    """The profile of the busiest source, by its address, over tables that are stored once."""
+    folder = _store_history(spark, sf_dir)
+    logs = fixtures.security_logs(spark, sf_dir)
+    kt.upsert(al.alert_summary_by_ip(alerts_of(logs)), f"{folder}/live", ["ip_source"])
+    busiest = logs.groupBy("source_ip").count().orderBy(F.desc("count"), "source_ip").first()
+    address = busiest.source_ip if busiest else ""
+    tables = [f"{folder}/{t}" for t in ("reputation", "patterns", "live")]
+    return lambda spark, sf_dir: joined_arrays(serving.profile_of(spark, address, *tables))
+
+
+def stored_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepared_profile(spark, sf_dir)(spark, sf_dir)
 
 
 def stored_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -456,6 +483,7 @@ def queries() -> dict[str, Query]:
         "threat_profile_flat": over_logs(lambda logs: joined_arrays(profiles(logs))),
         "threat_profile": over_logs(lambda logs: serving.threat_profile_json(profiles(logs))),
         "profile_lookup": profile_lookup,
+        "stored_profile": stored_profile,
         "stored_stats": stored_stats,
         # streams
         "stream_brute_force": replay("brute_force"),

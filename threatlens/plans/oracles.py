@@ -525,6 +525,11 @@ def oracle_sql() -> dict[str, str]:
         "threat_profile_flat": _select(
             PROFILES, f"SELECT k.ip, {PROFILE_FIELDS} FROM keys k {PROFILE_SIDES}"
         ),
+        "stored_profile": _select(
+            PROFILES,
+            f"""SELECT k.ip, {PROFILE_FIELDS} FROM (
+              SELECT source_ip AS ip FROM security_logs GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) k {PROFILE_SIDES}""",
+        ),
         "profile_lookup": _select(
             PROFILES, f"SELECT k.ip, {PROFILE_FIELDS} FROM requests k {PROFILE_SIDES}"
         ),

@@ -1,10 +1,13 @@
 """Threat profiles: history and live alerts of every source in one plan."""
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threatlens.functions import scoring
 from threatlens.operators.alerts import alert_summary_by_ip
+from threatlens.sinks.keyed_tables import read_key
 
 # Attack types a profile lists, in this order; longest accepted address.
 KNOWN_ATTACK_TYPES = ["PORT_SCAN", "SQLI", "XSS", "LFI", "TOOL_DETECTED", "BRUTE_FORCE"]
@@ -55,21 +58,53 @@ def threat_profile_flat(
     and reuse the partitioning of the aggregates. With `keys` every side is first cut to
     the asked addresses; one address becomes a filter that reaches the files.
     """
-    reputation_table = _asked(reputation_table, "source_ip", keys)
-    pattern_table = _asked(pattern_table, "source_ip", keys)
-    alerts = _asked(alerts, "ip_source", keys)
-    history = reputation_table.select(
-        F.col("source_ip").alias("ip"),
-        F.col("score").alias("reputation_score"),
-        F.col("total_events").alias("total_historical_events"),
-        F.col("last_seen").alias("last_batch_update"),
+    history, types, live = _sides(
+        _asked(reputation_table, "source_ip", keys),
+        _asked(pattern_table, "source_ip", keys),
+        alert_summary_by_ip(_asked(alerts, "ip_source", keys)),
     )
-    types = ip_attack_types(pattern_table).select(
-        F.col("source_ip").alias("ip"), F.col("attack_types").alias("attack_types_detected")
+    return _completed(history.join(types, "ip", "full").join(live, "ip", "full"))
+
+
+def _sides(reputation_table: DataFrame, pattern_table: DataFrame, summaries: DataFrame) -> list[DataFrame]:
+    """History, attack types and live summary, one row per `ip` each."""
+    return [
+        reputation_table.select(
+            F.col("source_ip").alias("ip"),
+            F.col("score").alias("reputation_score"),
+            F.col("total_events").alias("total_historical_events"),
+            F.col("last_seen").alias("last_batch_update"),
+        ),
+        ip_attack_types(pattern_table).select(
+            F.col("source_ip").alias("ip"), F.col("attack_types").alias("attack_types_detected")
+        ),
+        summaries.withColumnRenamed("ip_source", "ip"),
+    ]
+
+
+def profile_of(spark: SparkSession, address: str, reputation: str, patterns: str, live: str) -> DataFrame:
+    """The profile of one address from the stored keyed tables; an unknown one is empty.
+
+    Each table is clustered by address: one part of each is read, and nothing is shuffled.
+    `live` holds the summaries that `store_live_state` keeps. An unacceptable address gives
+    no row.
+    """
+    address = re.sub(CONTROL_OR_BLANK, "", address or "") if len(address or "") <= MAX_ADDRESS_LENGTH else ""
+    sides = _sides(
+        read_key(spark, reputation, source_ip=address),
+        read_key(spark, patterns, source_ip=address),
+        read_key(spark, live, ip_source=address).filter("active_alerts > 0"),
     )
-    live = alert_summary_by_ip(alerts).withColumnRenamed("ip_source", "ip")
-    joined = history.join(types, "ip", "full").join(live, "ip", "full")
-    return _completed(joined)
+    # A row per side, one partition: their maximum is the profile.
+    rows = [
+        side.select(*[F.struct(side.columns).alias("side") if other is side else F.lit(None).alias("side") for other in sides])
+        .toDF("history", "types", "live")
+        for side in sides
+    ]
+    united = rows[0].union(rows[1]).union(rows[2]).coalesce(1)
+    found = united.agg(*[F.max(c).alias(c) for c in united.columns])
+    known = found.select("history.*", "types.*", "live.*").drop("ip").withColumn("ip", F.lit(address))
+    return _completed(known.filter(F.lit(bool(address))))
 
 
 def _completed(joined: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from threatlens.functions.times import EPOCH, utc_instant
 from threatlens.operators.alerts import LIFETIME, RECENT_ALERTS
 from threatlens.session import delete_folder, path_exists
 from threatlens.sinks.alert_log import EARLY_PORT_SCAN, EMISSION
-from threatlens.sinks.keyed_tables import last_per_key
+from threatlens.sinks.keyed_tables import last_per_key, upsert
 
 LIFETIME_US = 24 * 3600 * 1_000_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -180,13 +180,25 @@ def start_live_state(
         )
 
 
-def read_live_state(spark: SparkSession, path: str) -> DataFrame:
-    """The summary of every source with a live alert, as its last change left it."""
+def _last_changes(spark: SparkSession, path: str) -> DataFrame:
     schema = spark.createDataFrame([], f"{SUMMARY}, run string, batch long").schema
     rows = spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
-    newest = last_per_key(rows, ["ip_source"], F.col("as_of"), F.col("batch")).filter("active_alerts > 0")
+    newest = last_per_key(rows, ["ip_source"], F.col("as_of"), F.col("batch"))
     last_seen = F.expr(f"{EPOCH} + INTERVAL '0.000001' SECOND * last")
     return newest.withColumn("last_seen", last_seen).select(*SUMMARY_COLUMNS)
 
 
+def read_live_state(spark: SparkSession, path: str) -> DataFrame:
+    """The summary of every source with a live alert, as its last change left it."""
+    return _last_changes(spark, path).filter("active_alerts > 0")
+
+
+def store_live_state(spark: SparkSession, path: str, table: str) -> None:
+    """Brings a keyed table of summaries, for lookups by address, up to date.
+
+    A source whose alerts have all expired keeps a row that says so.
+    """
+    upsert(_last_changes(spark, path), table, ["ip_source"])
+
+
 assert LIFETIME == "INTERVAL '24' HOUR"  # as in the rule of the active list
