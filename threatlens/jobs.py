@@ -6,6 +6,7 @@
     ... stream --kafka host:9092 --alerts alerts --checkpoints checkpoints
     ... profiles --tables tables --alerts alerts --output profiles
     ... active --alerts alerts --output active | stats --tables tables --output stats
+    ... sketch-days --lake lake --tables tables | sketch-range --tables tables --output ranges
     ... timeline --tables tables --output timeline --from-day 20231015 --to-day 20231016
 
 Batch jobs over the lake take --from-day and --to-day (yyyy-mm-dd), which prune
@@ -25,6 +26,7 @@ from threatlens.functions.times import latest_event
 from threatlens.operators import alerts as al
 from threatlens.operators import detectors as det
 from threatlens.operators import reputation as rep
+from threatlens.operators import sketches
 from threatlens.operators import volume as vol
 from threatlens.plans import serving
 from threatlens.session import create_session, delete_folder
@@ -111,6 +113,26 @@ def volume(
     kt.upsert(vol.threat_timeline(logs), f"{tables}/threat_timeline", kt.TIMELINE_KEYS, kt.TIMELINE_CLUSTER)
 
 
+def sketch_days(
+    spark: SparkSession, lake: str, tables: str, from_day: str | None = None, to_day: str | None = None
+) -> None:
+    """Brings the daily sketches up to date for the given days of the lake."""
+    logs = _lake(spark, lake, from_day, to_day)
+    sketches.store_days(sketches.volume_by_day(logs), f"{tables}/volume_days")
+    sketches.store_days(sketches.targets_by_day(logs), f"{tables}/target_days")
+
+
+def sketch_range(
+    spark: SparkSession, tables: str, output: str, from_day: str | None = None, to_day: str | None = None
+) -> None:
+    """Volume profile and distinct targets of any range of sketched days."""
+    days = [date.fromisoformat(d) if d else None for d in (from_day, to_day)]
+    volumes = sketches.read_days(spark, f"{tables}/volume_days", sketches.VOLUME_DAYS, *days)
+    targets = sketches.read_days(spark, f"{tables}/target_days", sketches.TARGET_DAYS, *days)
+    files.write_result(sketches.volume_of_days(volumes), f"{output}/volume_of_days")
+    files.write_result(sketches.targets_of_days(targets), f"{output}/targets_of_days")
+
+
 def _message_options(kafka: str | None, folder: str | None) -> tuple[str, dict[str, str]]:
     if kafka:
         return "kafka", {"kafka.bootstrap.servers": kafka}
@@ -194,6 +216,8 @@ JOBS = {
     "port-scan": (port_scan, ["lake", "output", "tables"], RANGE),
     "patterns": (patterns, ["lake", "output", "tables"], RANGE),
     "volume": (volume, ["lake", "output", "tables"], RANGE[1:]),
+    "sketch-days": (sketch_days, ["lake", "tables"], RANGE[1:]),
+    "sketch-range": (sketch_range, ["tables", "output"], RANGE[1:]),
     "publish": (publish, ["input"], ["kafka", "topic-folder", "topic"]),
     "stream": (stream, ["alerts", "checkpoints"], ["kafka", "topic-folder", "topic", "max-offsets", "delay", "files"]),
     "profiles": (profiles, ["tables", "alerts", "output"], ["as-of"]),

@@ -46,12 +46,12 @@ def volume_profile(logs: DataFrame, staging: str | None = None) -> DataFrame:
     )
     # One row per group, staged so that Spark knows its size and picks the join.
     targets = stage(_holder(buckets.filter("bucket is not null"), "bucket", _share()), f"{folder}/targets")
-    in_bucket = _with_group(sized, targets, "inner", "bucket").filter(F.col(SIZE).isNotNull())
+    in_bucket = with_group(sized, targets, "inner", "bucket").filter(F.col(SIZE).isNotNull())
     counted = stage(
         in_bucket.groupBy(*GROUP, "rank", SIZE).agg(F.count("*").alias("values")), f"{folder}/counted-0"
     )
     return (
-        _with_group(totals, _percentile(counted, folder), "left")
+        with_group(totals, _percentile(counted, folder), "left")
         .select(*GROUP, "avg_bytes", "max_bytes", "p95_bytes", "event_count", "total_bytes")
         .orderBy(F.desc("total_bytes"), *GROUP)
     )
@@ -92,20 +92,20 @@ def _percentile(counted: DataFrame, folder: str) -> DataFrame:
         spans = stage(spans.select(*GROUP, "low", width.alias("width")), f"{folder}/spans-{turn}")
         if spans.filter("width > 1").isEmpty():
             break
-        sliced = _with_group(counted, spans, "inner").select(
+        sliced = with_group(counted, spans, "inner").select(
             *GROUP, "rank", SIZE, "values", F.floor((F.col(SIZE) - F.col("low")) / F.col("width")).alias("slice")
         )
         counts = sliced.groupBy(*GROUP, "rank", "slice").agg(F.sum("values").alias("values"))
         held = _holder(counts, "slice", F.col("rank"))
         turn += 1
         counted = stage(
-            _with_group(sliced.drop("rank"), held, "inner", "slice").select(*GROUP, "rank", SIZE, "values"),
+            with_group(sliced.drop("rank"), held, "inner", "slice").select(*GROUP, "rank", SIZE, "values"),
             f"{folder}/counted-{turn}",
         )
     return _holder(counted, SIZE, F.col("rank")).select(*GROUP, F.col(SIZE).alias("p95_bytes"))
 
 
-def _with_group(left: DataFrame, right: DataFrame, how: str, *more_keys: str) -> DataFrame:
+def with_group(left: DataFrame, right: DataFrame, how: str, *more_keys: str) -> DataFrame:
     """Joins by group, where a missing label is a group too."""
     keys = [*GROUP, *more_keys]
     renamed = right.withColumnsRenamed({k: f"other_{k}" for k in keys})

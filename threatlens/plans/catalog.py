@@ -10,6 +10,7 @@ from threatlens.functions.times import latest_event, utc_instant, utc_wall_clock
 from threatlens.operators import alerts as al
 from threatlens.operators import detectors as det
 from threatlens.operators import reputation as rep
+from threatlens.operators import sketches
 from threatlens.operators import volume as vol
 from threatlens.plans import serving
 from threatlens.schema import LAKE_PARTITIONS, LOG_COLUMNS
@@ -281,6 +282,41 @@ def stored_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vol.timeline_range(kt.read_table(spark, path), latest_event(logs), "20231016", "20231017")
 
 
+def volume_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The volume profile of two stored days, and whether the rank of its percentile among
+    their logs is within the stated error."""
+    path = f"{shared_folder(spark)}/volume_days"
+    logs = spread(fixtures.security_logs(spark, sf_dir))
+    sketches.store_days(sketches.volume_by_day(logs), path)
+    first, last = date(2023, 10, 16), date(2023, 10, 17)
+    found = sketches.volume_of_days(sketches.read_days(spark, path, sketches.VOLUME_DAYS, first, last))
+    found = stage(found, f"{path}_found")
+    days = logs.filter(F.to_date("timestamp").between(F.lit(first), F.lit(last))).filter(F.col(vol.SIZE).isNotNull())
+    below, at_most = F.count_if(F.col(vol.SIZE) < F.col("p95_bytes")), F.count_if(F.col(vol.SIZE) <= F.col("p95_bytes"))
+    ranks = vol.with_group(days, found.select(*vol.GROUP, "p95_bytes"), "inner").groupBy(*vol.GROUP).agg(
+        (below / F.count("*")).alias("low"), (at_most / F.count("*")).alias("high")
+    )
+    close = (F.col("low") - vol.PERCENTILE <= sketches.RANK_ERROR) & (vol.PERCENTILE - F.col("high") <= sketches.RANK_ERROR)
+    return vol.with_group(found, ranks, "left").select(
+        *vol.GROUP, "avg_bytes", "max_bytes", "event_count", "total_bytes",
+        F.coalesce(close, F.col("p95_bytes").isNull()).alias("rank_within_error"),
+    )
+
+
+def target_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suspicious events of every source over stored days, its targets from merged sketches,
+    and whether their number is within the stated error."""
+    path = f"{shared_folder(spark)}/target_days"
+    logs = spread(fixtures.security_logs(spark, sf_dir))
+    sketches.store_days(sketches.targets_by_day(logs), path)
+    found = sketches.targets_of_days(sketches.read_days(spark, path, sketches.TARGET_DAYS))
+    exact = rep.suspicious_by_ip_logtype(logs).select(*sketches.TARGET_GROUP, F.col("unique_targets").alias("exact"))
+    close = F.abs(F.col("unique_targets") - F.col("exact")) <= sketches.DISTINCT_ERROR * F.col("exact")
+    return found.join(exact, sketches.TARGET_GROUP).select(
+        *sketches.TARGET_GROUP, "total_events", "total_bytes", close.alias("targets_within_error")
+    )
+
+
 def json_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/topic"
     messages.publish_logs(fixtures.security_logs(spark, sf_dir), "files", path=path)
@@ -451,6 +487,8 @@ def queries() -> dict[str, Query]:
             lambda logs: vol.timeline_range(vol.threat_timeline(spread(logs)), latest_event(spread(logs)))
         ),
         "stored_timeline": stored_timeline,
+        "volume_sketches": volume_sketches,
+        "target_sketches": target_sketches,
         # alerts
         "active_threats": over_alerts(joined_arrays),
         "active_threats_of_days": over_logs(lambda logs: joined_arrays(alerts_of(spread(logs)))),

@@ -422,6 +422,19 @@ def oracle_sql() -> dict[str, str]:
             LOGS + ["timeline"], "SELECT * FROM timeline WHERE event_date BETWEEN '20231016' AND '20231017'"
         ),
         "active_threats_of_days": _spread(ALERTS, f"SELECT {ALERT_FIELDS} FROM alerts"),
+        "volume_sketches": _spread(
+            LOGS,
+            """SELECT threat_label, log_type, protocol, avg(bytes_transferred) AS avg_bytes,
+              max(bytes_transferred) AS max_bytes, count(*) AS event_count,
+              CAST(sum(bytes_transferred) AS BIGINT) AS total_bytes, TRUE AS rank_within_error
+            FROM spread WHERE CAST("timestamp" AS DATE) BETWEEN '2023-10-16' AND '2023-10-17' GROUP BY 1, 2, 3""",
+        ),
+        "target_sketches": _spread(
+            LOGS,
+            """SELECT source_ip, log_type, count(*) AS total_events,
+              CAST(sum(bytes_transferred) AS BIGINT) AS total_bytes, TRUE AS targets_within_error
+            FROM spread WHERE threat_label IN ('suspicious', 'malicious') GROUP BY 1, 2""",
+        ),
         "stored_active_alerts": _spread(
             ALERTS,
             f"""SELECT {ALERT_FIELDS} FROM (
