@@ -136,6 +136,41 @@ def test_records_round_trip(spark, make_logs, tmp_path):
     assert parsed.filter("request_path = '/é?q=\"x\"' AND user_agent IS NULL").count() == 1
 
 
+BODIES = {
+    "sound": '{"timestamp":"2023-10-15T10:00:00Z","source_ip":"a","bytes_transferred":5,"new_field":[1]}',
+    "text": '{"timestamp":"2023-10-15 10:00:00","source_ip":7,"bytes_transferred":"5"}',
+    "sparse": '{"source_ip":null}',
+    "cut": '{"source_ip":"a"',
+    "list": "[1]",
+    "number": "5",
+    "wrong": '{"timestamp":"soon","source_ip":"a","bytes_transferred":{"n":5}}',
+    "empty": "",
+    "null": None,
+}
+
+
+def test_broken_messages_are_set_apart_with_their_text(spark):
+    records = spark.createDataFrame(list(BODIES.items()), "offset string, body string").selectExpr("offset", "encode(body, 'UTF-8') AS value")
+    checked = messages.checked_log_json(records)
+    assert {r.log_id: r.fault for r in checked.collect()} == {
+        "sound": None, "text": None, "sparse": None, "cut": "body: not JSON", "list": "body: not an object",
+        "number": "body: not an object", "wrong": "timestamp: not a time, bytes_transferred: not a whole number",
+        "empty": "body: not JSON", "null": "body: missing",
+    }
+    assert all(r.body == BODIES[r.log_id] for r in messages.quarantined(checked).collect())
+    rows = {r.log_id: r for r in messages.sound(checked).collect()}
+    assert set(rows) == {"sound", "text", "sparse"}
+    assert [(rows[i].source_ip, rows[i].bytes_transferred) for i in rows if i != "sparse"] == [("a", 5), ("7", 5)]
+    assert rows["text"].timestamp == rows["sound"].timestamp
+    assert rows["sound"].log_id and messages.sound(checked).columns == ["log_id", *LOG_COLUMNS]
+
+
+def test_sound_messages_read_as_the_plain_parser_reads_them(spark, make_logs):
+    logs = make_logs({}, {"user_agent": None, "bytes_transferred": None}, {"source_ip": 'q"\\é'}).withColumn("log_id", F.lit(1))
+    records = messages.to_records(logs)
+    assert messages.sound(messages.checked_log_json(records)).collect() == messages.parse_log_json(records).collect()
+
+
 def test_kafka_records_are_identified_by_offset(spark):
     records = spark.sql(
         "SELECT CAST('ids' AS BINARY) AS key, CAST('{\"source_ip\": \"a\"}' AS BINARY) AS value,"

@@ -2,6 +2,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from threatlens.functions.times import utc_instant, utc_wall_clock
 from threatlens.operators import alerts as al
@@ -225,3 +226,41 @@ def test_wall_clock_and_instant_invert_each_other(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert back == dt.datetime(2023, 3, 12, 2, 30, 0, 123456)
+
+
+def test_overlapping_windows_count_a_row_in_each(make_logs):
+    logs = make_logs(*[at(n, action="blocked") for n in (25, 35, 45, 55, 65, 75, 85)])
+    found = det.brute_force(logs, "30 seconds").collect()
+    assert sorted((r.window_start.second, r.window_start.minute, r.blocked_count) for r in found) == [(30, 0, 6)]
+    assert det.brute_force(logs).collect() == []
+
+
+def test_progress_is_kept_and_a_failure_stops_all(spark, tmp_path, make_logs):
+    from pyspark.errors import StreamingQueryException
+
+    from threatlens.sources import messages
+    from threatlens.streaming import app
+    from threatlens.streaming.progress import read_progress
+
+    topic, names = str(tmp_path / "topic"), ["brute_force", "signatures"]
+    logs = make_logs(*[at(5, action="blocked")] * 6, {"user_agent": "nmap"}).withColumn("log_id", F.expr("uuid()"))
+    messages.to_records(logs.withColumn("log_id", F.lit(1))).write.partitionBy("partition").parquet(topic)
+    broken = spark.createDataFrame([(None, b"{", 7, 0)], messages.RECORD)
+    broken.write.mode("append").partitionBy("partition").parquet(topic)
+    run = lambda name, **more: app.run(
+        spark, str(tmp_path / name), str(tmp_path / f"{name}-checkpoints"), "files", trigger={"availableNow": True},
+        names=names, quarantine=str(tmp_path / f"{name}-bad"), metrics=str(tmp_path / f"{name}-metrics"), path=topic, **more,
+    )
+    run("whole")
+    assert [(r.fault, r.body) for r in spark.read.parquet(str(tmp_path / "whole-bad")).collect()] == [("body: not JSON", "{")]
+    rows = {(r.query, r.batch): r for r in read_progress(spark, str(tmp_path / "whole-metrics")).collect()}
+    assert {q for q, _ in rows} == {"quarantine", *names}
+    first = rows["brute_force", 0]
+    assert (first.input_rows, first.alerts, first.failure) == (8, 1, None) and first.delay_ms > 0
+    assert rows["signatures", 0].alerts == 1 and rows["brute_force", 0].state_rows == 1
+    (tmp_path / "torn").write_text("a file where the alerts should go")
+    with pytest.raises(StreamingQueryException):
+        run("torn")
+    assert not spark.streams.active
+    failed = [r for r in read_progress(spark, str(tmp_path / "torn-metrics")).collect() if r.failure]
+    assert failed and failed[0].query in names

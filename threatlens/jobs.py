@@ -164,11 +164,15 @@ def stream(
     max_offsets: str = str(messages.MAX_OFFSETS_PER_TRIGGER),
     delay: str = app.DEFAULT_DELAY,
     files: str = "4",
+    **more: str,
 ) -> None:
+    """`quarantine` and `metrics` are folders; `names` lists detectors, comma-separated."""
     kind, options = _message_options(kafka, topic_folder)
     if kafka:
         options |= {"subscribe": topic, "maxOffsetsPerTrigger": max_offsets}
-    app.run(spark, alerts, checkpoints, kind, delay, files=int(files), **options)
+    if "names" in more:
+        more["names"] = more["names"].split(",")
+    app.run(spark, alerts, checkpoints, kind, delay, files=int(files), **more, **options)
 
 
 def _live_alerts(spark: SparkSession, alerts: str, as_of: str | None) -> DataFrame:
@@ -219,7 +223,7 @@ JOBS = {
     "sketch-days": (sketch_days, ["lake", "tables"], RANGE[1:]),
     "sketch-range": (sketch_range, ["tables", "output"], RANGE[1:]),
     "publish": (publish, ["input"], ["kafka", "topic-folder", "topic"]),
-    "stream": (stream, ["alerts", "checkpoints"], ["kafka", "topic-folder", "topic", "max-offsets", "delay", "files"]),
+    "stream": (stream, ["alerts", "checkpoints"], ["kafka", "topic-folder", "topic", "max-offsets", "delay", "files", "names", "quarantine", "metrics"]),
     "profiles": (profiles, ["tables", "alerts", "output"], ["as-of"]),
     "active": (active, ["alerts", "output"], ["as-of", "severity"]),
     "stats": (stats, ["tables", "output"], []),

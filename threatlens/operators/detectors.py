@@ -23,13 +23,14 @@ def earliest(*columns: str) -> Column:
     return F.min(F.struct("timestamp", *columns)).alias("earliest")
 
 
-def _by_window(logs: DataFrame, duration: str, *keys: str) -> GroupedData:
-    """Groups by tumbling window and keys.
+def _by_window(logs: DataFrame, duration: str, *keys: str, slide: str | None = None) -> GroupedData:
+    """Groups by window and keys; windows tumble, or begin every `slide` and overlap.
 
     A stream groups by the window struct, which carries the watermark. A batch groups
-    by the start alone: one long, cheaper to hash and to sort by.
+    by the start alone: one long, cheaper to hash and to sort by. With a slide a row counts
+    in several windows; a stream drops each once the watermark has passed its end.
     """
-    window = F.window("timestamp", duration)
+    window = F.window("timestamp", duration, slide or duration)
     if logs.isStreaming:
         return logs.groupBy(window.alias("window"), *keys)
     return logs.groupBy(window["start"].alias("window_start"), *keys)
@@ -46,13 +47,13 @@ def _tcp(logs: DataFrame) -> DataFrame:
     return logs.filter(F.col("protocol") == "TCP")
 
 
-def port_scan(logs: DataFrame) -> DataFrame:
+def port_scan(logs: DataFrame, slide: str | None = None) -> DataFrame:
     """TCP sources that reach more than 20 distinct targets within five minutes.
 
     The distinct count makes Spark aggregate by (source, window, target) first, so
     one busy source is spread over the cluster by target.
     """
-    per_window = _by_window(_tcp(logs), PORT_SCAN_WINDOW, "source_ip").agg(
+    per_window = _by_window(_tcp(logs), PORT_SCAN_WINDOW, "source_ip", slide=slide).agg(
         F.count_distinct("dest_ip").alias("distinct_targets"),
         F.count("*").alias("event_count"),
         F.max("timestamp").alias("last_event"),
@@ -61,7 +62,7 @@ def port_scan(logs: DataFrame) -> DataFrame:
     return port_scan_alerts(per_window)
 
 
-def port_scan_early(logs: DataFrame) -> DataFrame:
+def port_scan_early(logs: DataFrame, slide: str | None = None) -> DataFrame:
     """Port scans while their window is open, for streams in update mode.
 
     The targets of a source and window are a mergeable sketch in the state: a few bytes a
@@ -69,7 +70,7 @@ def port_scan_early(logs: DataFrame) -> DataFrame:
     source passes the threshold; the exact form reports it again once it has closed.
     """
     sketch = F.hll_sketch_agg("dest_ip", TARGET_SKETCH)
-    per_window = _by_window(_tcp(logs), PORT_SCAN_WINDOW, "source_ip").agg(
+    per_window = _by_window(_tcp(logs), PORT_SCAN_WINDOW, "source_ip", slide=slide).agg(
         F.hll_sketch_estimate(sketch).alias("distinct_targets"),
         F.count("*").alias("event_count"),
         F.max("timestamp").alias("last_event"),
@@ -113,12 +114,12 @@ def port_scan_from_targets(per_target: DataFrame) -> DataFrame:
     )
 
 
-def brute_force(logs: DataFrame) -> DataFrame:
+def brute_force(logs: DataFrame, slide: str | None = None) -> DataFrame:
     """Sources with more than five blocked attempts within one minute."""
     attempts = F.col("blocked_count")
     blocked = logs.filter(F.col("action") == "blocked")
     return _with_bounds(
-        _by_window(blocked, BRUTE_FORCE_WINDOW, "source_ip")
+        _by_window(blocked, BRUTE_FORCE_WINDOW, "source_ip", slide=slide)
         .agg(
             F.count("*").alias("blocked_count"),
             F.sum("bytes_transferred").alias("bytes_total"),
@@ -138,11 +139,11 @@ def brute_force(logs: DataFrame) -> DataFrame:
     )
 
 
-def volume_anomaly(logs: DataFrame) -> DataFrame:
+def volume_anomaly(logs: DataFrame, slide: str | None = None) -> DataFrame:
     """Sources that move more than 10 MiB within ten seconds."""
     total = F.col("bytes_total")
     return _with_bounds(
-        _by_window(logs, VOLUME_WINDOW, "source_ip")
+        _by_window(logs, VOLUME_WINDOW, "source_ip", slide=slide)
         .agg(
             F.sum("bytes_transferred").alias("bytes_total"),
             F.count("*").alias("event_count"),

@@ -341,6 +341,23 @@ def json_parse(logs: DataFrame) -> DataFrame:
     return stored_log(messages.parse_log_json(records.withColumn("value", F.encode(cut, "UTF-8"))))
 
 
+def json_quarantine(logs: DataFrame) -> DataFrame:
+    """What is set apart of records of which five in thirteen are broken in some way."""
+    kind, ip = F.col("log_id") % 13, F.col("source_ip")
+    records = messages.to_records(logs.withColumn("log_type", F.coalesce("log_type", F.lit(""))))
+    records = records.join(logs.select(F.col("log_id").alias("offset"), "source_ip", "log_id"), "offset")
+    body = (
+        F.when(kind == 0, F.concat(F.lit('{"source_ip":"'), ip))
+        .when(kind == 1, F.concat(F.lit('["'), ip, F.lit('"]')))
+        .when(kind == 2, F.concat(F.lit('{"source_ip":"'), ip, F.lit('","timestamp":"soon","bytes_transferred":{}}')))
+        .when(kind == 3, F.concat(F.lit('{"source_ip":"'), ip, F.lit('","bytes_transferred":"n/a"}')))
+        .when(kind == 4, F.lit(None))
+        .otherwise(F.col("value").cast("string"))
+    )
+    checked = messages.checked_log_json(records.withColumn("value", F.encode(body, "UTF-8")))
+    return messages.quarantined(checked).withColumn("log_id", F.col("log_id").cast("bigint"))
+
+
 def log_type_partition(logs: DataFrame) -> DataFrame:
     return logs.select(
         "log_id", "log_type", messages.log_type_partition(F.col("log_type")).alias("partition")
@@ -451,6 +468,7 @@ def queries() -> dict[str, Query]:
         "sink_roundtrip": sink_roundtrip,
         "keyed_upsert": keyed_upsert,
         "json_parse": over_logs(json_parse),
+        "json_quarantine": over_logs(json_quarantine),
         "json_publish": json_publish,
         "normalize_raw_logs": over_logs(
             lambda logs: normalize_raw_logs(raw_strings(logs), latest_event(logs))
@@ -468,6 +486,7 @@ def queries() -> dict[str, Query]:
         "port_scan": over_logs(ordered_port_scans),
         "brute_force_alerts": over_logs(det.brute_force),
         "volume_anomaly_alerts": over_logs(det.volume_anomaly),
+        "brute_force_sliding": over_logs(lambda logs: det.brute_force(logs, "20 seconds")),
         "attack_patterns": attack_patterns,
         "signature_alerts": over_logs(det.signature_alerts),
         "attack_category_distribution": over_logs(

@@ -299,8 +299,8 @@ def _logs(sql: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    detector = lambda view, sql="SELECT * FROM {}": _select(
-        LOGS + ["logs"] + (["live_flagged"] if view == "signatures" else []) + [view], sql.format(view)
+    detector = lambda view, sql="SELECT * FROM {}", **override: _select(
+        LOGS + ["logs"] + (["live_flagged"] if view == "signatures" else []) + [view], sql.format(view), **override
     )
     stream = lambda types: _select(
         ALERTS, f"SELECT {ALERT_FIELDS} FROM all_alerts WHERE alert_type IN ({types})"
@@ -356,6 +356,19 @@ def oracle_sql() -> dict[str, str]:
             )
             + " FROM security_logs"
         ),
+        "json_quarantine": _logs(
+            """SELECT log_id, fault, body FROM (
+              SELECT log_id,
+                CASE WHEN log_id % 13 = 0 THEN 'body: not JSON' WHEN log_id % 13 = 1 THEN 'body: not an object'
+                  WHEN log_id % 13 = 2 THEN 'timestamp: not a time, bytes_transferred: not a whole number'
+                  WHEN log_id % 13 = 3 THEN 'bytes_transferred: not a whole number'
+                  WHEN log_id % 13 = 4 THEN 'body: missing' END AS fault,
+                CASE WHEN log_id % 13 = 0 THEN '{"source_ip":"' || source_ip
+                  WHEN log_id % 13 = 1 THEN '["' || source_ip || '"]'
+                  WHEN log_id % 13 = 2 THEN '{"source_ip":"' || source_ip || '","timestamp":"soon","bytes_transferred":{}}'
+                  WHEN log_id % 13 = 3 THEN '{"source_ip":"' || source_ip || '","bytes_transferred":"n/a"}' END AS body
+              FROM security_logs) WHERE fault IS NOT NULL"""
+        ),
         "json_publish": _logs(f"SELECT *, {LOG_PARTITION} FROM security_logs"),
         "normalize_raw_logs": _select(
             LOGS + ["moment"],
@@ -395,6 +408,9 @@ def oracle_sql() -> dict[str, str]:
         "port_scan": detector("scans"),
         "brute_force_alerts": detector("brute"),
         "volume_anomaly_alerts": detector("bursts"),
+        "brute_force_sliding": detector("brute", brute=VIEWS["brute"].replace(
+            'time_bucket(INTERVAL 1 MINUTE, "timestamp")', 'time_bucket(INTERVAL 20 SECOND, "timestamp") - to_seconds(20 * k)'
+        ).replace("FROM logs", "FROM logs, range(3) s(k)")),
         "attack_patterns": _select(PATTERNS, "SELECT * FROM patterns"),
         "signature_alerts": detector("signatures"),
         "attack_category_distribution": _select(

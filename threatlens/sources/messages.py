@@ -82,16 +82,65 @@ def read_stream(spark: SparkSession, kind: str = "kafka", **options: str) -> Dat
     return spark.readStream.format(source).schema(RECORD).options(**options).load()
 
 
+def _record_id(records: DataFrame) -> Column:
+    if "topic" in records.columns:
+        return F.concat_ws("-", "topic", "partition", "offset")
+    return F.col("offset").cast("string")
+
+
+def checked_log_json(records: DataFrame) -> DataFrame:
+    """As `parse_log_json`, with `fault` (null if the record is sound) and `body`, its text.
+
+    A body is read as a variant, so one field of a wrong type does not cost the others.
+    Numbers and stamps may come as text that reads as such; absent or null fields and fields
+    that nobody asked for are no fault.
+    """
+    body = F.col("value").cast("string")
+    data = records.select(_record_id(records).alias("log_id"), body.alias("body"), F.try_parse_json(body).alias("data"))
+    kind = F.schema_of_variant("data")
+    is_object, v = kind.startswith("OBJECT"), F.col("data")
+    readable = F.when(is_object, v)
+
+    def field(name: str, sql_type: str) -> Column:
+        return F.try_variant_get(readable, f"$.{name}", sql_type)
+
+    def present(name: str) -> Column:
+        given = F.try_variant_get(readable, f"$.{name}", "variant")
+        return given.isNotNull() & ~F.coalesce(F.is_variant_null(given), F.lit(False))
+
+    fields = {c: field(c, "string") for c in LOG_COLUMNS}
+    fields["timestamp"] = F.coalesce(field("timestamp", "timestamp"), fields["timestamp"].try_cast("timestamp"))
+    fields["bytes_transferred"] = field("bytes_transferred", "bigint")
+    # Every value reads as text, so only these two can be of a wrong type.
+    typed = {"timestamp": "a time", "bytes_transferred": "a whole number"}
+    read = data.select(
+        "log_id", "body", *[value.alias(c) for c, value in fields.items()],
+        v.isNotNull().alias("json"), is_object.alias("object"), *[present(c).alias(f"has_{c}") for c in typed],
+    )
+    wrong = F.concat_ws(", ", *[
+        F.when(F.col(f"has_{c}") & F.col(c).isNull(), F.lit(f"{c}: not {what}")) for c, what in typed.items()
+    ])
+    fault = (
+        F.when(F.col("body").isNull(), "body: missing").when(~F.col("json"), "body: not JSON")
+        .when(~F.col("object"), "body: not an object").when(wrong != "", wrong)
+    )
+    return read.select("log_id", *LOG_COLUMNS, fault.alias("fault"), "body")
+
+
+def sound(checked: DataFrame) -> DataFrame:
+    return checked.filter("fault IS NULL").drop("fault", "body")
+
+
+def quarantined(checked: DataFrame) -> DataFrame:
+    return checked.filter("fault IS NOT NULL").select("log_id", "fault", "body")
+
+
 def parse_log_json(records: DataFrame) -> DataFrame:
     """The ten log columns of each record; malformed JSON gives a row of NULLs.
 
     `log_id` identifies the record, so that alerts on single rows survive a replay.
     """
-    if "topic" in records.columns:
-        record_id = F.concat_ws("-", "topic", "partition", "offset")
-    else:
-        record_id = F.col("offset").cast("string")
     return records.select(
-        record_id.alias("log_id"),
+        _record_id(records).alias("log_id"),
         F.from_json(F.col("value").cast("string"), LOG_MESSAGE).alias("data"),
     ).select("log_id", "data.*")
