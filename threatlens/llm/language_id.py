@@ -154,8 +154,10 @@ def _sample(labelled: DataFrame, id_col: str, lang_col: str, bound: int) -> Data
     place = F.xxhash64(F.col(id_col).cast("string"))
     keys = labelled.select(F.col(lang_col).alias("lang"), place.alias("place"))
     # Of a language with many rows only the low hashes, about twice the bound, are ranked.
-    shares = keys.groupBy("lang").agg(F.least(F.lit(1.0), 2 * bound / F.count("*")).alias("share"))
-    low = keys.join(shares, "lang").filter(low_hash(F.col("place"), F.col("share")))
+    share = F.lit(0.0)
+    for lang, n in keys.groupBy("lang").count().collect():  # one row per language
+        share = F.when(F.col("lang") == lang, min(1.0, 2 * bound / n)).otherwise(share)
+    low = keys.filter(low_hash(F.col("place"), share))
     window = Window.partitionBy("lang").orderBy("place")
     first = low.withColumn("n", F.row_number().over(window)).filter(F.col("n") <= bound)
     limits = first.groupBy("lang").agg(F.max("place").alias("place")).collect()
