@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from threatlens.llm import embedding_dedup as ed
 
@@ -88,3 +89,46 @@ def test_lists_that_are_full_of_links_grow(spark):
 
     sizes = ed.descend(nodes, 0, 0.93, shared_folder(spark)).groupBy("u").count().collect()
     assert max(r["count"] for r in sizes) > ed.NEIGHBOURS
+
+
+def crowded(centres, noise, rng, size=100):
+    """Groups of near-equal vectors around each of the centres, and random ones."""
+    rows = [c + noise * rng.standard_normal(c.shape[0]) for c in centres for _ in range(size)]
+    rows += list(rng.standard_normal((300, centres[0].shape[0])))
+    return [(i, [float(x) for x in v], 0) for i, v in enumerate(rows)]
+
+
+def turned(first, other, degrees):
+    """The unit vector so far from `first`, towards `other`."""
+    first = first / np.linalg.norm(first)
+    other = other - (other @ first) * first
+    other /= np.linalg.norm(other)
+    return np.cos(np.radians(degrees)) * first + np.sin(np.radians(degrees)) * other
+
+
+def test_links_between_crowded_groups_are_found(spark):
+    rng = np.random.default_rng(11)
+    first = turned(rng.standard_normal(48), rng.standard_normal(48), 0)
+    rows = crowded([first, turned(first, rng.standard_normal(48), 18.6)], 0.006, rng)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    check(frame, rows)
+    made = {r.vec_id: r for r in ed.near_duplicates(frame).collect()}
+    assert all((made[i].n_links, made[i].component_id) == (199, 0) for i in range(200))
+
+
+def test_a_chain_of_crowded_groups_is_one_component(spark):
+    rng = np.random.default_rng(12)
+    centres = [turned(rng.standard_normal(48), rng.standard_normal(48), 0)]
+    for _ in range(4):
+        centres.append(turned(centres[-1], rng.standard_normal(48), 18.6))
+    rows = crowded(centres, 0.006, rng, 70)
+    check(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), rows)
+
+
+def test_a_recall_below_the_bound_raises(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    rows = crowded([rng.standard_normal(16)], 0.02, rng, 30)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(ed, "descend", lambda nodes, *args: nodes.sparkSession.createDataFrame([], "u long, v long, cos float"))
+    with pytest.raises(RuntimeError):
+        ed.near_duplicates(frame)
