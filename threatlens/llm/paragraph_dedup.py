@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threatlens.llm.graphs import connected_components
-from threatlens.session import shared_folder, stage
+from threatlens.session import delete_folder, shared_folder, stage
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -23,13 +23,18 @@ SIMILARITY = 0.8
 MISSED = 1e-3
 #: Many rows: paragraphs that share half of their text should rarely meet.
 ROWS_PER_BAND = 6
+#: (from so many shingles on, rows per band). A short paragraph cannot hold a passage that many
+#: others hold, so fewer rows, and with them fewer bands, will do. A pair meets in the bands for
+#: the smaller of its sets.
+BANDINGS = ((4, 3), (48, 5))
 #: Parities of the numbers of shingles in so many 64-bit groups of hash buckets. A shingle of only
 #: one set changes one parity, so two sets differ in at least as many shingles as in parities.
 SKETCH_LONGS = 4
 #: Sets this small are similar to no other set: one shingle more or less is too much.
 LONE_SHINGLES = 3
-#: Members of each bucket that all others are compared with, before pairs across components.
-LEADERS = 8
+#: Members of each bucket that all others are compared with, in so many rounds, before pairs
+#: across components.
+LEADERS, LEADING_ROUNDS = 8, 3
 #: Shorter paragraphs are headings and stock phrases that documents may share.
 LEAST_WORDS = 50
 #: A segment ends where the hash of two neighbouring words is the smallest for so many words
@@ -82,64 +87,235 @@ def signature(
     else:
         least = minima(hashes, bands * rows)
         keys = [xxhash.xxh64_intdigest(least[b * rows : (b + 1) * rows].tobytes(), b) for b in range(bands)]
+    return np.array(keys, dtype=np.uint64).view(np.int64).tolist(), sketch_of(hashes)
+
+
+def sketch_of(hashes: np.ndarray) -> list[int]:
     odd = (np.bincount(hashes % np.uint32(64 * SKETCH_LONGS), minlength=64 * SKETCH_LONGS) & 1).astype(np.uint8)
-    return np.array(keys, dtype=np.uint64).view(np.int64).tolist(), np.packbits(odd).view(np.int64).tolist()
+    return np.packbits(odd).view(np.int64).tolist()
 
 
-def paragraphs(documents: DataFrame, id_col: str, text_col: str, least_words: int) -> DataFrame:
-    """One row per paragraph (line) of enough words: where it is, its class (a digest of its
-    words) and its words."""
-    names = ["row", "doc_id", "paragraph", "start", "end", "words", "class_id", "body"]
+class _Numbers(dict):
+    """Word to its hash, for as many words as are worth keeping."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kinds = [pa.int64(), batch.schema.field(1).type, *[pa.int64()] * 5, pa.string()]
+    def __missing__(self, word: str) -> int:
+        self[word] = number = xxhash.xxh64_intdigest(word)
+        return number
 
-            def packed(rows: list[tuple], kinds: list = kinds) -> pa.RecordBatch:
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
-                return pa.RecordBatch.from_arrays(columns, names)
 
-            rows, size = [], 0
-            for row, doc, text in zip(*(batch.column(k).to_pylist() for k in range(2)), batch.column(2), strict=True):
-                at = 0
-                for n, line in enumerate((text.as_py() or "").split("\n")):
-                    words = words_of(line) if len(line) >= 2 * least_words - 1 else []
-                    if len(words) >= max(least_words, 1):
-                        body = " ".join(words)
-                        rows.append((row, doc, n, at, at + len(line), len(words), xxhash.xxh3_64_intdigest(body) - 2**63, body))
-                        size += len(body) + 64
-                    at += len(line) + 1
-                if size > 8_000_000:
-                    yield packed(rows)
-                    rows, size = [], 0
-            if rows:
-                yield packed(rows)
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def band_keys(
+    lines: list[list[str]], numbers: dict[str, int], similarity: float = SIMILARITY, missed: float = MISSED
+) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of every band of every line: two lines meet if they share a key.
+
+    All lines are hashed at once. Lines of fewer words than a shingle can only equal each other
+    and have no key.
+    """
+    lines = [line if len(line) >= SHINGLE_WORDS else [] for line in lines]
+    words = np.array([numbers[w] for line in lines for w in line], dtype=np.uint64)
+    ends = np.cumsum([len(line) for line in lines])
+    shingles = np.zeros(max(len(words) - SHINGLE_WORDS + 1, 0), dtype=np.uint64)
+    for k in range(SHINGLE_WORDS):
+        shingles += words[k : k + len(shingles)] * np.uint64(xxhash.xxh64_intdigest(str(k)) | 1)
+    of_line = np.repeat(np.arange(len(lines)), [len(line) for line in lines])[: len(shingles)]
+    inside = np.arange(len(shingles)) + SHINGLE_WORDS <= ends[of_line] if len(shingles) else np.zeros(0, dtype=bool)
+    hashes, of_line = _mixed(shingles[inside]), of_line[inside]
+    order = np.lexsort((hashes, of_line))
+    hashes, of_line = hashes[order], of_line[order]
+    fresh = np.r_[True, (hashes[1:] != hashes[:-1]) | (of_line[1:] != of_line[:-1])][: len(hashes)]
+    hashes, of_line = hashes[fresh], of_line[fresh]
+    known, first, sizes = np.unique(of_line, return_index=True, return_counts=True)
+    found_lines, found_keys = [], []
+    # Sets that can only be similar to equal ones: one key, of the whole set.
+    lone = sizes < BANDINGS[0][0]
+    if lone.any():
+        sums = np.add.reduceat(_mixed(hashes + np.uint64(1)), first)
+        found_lines.append(known[lone])
+        found_keys.append(_mixed(sums[lone]))
+    for n, (least, rows) in enumerate(BANDINGS):
+        most = BANDINGS[n + 1][0] if n + 1 < len(BANDINGS) else np.inf
+        mine = (sizes >= least) & (similarity * sizes < most)
+        if not mine.any():
+            continue
+        chosen = np.repeat(mine, sizes)
+        values, starts = (hashes[chosen] >> np.uint64(32)).astype(np.uint32), np.r_[0, np.cumsum(sizes[mine])[:-1]]
+        rng = np.random.default_rng(n)
+        for band in range(bands_for(similarity, rows, missed)):
+            key = np.full(int(mine.sum()), xxhash.xxh64_intdigest(f"{n}/{band}"), dtype=np.uint64)
+            for _ in range(rows):
+                factor, shift = rng.integers(0, 1 << 32, 2, dtype=np.uint32)
+                least_value = np.minimum.reduceat(values * (factor | np.uint32(1)) + shift, starts)
+                key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + least_value)
+            found_lines.append(known[mine])
+            found_keys.append(key)
+    if not found_keys:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    return np.concatenate(found_lines), np.concatenate(found_keys).view(np.int64)
+
+
+def _lines(text: str | None, least_words: int) -> Iterator[tuple[int, int, int, list[str]]]:
+    """(number, start, end, words) of the lines of enough words."""
+    at = 0
+    for n, line in enumerate((text or "").split("\n")):
+        words = words_of(line) if len(line) >= 2 * least_words - 1 else []
+        if len(words) >= max(least_words, 1):
+            yield n, at, at + len(line), words
+        at += len(line) + 1
+
+
+def _class_of(words: list[str]) -> int:
+    return xxhash.xxh3_64_intdigest(" ".join(words)) - 2**63
+
+
+LINES = "array<struct<paragraph: bigint, start: bigint, end: bigint, words: bigint, class_id: bigint>>"
+SEGMENTS = "array<struct<n: int, paragraph: int, start: int, end: int, words: int, digest: bigint>>"
+
+
+def scanned(documents: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", least_words: int = SHINGLE_WORDS) -> DataFrame:
+    """Each row of the documents once, numbered: row, doc_id, its lines and its segments, no text.
+
+    Lines of enough words come with their class, a digest of their words. Everything that
+    speaks of rows by number reads this one stored table.
+    """
+    line_type = pa.list_(pa.struct([(n, pa.int64()) for n in ("paragraph", "start", "end", "words", "class_id")]))
+    segment_type = pa.list_(pa.struct([*[(n, pa.int32()) for n in ("n", "paragraph", "start", "end", "words")], ("digest", pa.int64())]))
+
+    def listed(columns: list[np.ndarray], lengths: list[int], kind: pa.ListType) -> pa.ListArray:
+        fields = [pa.array(c, f.type) for c, f in zip(columns, kind.value_type, strict=True)]
+        inner = pa.StructArray.from_arrays(fields, fields=list(kind.value_type))
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)], pa.int32()), inner, type=kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = _Numbers()
+        for whole in batches:
+            for at in range(0, len(whole), 500):
+                batch = whole.slice(at, 500)
+                lines, segments, counts = [], [], ([], [])
+                for value in batch.column(2):
+                    text = value.as_py()
+                    own = [(n, a, b, len(w), _class_of(w)) for n, a, b, w in _lines(text, least_words)]
+                    lines += own
+                    counts[0].append(len(own))
+                    starts, ends, words, digests = segments_of(text, numbers)
+                    breaks = np.cumsum([len(line) + 1 for line in (text or "").split("\n")])
+                    here = np.searchsorted(breaks, starts, side="right")
+                    segments.append((np.arange(len(digests)), here, starts, ends, words, np.array(digests, dtype=np.int64)))
+                    counts[1].append(len(digests))
+                    if len(numbers) > 400_000:
+                        numbers.clear()
+                line_columns = list(np.array(lines, dtype=np.int64).reshape(-1, 5).T)
+                segment_columns = [np.concatenate(c) for c in zip(*segments, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), listed(line_columns, counts[0], line_type),
+                     listed(segment_columns, counts[1], segment_type)],
+                    ["row", "doc_id", "lines", "segments"],
+                )
 
     kind = documents.schema[id_col].dataType.simpleString()
-    longs = ", ".join(f"`{n}` long" for n in names[2:7])
-    return documents.select(F.monotonically_increasing_id(), id_col, text_col).mapInArrow(
-        run, f"row long, doc_id {kind}, {longs}, body string"
-    )
+    source = documents.select(F.monotonically_increasing_id(), id_col, text_col)
+    return stage(source.mapInArrow(run, f"row long, doc_id {kind}, lines {LINES}, segments {SEGMENTS}"), f"{folder}/scan")
 
 
-def signed(bodies: DataFrame, bands: int, similarity: float) -> DataFrame:
-    """class_id with its number of shingles, band keys and parities."""
-    names = ["class_id", "shingles", "bands", "sketch"]
-    kinds = [pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 2]
+def _keys(documents: DataFrame, text_col: str, least_words: int, similarity: float) -> DataFrame:
+    """(key, class_id) of every class; a task sends a class once, however often it stands there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, sent = _Numbers(), set()
         for batch in batches:
-            made = []
-            for key, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                shingles = shingles_of(body.as_py().split(" "))
-                made.append((key, len(shingles), *signature(shingles, bands, similarity=similarity)))
-            if made:
-                columns = [pa.array(c, t) for c, t in zip(zip(*made, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-    return bodies.select("class_id", "body").mapInArrow(
-        run, "class_id long, shingles long, bands array<long>, sketch array<long>"
-    )
+            classes, lines, size = [], [], 0
+
+            def packed(classes: list, lines: list) -> pa.RecordBatch:
+                line, key = band_keys(lines, numbers, similarity)
+                return pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.array(classes, dtype=np.int64)[line])], ["key", "class_id"])
+
+            for value in batch.column(0):
+                for _, _, _, words in _lines(value.as_py(), least_words):
+                    number = _class_of(words)
+                    if number not in sent:
+                        sent.add(number)
+                        classes.append(number)
+                        lines.append(words)
+                        size += len(words)
+                if size > 200_000:
+                    yield packed(classes, lines)
+                    classes, lines, size = [], [], 0
+                for cache in (numbers, sent):
+                    if len(cache) > 400_000:
+                        cache.clear()
+            if lines:
+                yield packed(classes, lines)
+
+    return documents.select(text_col).mapInArrow(run, "key long, class_id long")
+
+
+def _meeting(keys: DataFrame) -> DataFrame:
+    """The distinct (key, class_id) of keys that several classes share.
+
+    One shuffle: sorted keys stream by, and a key stays if a neighbour has it too, so most of
+    them end here and nothing but the last one is held.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, number, met = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), False
+
+        def packed(chosen: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(key[: len(chosen)][chosen]), pa.array(number[: len(chosen)][chosen])], ["key", "class_id"])
+
+        for batch in batches:
+            key, number = (np.r_[x, batch.column(i).to_numpy()] for i, x in ((0, key[-1:]), (1, number[-1:])))
+            if not len(key):
+                continue
+            fresh = np.r_[True, (key[1:] != key[:-1]) | (number[1:] != number[:-1])]
+            key, number = key[fresh], number[fresh]
+            shared = key[1:] == key[:-1]
+            before, after = np.r_[met, shared], np.r_[shared, False]
+            yield packed((before | after)[:-1])
+            met = bool(before[-1])
+        if met:
+            key, number = key[-1:], number[-1:]
+            yield packed(np.array([True]))
+
+    return keys.repartition("key").sortWithinPartitions("key", "class_id").mapInArrow(run, "key long, class_id long")
+
+
+def _bodies(documents: DataFrame, classes: DataFrame, text_col: str, least_words: int) -> DataFrame:
+    """class_id, shingles, sketch, body of the given classes, found again by their digests."""
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = set()
+        for batch in batches:
+            rows, size = [], 0
+            for value in batch.column(0):
+                for _, _, _, words in _lines(value.as_py(), least_words):
+                    number = _class_of(words)
+                    if number not in sent:
+                        sent.add(number)
+                        rows.append((number, " ".join(words)))
+                        size += len(rows[-1][1])
+                if len(sent) > 400_000:
+                    sent.clear()
+                if size > 4_000_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["class_id", "body"])
+                    rows, size = [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["class_id", "body"])
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [hashes_of(shingles_of(body.as_py().split(" "))) for body in batch.column(1)]
+            sketches = pa.array([sketch_of(h) for h in hashes], pa.list_(pa.int64()))
+            counts = pa.array([len(h) for h in hashes], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), counts, sketches, batch.column(1)], ["class_id", "shingles", "sketch", "body"])
+
+    lines = documents.select(text_col).mapInArrow(again, "class_id long, body string")
+    asked = lines.join(classes, "class_id", "left_semi").groupBy("class_id").agg(F.first("body").alias("body"))
+    return asked.mapInArrow(measured, "class_id long, shingles long, sketch array<long>, body string")
 
 
 def _similar(pairs: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
@@ -187,6 +363,7 @@ def repeated_paragraphs(
     similarity: float = SIMILARITY,
     staging: str | None = None,
     inside_rows: bool = False,
+    scan: DataFrame | None = None,
 ) -> DataFrame:
     """One row per paragraph with a copy or near-copy in another row: where, its cluster, removed.
 
@@ -197,56 +374,43 @@ def repeated_paragraphs(
     with a Jaccard similarity of five-word shingles of at least `similarity`), removed. Of
     each cluster the first paragraph by (doc_id, paragraph) stays, a null doc_id last.
     Paragraphs of fewer than `least_words` words are not compared; null and empty texts
-    have none. Repeated rows repeat their paragraphs. Other columns are not read.
+    have none. Repeated rows repeat their paragraphs. Other columns are not read. `scan` is the
+    table of `scanned` over the same documents and least_words, where rows have their numbers.
 
     Equal paragraphs are one class. Per band, all classes of a bucket are compared with a few
-    of them, which links large groups with a few pairs per member. Buckets whose classes are
-    then still in different components have the pairs across them compared too, if numbers
-    of shingles and parities allow, so a group never has all its pairs emitted.
+    of them, which links large groups with a few pairs per member; buckets that still mix
+    components have other leaders, some rounds more. Buckets whose classes are then still in
+    different components have the pairs across them compared too, if numbers of shingles and
+    parities allow, so a group never has all its pairs emitted. Only classes that share a bucket
+    have their texts and facts fetched.
     """
     folder = shared_folder(documents.sparkSession, staging)
-    bands = bands_for(similarity)
-    found = stage(
-        paragraphs(documents, id_col, text_col, least_words).withColumn(
-            "uid", F.monotonically_increasing_id()
-        ),
-        f"{folder}/paragraphs",
-    )
-    classes = stage(
-        found.groupBy("class_id").agg(F.min("uid").alias("uid"), F.count("*").alias("copies")), f"{folder}/classes"
-    )
-    bodies = found.join(classes.select("uid"), "uid", "left_semi").select("class_id", "body")
-    heads = stage(signed(bodies, bands, similarity), f"{folder}/heads")
-    keys = heads.select("class_id", F.explode("bands").alias("key"))
-    buckets = keys.groupBy("key").agg(F.min("class_id").alias("first"), F.max("class_id").alias("last")).filter("first < last")
-    met = stage(
-        keys.join(buckets.select("key"), "key").join(heads.select("class_id", "shingles", "sketch"), "class_id"),
-        f"{folder}/met",
-    )
-    # Any members may lead; several, since few of a large group are similar to a given one.
-    leading = [F.min_by("class_id", F.xxhash64("class_id", F.lit(i))) for i in range(LEADERS)]
-    leaders = stage(
-        met.groupBy("key").agg(F.array_distinct(F.array(*leading)).alias("leaders"))
-        .select("key", F.explode("leaders").alias("class_id"))
-        .join(heads.select("class_id", "shingles", "sketch"), "class_id"),
-        f"{folder}/leaders",
-    )
+    scan = scanned(documents, folder, id_col, text_col, least_words) if scan is None else scan
+    found = scan.select("row", "doc_id", F.inline("lines"))
+    shared = stage(_meeting(_keys(documents, text_col, least_words, similarity)), f"{folder}/shared")
+    bodies = stage(_bodies(documents, shared.select("class_id").distinct(), text_col, least_words), f"{folder}/bodies")
     facts = ("class_id", "shingles", "sketch")
-    member = met.select("key", *[F.col(c).alias(f"{c}_b") for c in facts])
-    leader = leaders.select(F.col("key").alias("key_a"), *[F.col(c).alias(f"{c}_a") for c in facts])
-    apart = F.col("class_id_a") != F.col("class_id_b")
-    stars = (
-        member.join(leader, (F.col("key") == F.col("key_a")) & apart & _may_be_similar(similarity))
-        .select(F.least("class_id_a", "class_id_b").alias("a"), F.greatest("class_id_a", "class_id_b").alias("b"))
-        .distinct()
-    )
-    links = stage(_similar(stars, bodies, similarity), f"{folder}/stars")
-    near = stage(connected_components(links, f"{folder}/near"), f"{folder}/near-components")
-    placed = met.join(near.withColumnRenamed("node", "class_id"), "class_id", "left").select(
-        "key", *facts, F.coalesce("component", "class_id").alias("component")
-    )
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    rest = stage(placed.join(mixed.select("key"), "key"), f"{folder}/mixed")
+    met = stage(shared.join(bodies.select(*facts), "class_id").select("key", *facts), f"{folder}/met")
+    delete_folder(met.sparkSession, f"{folder}/shared")
+    links = near = None
+    for turn in range(LEADING_ROUNDS):
+        # Any members may lead; several, since few of a large group are similar to a given one.
+        mixed = met if near is None else _mixed_buckets(met, near)
+        leading = [F.min_by(F.struct(*facts), F.xxhash64("class_id", F.lit(turn * LEADERS + i))) for i in range(LEADERS)]
+        leader = mixed.groupBy("key").agg(F.array_distinct(F.array(*leading)).alias("leaders")).select(
+            F.col("key").alias("key_a"), F.inline("leaders")
+        ).select("key_a", *[F.col(c).alias(f"{c}_a") for c in facts])
+        member = mixed.select("key", *[F.col(c).alias(f"{c}_b") for c in facts])
+        apart = F.col("class_id_a") != F.col("class_id_b")
+        stars = (
+            member.join(leader, (F.col("key") == F.col("key_a")) & apart & _may_be_similar(similarity))
+            .select(F.least("class_id_a", "class_id_b").alias("a"), F.greatest("class_id_a", "class_id_b").alias("b"))
+            .distinct()
+        )
+        found_links = _similar(stars, bodies, similarity)
+        links = stage(found_links if links is None else links.union(found_links).distinct(), f"{folder}/stars-{turn}")
+        near = stage(connected_components(links, f"{folder}/near-{turn}"), f"{folder}/near-components-{turn}")
+    rest = stage(_mixed_buckets(met, near), f"{folder}/mixed")
     columns = (*facts, "component")
     one = rest.select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
     other = rest.select(F.col("key").alias("key_b"), *[F.col(c).alias(f"{c}_b") for c in columns])
@@ -259,12 +423,13 @@ def repeated_paragraphs(
     links = stage(links.union(_similar(across, bodies, similarity)), f"{folder}/links")
     clusters = connected_components(links, f"{folder}/all")
 
+    classes = found.groupBy("class_id").agg(F.count("*").alias("copies"))
     repeated = (
         classes.join(clusters.withColumnRenamed("node", "class_id"), "class_id", "left")
         .filter("copies > 1 or component is not null")
         .select("class_id", F.coalesce("component", "class_id").alias("component_id"))
     )
-    rows = found.select("uid", "row", "doc_id", "paragraph", "start", "end", "words", "class_id").join(repeated, "class_id")
+    rows = found.join(repeated, "class_id").withColumn("uid", F.struct("row", "paragraph"))
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "paragraph", "uid")
     first = (
         rows.groupBy("component_id")
@@ -277,12 +442,13 @@ def repeated_paragraphs(
     )
 
 
-class _Numbers(dict):
-    """Word to its hash, for as many words as are worth keeping."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = xxhash.xxh64_intdigest(word)
-        return number
+def _mixed_buckets(met: DataFrame, near: DataFrame) -> DataFrame:
+    """The members, with their components, of buckets that hold several components."""
+    placed = met.join(near.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn(
+        "component", F.coalesce("component", "class_id")
+    )
+    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    return placed.join(mixed.select("key"), "key")
 
 
 def segments_of(text: str | None, numbers: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
@@ -326,52 +492,34 @@ def _starts(text: str, words: list[str]) -> list[int]:
     return made
 
 
-def _segments(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per segment: row, doc_id, n (its number in the row), paragraph (the line it stands
-    in), start, end, words, digest."""
-    names = ["row", "doc_id", "n", "paragraph", "start", "end", "words", "digest"]
+def _copies(segments: DataFrame) -> DataFrame:
+    """The segments (digest, row, ...) that stand in several rows, found as `_meeting` finds keys.
+
+    Sorted, they stream by. Held are only those of one digest that so far are all of one row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = _Numbers()
+        held, passed = [], None
         for batch in batches:
-            parts, held = [], 0
-            for i, value in enumerate(batch.column(2)):
-                text = value.as_py() or ""
-                starts, ends, words, digests = segments_of(text, numbers)
-                n = len(digests)
-                lines = np.cumsum([len(line) + 1 for line in text.split("\n")])
-                lines = np.searchsorted(lines, starts, side="right")
-                parts.append((np.full(n, i), np.arange(n), lines, starts, ends, words, np.array(digests, dtype=np.int64)))
-                held += n
-                if len(numbers) > 400_000:
-                    numbers.clear()
-                if held > 100_000 or i == len(batch) - 1:
-                    at, *numeric, digest = (np.concatenate(x) for x in zip(*parts, strict=True))
-                    at = pa.array(at)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(at), batch.column(1).take(at),
-                         *[pa.array(x.astype(np.int32)) for x in numeric], pa.array(digest)],
-                        names,
-                    )
-                    parts, held = [], 0
-
-    kind = documents.schema[id_col].dataType.simpleString()
-    source = documents.select(F.monotonically_increasing_id().alias("row"), id_col, text_col)
-    return source.mapInArrow(
-        run, f"row long, doc_id {kind}, n int, paragraph int, start int, `end` int, words int, digest long"
-    )
-
-
-def _pieces(
-    documents: DataFrame, id_col: str, text_col: str, gone: DataFrame | None, folder: str
-) -> DataFrame:
+            if not len(batch):
+                continue
+            table = pa.Table.from_batches([*held, batch]).combine_chunks()
+            digest, row = (table.column(i).to_numpy() for i in (0, 1))
+            starts = np.flatnonzero(np.r_[True, digest[1:] != digest[:-1]])
+            ends = np.r_[starts[1:], len(digest)]
+            several = row[starts] != row[ends - 1]
+            several[0] |= passed is not None and digest[0] == passed
+            held, passed = ([], digest[-1]) if several[-1] else (table.slice(starts[-1]).to_batches(), None)
+            yield from table.filter(pa.array(np.repeat(several, ends - starts))).to_batches()
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in segments.schema.fields)
+    return segments.repartition("digest").sortWithinPartitions("digest", "row").mapInArrow(run, kinds)
+
+
+def _pieces(scan: DataFrame, gone: DataFrame | None, folder: str) -> DataFrame:
     """One row per piece of a run of repeated segments, with the run it is part of and its words."""
-    segments = stage(_segments(documents, id_col, text_col), f"{folder}/segments")
-    repeated = (
-        segments.groupBy("digest").agg(F.min("row").alias("low"), F.max("row").alias("high"))
-        .filter("low < high").select("digest")
-    )
-    copies = segments.join(repeated, "digest")
+    segments = scan.select("row", "doc_id", F.inline("segments"))
+    copies = _copies(segments.select("digest", "row", "doc_id", "n", "paragraph", "start", "end", "words"))
     if gone is None:
         copies = copies.withColumn("gone", F.lit(False))
     else:
@@ -410,6 +558,7 @@ def passage_copies(
     least_words: int = PASSAGE_WORDS,
     gone: DataFrame | None = None,
     staging: str | None = None,
+    scan: DataFrame | None = None,
 ) -> DataFrame:
     """One row per copy of a passage: doc_id, start, end, words, component_id, removed.
 
@@ -424,7 +573,8 @@ def passage_copies(
     columns are not read.
     """
     folder = shared_folder(documents.sparkSession, staging)
-    pieces = stage(_pieces(documents, id_col, text_col, gone, folder), f"{folder}/pieces")
+    scan = scanned(documents, folder, id_col, text_col) if scan is None else scan
+    pieces = stage(_pieces(scan, gone, folder), f"{folder}/pieces")
     found = pieces.filter(F.col("run_words") >= least_words)
     short = pieces.filter((F.col("run_words") < least_words) & ~F.col("removed"))
     listed = found.union(short.join(found.filter("removed").select("component_id").distinct(), "component_id", "left_semi").select(pieces.columns))
@@ -445,7 +595,7 @@ def repeated_passages(
     """
     folder = shared_folder(documents.sparkSession, staging)
     return (
-        _pieces(documents, id_col, text_col, None, folder)
+        _pieces(scanned(documents, folder, id_col, text_col), None, folder)
         .filter(F.col("run_words") >= least_words)
         .groupBy("row", "run")
         .agg(

@@ -90,12 +90,13 @@ def op6_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _documents(spark, sf_dir)
     columns = ["doc_id", "start", "end", "words", "component_id", "removed"]
     folder = shared_folder(spark)
-    found = stage(
-        paragraph_dedup.repeated_paragraphs(documents, least_words=paragraph_dedup.SHINGLE_WORDS, inside_rows=True),
-        f"{folder}/paragraphs",
+    scan = paragraph_dedup.scanned(documents, folder)
+    lines = paragraph_dedup.repeated_paragraphs(
+        documents, least_words=paragraph_dedup.SHINGLE_WORDS, inside_rows=True, scan=scan
     )
+    found = stage(lines, f"{folder}/paragraphs")
     paragraphs = found.select(F.lit("paragraph").alias("kind"), *columns)
-    passages = paragraph_dedup.passage_copies(documents, gone=found.filter("removed"))
+    passages = paragraph_dedup.passage_copies(documents, gone=found.filter("removed"), scan=scan)
     passages = passages.select(F.lit("passage").alias("kind"), *columns)
     return paragraphs.union(passages)
 
