@@ -72,6 +72,38 @@ def test_boosting_adds_what_looks_like_the_base(spark):
             assert not r.base and not r.added
         elif r.doc_id < 9000:
             assert len(r.base) == 1
+        else:
+            assert [r.text[s.start : s.end] for s in r.added] == ["1 (212) 555-0100"]
+
+
+def test_disguised_spans_are_added_and_clean_texts_left_alone(spark, sf_dir):
+    rng = random.Random(6)
+
+    def card():
+        head = [rng.randrange(10) for _ in range(15)]
+        return "".join(map(str, [*head, next(d for d in range(10) if luhn([*head, d]))]))
+
+    def phone():
+        return f"+{rng.randrange(1, 99)} {rng.randrange(100, 999)} {rng.randrange(100, 999)} {rng.randrange(1000, 9999)}"
+
+    words = "the river and a house near some old trees where they went to read about it".split()
+    prose = lambda: " ".join(rng.choices(words, k=8))
+    plain, hidden, clean = [], [], []
+    for _ in range(400):
+        number, user = card(), f"{rng.choice(words)}.{rng.choice(words)}@{rng.choice(words)}.org"
+        plain += [f"{prose()} mail {user} {prose()}", f"{prose()} card {number} {prose()}", f"{prose()} call {phone()} {prose()}"]
+        clean.append(f"{prose()} in {rng.randrange(1900, 2024)}-{rng.randrange(10, 13)}-{rng.randrange(10, 29)} version {rng.randrange(9)}.{rng.randrange(9)}.{rng.randrange(99)}, at {rng.randrange(10, 24)}:{rng.randrange(10, 60)}:{rng.randrange(10, 60)} {prose()}")
+    for _ in range(100):
+        number, user = card(), f"{rng.choice(words)}.{rng.choice(words)} [at] {rng.choice(words)} [dot] org"
+        hidden += [(f"{prose()} mail ", user), (f"{prose()} card ", ".".join(number[i : i + 4] for i in range(0, 16, 4))), (f"{prose()} call ", "00" + phone()[1:])]
+    texts = [*plain, *clean, *(f"{a}{b} {prose()}" for a, b in hidden)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n long, text string")
+    made = {r.n: r for r in pb.find_personal_data(frame, ["n"]).collect()}
+    spurious = [made[n] for n in range(len(plain), len(plain) + len(clean)) if made[n].added]
+    assert len(spurious) <= 0.02 * len(clean)
+    first = len(plain) + len(clean)
+    found = sum(any(s.start < len(a) + len(b) and s.end > len(a) for s in made[first + i].added) for i, (a, b) in enumerate(hidden))
+    assert found >= 0.8 * len(hidden)
 
 
 def test_odd_rows(odd_documents, no_documents):

@@ -27,7 +27,7 @@ GENERATORS = [
     (0, re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{1,63})*")),
     (1, re.compile(r"(?<![0-9])[0-9]{1,4}(?:[.,:][0-9]{1,4}){2,5}")),
     (2, re.compile(r"(?<![0-9])[0-9](?:[ ./-]{0,2}[0-9]){11,22}(?![0-9])")),
-    (3, re.compile(r"(?<![0-9+])(?:\+|00)?[(]?[0-9]{2,5}(?:[ ().-]{1,2}[0-9]{2,5}){1,6}(?![0-9])")),
+    (3, re.compile(r"(?<![0-9+])(?:\+|00)?[(]?[0-9]{1,5}(?:[ ().-]{1,2}[0-9]{2,5}){1,6}(?![0-9])")),
 ]
 HINTS = re.compile(r"(mail|contact|phone|tel|call|fax|mobile|card|visa|ip|host|addr)\W*$", re.IGNORECASE)
 NEAR = 24
@@ -104,12 +104,63 @@ def features(text: str, kind: int, start: int, end: int) -> list[float]:
     ]
 
 
+def disguises(kind: int, span: str) -> list[str]:
+    """A base span as people also write it: other signs and separators, no prefix."""
+    if kind == 0:
+        local, domain = span.rsplit("@", 1)
+        return [
+            f"{local} @ {domain}", f"{local}(at){domain}", f"{local} [at] {domain.replace('.', ' [dot] ')}",
+            f"{local}@{domain.replace('.', '(dot)')}",
+        ]
+    if kind == 1:
+        return [span.replace(".", c) for c in (",", ":")]
+    if kind == 2:
+        fours = [digits(span)[i : i + 4] for i in range(0, len(digits(span)), 4)]
+        return [c.join(fours) for c in (".", "/", "  ", " - ")]
+    return [span[1:], f"00{span[1:]}", re.sub("[() -]+", ".", span[1:]), re.sub("[(). -]+", "-", span[1:])]
+
+
+def spoilt(kind: int, span: str) -> list[str]:
+    """What only looks like a base span: no domain, a part too large or missing, a wrong check digit.
+
+    Of phone numbers the texts hold enough look-alikes.
+    """
+    if kind == 0:
+        return [f"{span.rsplit('@', 1)[0]} @ {span.rsplit('@', 1)[1].split('.')[0]}"]
+    if kind == 1:
+        parts = span.split(".")
+        return [",".join([str(256 + int(parts[0]) % 700), *parts[1:]]), ":".join(parts[:3])]
+    if kind == 2:
+        number = digits(span)
+        wrong = number[:-1] + str((int(number[-1]) + 1 + len(set(number)) % 8) % 10)
+        return [".".join(wrong[i : i + 4] for i in range(0, len(wrong), 4))]
+    return []
+
+
+def examples_of(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, list[float]]]:
+    """(kind, label, features): disguised and spoilt base spans in the text around them, as proposed there."""
+    made = []
+    for kind, start, end in base:
+        left, right = text[max(0, start - NEAR - 8) : start], text[end : end + NEAR + 8]
+        for label, written in ((1, disguises(kind, text[start:end])), (2, spoilt(kind, text[start:end]))):
+            for new in written:
+                near, middle = left + new + right, range(len(left), len(left) + len(new))
+                if any(s < middle.stop and e > middle.start for _, s, e in base_spans(near)):
+                    continue
+                for m in dict(GENERATORS)[kind].finditer(near):
+                    if m.start() < middle.stop and m.end() > middle.start:
+                        made.append((kind, label, features(near, kind, *m.span())))
+                        break
+    return made
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, list[float]]]:
-    """(kind, start, end, label, features): label 1 for a base span, 0 for one apart from all.
+    """(kind, start, end, label, features): label 0 for a proposal apart from all base spans.
 
     Proposals that only overlap a base span are part of it or a worse cut of it: left out.
+    Examples that are not in the text have label 1 (disguised) or 2 (spoilt) and no place.
     """
-    spans = {(k, s, e): 1 for k, s, e in base}
+    spans = set()
     mail, number = "@" in text or "(at)" in text or "[at]" in text, bool(ANY_DIGIT.search(text))
     taken = sorted((s, e) for _, s, e in base)
     starts = np.array([s for s, _ in taken], dtype=np.int64)
@@ -119,8 +170,9 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             for m in pattern.finditer(text):
                 earlier = int(np.searchsorted(starts, m.end())) - 1
                 if earlier < 0 or ends[earlier] <= m.start():
-                    spans.setdefault((kind, *m.span()), 0)
-    return [(k, s, e, label, features(text, k, s, e)) for (k, s, e), label in sorted(spans.items())]
+                    spans.add((kind, *m.span()))
+    made = [(k, s, e, 0, features(text, k, s, e)) for k, s, e in sorted(spans)]
+    return made + [(k, -1, -1, label, f) for k, label, f in examples_of(text, base)]
 
 
 SPANS = "array<struct<kind: int, start: int, end: int>>"
@@ -194,9 +246,10 @@ def find_personal_data(
     """The carried columns of every row, `base` and `added` spans: (kind, start, end).
 
     Positions are code points, ends exclusive; kind counts in KINDS. Base spans always
-    stay. Boosted trees learn from a bounded, hashed sample of candidates, as many of each kind
-    and label, base spans against proposals apart from them, by format and context. Candidates
-    with equal kind, label and features are one example. A quarter of all examples, by hash, is
+    stay. Boosted trees learn from a bounded, hashed sample of examples, as many of each kind and
+    label, by format and context: base spans written in other ways (`disguises`) against
+    proposals without a hint apart from base spans and spoilt ones (`spoilt`), so what decides is
+    not the base format itself. Examples with equal kind, label and features are one. A quarter of all, by hash, is
     held out, and all of it calibrates a threshold for each kind. Proposals that pass are added,
     of overlapping ones the best (then the first). Without examples of both labels nothing is
     added, nor of a kind that has no base span among the held-out examples: tables with a few
@@ -208,8 +261,15 @@ def find_personal_data(
         _generate(documents, carry, text_col).withColumn("uid", F.monotonically_increasing_id()), f"{folder}/found"
     )
     every = found.select("uid", F.explode("candidates").alias("c")).select("uid", "c.*")
+    # Proposals after a hint may well be personal data: they teach nothing. The others are
+    # shown with and without one, so that a hint alone decides nothing either.
+    known = every.filter((F.col("label") > 0) | (F.element_at("features", -1) == 0)).select(
+        "kind", (F.col("label") == 1).cast("int").alias("label"), "features"
+    )
+    hinted = F.concat(F.slice("features", 1, F.size("features") - 1), F.array(F.lit(1.0).cast("float")))
+    known = known.union(known.filter("label = 0").withColumn("features", hinted))
     examples = stage(
-        every.select("kind", "label", "features").distinct().withColumn("place", F.xxhash64("kind", "label", "features"))
+        known.distinct().withColumn("place", F.xxhash64("kind", "label", "features"))
         .withColumn("held_out", F.pmod(F.xxhash64("place"), F.lit(4)) == 0),
         f"{folder}/examples",
     )
