@@ -265,6 +265,8 @@ def links_between(
     lists, and what the descent finds for them stands.
     """
     sizes = components.groupBy("component").agg(F.count("*").alias("n")).filter(F.col("n") > crowd)
+    if sizes.limit(2).count() < 2:
+        return components.sparkSession.createDataFrame([], "a long, b long")
     members = (
         components.join(sizes.select("component"), "component").withColumnRenamed("node", "class_id")
         .join(classes.select("class_id", "label", "unit", "copies"), "class_id")
