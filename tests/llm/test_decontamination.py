@@ -84,3 +84,23 @@ def test_a_match_never_joins_two_texts():
     found = index.search([" ".join(words[:40]), " ".join(words[40:])])
     assert [[x[1:3] for x in f] for f in found] == [[(0, 40)], [(0, 40)]]
     assert np.all(dc.seed_hashes(np.zeros(2, np.uint64), "11111") == [])
+
+
+def test_a_benchmark_of_a_million_words_is_joined_by_a_fixed_plan(spark):
+    rng = np.random.default_rng(5)
+    items = [(i, " ".join(f"w{x}" for x in rng.integers(0, 50_000, 100))) for i in range(10_000)]
+    docs = [(d, " ".join(f"w{x}" for x in rng.integers(0, 50_000, 60))) for d in range(200)]
+    planted = {}
+    for d, item in enumerate(rng.integers(0, 10_000, 40).tolist()):
+        words = items[item][1].split()[10:50]
+        words[5] = words[20] = "exchanged"
+        planted[1000 + d] = item
+        docs.append((1000 + d, f"some {' '.join(words)} text"))
+    docs.append((2000, None))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    asked = lambda n: spark.createDataFrame(items[:n], "item_id long, text string")
+    made = dc.overlaps(frame, asked(10_000), ["doc_id"])
+    assert {r.doc_id: [x.item_id for x in r.overlaps] for r in made.collect() if r.overlaps} == {d: [i] for d, i in planted.items()}
+    assert made.count() == len(docs)
+    plans = [dc.overlaps(frame, asked(n), ["doc_id"])._jdf.queryExecution().executedPlan().toString() for n in (3_000, 10_000)]
+    assert len({p.count("MapInArrow") for p in plans}) == 1

@@ -12,6 +12,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threatlens.session import shared_folder, stage
+
 WORD = re.compile(r"\w+")
 #: Fixed masks; a 0 is a word that may differ. Together they hit every stretch of 13 words
 #: with any two of them exchanged (tested).
@@ -22,8 +24,10 @@ MATCH_WORDS = 13
 ITEM_WORDS = 5
 #: One differing word costs as much as four equal ones: at least 80 % of a match is equal.
 MISMATCH = -4
-#: The benchmark is searched in blocks of about so many words, which bounds what tasks get.
+#: A benchmark of so many words at most is sent to every task as one index; a larger one is joined.
 BLOCK_WORDS = 250_000
+#: Bits (as a power of two) of the filter that document seeds pass before they are joined.
+FILTER_BITS = 26
 CHUNK_CHARACTERS = 4_000_000
 
 OVERLAPS = "array<struct<item_id: bigint, start: bigint, words: bigint, equal: bigint>>"
@@ -144,6 +148,7 @@ def overlaps(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     block_words: int = BLOCK_WORDS,
+    staging: str | None = None,
 ) -> DataFrame:
     """The carried columns of every row and `overlaps`, its matches with benchmark items.
 
@@ -154,48 +159,148 @@ def overlaps(
     reported; of repeated item ids the best match is shown once; an empty benchmark matches
     nothing. A carried column must not be called `overlaps`.
 
-    The benchmark is cut into blocks by size, and the index of each goes to all tasks in
-    turn, so that it may have any size; the documents are never shuffled.
+    A benchmark of at most `block_words` words goes to all tasks as one index, and documents are
+    not shuffled. A larger one stays a table: its seeds and those of the documents that pass a
+    filter of fixed size are joined, and the hits are verified on the executors. The plan and
+    what the driver holds are the same for a benchmark of any size.
     """
     items = benchmark.select(F.col(item_id_col).cast("long").alias("i"), F.col(item_text_col).alias("t"))
     words = items.agg(F.sum(F.size(F.split(F.coalesce("t", F.lit("")), r"\W+")))).first()[0] or 0
-    blocks = -(-words // block_words) or 1
+    if words > block_words:
+        return _joined(documents, items, carry, text_col, staging)
+    index = SeedIndex.of([tuple(r) for r in items.collect()])  # at most block_words words
     kinds = [f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in carry]
-    rows = documents.select(*carry, F.col(text_col).alias("_text"), F.expr(f"cast(array() as {OVERLAPS})").alias("overlaps"))
-    for block in range(blocks):
-        own = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).collect()
-        index = SeedIndex.of([tuple(r) for r in own])
-
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = batch.column(len(carry))
-                ends, size = [], 0
-                for i, n in enumerate(pa.compute.binary_length(texts).to_pylist()):
-                    size += n or 0
-                    if size > CHUNK_CHARACTERS or i == len(texts) - 1:
-                        ends.append(i + 1)
-                        size = 0
-                start = 0
-                for end in ends:
-                    part = batch.slice(start, end - start)
-                    made = []
-                    found = index.search(part.column(len(carry)).to_pylist())
-                    for old, new in zip(part.column(len(carry) + 1).to_pylist(), found, strict=True):
-                        names = ("item_id", "start", "words", "equal")
-                        new = [dict(zip(names, x, strict=True)) for x in new]
-                        known = {x["item_id"]: x for x in old}
-                        for x in new:
-                            y = known.get(x["item_id"])
-                            if y is None or (x["equal"], -x["start"]) > (y["equal"], -y["start"]):
-                                known[x["item_id"]] = x
-                        made.append([known[k] for k in sorted(known)])
-                    column = pa.array(made, batch.schema.field(len(carry) + 1).type)
-                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], column], batch.schema.names)
-                    start = end
-
-        text = f"_text {documents.schema[text_col].dataType.simpleString()}"
-        rows = rows.mapInArrow(run, ", ".join([*kinds, text, f"overlaps {OVERLAPS}"]))
-    return rows.drop("_text")
+    names = ("item_id", "start", "words", "equal")
+    struct = pa.list_(pa.struct([(n, pa.int64()) for n in names]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _parts(batch, len(carry)):
+                found = index.search(part.column(len(carry)).to_pylist())
+                made = []
+                for matches in found:
+                    best = {}
+                    for x in (dict(zip(names, m, strict=True)) for m in matches):
+                        y = best.get(x["item_id"])
+                        if y is None or (x["equal"], -x["start"]) > (y["equal"], -y["start"]):
+                            best[x["item_id"]] = x
+                    made.append([best[k] for k in sorted(best)])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(made, struct)], [*carry, "overlaps"])
+
+    rows = documents.select(*carry, F.col(text_col).alias("_text"))
+    return rows.mapInArrow(run, ", ".join([*kinds, f"overlaps {OVERLAPS}"]))
+
+
+def _parts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about CHUNK_CHARACTERS of text."""
+    start = size = 0
+    for i, n in enumerate(pa.compute.binary_length(batch.column(column)).to_pylist()):
+        size += n or 0
+        if size > CHUNK_CHARACTERS or i == len(batch) - 1:
+            yield batch.slice(start, i + 1 - start)
+            start, size = i + 1, 0
+
+
+def _numbers_of(text: str | None) -> np.ndarray:
+    return np.array([_number(w) for w in words_of(text)], dtype=np.uint64)
+
+
+def _item_seeds(items: DataFrame) -> DataFrame:
+    """(hash, n, at): the seeds of items (n, t), those of short whole items included."""
+    widest = max(map(len, MASKS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            for n, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                code = _numbers_of(text)
+                if len(code) >= ITEM_WORDS:
+                    for mask in [*MASKS, *(["1" * len(code)] if len(code) < widest else [])]:
+                        h = _tagged(seed_hashes(code, mask), mask)
+                        made.append((h, np.full(len(h), n), np.arange(len(h))))
+            h, n, at = (np.concatenate(c) for c in zip(*made, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n), pa.array(at)], ["hash", "n", "at"])
+
+    return items.select("n", "t").mapInArrow(run, "hash long, n long, at long")
+
+
+def _tagged(hashes: np.ndarray, mask: str) -> np.ndarray:
+    """Hashes of different masks must not meet."""
+    x = hashes ^ np.uint64(xxhash.xxh64_intdigest(mask))
+    return (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def _filter_of(seeds: DataFrame) -> np.ndarray:
+    """A bit for every high part of a hash that occurs: FILTER_BITS decide its size, not the seeds."""
+    placed = seeds.select(F.shiftrightunsigned("hash", 64 - FILTER_BITS).alias("place"))
+    words = placed.groupBy(F.shiftright("place", 6).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(place % 64 AS INT)))").alias("bits")
+    )
+    frame = words.toPandas()
+    made = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
+    made[frame["word"].to_numpy()] = frame["bits"].to_numpy()
+    return np.unpackbits(made.view(np.uint8), bitorder="little").view(bool)
+
+
+def _joined(documents: DataFrame, items: DataFrame, carry: list[str], text_col: str, staging: str | None) -> DataFrame:
+    """`overlaps` for a benchmark of any size: seeds against seeds."""
+    spark = documents.sparkSession
+    folder = shared_folder(spark, staging)
+    items = stage(items.filter("i is not null").withColumn("n", F.monotonically_increasing_id()), f"{folder}/items")
+    seeds = stage(_item_seeds(items), f"{folder}/seeds")
+    rows = stage(
+        documents.select(F.monotonically_increasing_id().alias("_row"), *carry, F.col(text_col).alias("_text")), f"{folder}/rows"
+    )
+    maybe = spark.sparkContext.broadcast(_filter_of(seeds))
+    # Short items have a seed of all their words as well.
+    masks = [*MASKS, *("1" * w for w in range(ITEM_WORDS, max(map(len, MASKS))))]
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        there = maybe.value
+        for batch in batches:
+            made = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                code = _numbers_of(text.as_py())
+                for mask in dict.fromkeys(masks):
+                    h = _tagged(seed_hashes(code, mask), mask)
+                    at = np.flatnonzero(there[h >> np.uint64(64 - FILTER_BITS)])
+                    made.append((h[at], np.full(len(at), row), at))
+            h, row, at = (np.concatenate(c) for c in zip(*made, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(row), pa.array(at)], ["hash", "_row", "hit"])
+
+    hits = rows.select("_row", "_text").mapInArrow(find, "hash long, _row long, hit long").join(seeds, "hash")
+    # A line: where the first word of an item would stand in the row.
+    lines = hits.select("_row", "n", (F.col("hit") - F.col("at")).alias("line")).distinct()
+    pairs = lines.groupBy("_row", "n").agg(F.collect_list("line").alias("lines"))
+    both = pairs.join(items, "n").join(rows.select("_row", "_text"), "_row").select("_row", "i", "t", "_text", "lines")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made, last = [], (None, None)
+            for row, item, t, text, starts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if last[0] != row:
+                    last = (row, _numbers_of(text))
+                words, numbers, best = _numbers_of(t), last[1], None
+                for line in starts:
+                    low, high = max(line, 0), min(line + len(words), len(numbers))
+                    equal = numbers[low:high] == words[low - line : high - line]
+                    match = SeedIndex._longest(equal, min(MATCH_WORDS, len(words)))
+                    if match:
+                        found = (match[2], -(low + match[0]), match[1])
+                        best = found if best is None else max(best, found)
+                if best:
+                    made.append((row, item, -best[1], best[2], best[0]))
+            columns = zip(*made, strict=True) if made else [[]] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns], ["_row", "item_id", "start", "words", "equal"]
+            )
+
+    found = both.mapInArrow(verify, "_row long, item_id long, start long, words long, equal long")
+    best = found.groupBy("_row", "item_id").agg(F.max(F.struct("equal", (-F.col("start")).alias("s"), "words")).alias("b"))
+    match = F.struct("item_id", (-F.col("b.s")).alias("start"), F.col("b.words").alias("words"), F.col("b.equal").alias("equal"))
+    listed = best.groupBy("_row").agg(F.sort_array(F.collect_list(match)).alias("overlaps"))
+    none = F.expr(f"cast(array() as {OVERLAPS})")
+    return rows.join(listed, "_row", "left").select(*carry, F.coalesce("overlaps", none).alias("overlaps"))
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
