@@ -74,12 +74,10 @@ def to_alerts(detections: DataFrame) -> DataFrame:
     )
 
 
-def detect_all(logs: DataFrame) -> list[DataFrame]:
-    """The alert frames of the four detectors."""
-    return [
-        to_alerts(detector(logs))
-        for detector in (brute_force, signature_alerts, volume_anomaly, port_scan)
-    ]
+def detect_all(logs: DataFrame, scans: DataFrame | None = None) -> list[DataFrame]:
+    """The alert frames of the four detectors; port scans may be found already."""
+    found = [detector(logs) for detector in (brute_force, signature_alerts, volume_anomaly)]
+    return [to_alerts(d) for d in [*found, port_scan(logs) if scans is None else scans]]
 
 
 def active_threats(alert_frames: list[DataFrame], as_of: datetime | Column) -> DataFrame:
@@ -90,16 +88,17 @@ def active_threats(alert_frames: list[DataFrame], as_of: datetime | Column) -> D
     return union.filter(F.col("last_seen") > as_of_column(as_of) - F.expr(LIFETIME))
 
 
-def active_alerts(logs: DataFrame, as_of: datetime | Column) -> DataFrame:
+def active_alerts(logs: DataFrame, as_of: datetime | Column, scans: DataFrame | None = None) -> DataFrame:
     """The active alerts of all detectors over a log history of any length.
 
     Only rows that can belong to a live alert are read: a window with an event after
     the cut-off begins at most one window length before it. A fixed `as_of` reaches the
     Parquet statistics; over the lake, `read_logs` with a first day also prunes directories.
+    `scans` are the port scans of the whole history, if they are known.
     """
     cutoff = as_of_column(as_of) - F.expr(LIFETIME)
     readable = F.col("timestamp") > cutoff - F.expr(f"INTERVAL {PORT_SCAN_WINDOW}")
-    return active_threats(detect_all(logs.filter(readable)), as_of)
+    return active_threats(detect_all(logs.filter(readable), scans), as_of)
 
 
 def recent_alerts_by_ip(alerts: DataFrame, size: int = RECENT_ALERTS) -> DataFrame:

@@ -62,17 +62,20 @@ def reputation_table(logs: DataFrame, as_of: Column | None = None) -> DataFrame:
     return kt.ip_reputation_rows(rep.top_malicious_ips(logs), as_of)
 
 
-def pattern_table(logs: DataFrame, as_of: Column | None = None) -> DataFrame:
+def pattern_table(logs: DataFrame, as_of: Column | None = None, scans: DataFrame | None = None) -> DataFrame:
     as_of = as_of if as_of is not None else latest_event(logs)
+    scans = det.port_scan(logs) if scans is None else scans
     return kt.attack_pattern_rows(det.attack_patterns(logs), as_of).unionByName(
-        kt.attack_pattern_rows(det.port_scan(logs), as_of, "PORT_SCAN")
+        kt.attack_pattern_rows(scans, as_of, "PORT_SCAN")
     )
 
 
 def profiles(logs: DataFrame) -> DataFrame:
+    """Port scans, which both layers use, are found once and staged: few rows."""
     as_of = latest_event(logs)
+    scans = stage(det.port_scan(logs), f"{shared_folder(logs.sparkSession)}/scans")
     return serving.threat_profile_flat(
-        reputation_table(logs, as_of), pattern_table(logs, as_of), al.active_alerts(logs, as_of)
+        reputation_table(logs, as_of), pattern_table(logs, as_of, scans), al.active_alerts(logs, as_of, scans)
     )
 
 
