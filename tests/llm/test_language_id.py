@@ -1,11 +1,13 @@
 import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
 
 from threatlens.llm import language_id as li
+from threatlens.llm import queries
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -76,3 +78,72 @@ def test_the_sample_is_bounded(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     sample = li._sample(docs, "doc_id", "lang", 50).groupBy("lang").count().collect()
     assert dict(map(tuple, sample)) == {"de": 50, "en": 20}
+
+
+def plain_model(texts, known):
+    """Piece probabilities of each language by expectation maximisation, word by word."""
+    counts = {lang: Counter(w for t in some for w in li.words_of(t)) for lang, some in texts.items()}
+    longest, model = max(map(len, known)), {}
+
+    def arcs(word):
+        marked = "▁" + word
+        for i in range(len(marked)):
+            for j in range(i + 1, min(len(marked), i + longest) + 1):
+                if marked[i:j] in known or j == i + 1:
+                    yield i, j, marked[i:j]
+
+    def forward(word, p):
+        total = [1.0] + [0.0] * (len(word) + 1)
+        for i, j, piece in arcs(word):
+            total[j] += total[i] * p.get(piece, li.UNKNOWN_LETTER)
+        return total
+
+    for lang, words in counts.items():
+        p = dict.fromkeys(known, 1 / len(known))
+        for _ in range(li.ROUNDS):
+            used = Counter()
+            for word, n in words.items():
+                total, back = forward(word, p), [0.0] * (len(word) + 1) + [1.0]
+                ways = list(arcs(word))
+                for i, j, piece in reversed(ways):
+                    back[i] += p.get(piece, li.UNKNOWN_LETTER) * back[j]
+                for i, j, piece in ways:
+                    used[piece] += n * total[i] * p.get(piece, li.UNKNOWN_LETTER) * back[j] / total[-1]
+            mass = sum(used[x] + li.SMOOTHING for x in known)
+            p = {x: (used[x] + li.SMOOTHING) / mass for x in known}
+        model[lang] = p
+    cache = {lang: {} for lang in model}
+
+    def score(text):
+        sums = {}
+        for lang, p in model.items():
+            for w in li.words_of(text):
+                if w not in cache[lang]:
+                    cache[lang][w] = math.log(forward(w, p)[-1])
+            sums[lang] = sum(cache[lang][w] for w in li.words_of(text))
+        best = max(sums, key=lambda k: (sums[k], [-ord(c) for c in k]))
+        return best, 1 / sum(math.exp(v - sums[best]) for v in sums.values())
+
+    return score
+
+
+def test_the_whole_query_as_plain_python(spark, tmp_path, pieces):
+    docs = [r for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect() if len(r.text or "") < 1500][:120]
+    rows = [(r.doc_id, r.text, r.lang) for r in docs] + [(10_001, None, "de"), (10_002, "12 !", "fr"), (10_003, "und noch", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    texts = {}
+    for d, text, lang in rows:
+        if zlib.crc32(str(d).encode()) % 3 != 1 and text is not None and lang is not None:
+            texts.setdefault(lang, []).append(text)
+    texts = {lang: some for lang, some in texts.items() if any(map(li.words_of, some))}
+    score, known = plain_model(texts, set(pieces.names)), dict((d, t) for d, t, _ in rows)
+    made = queries.op5_language_id(spark, str(tmp_path)).collect()
+    assert len(made) == len(rows)
+    for r in made:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        if any(map(str.isalpha, known[r.doc_id] or "")):
+            lang, posterior = score(known[r.doc_id])
+            assert r.score == pytest.approx(posterior, abs=1e-6)
+            assert r.lang_pred == lang or posterior < 0.51
+        else:
+            assert (r.lang_pred, r.score) == ("und", 0.0)

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import math
 import random
 import re
 import string
@@ -116,3 +117,72 @@ def test_random_tokens_without_a_digit_are_tested(spark):
     frame = spark.createDataFrame([(t, f"see {t} there") for t in tokens], "token string, text string")
     found = {r.token for r in ss.scan(frame, ["token"]).collect() if r.secrets}
     assert len(bare) > 40 and len(found & set(bare)) > 0.9 * len(bare)
+
+
+def plain_p(token):
+    """The p value of one token, restated; None if it has no inferred encoding."""
+    alphabets = ["0123456789abcdef", "0123456789ABCDEF", string.ascii_uppercase + "234567", string.digits + string.ascii_lowercase,
+                 string.digits + string.ascii_uppercase, string.digits + string.ascii_uppercase + string.ascii_lowercase,
+                 string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/",
+                 string.ascii_uppercase + string.ascii_lowercase + string.digits + "-_"]
+    alphabet = next((a for a in alphabets if set(token) <= set(a)), None)
+    if alphabet is None or len(token) < 16 or not any(c.isalpha() for c in token):
+        return None
+    n, size = len(token), len(alphabet)
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    expected = n / size
+    chi = sum((token.count(c) - expected) ** 2 / expected for c in alphabet)
+    p_uniform = tail((chi - (size - 1)) / math.sqrt(2 * (size - 1) * (n - 1) / n))
+    x = [alphabet.index(c) for c in token]
+    up = [v >= size / 2 for v in x]
+    a, b = sum(up), n - sum(up)
+    runs, mean = 1 + sum(p != q for p, q in zip(up, up[1:])), 1 + 2 * a * b / n
+    spread = (mean - 1) * (mean - 2) / (n - 1)
+    p_runs = 2 * tail(abs((runs - mean) / math.sqrt(spread)) if spread > 0 else 9)
+    m = sum(x) / n
+    base = sum((v - m) ** 2 for v in x)
+    serial = sum((p - m) * (q - m) for p, q in zip(x, x[1:]))
+    p_serial = 2 * tail(abs((serial / base + 1 / n) * math.sqrt(n)) if base > 0 else 9)
+    half = -sum(math.log(max(p, 1e-30)) for p in (p_uniform, p_runs, p_serial))
+    return math.exp(-half) * (1 + half + half * half / 2)
+
+
+TOKEN = re.compile("(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+
+
+def plain_scan(texts):
+    """The random spans of every text: p values, thresholds over distinct tokens, overlaps with the base."""
+    tested = [[(m.start(), m.end(), m.group().rstrip("=")) for m in TOKEN.finditer(t or "")] for t in texts]
+    p = {token: plain_p(token) for spans in tested for _, _, token in spans}
+    p = {token: v for token, v in p.items() if v is not None}
+    group = lambda token: sum(len(token) >= low for low in (20, 32, 48, 96))
+    place = {token: min(int(v * 100), 99) for token, v in p.items()}
+    lowest = {}
+    for g in range(5):
+        bins = sorted(place[t] for t in p if group(t) == g)
+        random_ones = 2 * sum(b >= 50 for b in bins)
+        good = [b for b in set(bins) if 1 - random_ones * (1 - b / 100) / sum(x >= b for x in bins) <= 0.05]
+        lowest[g] = min(good, default=100)
+    return p, [
+        [f"random:{s}:{e}" for s, e, token in spans if token in p and place[token] >= lowest[group(token)]
+         and all(end <= s or start >= e for start, _, _, end in base(text or ""))]
+        for text, spans in zip(texts, tested)
+    ]
+
+
+def test_the_whole_query_as_plain_python(spark, tmp_path):
+    rng = random.Random(17)
+    letters = string.ascii_letters + string.digits
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    for i in range(500):
+        kind = rng.choice([letters, "0123456789abcdef", string.ascii_uppercase + "234567", letters + "-_", letters + "+/"])
+        token = "".join(rng.choices(kind, k=rng.choice([16, 22, 40, 64, 120])))
+        wordy = "-".join(rng.choices(["release", "notes", "chapter", "section", "letter", "2024", "address"], k=rng.randrange(3, 9)))
+        texts.append(f"a {token} b {wordy} c {'secret=' + token if i % 9 == 0 else ''} {'=' if i % 4 else token + '=='}")
+    rows = list(enumerate(texts))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    p, expected = plain_scan(texts)
+    found = p_values(spark, sorted(p))
+    assert len(found) > 400 and all(abs(found[t] - p[t]) < 1e-5 for t in p)
+    made = {r.doc_id: [s for s in r.spans.split(",") if s.startswith("random")] for r in queries.op7_secrets(spark, str(tmp_path)).collect()}
+    assert made == dict(enumerate(expected)) and sum(map(len, expected)) > 300
