@@ -264,3 +264,23 @@ def test_progress_is_kept_and_a_failure_stops_all(spark, tmp_path, make_logs):
     assert not spark.streams.active
     failed = [r for r in read_progress(spark, str(tmp_path / "torn-metrics")).collect() if r.failure]
     assert failed and failed[0].query in names
+
+
+def test_old_batches_are_merged_and_nothing_changes(feed, spark, tmp_path):
+    from threatlens.sinks.alert_log import compact_alerts
+
+    add, run = feed
+    for n in range(4):
+        add(*[at(5 + n, action="blocked")] * 6, at(90 + n, user_agent="nmap", request_path=f"/{n}"))
+    _, alerts = run("brute_force", "signatures", "port_scan_early")
+    folder, before = tmp_path / "alerts", sorted(map(str, alerts.collect()))
+    assert compact_alerts(spark, str(folder)) == 0
+    for batch in folder.glob("query=*/run=*/batch=*"):
+        if batch.name != "batch=3":
+            os.utime(batch, (1_600_000_000,) * 2)
+    assert compact_alerts(spark, str(folder), dt.timedelta(hours=1)) == 6
+    assert len(list(folder.glob("query=*/run=*/batch=*"))) == 4
+    assert sorted(map(str, read_alerts(spark, str(folder)).collect())) == before
+    add(*[at(20, action="blocked")] * 6)
+    _, alerts = run("brute_force", "signatures", "port_scan_early")
+    assert max(r.event_count for r in alerts.collect()) == 30

@@ -89,18 +89,24 @@ def read_markers(spark: SparkSession, pattern: str) -> dict[str, str]:
     return found
 
 
-def delete_old(spark: SparkSession, pattern: str, age: timedelta, but: set[str], levels: int = 1) -> set[str]:
-    """Deletes what a pattern matches and has not changed for `age`, but some names.
+def old_names(spark: SparkSession, pattern: str, age: timedelta, levels: int = 1) -> set[str]:
+    """What a pattern matches and has not changed for `age`, as the last `levels` parts of its path."""
+    files, target = _file_system(spark, pattern)
+    oldest = (time.time() - age.total_seconds()) * 1000
+    return {
+        "/".join(status.getPath().toString().split("/")[-levels:])
+        for status in files.globStatus(target) or [] if status.getModificationTime() <= oldest
+    }
+
+
+def delete_old(spark: SparkSession, path: str, pattern: str, age: timedelta, but: set[str]) -> set[str]:
+    """Deletes what a pattern below a path matches and has not changed for `age`, but some names.
 
-    Names are the last `levels` parts of a path; those deleted are returned.
+    Names are relative to the path; those deleted are returned.
     """
-    files, target = _file_system(spark, pattern)
-    oldest, gone = (time.time() - age.total_seconds()) * 1000, set()
-    for status in files.globStatus(target) or []:
-        name = "/".join(status.getPath().toString().split("/")[-levels:])
-        if name not in but and status.getModificationTime() <= oldest:
-            files.delete(status.getPath(), True)
-            gone.add(name)
+    gone = old_names(spark, f"{path}/{pattern}", age, pattern.count("/") + 1) - but
+    for name in gone:
+        delete_folder(spark, f"{path}/{name}")
     return gone
 
 

@@ -8,16 +8,17 @@ again, beside the old ones. Readers keep the furthest emission of each alert.
 """
 
 import logging
-from datetime import datetime
+import uuid
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threatlens.functions.times import as_of_column
 from threatlens.operators.alerts import to_alerts
 from threatlens.schema import ALERT, ALERT_COLUMNS
-from threatlens.session import delete_folder, path_exists
+from threatlens.session import delete_folder, old_names, path_exists
 from threatlens.sinks.keyed_tables import last_per_key
 
 ALERT_KEYS = ["alert_id"]
@@ -68,9 +69,36 @@ def read_alerts(spark: SparkSession, path: str, since: datetime | None = None) -
     emissions = spark.read.schema(EMISSION).parquet(path)
     if since is not None:
         emissions = emissions.filter(F.col("last_seen") > as_of_column(since))
+    return last_per_key(emissions, ALERT_KEYS, *_furthest()).select(*ALERT_COLUMNS)
+
+
+def _furthest() -> list[Column]:
     exact = F.col("query") != EARLY_PORT_SCAN
-    furthest = [F.col("last_seen"), F.col("event_count"), F.col("bytes_total"), exact, F.col("batch")]
-    return last_per_key(emissions, ALERT_KEYS, *furthest).select(*ALERT_COLUMNS)
+    return [F.col("last_seen"), F.col("event_count"), F.col("bytes_total"), exact, F.col("batch")]
+
+
+def compact_alerts(spark: SparkSession, path: str, age: timedelta = timedelta(days=1), files: int = 4) -> int:
+    """Merges the batches of each query that are older than `age`; returns how many were merged.
+
+    Of each alert the furthest emission stays. The merged rows are there before the batches go,
+    and merging them twice changes nothing, so a compaction may fail at any point. Streams that
+    follow the log must have read what is that old.
+    """
+    by_query: dict[str, list[str]] = {}
+    for name in sorted(old_names(spark, f"{path}/query=*/run=*/batch=*", age, 3)):
+        by_query.setdefault(name.split("/")[0], []).append(name)
+    merged = 0
+    for query, names in by_query.items():
+        if len(names) < 2:
+            continue
+        emissions = spark.read.schema(EMISSION).option("basePath", path).parquet(*[f"{path}/{n}" for n in names])
+        newest = max(int(n.rsplit("=", 1)[1]) for n in names)
+        rows = last_per_key(emissions, ALERT_KEYS, *_furthest()).select(*ALERT_COLUMNS)
+        rows.coalesce(files).write.parquet(f"{path}/{query}/run=compacted-{uuid.uuid4().hex}/batch={newest}")
+        for name in names:
+            delete_folder(spark, f"{path}/{name}")
+        merged += len(names)
+    return merged
 
 
 def newest_event(spark: SparkSession, path: str) -> datetime | None:

@@ -203,12 +203,12 @@ def drop_superseded(spark: SparkSession, path: str, keep: timedelta = KEEP) -> N
     if len(markers) < 2 or not finished:
         return
     newest = str(max(finished))
-    gone = delete_old(spark, f"{path}/_snapshots/*", keep, {newest, str(max(map(int, markers)))})
+    gone = delete_old(spark, f"{path}/_snapshots", "*", keep, {newest, str(max(map(int, markers)))})
     if not gone:
         return
     named = {
         f"{folder}/{PART}={p}" for n, text in markers.items() if n not in gone and text
         for p, folder in json.loads(text)["folders"].items()
     }
-    delete_old(spark, f"{path}/data-*/{PART}=*", keep, named, 2)
-    delete_old(spark, f"{path}/data-*", keep, {n.split("/")[0] for n in named})
+    delete_old(spark, path, f"data-*/{PART}=*", keep, named)
+    delete_old(spark, path, "data-*", keep, {n.split("/")[0] for n in named})
