@@ -392,25 +392,18 @@ def repeated_paragraphs(
     facts = ("class_id", "shingles", "sketch")
     met = stage(shared.join(bodies.select(*facts), "class_id").select("key", *facts), f"{folder}/met")
     delete_folder(met.sparkSession, f"{folder}/shared")
-    links = near = None
+    # At first every class is a component of its own.
+    rest, links = met.withColumn("component", F.col("class_id")), None
     for turn in range(LEADING_ROUNDS):
-        # Any members may lead; several, since few of a large group are similar to a given one.
-        mixed = met if near is None else _mixed_buckets(met, near)
-        leading = [F.min_by(F.struct(*facts), F.xxhash64("class_id", F.lit(turn * LEADERS + i))) for i in range(LEADERS)]
-        leader = mixed.groupBy("key").agg(F.array_distinct(F.array(*leading)).alias("leaders")).select(
-            F.col("key").alias("key_a"), F.inline("leaders")
-        ).select("key_a", *[F.col(c).alias(f"{c}_a") for c in facts])
-        member = mixed.select("key", *[F.col(c).alias(f"{c}_b") for c in facts])
-        apart = F.col("class_id_a") != F.col("class_id_b")
-        stars = (
-            member.join(leader, (F.col("key") == F.col("key_a")) & apart & _may_be_similar(similarity))
-            .select(F.least("class_id_a", "class_id_b").alias("a"), F.greatest("class_id_a", "class_id_b").alias("b"))
-            .distinct()
-        )
-        found_links = _similar(stars, bodies, similarity)
-        links = stage(found_links if links is None else links.union(found_links).distinct(), f"{folder}/stars-{turn}")
+        found_links = _similar(_with_leaders(rest, turn, facts, similarity), bodies, similarity)
+        links = stage(found_links if links is None else links.union(found_links), f"{folder}/stars-{turn}")
         near = stage(connected_components(links, f"{folder}/near-{turn}"), f"{folder}/near-components-{turn}")
-    rest = stage(_mixed_buckets(met, near), f"{folder}/mixed")
+        rest = stage(_mixed_buckets(met, near), f"{folder}/mixed-{turn}")
+        # Another round pays while pairs could outnumber comparisons with leaders.
+        sizes = rest.groupBy("key").agg(F.count("*").alias("n"))
+        members, pairs = sizes.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
+        if (pairs or 0) <= LEADERS * (members or 0):
+            break
     columns = (*facts, "component")
     one = rest.select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
     other = rest.select(F.col("key").alias("key_b"), *[F.col(c).alias(f"{c}_b") for c in columns])
@@ -442,6 +435,24 @@ def repeated_paragraphs(
     )
 
 
+def _with_leaders(members: DataFrame, turn: int, facts: tuple[str, ...], similarity: float) -> DataFrame:
+    """(a, b): the members of each bucket with a few of them, of other components, if they may be similar.
+
+    Any members may lead; several, since few of a large group are similar to a given one.
+    """
+    columns = (*facts, "component")
+    leading = [F.min_by(F.struct(*columns), F.xxhash64("class_id", F.lit(turn * LEADERS + i))) for i in range(LEADERS)]
+    leaders = members.groupBy("key").agg(F.array_distinct(F.array(*leading)).alias("leaders"))
+    leader = leaders.select(F.col("key").alias("key_a"), F.inline("leaders")).select("key_a", *[F.col(c).alias(f"{c}_a") for c in columns])
+    member = members.select("key", *[F.col(c).alias(f"{c}_b") for c in columns])
+    apart = F.col("component_a") != F.col("component_b")
+    return (
+        member.join(leader, (F.col("key") == F.col("key_a")) & apart & _may_be_similar(similarity))
+        .select(F.least("class_id_a", "class_id_b").alias("a"), F.greatest("class_id_a", "class_id_b").alias("b"))
+        .distinct()
+    )
+
+
 def _mixed_buckets(met: DataFrame, near: DataFrame) -> DataFrame:
     """The members, with their components, of buckets that hold several components."""
     placed = met.join(near.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn(
