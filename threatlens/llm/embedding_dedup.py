@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threatlens.llm.graphs import connected_components, ranked, sampled
+from threatlens.llm.graphs import FEW_LINKS, connected_components, ranked, sampled
 from threatlens.session import shared_folder, stage
 
 THRESHOLD = 0.93
@@ -413,13 +413,13 @@ def near_duplicates(
         own = f"{folder}/attempt-{attempt}"
         found = _verified(descend(nodes, attempt, threshold, own), classes, threshold)
         edges = stage(found if edges is None else edges.union(found).distinct(), f"{own}/edges")
-        components = stage(connected_components(edges, own), f"{own}/components")
+        components = stage(connected_components(edges, own, FEW_LINKS), f"{own}/components")
         for turn in count():
             more = stage(links_between(classes, components, threshold, f"{own}/between-{turn}"), f"{own}/links-{turn}")
             if more.isEmpty():
                 break
             edges = stage(edges.union(more).distinct(), f"{own}/edges-{turn}")
-            components = stage(connected_components(edges, f"{own}/joined-{turn}"), f"{own}/components-{turn}")
+            components = stage(connected_components(edges, f"{own}/joined-{turn}", FEW_LINKS), f"{own}/components-{turn}")
         linked = stage(_complete(classes, components, threshold, own), f"{own}/linked")
         recall = audit_recall(classes, linked, components, threshold)
         if recall >= RECALL:

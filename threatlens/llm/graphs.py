@@ -1,14 +1,40 @@
 """Connected components, ranks and bounded samples, for groups of any size."""
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threatlens.session import delete_folder, stage
 
 
-def connected_components(links: DataFrame, folder: str) -> DataFrame:
+#: Links that one task may finish: 16 bytes each, and as many nodes at most twice.
+FEW_LINKS = 500_000
+
+
+def _finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Smallest reachable node of every node, by union and find in one task."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for frame in frames:
+        for a, b in zip(frame["a"].tolist(), frame["b"].tolist(), strict=True):
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    yield pd.DataFrame({"node": list(root), "to": [find(x) for x in list(root)]}, dtype="int64")
+
+
+def connected_components(links: DataFrame, folder: str, few: int = 0) -> DataFrame:
     """(node, component) for every node of the links (a, b); component is the smallest node.
 
+    Once at most `few` links are left, one task ends them: many small jobs cost more.
+
     Contraction: every node moves to the best of itself and its neighbours, links are
     rewritten to the new nodes, until none is left. "Best" is the smallest number in even
     rounds, which folds a star in one, and the smallest seeded hash in odd rounds, which
@@ -27,6 +53,9 @@ def connected_components(links: DataFrame, folder: str) -> DataFrame:
     moves = []
     while not edges.isEmpty():
         turn = len(moves)
+        if few and edges.count() <= few:
+            moves.append(stage(edges.coalesce(1).mapInPandas(_finish, "node long, to long"), f"{folder}/moves-{turn}"))
+            break
 
         def best(node: str, turn: int = turn) -> Column:
             place = F.xxhash64(F.lit(turn), F.col(node)) if turn % 2 else F.col(node)

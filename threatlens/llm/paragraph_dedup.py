@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threatlens.llm.graphs import connected_components
+from threatlens.llm.graphs import FEW_LINKS, connected_components
 from threatlens.session import delete_folder, shared_folder, stage
 
 SHINGLE_WORDS = 5
@@ -397,7 +397,7 @@ def repeated_paragraphs(
     for turn in range(LEADING_ROUNDS):
         found_links = _similar(_with_leaders(rest, turn, facts, similarity), bodies, similarity)
         links = stage(found_links if links is None else links.union(found_links), f"{folder}/stars-{turn}")
-        near = stage(connected_components(links, f"{folder}/near-{turn}"), f"{folder}/near-components-{turn}")
+        near = stage(connected_components(links, f"{folder}/near-{turn}", FEW_LINKS), f"{folder}/near-components-{turn}")
         rest = stage(_mixed_buckets(met, near), f"{folder}/mixed-{turn}")
         # Another round pays while pairs could outnumber comparisons with leaders.
         sizes = rest.groupBy("key").agg(F.count("*").alias("n"))
@@ -414,7 +414,7 @@ def repeated_paragraphs(
         .distinct()
     )
     links = stage(links.union(_similar(across, bodies, similarity)), f"{folder}/links")
-    clusters = connected_components(links, f"{folder}/all")
+    clusters = connected_components(links, f"{folder}/all", FEW_LINKS)
 
     classes = found.groupBy("class_id").agg(F.count("*").alias("copies"))
     repeated = (
