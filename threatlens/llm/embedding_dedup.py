@@ -418,7 +418,7 @@ def near_duplicates(
             more = stage(links_between(classes, components, threshold, f"{own}/between-{turn}"), f"{own}/links-{turn}")
             if more.isEmpty():
                 break
-            edges = stage(edges.union(more).distinct(), f"{own}/edges-{turn}")
+            edges = stage(edges.union(more).distinct(), f"{own}/more-edges-{turn}")
             components = stage(connected_components(edges, f"{own}/joined-{turn}", FEW_LINKS), f"{own}/components-{turn}")
         linked = stage(_complete(classes, components, threshold, own), f"{own}/linked")
         recall = audit_recall(classes, linked, components, threshold)
