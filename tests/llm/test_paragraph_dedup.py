@@ -208,3 +208,29 @@ def test_the_filter_before_the_exact_check_loses_no_pair(spark):
     frame = spark.createDataFrame(pairs, "shingles_a long, sketch_a array<long>, shingles_b long, sketch_b array<long>")
     assert len(pairs) > 200 and frame.filter(pd_._may_be_similar(0.8)).count() == len(pairs)
     assert pd_.bands_for() == pd_.bands_for(missed=1e-3)
+
+
+def test_small_buckets_need_no_leaders(spark, monkeypatch):
+    rng, rounds = random.Random(3), []
+    made = pd_._with_leaders
+    monkeypatch.setattr(pd_, "_with_leaders", lambda *a: rounds.append(a) or made(*a))
+    docs = []
+    for g in range(60):
+        words = [f"g{g}w{rng.randrange(900)}" for _ in range(60)]
+        docs += [(5 * g + i, " ".join([*words[: 55 + i], f"x{i}"])) for i in range(5)]
+    check(pd_.repeated_paragraphs(spark.createDataFrame(docs, "doc_id long, text string")).collect(), docs, 50)
+    assert not rounds
+
+
+def test_words_are_those_of_split_and_lower():
+    odd = ["İstanbul x  y\n ΑΣ ΟΔΟΣ. a\x1cb　c\x85d\n\n zz", "", " \n\t ", "ha " * 300, "one\n\ntwo  three "]
+    numbers = {}
+    words = pd_._words(odd)
+    at = 0
+    for text in odd:
+        for word in text.split():
+            assert text[words.starts[at] : words.ends[at]] == word
+            assert numbers.setdefault(word.lower(), words.hashes[at]) == words.hashes[at]
+            at += 1
+    assert at == len(words.hashes) and len(set(numbers.values())) == len(numbers)
+    assert words.line_words.tolist() == [len(line.split()) for text in odd for line in text.split("\n")]

@@ -6,6 +6,7 @@ cut at places that only the words around them decide, that occur elsewhere as we
 """
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -32,9 +33,10 @@ BANDINGS = ((4, 3), (48, 5))
 SKETCH_LONGS = 4
 #: Sets this small are similar to no other set: one shingle more or less is too much.
 LONE_SHINGLES = 3
-#: Members of each bucket that all others are compared with, in so many rounds, before pairs
-#: across components.
+#: Members of each large bucket that all others are compared with, in so many rounds at most,
+#: before pairs across components. A bucket is large if its pairs outnumber these comparisons.
 LEADERS, LEADING_ROUNDS = 8, 3
+LARGE_BUCKET = 2 * LEADERS + 1
 #: Shorter paragraphs are headings and stock phrases that documents may share.
 LEAST_WORDS = 50
 #: A segment ends where the hash of two neighbouring words is the smallest for so many words
@@ -95,41 +97,105 @@ def sketch_of(hashes: np.ndarray) -> list[int]:
     return np.packbits(odd).view(np.int64).tolist()
 
 
-class _Numbers(dict):
-    """Word to its hash, for as many words as are worth keeping."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = xxhash.xxh64_intdigest(word)
-        return number
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
+def _digests(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """One 64-bit digest of each run of so many values, of their order too; no run is empty."""
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(1, len(values) + 1) - np.repeat(first, sizes)
+    mixed = _mixed(values + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return _mixed(np.add.reduceat(mixed, first)) if len(first) else mixed
+
+
+class _Words(NamedTuple):
+    """The words of some texts, in order; places are code points within their text."""
+
+    hashes: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    lines: np.ndarray  # of each word its line, counted over all texts
+    line_texts: np.ndarray  # of each line its text
+    line_starts: np.ndarray
+    line_ends: np.ndarray
+    line_words: np.ndarray
+
+
+#: Code points that `str.split` takes for blanks; none is higher.
+BLANKS = np.array([chr(c).isspace() for c in range(0x3002)])
+
+
+def _found(texts: list[str]) -> _Words:
+    """Words as `str.split` finds them, hashed by their code points, all texts at once."""
+    codes = np.frombuffer("\n".join(texts).encode("utf-32-le"), dtype=np.uint32)
+    blank = BLANKS[np.minimum(codes, len(BLANKS) - 1)]
+    edges = np.diff(np.r_[True, blank, True].astype(np.int8))
+    starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+    hashes = _digests(codes[~blank].astype(np.uint64), ends - starts)
+    breaks = np.flatnonzero(codes == 10)
+    lines = np.searchsorted(breaks, starts)
+    lengths = np.array([len(text) + 1 for text in texts])
+    begins = np.cumsum(lengths) - lengths
+    line_starts, line_ends = np.r_[0, breaks + 1], np.r_[breaks, len(codes)]
+    line_texts = np.searchsorted(begins, line_starts, side="right") - 1
+    of_word, of_line = begins[line_texts[lines]], begins[line_texts]
+    return _Words(
+        hashes, starts - of_word, ends - of_word, lines, line_texts, line_starts - of_line, line_ends - of_line,
+        np.bincount(lines, minlength=len(line_starts)),
+    )
+
+
+def _words(texts: list[str]) -> _Words:
+    """The words of texts, hashed in lower case."""
+    lowered = [text.lower() for text in texts]
+    words = _found(lowered)
+    if list(map(len, lowered)) != list(map(len, texts)):  # places are those of the texts themselves
+        words = _found(texts)._replace(hashes=words.hashes)
+    return words
+
+
+def _classes(words: _Words, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The lines of at least so many words, and their classes: digests of their words."""
+    chosen = np.flatnonzero(words.line_words >= max(least_words, 1))
+    inside = (words.line_words >= max(least_words, 1))[words.lines]
+    return chosen, _digests(words.hashes[inside], words.line_words[chosen]).view(np.int64)
+
+
+def _portions(texts: pa.Array, most: int = 1_000_000) -> Iterator[list[str]]:
+    """The texts in turn, so many that they have about `most` characters; null is empty."""
+    portion, size = [], 0
+    for value in texts:
+        portion.append(value.as_py() or "")
+        size += len(portion[-1])
+        if size >= most or len(portion) >= 500:
+            yield portion
+            portion, size = [], 0
+    if portion:
+        yield portion
+
+
 def band_keys(
-    lines: list[list[str]], numbers: dict[str, int], similarity: float = SIMILARITY, missed: float = MISSED
+    words: np.ndarray, counts: np.ndarray, similarity: float = SIMILARITY, missed: float = MISSED
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(line, key) of every band of every line: two lines meet if they share a key.
+    """(line, key) of every band of every line, of so many word hashes each: two lines meet if they share a key.
 
     All lines are hashed at once. Lines of fewer words than a shingle can only equal each other
     and have no key.
     """
-    lines = [line if len(line) >= SHINGLE_WORDS else [] for line in lines]
-    words = np.array([numbers[w] for line in lines for w in line], dtype=np.uint64)
-    ends = np.cumsum([len(line) for line in lines])
+    ends = np.cumsum(counts)
     shingles = np.zeros(max(len(words) - SHINGLE_WORDS + 1, 0), dtype=np.uint64)
     for k in range(SHINGLE_WORDS):
         shingles += words[k : k + len(shingles)] * np.uint64(xxhash.xxh64_intdigest(str(k)) | 1)
-    of_line = np.repeat(np.arange(len(lines)), [len(line) for line in lines])[: len(shingles)]
+    of_line = np.repeat(np.arange(len(counts)), counts)[: len(shingles)]
     inside = np.arange(len(shingles)) + SHINGLE_WORDS <= ends[of_line] if len(shingles) else np.zeros(0, dtype=bool)
     hashes, of_line = _mixed(shingles[inside]), of_line[inside]
-    order = np.lexsort((hashes, of_line))
-    hashes, of_line = hashes[order], of_line[order]
-    fresh = np.r_[True, (hashes[1:] != hashes[:-1]) | (of_line[1:] != of_line[:-1])][: len(hashes)]
-    hashes, of_line = hashes[fresh], of_line[fresh]
+    # Line and the upper 40 bits in one number: equal shingles of a line are neighbours.
+    sets = np.sort((of_line.astype(np.uint64) << np.uint64(40)) | (hashes >> np.uint64(24)))
+    sets = sets[np.r_[True, sets[1:] != sets[:-1]][: len(sets)]]
+    hashes, of_line = sets << np.uint64(24), (sets >> np.uint64(40)).astype(np.int64)
     known, first, sizes = np.unique(of_line, return_index=True, return_counts=True)
     found_lines, found_keys = [], []
     # Sets that can only be similar to equal ones: one key, of the whole set.
@@ -159,20 +225,6 @@ def band_keys(
     return np.concatenate(found_lines), np.concatenate(found_keys).view(np.int64)
 
 
-def _lines(text: str | None, least_words: int) -> Iterator[tuple[int, int, int, list[str]]]:
-    """(number, start, end, words) of the lines of enough words."""
-    at = 0
-    for n, line in enumerate((text or "").split("\n")):
-        words = words_of(line) if len(line) >= 2 * least_words - 1 else []
-        if len(words) >= max(least_words, 1):
-            yield n, at, at + len(line), words
-        at += len(line) + 1
-
-
-def _class_of(words: list[str]) -> int:
-    return xxhash.xxh3_64_intdigest(" ".join(words)) - 2**63
-
-
 LINES = "array<struct<paragraph: bigint, start: bigint, end: bigint, words: bigint, class_id: bigint>>"
 SEGMENTS = "array<struct<n: int, paragraph: int, start: int, end: int, words: int, digest: bigint>>"
 
@@ -186,34 +238,25 @@ def scanned(documents: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     line_type = pa.list_(pa.struct([(n, pa.int64()) for n in ("paragraph", "start", "end", "words", "class_id")]))
     segment_type = pa.list_(pa.struct([*[(n, pa.int32()) for n in ("n", "paragraph", "start", "end", "words")], ("digest", pa.int64())]))
 
-    def listed(columns: list[np.ndarray], lengths: list[int], kind: pa.ListType) -> pa.ListArray:
+    def listed(columns: list[np.ndarray], lengths: np.ndarray, kind: pa.ListType) -> pa.ListArray:
         fields = [pa.array(c, f.type) for c, f in zip(columns, kind.value_type, strict=True)]
         inner = pa.StructArray.from_arrays(fields, fields=list(kind.value_type))
         return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)], pa.int32()), inner, type=kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = _Numbers()
         for whole in batches:
-            for at in range(0, len(whole), 500):
-                batch = whole.slice(at, 500)
-                lines, segments, counts = [], [], ([], [])
-                for value in batch.column(2):
-                    text = value.as_py()
-                    own = [(n, a, b, len(w), _class_of(w)) for n, a, b, w in _lines(text, least_words)]
-                    lines += own
-                    counts[0].append(len(own))
-                    starts, ends, words, digests = segments_of(text, numbers)
-                    breaks = np.cumsum([len(line) + 1 for line in (text or "").split("\n")])
-                    here = np.searchsorted(breaks, starts, side="right")
-                    segments.append((np.arange(len(digests)), here, starts, ends, words, np.array(digests, dtype=np.int64)))
-                    counts[1].append(len(digests))
-                    if len(numbers) > 400_000:
-                        numbers.clear()
-                line_columns = list(np.array(lines, dtype=np.int64).reshape(-1, 5).T)
-                segment_columns = [np.concatenate(c) for c in zip(*segments, strict=True)]
+            at = 0
+            for texts in _portions(whole.column(2)):
+                words, batch = _words(texts), whole.slice(at, len(texts))
+                at += len(texts)
+                chosen, classes = _classes(words, least_words)
+                number = np.arange(len(words.line_texts)) - np.searchsorted(words.line_texts, words.line_texts)
+                lines = [x[chosen] for x in (number, words.line_starts, words.line_ends, words.line_words)]
+                line_counts = np.bincount(words.line_texts[chosen], minlength=len(texts))
+                segments, counts = _segments(words, len(texts))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), listed(line_columns, counts[0], line_type),
-                     listed(segment_columns, counts[1], segment_type)],
+                    [batch.column(0), batch.column(1), listed([*lines, classes], line_counts, line_type),
+                     listed(segments, counts, segment_type)],
                     ["row", "doc_id", "lines", "segments"],
                 )
 
@@ -222,34 +265,33 @@ def scanned(documents: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     return stage(source.mapInArrow(run, f"row long, doc_id {kind}, lines {LINES}, segments {SEGMENTS}"), f"{folder}/scan")
 
 
+def _fresh(classes: np.ndarray, sent: set[int]) -> list[int]:
+    """Where the classes stand that were not sent yet, as far as that is kept."""
+    if len(sent) > 400_000:
+        sent.clear()
+    fresh = []
+    for i, number in enumerate(classes.tolist()):
+        if number not in sent:
+            sent.add(number)
+            fresh.append(i)
+    return fresh
+
+
 def _keys(documents: DataFrame, text_col: str, least_words: int, similarity: float) -> DataFrame:
     """(key, class_id) of every class; a task sends a class once, however often it stands there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, sent = _Numbers(), set()
+        sent = set()
         for batch in batches:
-            classes, lines, size = [], [], 0
-
-            def packed(classes: list, lines: list) -> pa.RecordBatch:
-                line, key = band_keys(lines, numbers, similarity)
-                return pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.array(classes, dtype=np.int64)[line])], ["key", "class_id"])
-
-            for value in batch.column(0):
-                for _, _, _, words in _lines(value.as_py(), least_words):
-                    number = _class_of(words)
-                    if number not in sent:
-                        sent.add(number)
-                        classes.append(number)
-                        lines.append(words)
-                        size += len(words)
-                if size > 200_000:
-                    yield packed(classes, lines)
-                    classes, lines, size = [], [], 0
-                for cache in (numbers, sent):
-                    if len(cache) > 400_000:
-                        cache.clear()
-            if lines:
-                yield packed(classes, lines)
+            for texts in _portions(batch.column(0)):
+                words = _words(texts)
+                chosen, classes = _classes(words, least_words)
+                fresh = np.array(_fresh(classes, sent), dtype=np.int64)
+                chosen, classes = chosen[fresh], classes[fresh]
+                asked = np.zeros(len(words.line_words), dtype=bool)
+                asked[chosen] = True
+                line, key = band_keys(words.hashes[asked[words.lines]], words.line_words[chosen], similarity)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(classes[line])], ["key", "class_id"])
 
     return documents.select(text_col).mapInArrow(run, "key long, class_id long")
 
@@ -290,21 +332,13 @@ def _bodies(documents: DataFrame, classes: DataFrame, text_col: str, least_words
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent = set()
         for batch in batches:
-            rows, size = [], 0
-            for value in batch.column(0):
-                for _, _, _, words in _lines(value.as_py(), least_words):
-                    number = _class_of(words)
-                    if number not in sent:
-                        sent.add(number)
-                        rows.append((number, " ".join(words)))
-                        size += len(rows[-1][1])
-                if len(sent) > 400_000:
-                    sent.clear()
-                if size > 4_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["class_id", "body"])
-                    rows, size = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["class_id", "body"])
+            for texts in _portions(batch.column(0)):
+                words = _words(texts)
+                chosen, classes = _classes(words, least_words)
+                fresh = _fresh(classes, sent)
+                places = (x[chosen[fresh]].tolist() for x in (words.line_texts, words.line_starts, words.line_ends))
+                bodies = [" ".join(words_of(texts[text][a:b])) for text, a, b in zip(*places, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(classes[fresh]), pa.array(bodies, pa.string())], ["class_id", "body"])
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -377,12 +411,12 @@ def repeated_paragraphs(
     have none. Repeated rows repeat their paragraphs. Other columns are not read. `scan` is the
     table of `scanned` over the same documents and least_words, where rows have their numbers.
 
-    Equal paragraphs are one class. Per band, all classes of a bucket are compared with a few
-    of them, which links large groups with a few pairs per member; buckets that still mix
-    components have other leaders, some rounds more. Buckets whose classes are then still in
-    different components have the pairs across them compared too, if numbers of shingles and
-    parities allow, so a group never has all its pairs emitted. Only classes that share a bucket
-    have their texts and facts fetched.
+    Equal paragraphs are one class. Pairs of a small bucket are compared, if numbers of shingles
+    and parities allow. In a large one all classes are compared with a few of them, which links
+    large groups with a few pairs per member; buckets that still mix components have other
+    leaders, some rounds more. Large buckets whose classes are then
+    still in different components have the pairs across them compared too, so a group never has
+    all its pairs emitted. Only classes that share a bucket have their texts and facts fetched.
     """
     folder = shared_folder(documents.sparkSession, staging)
     scan = scanned(documents, folder, id_col, text_col, least_words) if scan is None else scan
@@ -392,28 +426,25 @@ def repeated_paragraphs(
     facts = ("class_id", "shingles", "sketch")
     met = stage(shared.join(bodies.select(*facts), "class_id").select("key", *facts), f"{folder}/met")
     delete_folder(met.sparkSession, f"{folder}/shared")
-    # At first every class is a component of its own.
-    rest, links = met.withColumn("component", F.col("class_id")), None
-    for turn in range(LEADING_ROUNDS):
-        found_links = _similar(_with_leaders(rest, turn, facts, similarity), bodies, similarity)
-        links = stage(found_links if links is None else links.union(found_links), f"{folder}/stars-{turn}")
+    large = met.groupBy("key").count().filter(F.col("count") > LARGE_BUCKET).select("key")
+    large = stage(large, f"{folder}/large-keys")
+    small = _pairs(met.join(large, "key", "left_anti"), facts, F.lit(True), similarity)
+    links = stage(_similar(small, bodies, similarity), f"{folder}/small")
+    crowd = stage(met.join(large, "key", "left_semi"), f"{folder}/large")
+    for turn in range(LEADING_ROUNDS + 1):
         near = stage(connected_components(links, f"{folder}/near-{turn}", FEW_LINKS), f"{folder}/near-components-{turn}")
-        rest = stage(_mixed_buckets(met, near), f"{folder}/mixed-{turn}")
-        # Another round pays while pairs could outnumber comparisons with leaders.
+        rest = stage(_mixed_buckets(crowd, near), f"{folder}/mixed-{turn}")
+        # Another round pays while pairs outnumber comparisons with leaders.
         sizes = rest.groupBy("key").agg(F.count("*").alias("n"))
         members, pairs = sizes.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
-        if (pairs or 0) <= LEADERS * (members or 0):
+        if turn == LEADING_ROUNDS or (pairs or 0) <= LEADERS * (members or 0):
             break
-    columns = (*facts, "component")
-    one = rest.select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
-    other = rest.select(F.col("key").alias("key_b"), *[F.col(c).alias(f"{c}_b") for c in columns])
-    pair = (F.col("class_id_a") < F.col("class_id_b")) & (F.col("component_a") != F.col("component_b"))
-    across = (
-        one.join(other, (F.col("key") == F.col("key_b")) & pair & _may_be_similar(similarity))
-        .select(F.col("class_id_a").alias("a"), F.col("class_id_b").alias("b"))
-        .distinct()
-    )
-    links = stage(links.union(_similar(across, bodies, similarity)), f"{folder}/links")
+        found_links = _similar(_with_leaders(rest, turn, facts, similarity), bodies, similarity)
+        links = stage(links.union(found_links), f"{folder}/stars-{turn}")
+    if members:
+        apart = F.col("component_a") != F.col("component_b")
+        across = _pairs(rest, (*facts, "component"), apart, similarity)
+        links = stage(links.union(_similar(across, bodies, similarity)), f"{folder}/links")
     clusters = connected_components(links, f"{folder}/all", FEW_LINKS)
 
     classes = found.groupBy("class_id").agg(F.count("*").alias("copies"))
@@ -453,6 +484,15 @@ def _with_leaders(members: DataFrame, turn: int, facts: tuple[str, ...], similar
     )
 
 
+def _pairs(members: DataFrame, columns: tuple[str, ...], also: Column, similarity: float) -> DataFrame:
+    """(a, b): the members of each bucket that may be similar, each pair once."""
+    one = members.select(F.col("key").alias("key_a"), *[F.col(c).alias(f"{c}_a") for c in columns])
+    other = members.select(F.col("key").alias("key_b"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    pair = (F.col("key_a") == F.col("key_b")) & (F.col("class_id_a") < F.col("class_id_b")) & also
+    met = one.join(other, pair & _may_be_similar(similarity))
+    return met.select(F.col("class_id_a").alias("a"), F.col("class_id_b").alias("b")).distinct()
+
+
 def _mixed_buckets(met: DataFrame, near: DataFrame) -> DataFrame:
     """The members, with their components, of buckets that hold several components."""
     placed = met.join(near.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn(
@@ -462,45 +502,38 @@ def _mixed_buckets(met: DataFrame, near: DataFrame) -> DataFrame:
     return placed.join(mixed.select("key"), "key")
 
 
-def segments_of(text: str | None, numbers: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+#: What `segments_of` takes besides a text; words are hashed all at once now, and none is kept.
+_Numbers = dict
+
+
+def segments_of(text: str | None, numbers: dict[str, int] | None = None) -> tuple[np.ndarray, ...]:
     """Starts, ends, numbers of words and digests of the segments of a text, in code points.
 
-    Segments end with a line, and where the words say so. `numbers` keeps word hashes.
+    Segments end with a line, and where the words say so.
     """
-    text = text or ""
-    words, cuts = [], []
-    for line in text.split("\n"):
-        words += line.split()
-        cuts.append(len(words))
-    if not words:
-        none = np.zeros(0, dtype=np.int64)
-        return none, none, none, []
-    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    if int(lengths.sum()) + len(words) - 1 == len(text):  # one character between any two words
-        starts = np.r_[0, np.cumsum(lengths + 1)[:-1]]
-    else:
-        starts = np.array(_starts(text, words))
-    words = [w.lower() for w in words]
-    hashes = np.array([*map(numbers.__getitem__, words)], dtype=np.uint64)
-    pairs = hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]
+    return tuple(_segments(_words([text or ""]), 1)[0][2:])
+
+
+def _segments(words: _Words, texts: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """(n, line, start, end, words, digest) of the segments, by column, and how many each text has."""
+    n, of_text = len(words.hashes), words.line_texts[words.lines]
+    # Neighbours of one text; texts stand so far apart that none reaches into the next.
+    inside = of_text[1:] == of_text[:-1]
+    places = np.arange(n) + SEGMENT_REACH * of_text
+    pairs = np.full(n + SEGMENT_REACH * texts, np.iinfo(np.uint64).max, dtype=np.uint64)
+    pairs[places[:-1][inside]] = (words.hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + words.hashes[1:])[inside]
     lowest = np.ones(len(pairs), dtype=bool)
-    for k in range(1, min(SEGMENT_REACH, len(pairs) - 1) + 1):
+    for k in range(1, SEGMENT_REACH + 1):
         lowest[k:] &= pairs[k:] < pairs[:-k]
         lowest[:-k] &= pairs[:-k] <= pairs[k:]
-    last = np.unique(np.r_[np.flatnonzero(lowest) + 1, [c for c in cuts if c]]).astype(np.int64)
-    first = np.r_[0, last[:-1]]
-    digest = xxhash.xxh3_64_intdigest
-    digests = [digest(" ".join(words[a:b])) - 2**63 for a, b in zip(first.tolist(), last.tolist(), strict=True)]
-    return starts[first], starts[last - 1] + lengths[last - 1], last - first, digests
-
-
-def _starts(text: str, words: list[str]) -> list[int]:
-    at, made = 0, []
-    for word in words:
-        at = text.index(word, at)
-        made.append(at)
-        at += len(word)
-    return made
+    last = np.flatnonzero(np.r_[lowest[places[:-1]] & inside | (words.lines[1:] != words.lines[:-1]), True][:n])
+    first = np.r_[0, last[:-1] + 1][: len(last)]
+    counts = np.bincount(of_text[first], minlength=texts)
+    number = np.arange(len(first)) - np.repeat(np.cumsum(counts) - counts, counts)
+    lines = words.lines[first] - np.searchsorted(words.line_texts, of_text[first])
+    sizes = last - first + 1
+    digests = _digests(words.hashes, sizes).view(np.int64)
+    return [number, lines, words.starts[first], words.ends[last], sizes, digests], counts
 
 
 def _copies(segments: DataFrame) -> DataFrame:
