@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from threatlens.operators import alerts as al
@@ -107,3 +108,49 @@ def test_a_busy_source_keeps_a_bounded_list():
 def test_nothing_stored_reads_as_nothing(spark, tmp_path):
     assert ls.read_live_state(spark, str(tmp_path / "nowhere")).collect() == []
     assert spark.createDataFrame([], EMISSION).select(F.count("*")).first()[0] == 0
+
+
+def test_a_source_costs_few_calls_of_the_state():
+    """What a batch leaves as it is causes no write, and timers are known without listing them."""
+    calls, stored = [], []
+
+    class State:
+        def get(self):
+            calls.append("get")
+            return iter(stored)
+
+        def put(self, alerts):
+            calls.append("put")
+            stored[:] = alerts
+
+        def clear(self):
+            calls.append("clear")
+            stored.clear()
+
+        def getListState(self, name, schema):
+            return self
+
+        def registerTimer(self, at):
+            calls.append(("register", at))
+
+        def deleteTimer(self, at):
+            calls.append(("delete", at))
+
+        def getCurrentWatermarkInMs(self):
+            return now
+
+    state, source, day = State(), ls.RecentAlerts(), 24 * 3600 * 1000
+    source.init(state)
+    rows = [Row(ip_source="a", **dict(zip(ls.FIELDS, (f"r{i}", i * 1500, i * 1500, 1, 1, True, 50, ["A"])))) for i in range(3)]
+    now = 0
+    for batch, expected in ((rows[:2], ["get", ("register", day), "put"]), (rows[:1], ["get"]), (rows[2:], ["get", "put"])):
+        calls.clear()
+        (made,) = source.handleInputRows(("a",), iter(batch), state)
+        assert calls == expected and made.active_alerts == min(len(stored), 3)
+    now = day + 2  # the second alert expires at day + 1.5 ms, so its timer is at day + 2
+    calls.clear()
+    (made,) = source.handleExpiredTimer(("a",), state, None)
+    assert calls == ["get", ("delete", day), ("register", day + 3), "put"] and made.active_alerts == 1
+    now = day + 3
+    (made,) = source.handleExpiredTimer(("a",), state, None)
+    assert calls[-1] == "clear" and (made.active_alerts, made.last) == (0, None)
