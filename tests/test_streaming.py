@@ -284,3 +284,62 @@ def test_old_batches_are_merged_and_nothing_changes(feed, spark, tmp_path):
     add(*[at(20, action="blocked")] * 6)
     _, alerts = run("brute_force", "signatures", "port_scan_early")
     assert max(r.event_count for r in alerts.collect()) == 30
+
+
+def test_a_stream_parses_a_record_once(spark, tmp_path, make_logs, capsys):
+    from threatlens.sources import messages
+
+    logs = make_logs(*[at(n, user_agent="nmap", action="blocked") for n in range(8)], {"request_path": "/a' OR 1"})
+    path = str(tmp_path / "topic")
+    messages.publish_logs(logs.withColumn("log_id", F.monotonically_increasing_id()), "files", path=path)
+    stream = messages.parse_log_json(messages.read_stream(spark, "files", path=path))
+    names = ["signatures", "brute_force", "volume", "port_scan_early"]
+    for query in start_detectors(
+        stream, str(tmp_path / "alerts"), str(tmp_path / "cp"), names, None, {"availableNow": True}
+    ):
+        query.awaitTermination()
+        capsys.readouterr()
+        query.explain()
+        assert capsys.readouterr().out.count("from_json") == 1, query.name
+    found = {r.alert_type: r.n for r in read_alerts(spark, str(tmp_path / "alerts")).groupBy("alert_type").agg(F.count("*").alias("n")).collect()}
+    assert found == {"KNOWN_ATTACK_TOOL": 8, "SQLI_DETECTED": 1, "BRUTE_FORCE": 1}
+
+
+def test_state_has_as_many_partitions_as_its_rows_ask_for(spark, tmp_path, monkeypatch):
+    from threatlens.plans import catalog
+    from threatlens.session import tasks_for
+
+    assert [tasks_for(spark, n) for n in (0, 1, 50_001, 2_000_000, 2_000_001, 12_000_000)] == [1, 1, 2, 4, 5, 24]
+    monkeypatch.setattr(catalog, "shared_folder", lambda spark: str(tmp_path))
+    catalog.queries()["stream_all"](spark, "/root/testdata/sf0.001")
+    for name in ("brute_force", "volume"):
+        assert [p.name for p in (tmp_path / "checkpoints" / name / "state" / "0").glob("[0-9]*")] == ["0"]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+def test_slices_arrive_whole_in_time_order_and_once(spark, tmp_path):
+    from threatlens.plans import catalog
+    from threatlens.sources import fixtures, messages
+
+    logs = fixtures.security_logs(spark, "/root/testdata/sf0.001").coalesce(1)
+    slices, rows = catalog._in_time_order(spark, logs, str(tmp_path), True)
+    topic, seen = str(tmp_path / "topic"), 0
+    for staged in slices[:-1]:
+        messages.release_records(spark, staged, topic)
+        there = messages.read_records(spark, "files", path=topic).agg(F.count("*"), F.max("offset"), F.count_distinct("offset")).first()
+        assert there[0] == there[1] + 1 == there[2] and abs(there[0] - seen - rows) <= rows * 0.05
+        seen = there[0]
+    assert seen == logs.count() and len(slices) == 4
+    messages.release_records(spark, slices[-1], topic)
+    expected = messages.to_records(logs).drop("partition").collect()
+    arrived = messages.read_records(spark, "files", path=topic).filter("offset IS NOT NULL").drop("partition").collect()
+    assert sorted(map(str, arrived)) == sorted(map(str, expected))
+    messages.release_records(spark, slices[0], topic)
+    assert messages.read_records(spark, "files", path=topic).count() == seen + 3
+
+
+def test_replay_of_nothing_finds_nothing(spark, tmp_path):
+    from threatlens.plans import catalog
+
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(0).write.parquet(f"{tmp_path}/events.parquet")
+    assert catalog.queries()["stream_all"](spark, str(tmp_path)).collect() == []

@@ -6,7 +6,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatlens.functions.times import latest_event, utc_instant, utc_wall_clock
+from threatlens.functions.times import as_of_column, latest_event, utc_wall_clock
 from threatlens.operators import alerts as al
 from threatlens.operators import detectors as det
 from threatlens.operators import reputation as rep
@@ -14,7 +14,7 @@ from threatlens.operators import sketches
 from threatlens.operators import volume as vol
 from threatlens.plans import serving
 from threatlens.schema import LAKE_PARTITIONS, LOG_COLUMNS
-from threatlens.session import shared_folder, stage
+from threatlens.session import shared_folder, stage, tasks_for
 from threatlens.sinks import alert_log
 from threatlens.sinks import keyed_tables as kt
 from threatlens.sources import files, fixtures, messages
@@ -369,37 +369,40 @@ def log_type_partition(logs: DataFrame) -> DataFrame:
 
 # --- streams --------------------------------------------------------------------
 
-def _in_time_order(spark: SparkSession, logs: DataFrame, folder: str, close: bool) -> list[DataFrame]:
-    """The logs cut, in time order, into slices of about equal numbers of rows.
+def _in_time_order(spark: SparkSession, logs: DataFrame, folder: str, close: bool) -> tuple[list[str], int]:
+    """The logs cut, in time order, into slices of about equal numbers of rows, and that number.
 
-    The cuts are quantiles, so a burst is spread over slices; the rows are staged once, one
-    folder a slice. `close` adds a slice with one quiet TCP row of each log type an hour later:
-    windows that are reported when they have closed need a later event.
+    The cuts are quantiles, so a burst is spread over slices; the rows are staged once, as
+    records, one folder a slice. `close` adds a slice with one quiet TCP row of each log type an
+    hour later: windows that are reported when they have closed need a later event.
     """
-    at = F.unix_micros(utc_instant(logs, "timestamp"))
     rows, last = logs.agg(F.count("*"), F.max("timestamp")).first()
     parts = max(REPLAY_BATCHES, -(-rows // ROWS_PER_BATCH))
     shares = [i / parts for i in range(1, parts)]
-    cuts = logs.agg(F.percentile_approx(at, shares, 100 * parts)).first()[0] or []
-    number = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < at)) if cuts else F.lit(0)
-    numbered = logs.withColumn("slice", number)
-    numbered.write.partitionBy("slice").parquet(f"{folder}/slices")
-    staged = spark.read.schema(numbered.schema).parquet(f"{folder}/slices")
-    slices = [staged.filter(F.col("slice") == i).drop("slice") for i in range(parts)]
+    cuts = logs.agg(F.percentile_approx("timestamp", shares, 100 * parts)).first()[0] or []
+    number = sum(((F.col("timestamp") > as_of_column(cut)).cast("int") for cut in cuts), F.lit(0))
+    messages.stage_records(logs.withColumn("slice", F.coalesce(number, F.lit(0))), "slice", f"{folder}/slices")
+    slices, rows_each = [f"{folder}/slices/slice={i}" for i in range(parts)], -(-rows // parts)
     if close and last is not None:
-        rows = [(t, last + timedelta(hours=1)) for t in messages.LOG_TYPE_PARTITIONS]
-        quiet = spark.createDataFrame(rows, "log_type string, timestamp timestamp_ntz")
+        later = [(t, last + timedelta(hours=1)) for t in messages.LOG_TYPE_PARTITIONS]
+        quiet = spark.createDataFrame(later, "log_type string, timestamp timestamp_ntz")
         fixed = {"source_ip": "closing", "protocol": "TCP", "action": "allowed"}
         filled = {c: F.lit(fixed.get(c)).cast(logs.schema[c].dataType) for c in logs.columns if c not in quiet.columns}
-        slices.append(quiet.withColumns(filled).select(logs.columns))
-    return slices
+        slices.append(f"{folder}/slices/slice={parts}")
+        messages.publish_logs(quiet.withColumns(filled).select(logs.columns), "files", path=slices[-1])
+    return slices, rows_each
 
 
-def _run_detectors(spark: SparkSession, folder: str, names: list[str], checkpoints: str, **limits: str) -> None:
-    """Takes what the topic holds beyond the checkpoints: one micro-batch, without limits."""
+def _take(
+    spark: SparkSession, staged: str, folder: str, names: list[str], checkpoints: str, rows: int, **limits: str
+) -> None:
+    """Brings a slice of about so many rows into the topic, and takes what that holds beyond
+    the checkpoints: one micro-batch, without limits."""
+    messages.release_records(spark, staged, f"{folder}/topic")
     logs = messages.parse_log_json(messages.read_stream(spark, "files", path=f"{folder}/topic", **limits))
     running = start_detectors(
-        logs, f"{folder}/alerts", f"{folder}/{checkpoints}", names, trigger={"availableNow": True}
+        logs, f"{folder}/alerts", f"{folder}/{checkpoints}", names, trigger={"availableNow": True},
+        partitions=tasks_for(spark, rows),
     )
     for stream in running:
         stream.awaitTermination()
@@ -415,9 +418,9 @@ def replay(*names: str, close: bool = False, **limits: str) -> Query:
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = shared_folder(spark)
-        for part in _in_time_order(spark, fixtures.security_logs(spark, sf_dir), folder, close):
-            messages.publish_logs(part, "files", path=f"{folder}/topic")
-            _run_detectors(spark, folder, list(names), "checkpoints", **limits)
+        slices, rows = _in_time_order(spark, fixtures.security_logs(spark, sf_dir), folder, close)
+        for staged in slices:
+            _take(spark, staged, folder, list(names), "checkpoints", rows, **limits)
         return joined_arrays(alert_log.read_alerts(spark, f"{folder}/alerts"))
 
     return query
@@ -442,12 +445,10 @@ def stream_live_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detectors that stop after part of the topic, and start again without their checkpoint."""
     folder, names = shared_folder(spark), ["brute_force", "signatures"]
-    *early, late = _in_time_order(spark, fixtures.security_logs(spark, sf_dir), folder, False)
-    for part in early:
-        messages.publish_logs(part, "files", path=f"{folder}/topic")
-        _run_detectors(spark, folder, names, "before")
-    messages.publish_logs(late, "files", path=f"{folder}/topic")
-    _run_detectors(spark, folder, names, "after")
+    (*early, late), rows = _in_time_order(spark, fixtures.security_logs(spark, sf_dir), folder, False)
+    for staged in early:
+        _take(spark, staged, folder, names, "before", rows)
+    _take(spark, late, folder, names, "after", rows)
     return joined_arrays(alert_log.read_alerts(spark, f"{folder}/alerts"))
 
 

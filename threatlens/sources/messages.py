@@ -6,11 +6,13 @@ from pyspark.sql import types as T
 
 from threatlens.functions.times import iso_utc, utc_wall_clock
 from threatlens.schema import LOG_COLUMNS, LOG_MESSAGE
+from threatlens.session import move_files
 
 DEFAULT_TOPIC = "security-logs"
 # Partition of each log type (others go to 0), offsets per trigger.
 LOG_TYPE_PARTITIONS = {"firewall": 0, "ids": 1, "application": 2}
 MAX_OFFSETS_PER_TRIGGER = 10_000
+RECORDS_PER_FILE = 100_000
 
 # A file of records has the columns of a Kafka record that we use.
 RECORD = T.StructType([
@@ -29,8 +31,8 @@ def log_type_partition(log_type: Column) -> Column:
     return chosen
 
 
-def to_records(logs: DataFrame) -> DataFrame:
-    """Logs as key = log type, value = JSON, with the target partition."""
+def to_records(logs: DataFrame, *kept: str) -> DataFrame:
+    """Logs as key = log type, value = JSON, with the target partition and the `kept` columns."""
     stamp = (
         F.col("timestamp")
         if isinstance(logs.schema["timestamp"].dataType, T.StringType)
@@ -43,6 +45,7 @@ def to_records(logs: DataFrame) -> DataFrame:
         F.encode(F.to_json(body), "UTF-8").alias("value"),
         offset.cast("bigint").alias("offset"),
         log_type_partition(F.col("log_type")).cast("int").alias("partition"),
+        *kept,
     )
 
 
@@ -57,6 +60,23 @@ def publish_logs(logs: DataFrame, kind: str = "kafka", **options: str) -> None:
         records.write.mode("append").partitionBy("partition").parquet(options["path"])
 
 
+def stage_records(logs: DataFrame, by: str, path: str) -> None:
+    """Writes the logs as records, a folder below `path` for each value of the column `by`.
+
+    Tasks that read the logs in their order hold few values each; short files let as many
+    tasks as there are read one value.
+    """
+    to_records(logs, by).write.partitionBy(by, "partition").option("maxRecordsPerFile", RECORDS_PER_FILE).parquet(path)
+
+
+def release_records(spark: SparkSession, staged: str, path: str) -> None:
+    """Moves a folder of staged records into the topic at `path`, file by file, as a file stream asks.
+
+    Tasks give their files the same name in every folder, so the folder becomes part of it.
+    """
+    move_files(spark, f"{staged}/partition=*/*.parquet", path, f"{staged.rstrip('/').rsplit('/', 1)[1]}-")
+
+
 def _source_options(kind: str, options: dict[str, str]) -> tuple[str, dict[str, str]]:
     if kind == "kafka":
         return "kafka", {"subscribe": DEFAULT_TOPIC, "failOnDataLoss": "false", **options}
